@@ -58,7 +58,8 @@ def load_if_empty(df: DataFrame, spec: TableSpec) -> str:
 
 def export_json(df: DataFrame, path: str) -> None:
     """All rows as JSON Lines, NULL fields included."""
-    df.write.option("ignoreNullFields", "false").json(path)
+    micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    df.write.options(ignoreNullFields="false", timestampNTZFormat=micros, timestampFormat=micros + "XXX").json(path)
 
 
 def write_run_metrics(metrics: DataFrame, path: str) -> None:
