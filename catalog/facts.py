@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from martkit.operators.clean import clean
 from martkit.operators.keys import build_dimension, distinct_values, surrogate_keys
 from martkit.operators.lookup import DimRef, fk_orphans, lookup_dimensions, orphan_rows
 from martkit.operators.stats import row_count
-from martkit.plans.mart import transform, rating_ref
+from martkit.plans.mart import rating_ref, transform
+from martkit.schemas import RATING_ROWS
+from martkit.session import materialize
 from martkit.sources.readers import default_ratings
 from catalog import query, table
 from catalog.feed import CLEAN, DEDUP, DIMS, FACT, MINIMUM, ORDER, RAW, STATUS, raw_items
@@ -24,7 +27,7 @@ def distinct_dimension(spark, sf):
 select count(distinct nullif(category, '')) as categories, count(distinct nullif(product_type, '')) as product_types
 from kept""")
 def dimension_cardinality(spark, sf):
-    kept = kept_items(spark, sf).select("category", "product_type")
+    kept = materialize(kept_items(spark, sf).select("category", "product_type"), "kept")
     return row_count(distinct_values(kept, "category"), "categories").join(
         row_count(distinct_values(kept, "product_type"), "product_types"))
 
@@ -54,7 +57,7 @@ def url_keys(spark, sf):
 @query("lookup_one_dim", f"""with {DIMS}
 select url, category, category_id from kept left join categories using (category)""")
 def lookup_one_dim(spark, sf):
-    kept = kept_items(spark, sf).select("url", "category")
+    kept = materialize(kept_items(spark, sf).select("url", "category"), "kept")
     dim = build_dimension(kept, "category", "category_id")
     return lookup_dimensions(kept, [DimRef(dim, "category", "category", "category_id")])
 
@@ -63,12 +66,12 @@ def lookup_one_dim(spark, sf):
 select url, rating_id, category_id, product_type_id from kept left join categories using (category)
 left join product_types using (product_type) left join ratings on rating = rating_value""")
 def lookup_three_dims(spark, sf):
-    kept = kept_items(spark, sf).select("url", "category", "product_type", "rating")
+    kept = materialize(kept_items(spark, sf).select("url", "category", "product_type", "rating"), "kept")
     dims = [
         DimRef(build_dimension(kept, "category", "category_id"), "category", "category", "category_id"),
         DimRef(build_dimension(kept, "product_type", "product_type_id"),
                "product_type", "product_type", "product_type_id"),
-        rating_ref(default_ratings(spark)),
+        rating_ref(default_ratings(spark), len(RATING_ROWS)),
     ]
     return lookup_dimensions(kept, dims).select("url", "rating_id", "category_id", "product_type_id")
 
@@ -77,10 +80,8 @@ def lookup_three_dims(spark, sf):
 ratings(rating_id, rating_value) as (values (1, 0), (2, 1), (3, 2), (4, 3), (5, 4), (6, 5))
 select url, rating, rating_id from cleaned left join ratings on rating = rating_value""")
 def rating_lookup(spark, sf):
-    from martkit.operators.clean import clean
-
     items = clean(raw_items(spark, sf)).select("url", "rating")
-    return lookup_dimensions(items, [rating_ref(default_ratings(spark))])
+    return lookup_dimensions(items, [rating_ref(default_ratings(spark), len(RATING_ROWS))])
 
 
 @query("lookup_large_dim", """with texts as (

@@ -10,7 +10,7 @@ from martkit.functions.text import case_label, contains_ci, map_lookup
 from martkit.operators.clean import clean, non_blank, null_fields, required_fields
 from martkit.operators.dedup import dedup_keep_first, dedup_stats, later_duplicates, latest_per_key
 from martkit.operators.quality import (
-    completeness_rate, null_profile, quality_gate, quality_rejects, reject_ids, reject_summary, worst_k)
+    completeness_rate, null_profile, quality_gate, quality_rejects, quality_report, reject_ids, reject_summary, worst_k)
 from martkit.plans.mart import PROFILED, profile_raw
 from catalog import query, table
 from catalog.feed import CLEAN, DEDUP, IN_STOCK, MINIMUM, ORDER, RAW, SCORED, STATUS, raw_items
@@ -182,6 +182,13 @@ def rejected_ids(spark, sf):
     return reject_ids(quality_rejects(kept_items(spark, sf), minimum=MINIMUM), "upc")
 
 
+@query("quality_report", f"""with {DEDUP}
+select count(*) as low_quality_count, min(data_quality_score) as min_score, max(data_quality_score) as max_score,
+  greatest(count(*) - 10, 0) as not_listed from kept where data_quality_score < {MINIMUM}""")
+def report_totals(spark, sf):
+    return quality_report(quality_rejects(kept_items(spark, sf), minimum=MINIMUM), "upc")[0]
+
+
 @query("worst_10", f"""with {DEDUP}
 select upc, substr(coalesce(nullif(title, ''), 'Без названия'), 1, 50) as title_preview, data_quality_score,
   printf('%.1f%%', data_quality_score) as score_text

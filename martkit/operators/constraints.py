@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from martkit.operators.lookup import fk_orphans
 from martkit.schemas import TableRules
+from martkit.session import local_frame
 
 
 def check_primary_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -49,14 +50,13 @@ def check_foreign_key(fact: DataFrame, dim: DataFrame, fk: str, pk: str) -> Data
 
 def missing_members(required: DataFrame, present: DataFrame, name: str) -> DataFrame:
     """Members of ``required`` that are not in ``present``."""
-    return required.select(name).join(present.select(name), name, "left_anti")
+    return required.select(name).join(present.select(name).distinct(), name, "left_anti")
 
 
 def check_tables_present(spark: SparkSession, required: Iterable[str], present: Iterable[str]) -> DataFrame:
-    schema = "table_name string"
-    return missing_members(
-        spark.createDataFrame([(t,) for t in required], schema),
-        spark.createDataFrame([(t,) for t in present], schema), "table_name")
+    schema = T.StructType([T.StructField("table_name", T.StringType())])
+    names = lambda tables: local_frame(spark, [{"table_name": t} for t in tables], schema)
+    return missing_members(names(required), names(present), "table_name")
 
 
 def check_table(name: str, tables: Mapping[str, DataFrame], rules: TableRules) -> DataFrame:

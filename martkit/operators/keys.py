@@ -32,8 +32,10 @@ def surrogate_keys(values: DataFrame, name: str, id_name: str, prefix_digits: in
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     totals = local.groupBy("_range").agg(F.max("_rank").cast("bigint").alias("_n"))
     offsets = totals.select(
-        F.col("_range"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    return local.join(F.broadcast(offsets), "_range").select(
+        F.col("_range").alias("_at"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    # Null-safe equality adds no filter to either side: both then read one and the
+    # same exchange of the distinct values, and the input is scanned once.
+    return local.join(F.broadcast(offsets), F.col("_range").eqNullSafe(F.col("_at"))).select(
         (F.col("_offset") + F.col("_rank")).alias(id_name), name)
 
 

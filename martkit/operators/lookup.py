@@ -58,14 +58,17 @@ def lookup_dimensions(fact: DataFrame, dims: Sequence[DimRef]) -> DataFrame:
 def fk_orphans(fact: DataFrame, dim: DataFrame, fk: str, pk: str) -> DataFrame:
     """Foreign keys without a partner, with the number of fact rows that hold each.
 
-    The fact is reduced to its distinct keys before the join, so neither the
-    fact's size nor a hot key reaches the join.
+    Both sides are reduced to distinct keys before the join, so neither the
+    fact's size nor a hot key reaches it.
     """
     used = fact.where(F.col(fk).isNotNull()).groupBy(fk).agg(F.count("*").alias("row_count"))
-    return used.join(dim.select(F.col(pk).alias("_pk")), F.col(fk) == F.col("_pk"), "left_anti")
+    return used.join(_keys(dim, pk), F.col(fk) == F.col("_pk"), "left_anti")
 
 
 def orphan_rows(fact: DataFrame, dim: DataFrame, fk: str, pk: str) -> DataFrame:
     """The fact rows themselves whose foreign key has no partner."""
-    keyed = fact.where(F.col(fk).isNotNull())
-    return keyed.join(dim.select(F.col(pk).alias("_pk")), F.col(fk) == F.col("_pk"), "left_anti")
+    return fact.where(F.col(fk).isNotNull()).join(_keys(dim, pk), F.col(fk) == F.col("_pk"), "left_anti")
+
+
+def _keys(dim: DataFrame, pk: str) -> DataFrame:
+    return dim.select(F.col(pk).alias("_pk")).distinct()

@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from martkit.operators.dedup import dedup_keep_first
+
 
 def reduce_updates(updates: DataFrame, key: str, order: Sequence[str],
                    columns: Sequence[str] | None = None) -> DataFrame:
@@ -34,7 +36,7 @@ def upsert(target: DataFrame, updates: DataFrame, key: str, order: Sequence[str]
     for c in columns:
         dtype = target.schema[c].dataType
         old = F.col(f"_old_{c}")
-        value = F.coalesce(F.col(f"_new_{c}").cast(dtype), old) if _has(joined, f"_new_{c}") else old
+        value = F.coalesce(F.col(f"_new_{c}").cast(dtype), old) if f"_new_{c}" in joined.columns else old
         if defaults and c in defaults:
             default = defaults[c] if isinstance(defaults[c], Column) else F.lit(defaults[c])
             value = F.when(F.col("_old") | value.isNotNull(), value).otherwise(default.cast(dtype))
@@ -63,23 +65,30 @@ def upsert_stats(target: DataFrame, updates: DataFrame, key: str, order: Sequenc
 
 
 def split_updates(updates: DataFrame, target: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Rows whose key the target knows, and rows whose key it does not."""
-    known = target.select(key)
+    """Rows whose key the target knows, and rows whose key it does not.
+
+    The target is reduced to its distinct keys before they are shuffled, so a
+    key it holds often does not swell one partition; a key that is frequent among
+    the updates is split by adaptive execution.
+    """
+    known = target.select(key).distinct()
     return updates.join(known, key, "left_semi"), updates.join(known, key, "left_anti")
 
 
-def insert_if_absent(target: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+def insert_if_absent(target: DataFrame, rows: DataFrame, key: str,
+                     order: Sequence[str] | None = None) -> DataFrame:
     """The target plus those rows whose key it does not hold yet."""
-    return target.unionByName(new_rows(target, rows, key))
+    return target.unionByName(new_rows(target, rows, key, order))
 
 
-def new_rows(target: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """Those rows whose key the target does not hold: what an append has to write."""
-    return rows.join(target.select(key), key, "left_anti").select(*rows.columns)
+def new_rows(target: DataFrame, rows: DataFrame, key: str, order: Sequence[str] | None = None) -> DataFrame:
+    """Those rows whose key the target does not hold: what an append has to write.
 
-
-def _has(df: DataFrame, name: str) -> bool:
-    return name in df.columns
+    Where ``rows`` may hold a key more than once, ``order`` says which row is first.
+    """
+    if order:
+        rows = dedup_keep_first(rows, key, order)
+    return split_updates(rows, target, key)[1].select(*rows.columns)
 
 
 def _join_updates(target, updates, key, order):

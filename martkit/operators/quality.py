@@ -64,6 +64,13 @@ def worst_k(rejects: DataFrame, key: str, title: str = "title", score: str = "da
         F.col(score), percent_text(score).alias("score_text"))
 
 
+def quality_report(rejects: DataFrame, key: str, score: str = "data_quality_score",
+                   k: int = 10) -> tuple[DataFrame, DataFrame]:
+    """Totals of the rejected rows with how many the list leaves out, and the list of the worst."""
+    totals = reject_summary(rejects, score).withColumn("not_listed", remainder(F.col("low_quality_count"), k))
+    return totals, worst_k(rejects, key, score=score, k=k)
+
+
 def remainder(count: Column, k: int = 10) -> Column:
     """How many rows a list of ``k`` leaves out."""
     return F.greatest(count - k, F.lit(0))

@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from martkit.session import local_frame
+
 
 def row_count(df: DataFrame, name: str = "row_count") -> DataFrame:
     return df.agg(F.count("*").alias(name))
@@ -73,10 +75,10 @@ def throughput(log: DataFrame, ts: str) -> DataFrame:
 def load_verification(tables: Mapping[str, DataFrame | Exception]) -> DataFrame:
     """Per table its row count and whether it is loaded, empty or unreadable."""
     out: DataFrame | None = None
-    failed: list[tuple[str, str]] = []
+    failed: list[dict] = []
     for name, df in tables.items():
         if isinstance(df, Exception):
-            failed.append((name, str(df)))
+            failed.append({"table_name": name, "records": 0, "status": "error", "error": str(df)[:100]})
             continue
         one = df.agg(F.count("*").alias("records")).select(
             F.lit(name).alias("table_name"), "records",
@@ -85,9 +87,6 @@ def load_verification(tables: Mapping[str, DataFrame | Exception]) -> DataFrame:
         out = one if out is None else out.unionByName(one)
     if failed:
         if out is None:
-            raise ValueError("none of the tables can be read: " + "; ".join(e for _, e in failed))
-        broken = out.sparkSession.createDataFrame(failed, "table_name string, error string")
-        out = out.unionByName(broken.select(
-            "table_name", F.lit(0).cast("bigint").alias("records"),
-            F.lit("error").alias("status"), F.substring("error", 1, 100).alias("error")))
+            raise ValueError("no table can be read: " + "; ".join(r["error"] for r in failed))
+        out = out.unionByName(local_frame(out.sparkSession, failed, out.schema))
     return out

@@ -11,16 +11,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martkit.functions.availability import STATUS_RULES
 from martkit.functions.text import case_label, contains_ci
-from martkit.operators.clean import cast_problems, clean, enforce_schema, fill_nulls, quarantine, stamp
+from martkit.operators.clean import (
+    FILLED, TRIMMED, cast_problems, clean, enforce_schema, fill_nulls, quarantine, stamp)
 from martkit.operators.dedup import dedup_keep_first
 from martkit.operators.keys import build_dimension
 from martkit.operators.lookup import DimRef, lookup_dimensions
-from martkit.operators.quality import quality_gate, quality_rejects, worst_k
+from martkit.operators.quality import quality_gate, quality_rejects, quality_report
 from martkit.operators.stats import load_verification
-from martkit.schemas import MART_RULES, MIN_QUALITY, RATING_ROWS
+from martkit.schemas import MART_RULES, MIN_QUALITY
 from martkit.session import materialize
 from martkit.sources.readers import default_ratings, load_readback, read_or_default
-from martkit.sources.writers import MartStore, run_record, write_run_metrics
+from martkit.sources.writers import MartStore, run_record, seed_ratings, write_run_metrics
 
 # The columns of the fact in order, with their source where it differs.
 FACT_COLUMNS = {
@@ -51,6 +52,17 @@ class RunResult:
     worst: DataFrame | None = None
 
 
+def first_clean_rows(raw: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """The first row per key, cleaned.
+
+    Cleaning comes last where it leaves key and order alone, so that only the
+    rows that stay are cleaned.
+    """
+    if {key, *order} & {*TRIMMED, *FILLED}:
+        return dedup_keep_first(clean(raw), key, order)
+    return clean(dedup_keep_first(raw, key, order))
+
+
 def with_stock_flags(df: DataFrame) -> DataFrame:
     """In-stock flag and status from the cleaned label, and a quantity without NULL."""
     out = df.withColumns({
@@ -78,7 +90,7 @@ def product_type_ref(dim: DataFrame, rows: int | None = None) -> DimRef:
     return DimRef(dim, "product_type", "product_type", "product_type_id", rows)
 
 
-def rating_ref(dim: DataFrame, rows: int | None = len(RATING_ROWS)) -> DimRef:
+def rating_ref(dim: DataFrame, rows: int | None = None) -> DimRef:
     return DimRef(dim, "rating", "rating_value", "rating_id", rows)
 
 
@@ -88,15 +100,17 @@ def transform(raw: DataFrame, order: Sequence[str], ratings: DataFrame | None =
 
     Deduplication comes before the gate: a poor first row hides a better later
     one.  The deduplicated rows are written once, because both dimensions, the
-    fact and the rejects read them.
+    fact and the rejects read them; the dimensions are written because their
+    counted size decides how the fact is joined to them.
     """
     spark = raw.sparkSession
-    kept = materialize(dedup_keep_first(clean(raw), key, order), "deduplicated")
-    categories = build_dimension(kept, "category", "category_id")
-    product_types = build_dimension(kept, "product_type", "product_type_id")
+    kept = materialize(first_clean_rows(raw, key, order), "deduplicated")
+    categories = materialize(build_dimension(kept, "category", "category_id"), "categories")
+    product_types = materialize(build_dimension(kept, "product_type", "product_type_id"), "product_types")
     ratings = default_ratings(spark) if ratings is None else ratings
-    fact = build_fact(kept, category_ref(categories), product_type_ref(product_types),
-                      rating_ref(ratings), minimum)
+    fact = build_fact(kept, category_ref(categories, categories.count()),
+                      product_type_ref(product_types, product_types.count()),
+                      rating_ref(ratings, ratings.count()), minimum)
     rejects = with_stock_flags(quality_rejects(kept, minimum=minimum))
     dims = {"dim_ratings": ratings, "dim_categories": categories, "dim_product_types": product_types}
     return Mart(kept, dims, fact, rejects)
@@ -130,9 +144,8 @@ def run_mart(raw: DataFrame, store: MartStore, order: Sequence[str], minimum: fl
         if extracted == 0:
             return RunResult(None, {**record, "status": "no data", "extraction_records": 0})
         at = F.lit(started)
-        seed = default_ratings(spark)
-        ratings = read_or_default(spark, store.spec("dim_ratings", previous), seed)
-        kept = materialize(dedup_keep_first(clean(raw), key, order), "deduplicated")
+        ratings = read_or_default(spark, store.spec("dim_ratings", previous), seed_ratings(spark))
+        kept = materialize(first_clean_rows(raw, key, order), "deduplicated")
 
         version = store.new_version()
         refs = {}
@@ -155,7 +168,9 @@ def run_mart(raw: DataFrame, store: MartStore, order: Sequence[str], minimum: fl
 
         checked = {r["table_name"]: r for r in load_verification(load_readback(
             spark, {t: store.spec(t, version) for t in MART_RULES})).collect()}
-        kept_rows, low_rows = kept.count(), low.count()
+        totals, worst = quality_report(low, key)
+        kept_rows, report = kept.count(), totals.first()
+        low_rows = report["low_quality_count"]
         finished = datetime.now(UTC)
         seconds = (finished - started).total_seconds()
         summary = {
@@ -167,9 +182,9 @@ def run_mart(raw: DataFrame, store: MartStore, order: Sequence[str], minimum: fl
             "null_profile": profile,
             "records_before": extracted, "records_after": kept_rows,
             "duplicates_removed": extracted - kept_rows,
-            "not_listed": max(low_rows - 10, 0),
+            "not_listed": report["not_listed"],
             "tables": {t: (r["records"], r["status"]) for t, r in checked.items()}}
-        return RunResult(version, {**summary, **details}, worst_k(low, key))
+        return RunResult(version, {**summary, **details}, worst)
     except Exception as e:
         finished = datetime.now(UTC)
         _record(spark, metrics_path, name, False, started, finished, {
@@ -183,5 +198,5 @@ def _record(spark: SparkSession, path: str, name: str, success: bool, started: d
     row = {"etl_name": name, "success": success, "start_time": started.isoformat(),
            "end_time": finished.isoformat(), "duration_seconds": (finished - started).total_seconds(),
            "statistics": statistics}
-    write_run_metrics(run_record(spark, [row]), path)
+    write_run_metrics(run_record(spark, row), path)
 

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Adaptive execution is what sizes joins, merges small partitions and splits
 # skewed ones at run time; the zone keeps timestamps equal on every machine.
@@ -55,3 +58,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def local_frame(spark: SparkSession, rows: Sequence[dict], schema: T.StructType) -> DataFrame:
+    """A few rows of the driver's own, planned as a local table instead of a job."""
+    return spark.createDataFrame(pa.Table.from_pylist(list(rows), to_arrow_schema(schema)), schema)

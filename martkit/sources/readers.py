@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from martkit.schemas import DIM_RATINGS, RATING_ROWS
+from martkit.session import local_frame
 
 
 @dataclass(frozen=True)
@@ -61,8 +62,7 @@ def read_or_default(spark: SparkSession, spec: TableSpec, default: DataFrame) ->
 
 def inline_dimension(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
     """A constant dimension; fields after the given values are NULL."""
-    padded = [tuple(r) + (None,) * (len(schema) - len(r)) for r in rows]
-    return spark.createDataFrame(padded, schema)
+    return local_frame(spark, [dict(zip(schema.names, r)) for r in rows], schema)
 
 
 def default_ratings(spark: SparkSession) -> DataFrame:

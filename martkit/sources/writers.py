@@ -11,15 +11,20 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import UTC, datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from martkit.operators.clean import stamp
 from martkit.operators.merge import new_rows, upsert
 from martkit.schemas import MART_RULES, RUN_METRICS, TableRules
+from martkit.session import local_frame
 from martkit.sources.readers import TableSpec, default_ratings, read_table
 
-_VERSIONS = "version string, tables array<string>, finished_at timestamp"
+_VERSIONS = T.StructType([
+    T.StructField("version", T.StringType()), T.StructField("tables", T.ArrayType(T.StringType())),
+    T.StructField("finished_at", T.TimestampType())])
 
 
 def append(df: DataFrame, spec: TableSpec) -> None:
@@ -78,10 +83,18 @@ def store_items(items: DataFrame, target: TableSpec, out: TableSpec, key: str, o
     replaced while it is read.  Several items of one key become one row either way.
     """
     spark = items.sparkSession
-    held = spark.createDataFrame([], target.schema) if clear_before_run else read_table(spark, target)
+    held = local_frame(spark, [], target.schema) if clear_before_run else read_table(spark, target)
     overwrite(upsert(held, items, key, order, defaults), out)
 
 
+@dataclass(frozen=True)
+class Version:
+    """A finished version of a mart and the tables it holds."""
+
+    name: str
+    tables: tuple[str, ...]
+
+
 @dataclass(frozen=True)
 class MartStore:
     """A versioned mart below ``root``, which must be shared storage."""
@@ -90,19 +103,21 @@ class MartStore:
     root: str
     rules: Mapping[str, TableRules] = field(default_factory=lambda: MART_RULES)
 
-    def versions(self) -> DataFrame:
+    def latest(self) -> Version | None:
+        """The version finished last."""
         try:
-            return self.spark.read.schema(_VERSIONS).json(f"{self.root}/_versions")
+            done = self.spark.read.schema(_VERSIONS).json(f"{self.root}/_versions")
         except AnalysisException:
-            return self.spark.createDataFrame([], _VERSIONS)
-
-    def current(self) -> str | None:
-        """The version finished last."""
-        row = self.versions().orderBy(F.col("finished_at").desc(), "version").limit(1).first()
-        return row["version"] if row else None
+            return None
+        row = done.agg(F.max_by(F.struct("version", "tables"), F.struct("finished_at", "version")).alias("v")).first()
+        return Version(row["v"]["version"], tuple(row["v"]["tables"])) if row["v"] else None
 
     def spec(self, table: str, version: str | None = None) -> TableSpec:
-        version = version or self.current()
+        if version is None:
+            latest = self.latest()
+            if latest is None:
+                raise LookupError(f"no finished version below {self.root}")
+            version = latest.name
         schema = self.rules[table].schema if table in self.rules else None
         return TableSpec(f"{self.root}/{version}/{table}", schema=schema)
 
@@ -118,32 +133,30 @@ class MartStore:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def finish(self, version: str, tables: list[str]) -> None:
+    def finish(self, version: str, tables: Sequence[str]) -> None:
         """Make a version the current one: a single appended row."""
-        self.spark.createDataFrame([(version, tables)], "version string, tables array<string>").coalesce(1) \
-            .withColumn("finished_at", F.current_timestamp()).write.mode("append").json(f"{self.root}/_versions")
+        row = {"version": version, "tables": list(tables), "finished_at": datetime.now(UTC)}
+        local_frame(self.spark, [row], _VERSIONS).write.mode("append").json(f"{self.root}/_versions")
 
     def missing_tables(self) -> list[str]:
-        version = self.current()
-        if version is None:
-            return list(self.rules)
-        known = self.versions().where(F.col("version") == version).first()["tables"]
-        return [t for t in self.rules if t not in known]
+        latest = self.latest()
+        return [t for t in self.rules if latest is None or t not in latest.tables]
 
     def init(self, drop_existing: bool = False) -> str:
         """A current version that has every table, empty but for the rating seed.
 
         An existing complete version is kept unless ``drop_existing``.
         """
-        if not self.missing_tables() and not drop_existing:
-            return self.current()
-        old, version = self.current(), self.new_version()
-        have = [] if old is None or drop_existing else [
-            t for t in self.rules if t not in self.missing_tables()]
+        latest = self.latest()
+        have = () if latest is None or drop_existing else latest.tables
+        if all(t in have for t in self.rules):
+            return latest.name
+        version = self.new_version()
         for table, rules in self.rules.items():
-            df = self.read(table, old) if table in have else self.spark.createDataFrame([], rules.schema)
+            df = self.read(table, latest.name) if table in have else local_frame(self.spark, [], rules.schema)
             if table == "dim_ratings":
-                df = df.unionByName(new_rows(df, seed_ratings(self.spark), "rating_id"))
+                seed = seed_ratings(self.spark)
+                df = df.unionByName(new_rows(df, seed, "rating_id")) if table in have else seed
             self.write(version, table, df)
         self.finish(version, list(self.rules))
         return version
@@ -158,8 +171,8 @@ class MartStore:
 
 
 def seed_ratings(spark: SparkSession) -> DataFrame:
-    return default_ratings(spark).withColumn("created_at", F.current_timestamp())
+    return stamp(default_ratings(spark), "created_at", F.lit(datetime.now(UTC)))
 
 
-def run_record(spark: SparkSession, rows: list[dict]) -> DataFrame:
-    return spark.createDataFrame(rows, RUN_METRICS)
+def run_record(spark: SparkSession, row: dict) -> DataFrame:
+    return local_frame(spark, [row], RUN_METRICS)

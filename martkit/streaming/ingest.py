@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from martkit.operators.merge import upsert, upsert_stats
-from martkit.session import scratch_path
+from martkit.session import local_frame, scratch_path
 
 
 @dataclass(frozen=True)
@@ -43,7 +43,7 @@ class ChangeLog:
         try:
             return self.spark.read.schema(schema).parquet(self.path)
         except AnalysisException:
-            return self.spark.createDataFrame([], schema)
+            return local_frame(self.spark, [], schema)
 
     @property
     def full_order(self) -> list[str]:
