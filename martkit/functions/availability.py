@@ -34,7 +34,8 @@ def first_pattern_int(c: Column | str, patterns: Sequence[str] = QUANTITY_PATTER
                       low: int = QUANTITY_BOUNDS[0], high: int = QUANTITY_BOUNDS[1]) -> Column:
     """Number of the first pattern whose first match lies between the bounds, else 0."""
     c = F.col(c) if isinstance(c, str) else c
-    found = [F.regexp_extract(c, "(?iU)" + p, 1).try_cast("bigint") for p in patterns]
+    # No match is an empty text; a failing cast would cost an exception per row.
+    found = [F.nullif(F.regexp_extract(c, "(?iU)" + p, 1), F.lit("")).try_cast("bigint") for p in patterns]
     # Lazily in order: a pattern is tried only where the ones before it gave nothing.
     hits = [let(n, lambda v: F.when(in_range(v, low, high), v)) for n in found]
     none = F.lit(0).cast("bigint")

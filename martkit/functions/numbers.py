@@ -6,7 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from martkit.functions.text import strip_ws
+from martkit.functions.text import let, strip_ws
 
 
 def _c(c: Column | str) -> Column:
@@ -15,7 +15,9 @@ def _c(c: Column | str) -> Column:
 
 def parse_amount(c: Column | str) -> Column:
     """Digits and dots of a text as a double; NULL where they form no number."""
-    return F.regexp_replace(_c(c), r"[^0-9.]", "").try_cast("double")
+    kept = F.regexp_replace(_c(c), r"[^0-9.]", "")
+    # Only what is a number reaches the cast: a failing one costs an exception per row.
+    return let(kept, lambda v: F.when(v.rlike(r"^([0-9]+\.?[0-9]*|\.[0-9]+)$"), v.cast("double")))
 
 
 def to_double_lenient(df: DataFrame, name: str) -> Column:
@@ -34,7 +36,7 @@ def parse_count(c: Column | str) -> Column:
     """
     c = _c(c)
     digits = F.regexp_replace(strip_ws(c), r"(?<=[0-9])_(?=[0-9])", "")
-    whole = F.when(digits.rlike(r"^[+-]?[0-9]+$"), digits.try_cast("bigint"))
+    whole = let(digits, lambda v: F.when(v.rlike(r"^[+-]?[0-9]+$"), v.try_cast("bigint")))
     return F.when(c.isNotNull(), F.coalesce(whole, F.lit(0).cast("bigint")))
 
 
@@ -57,9 +59,9 @@ def parse_iso_ts(c: Column | str, fallback: Column) -> Column:
     value per run keeps re-executed tasks in agreement.
     """
     c = _c(c)
-    zone = F.regexp_extract(c, r"(?:[T ][0-9:.]+)([+-])([0-9]{2}):?([0-9]{2})$", 0)
-    part = lambda i: F.regexp_extract(zone, r"([+-])([0-9]{2}):?([0-9]{2})$", i)
-    minutes = part(2).try_cast("int") * 60 + part(3).try_cast("int")
+    zone = r"^.*[T ][0-9:.]+([+-])([0-9]{2}):?([0-9]{2})$"
+    part = lambda i: F.nullif(F.regexp_extract(c, zone, i), F.lit(""))
+    minutes = part(2).cast("int") * 60 + part(3).cast("int")
     signed = F.when(part(1) == "-", -minutes).otherwise(minutes)
     wall = F.regexp_replace(c, r"([T ][0-9:.]+)(Z|[+-][0-9]{2}:?[0-9]{2})$", "$1")
     naive = F.when(c.rlike(_ISO), wall.try_cast("timestamp_ntz"))

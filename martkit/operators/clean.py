@@ -104,6 +104,18 @@ def _reads_as_count(name: str) -> Column:
                       F.lit(False))
 
 
+def loses_value(c: Column, have: T.DataType, want: T.DataType) -> Column:
+    """Whether a value that is there cannot be held by the wanted type.
+
+    Numbers are compared with the bound of a NUMERIC type after rounding, which
+    is what the cast does; letting the cast fail would cost an exception per row.
+    """
+    if isinstance(want, T.DecimalType) and isinstance(have, T.NumericType):
+        limit = 10 ** (want.precision - want.scale)
+        return F.coalesce(F.abs(F.round(c, want.scale)) >= limit, F.lit(False))
+    return c.isNotNull() & c.try_cast(want).isNull()
+
+
 def cast_problems(df: DataFrame, rules: TableRules) -> Column:
     """Array of texts that say why a row does not fit the declared table.
 
@@ -124,7 +136,7 @@ def cast_problems(df: DataFrame, rules: TableRules) -> Column:
             checks.append(F.when(F.length(c) > limits[f.name],
                                  F.lit(f"{f.name}: longer than {limits[f.name]}")))
         if df.schema[f.name].dataType != f.dataType:
-            bad = c.isNotNull() & c.try_cast(f.dataType).isNull()
+            bad = loses_value(c, df.schema[f.name].dataType, f.dataType)
             checks.append(F.when(bad, F.lit(f"{f.name}: not a {f.dataType.simpleString()}")))
         if f.name in rules.ranges:
             low, high = rules.ranges[f.name]

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from martkit.operators.clean import loses_value
 from martkit.operators.lookup import fk_orphans
 from martkit.schemas import TableRules
 from martkit.session import local_frame
@@ -40,8 +41,11 @@ def check_length(df: DataFrame, name: str, max_length: int) -> DataFrame:
 
 def check_numeric(df: DataFrame, name: str, precision: int = 10, scale: int = 2) -> DataFrame:
     """Rows whose value does not fit NUMERIC(precision, scale)."""
-    c = F.col(name)
-    return df.where(c.isNotNull() & c.try_cast(T.DecimalType(precision, scale)).isNull())
+    return df.where(_no_fit(df, name, precision, scale))
+
+
+def _no_fit(df: DataFrame, name: str, precision: int, scale: int) -> Column:
+    return loses_value(F.col(name), df.schema[name].dataType, T.DecimalType(precision, scale))
 
 
 def check_foreign_key(fact: DataFrame, dim: DataFrame, fk: str, pk: str) -> DataFrame:
@@ -70,7 +74,7 @@ def check_table(name: str, tables: Mapping[str, DataFrame], rules: TableRules) -
     row_rules |= {f"length({c})": F.length(c) > n for c, n in rules.lengths.items()}
     row_rules |= {f"range({c})": ~F.col(c).between(*b) for c, b in rules.ranges.items()}
     row_rules |= {
-        f"numeric({c})": F.col(c).isNotNull() & F.col(c).try_cast(T.DecimalType(p, s)).isNull()
+        f"numeric({c})": _no_fit(df, c, p, s)
         for c, (p, s) in rules.decimals.items()}
 
     found: list[DataFrame] = []

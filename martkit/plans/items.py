@@ -79,18 +79,17 @@ def pages_to_items(pages: DataFrame, scraped_at: Column) -> DataFrame:
     """Raw item rows of a corpus of detail pages.
 
     Three projections: cut the page into its blocks, read texts and attributes
-    out of them, then derive the typed columns.  The page text itself is read by
-    the first one only.
+    out of them, then derive the typed columns.
     """
     blocks = pages.select(
         "url",
         H.inner_html("html", MAIN).alias("_main"),
         H.inner_html("html", SPEC_TABLE).alias("_spec"),
         H.inner_html("html", GALLERY).alias("_gallery"),
-        F.regexp_extract("html", rf"(?is){BREADCRUMB}(.*?)</[uo]l\s*>", 1).alias("_crumbs"),
+        F.regexp_extract("html", rf"(?s){BREADCRUMB}(.*?)</[uoUO][lL]\s*>", 1).alias("_crumbs"),
         H.sibling_text("html", "product_description", "p").alias("_description"),
         H.first_attr("html", "class", H.open_tag(H.ANY, "star-rating")).alias("_stars"),
-        H.inner_html("html", STOCK).alias("_stock_block"),
+        "html",
     )
     texts = blocks.select(
         "url",
@@ -101,17 +100,19 @@ def pages_to_items(pages: DataFrame, scraped_at: Column) -> DataFrame:
         H.first_text(F.try_element_at(H.list_items("_crumbs"), F.lit(-2)), H.open_tag("a")).alias("category"),
         F.col("_description").alias("description"),
         F.col("_stars").alias("stars"),
-        H.deep_text("_stock_block").alias("stock_any"),
+        "html",
         H.kv_keys("_spec").alias("_keys"), H.kv_values("_spec").alias("_values"),
     )
     cells = texts.select(
         "url", "_keys", "_values", *[
             H.unescape(c).alias(c) for c in (
-                "title", "price_raw", "stock_main", "image_src", "category", "description", "stars", "stock_any")])
+                "title", "price_raw", "stock_main", "image_src", "category", "description", "stars")], "html")
     cells = cells.select(
         "*", *[H.unescape(H.kv_lookup(F.col("_keys"), F.col("_values"), header)).alias(name)
                for name, header in HEADERS.items()])
-    stock = first_non_empty("stock_cell", "stock_main", "stock_any")
+    # Only a page without a stock text in either place is searched once more.
+    anywhere = H.unescape(H.deep_text(H.inner_html("html", STOCK)))
+    stock = first_non_empty("stock_cell", "stock_main", anywhere)
     named = with_availability(cells.withColumn("_stock", stock), "_stock")
 
     word = last_token("stars")
