@@ -116,6 +116,7 @@ STOCK_TEXT = """case l_orderkey % 16
   when 13 then concat('  In   stock :  ', q, '  ') when 14 then '   ' else null end"""
 _KEYED = """select l_orderkey, l_linenumber, l_partkey, cast(cast(l_quantity as int) as string) as q,
   cast(l_orderkey as string) as k from {0}"""
+# The quantity patterns in order of precedence, as the SQL side writes them.
 _PATTERNS = [
     r"\(([0-9]+)\s+available\)", r"available\s*[:\-]?\s*([0-9]+)", r"([0-9]+)\s+available",
     r"\(([0-9]+)\s*in\s*stock\)", r"in\s+stock\s*[:\-]?\s*([0-9]+)", r"([0-9]+)\s+in\s+stock",

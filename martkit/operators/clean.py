@@ -26,7 +26,8 @@ def trim_columns(df: DataFrame, names: Iterable[str] = TRIMMED) -> DataFrame:
 def fill_nulls(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     """Replace NULL, and only NULL, by a default of the column's own type."""
     return df.withColumns({
-        n: F.coalesce(F.col(n), F.lit(v).cast(df.schema[n].dataType)) for n, v in defaults.items()})
+        n: F.coalesce(F.col(n), (v if isinstance(v, Column) else F.lit(v)).cast(df.schema[n].dataType))
+        for n, v in defaults.items()})
 
 
 def non_blank(df: DataFrame, name: str) -> DataFrame:
@@ -47,6 +48,11 @@ def clean(df: DataFrame) -> DataFrame:
     return fill_nulls(trim_columns(df), FILLED)
 
 
+def insert_defaults(at: Column) -> dict[str, object]:
+    """What a newly stored item gets where nothing was sent; ``at`` is the run's time."""
+    return {"scraped_at": at, **INSERT_DEFAULTS}
+
+
 def apply_insert_defaults(df: DataFrame, defaults: Mapping[str, object] = INSERT_DEFAULTS) -> DataFrame:
     return fill_nulls(df, {n: v for n, v in defaults.items() if n in df.columns})
 

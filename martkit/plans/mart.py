@@ -123,11 +123,13 @@ def profile_raw(raw: DataFrame) -> DataFrame:
 
 
 def new_run_id(now: datetime) -> str:
+    # Fixed value: the format of a run id.
     return f"etl_run_{now.strftime('%Y%m%d_%H%M%S')}_{uuid.uuid4().hex[:8]}"
 
 
 def run_mart(raw: DataFrame, store: MartStore, order: Sequence[str], minimum: float = MIN_QUALITY,
-             key: str = "upc", name: str = "mart", metrics_path: str | None = None) -> RunResult:
+             key: str = "upc", name: str = "mart", metrics_path: str | None = None,
+             drop_existing: bool = False) -> RunResult:
     """The whole job: init, extract, transform, load, verify, record.
 
     Counts come from finished tables, not from counters inside running tasks, so
@@ -138,7 +140,7 @@ def run_mart(raw: DataFrame, store: MartStore, order: Sequence[str], minimum: fl
     record = {"etl_run_id": new_run_id(started), "spark_application_id": spark.sparkContext.applicationId}
     metrics_path = metrics_path or f"{store.root}/_runs"
     try:
-        previous = store.init()
+        previous = store.init(drop_existing)
         profile = profile_raw(raw).first().asDict()
         extracted = profile.pop("records")
         if extracted == 0:

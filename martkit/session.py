@@ -20,6 +20,20 @@ RECOMMENDED = {
 }
 
 
+def sized_for(shuffle_bytes: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Settings for a job that shuffles this much: partitions that fit a task's memory.
+
+    Adaptive execution merges partitions that turn out small but cannot split
+    ordinary ones, so the number starts from the largest shuffle expected.  Scans
+    of very large inputs take bigger splits, to keep the number of tasks in bounds.
+    """
+    partitions = max(200, -(-shuffle_bytes // partition_bytes))
+    split = 512 << 20 if shuffle_bytes > 10 << 40 else 128 << 20
+    return {"spark.sql.shuffle.partitions": str(partitions),
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+            "spark.sql.files.maxPartitionBytes": str(split)}
+
+
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:

@@ -48,17 +48,21 @@ def _write(df: DataFrame, spec: TableSpec, mode: str) -> None:
         writer.save(spec.path) if spec.path else writer.save()
 
 
+# What a conditional load reports.
+LOADED, SKIPPED, LOADED_UNCHECKED = "loaded", "skipped (already has data)", "loaded (fallback)"
+
+
 def load_if_empty(df: DataFrame, spec: TableSpec) -> str:
     """Write only into a table without rows; says what was done."""
     try:
         existing = read_table(df.sparkSession, spec)
     except AnalysisException:
         append(df, spec)
-        return "loaded (fallback)"
+        return LOADED_UNCHECKED
     if not existing.isEmpty():
-        return "skipped (already has data)"
+        return SKIPPED
     append(df, spec)
-    return "loaded"
+    return LOADED
 
 
 def export_json(df: DataFrame, path: str) -> None:

@@ -149,6 +149,17 @@ def test_upsert_against_brute_force(spark):
     assert rows(upsert(t, u, "k", ["seq"]), "k") == sorted((k, *v) for k, v in want.items())
 
 
+def test_insert_defaults(spark):
+    run = F.lit("2026-03-01 00:00:00").cast("timestamp_ntz")
+    schema = "url string, scraped_at timestamp_ntz, available_quantity int, in_stock boolean"
+    target = spark.createDataFrame([("old", None, None, None)], schema)
+    updates = spark.createDataFrame([("new", None, None, None, 1), ("old", None, None, None, 2)], schema + ", seq int")
+    got = rows(upsert(target, updates, "url", ["seq"], C.insert_defaults(run)))
+    assert got == [("new", datetime(2026, 3, 1), 0, False), ("old", None, None, None)]
+    filled = C.apply_insert_defaults(target, C.insert_defaults(run)).first()
+    assert tuple(filled) == ("old", datetime(2026, 3, 1), 0, False)
+
+
 def test_insert_if_absent(spark):
     target = spark.createDataFrame([(1, "a")], "k int, v string")
     new = spark.createDataFrame([(1, "b"), (2, "d"), (2, "c")], "k int, v string")
