@@ -6,10 +6,9 @@ from pyspark.sql import functions as F
 
 from martkit.operators.clean import clean
 from martkit.operators.keys import build_dimension, distinct_values, surrogate_keys
-from martkit.operators.lookup import DimRef, fk_orphans, lookup_dimensions, orphan_rows
+from martkit.operators.lookup import DimRef, fk_orphans, lookup_dimensions, measured, orphan_rows
 from martkit.operators.stats import row_count
 from martkit.plans.mart import rating_ref, transform
-from martkit.schemas import RATING_ROWS
 from martkit.session import materialize
 from martkit.sources.readers import default_ratings
 from catalog import query, table
@@ -71,7 +70,7 @@ def lookup_three_dims(spark, sf):
         DimRef(build_dimension(kept, "category", "category_id"), "category", "category", "category_id"),
         DimRef(build_dimension(kept, "product_type", "product_type_id"),
                "product_type", "product_type", "product_type_id"),
-        rating_ref(default_ratings(spark), len(RATING_ROWS)),
+        measured(rating_ref(default_ratings(spark))),
     ]
     return lookup_dimensions(kept, dims).select("url", "rating_id", "category_id", "product_type_id")
 
@@ -81,7 +80,7 @@ ratings(rating_id, rating_value) as (values (1, 0), (2, 1), (3, 2), (4, 3), (5,
 select url, rating, rating_id from cleaned left join ratings on rating = rating_value""")
 def rating_lookup(spark, sf):
     items = clean(raw_items(spark, sf)).select("url", "rating")
-    return lookup_dimensions(items, [rating_ref(default_ratings(spark), len(RATING_ROWS))])
+    return lookup_dimensions(items, [measured(rating_ref(default_ratings(spark)))])
 
 
 @query("lookup_large_dim", """with texts as (
@@ -94,6 +93,16 @@ def lookup_large_dim(spark, sf):
     return lookup_dimensions(docs, [DimRef(dim, "text", "text", "text_id")]).select("doc_id", "text_id")
 
 
+@query("lookup_measured_dim", """with texts as (
+  select dense_rank() over (order by md5(text)) as text_id, text
+  from (select distinct text from documents where text is not null and text <> ''))
+select doc_id, text_id from documents left join texts using (text)""")
+def lookup_measured_dim(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    dim = materialize(build_dimension(docs, "text", "text_id"), "texts")
+    return lookup_dimensions(docs, [measured(DimRef(dim, "text", "text", "text_id"))]).select("doc_id", "text_id")
+
+
 @query("fact_projection", f"with {FACT} select * from fact")
 def fact_projection(spark, sf):
     return transform(raw_items(spark, sf), ORDER, minimum=MINIMUM).fact

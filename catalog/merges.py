@@ -48,6 +48,17 @@ def upsert_merge(spark, sf):
     return upsert(table(spark, sf, "supplier"), supplier_updates(spark, sf), "s_suppkey", ORDER, DEFAULTS)
 
 
+_MERGED = f"""with {FOLDED}
+select s_suppkey, coalesce(f.s_name, s.s_name) as s_name, coalesce(f.s_nationkey, s.s_nationkey, -1) as s_nationkey,
+  coalesce(f.s_acctbal, s.s_acctbal) as s_acctbal
+from supplier s full outer join folded f using (s_suppkey)"""
+
+
+@query("upsert_few", _MERGED)
+def upsert_few(spark, sf):
+    return upsert(table(spark, sf, "supplier"), supplier_updates(spark, sf), "s_suppkey", ORDER, DEFAULTS, few=True)
+
+
 @query("upsert_stats", f"""with {FOLDED}, m as (
   select n, s_suppkey in (select s_suppkey from supplier) as known from folded)
 select cast(sum(n) as bigint) as processed, count(*) filter (where not known) as inserted,

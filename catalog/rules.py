@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F, types as T
 
-from martkit.operators.clean import cast_problems, enforce_schema, quarantine
+from martkit.operators.clean import enforce_schema, quarantine, storage_problems
 from martkit.operators.constraints import (
     check_length, check_not_null, check_numeric, check_primary_key, check_range, check_table, check_unique,
     missing_members)
@@ -106,14 +106,14 @@ _REASON = """concat_ws('; ', case when upc is null then 'upc: is null' end,
 select url, reject_reason from tagged where reject_reason <> ''""")
 def quarantine_rejects(spark, sf):
     raw = raw_items(spark, sf)
-    return quarantine(raw, cast_problems(raw, ITEM_RULES))[1].select("url", "reject_reason")
+    return quarantine(raw, storage_problems(raw, ITEM_RULES))[1].select("url", "reject_reason")
 
 
 @query("quarantine_stored", f"""with {RAW}, tagged as (select *, {_REASON} as reject_reason from raw)
 select upc, title, cast(price as double) as price, rating, url from tagged where reject_reason = ''""")
 def quarantine_stored(spark, sf):
     raw = raw_items(spark, sf)
-    good, _ = quarantine(raw, cast_problems(raw, ITEM_RULES))
+    good, _ = quarantine(raw, storage_problems(raw, ITEM_RULES))
     return enforce_schema(good, ITEM_RULES.schema).withColumn("price", F.col("price").cast("double"))
 
 

@@ -122,11 +122,10 @@ def loses_value(c: Column, have: T.DataType, want: T.DataType) -> Column:
     return c.isNotNull() & c.try_cast(want).isNull()
 
 
-def cast_problems(df: DataFrame, rules: TableRules) -> Column:
-    """Array of texts that say why a row does not fit the declared table.
+def storage_problems(df: DataFrame, rules: TableRules) -> list[Column]:
+    """One text per reason a row does not fit the declared table, NULL where it does.
 
-    Covers NOT NULL, lengths, ranges and casts that lose the value; an empty
-    array means that the row can be stored.
+    Covers NOT NULL, lengths, ranges and casts that lose the value.
     """
     checks: list[Column] = []
     limits, not_null = rules.lengths, set(rules.not_null)
@@ -135,19 +134,16 @@ def cast_problems(df: DataFrame, rules: TableRules) -> Column:
             if f.name in not_null:
                 checks.append(F.lit(f"{f.name}: is null"))
             continue
-        c = F.col(f.name)
+        c, have = F.col(f.name), df.schema[f.name].dataType
         if f.name in not_null:
-            checks.append(F.when(c.isNull(), F.lit(f"{f.name}: is null")))
+            checks.append(F.when(c.isNull(), f"{f.name}: is null"))
         if f.name in limits:
-            checks.append(F.when(F.length(c) > limits[f.name],
-                                 F.lit(f"{f.name}: longer than {limits[f.name]}")))
-        if df.schema[f.name].dataType != f.dataType:
-            bad = loses_value(c, df.schema[f.name].dataType, f.dataType)
-            checks.append(F.when(bad, F.lit(f"{f.name}: not a {f.dataType.simpleString()}")))
+            checks.append(F.when(F.length(c) > limits[f.name], f"{f.name}: longer than {limits[f.name]}"))
+        if have != f.dataType:
+            checks.append(F.when(loses_value(c, have, f.dataType), f"{f.name}: not a {f.dataType.simpleString()}"))
         if f.name in rules.ranges:
-            low, high = rules.ranges[f.name]
-            checks.append(F.when(~c.between(low, high), F.lit(f"{f.name}: out of range")))
-    return F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
+            checks.append(F.when(~c.between(*rules.ranges[f.name]), f"{f.name}: out of range"))
+    return checks
 
 
 def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -161,8 +157,8 @@ def enforce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
         for f in schema])
 
 
-def quarantine(df: DataFrame, problems: Column) -> tuple[DataFrame, DataFrame]:
+def quarantine(df: DataFrame, problems: Iterable[Column]) -> tuple[DataFrame, DataFrame]:
     """Rows without problems, and the others with their reasons joined in ``reject_reason``."""
-    tagged = df.withColumn("reject_reason", F.array_join(problems, "; "))
+    tagged = df.withColumn("reject_reason", F.concat_ws("; ", *problems))
     storable = tagged.where(F.col("reject_reason") == "").drop("reject_reason")
     return storable, tagged.where(F.col("reject_reason") != "")

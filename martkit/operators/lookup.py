@@ -3,33 +3,38 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, functions as F
 
-# A dimension row here is one id and one key of at most 200 characters, so this
-# many rows stay well under 100 MB in an executor.
-BROADCAST_ROWS = 200_000
+# What a dimension's keys and ids may measure to be sent to every executor.
+BROADCAST_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
 class DimRef:
     """A dimension and how a fact refers to it.
 
-    ``rows`` is the counted size of the dimension, where the caller knows it.
+    ``size`` is the measured size in bytes of its keys and ids; see ``measured``.
     """
 
     df: DataFrame
     fact_key: str
     dim_key: str
     id_name: str
-    rows: int | None = None
+    size: int | None = None
+
+
+def measured(ref: DimRef) -> DimRef:
+    """The reference with its size, from one aggregate over the (finished) dimension."""
+    width = F.octet_length(F.col(ref.dim_key).cast("string")) + 16
+    return replace(ref, size=ref.df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0])
 
 
 def lookup_dimensions(fact: DataFrame, dims: Sequence[DimRef]) -> DataFrame:
     """Add one id column per dimension; unmatched and NULL keys get NULL.
 
-    A dimension counted at no more than ``BROADCAST_ROWS`` is broadcast, and the
+    A dimension measured at no more than ``BROADCAST_BYTES`` is broadcast, and the
     fact is not shuffled at all.  Any other one is left to Spark: adaptive
     execution broadcasts it when its measured size allows, and otherwise joins
     by shuffle and splits the partitions that a hot key swells.  For that case a
@@ -42,7 +47,7 @@ def lookup_dimensions(fact: DataFrame, dims: Sequence[DimRef]) -> DataFrame:
         ref = d.df.select(
             F.col(d.dim_key).cast(fact.schema[d.fact_key].dataType).alias("_dim_key"),
             F.col(d.id_name))
-        if d.rows is not None and d.rows <= BROADCAST_ROWS:
+        if d.size is not None and d.size <= BROADCAST_BYTES:
             out = out.join(F.broadcast(ref), F.col(d.fact_key) == key, "left")
         else:
             spread = F.when(F.col(d.fact_key).isNull(), F.xxhash64(*out.columns)).otherwise(

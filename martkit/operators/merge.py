@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from martkit.operators.dedup import dedup_keep_first
+from martkit.session import materialize
 
 
 def reduce_updates(updates: DataFrame, key: str, order: Sequence[str],
@@ -25,25 +26,45 @@ def reduce_updates(updates: DataFrame, key: str, order: Sequence[str],
 
 
 def upsert(target: DataFrame, updates: DataFrame, key: str, order: Sequence[str],
-           defaults: Mapping[str, object] | None = None) -> DataFrame:
+           defaults: Mapping[str, object] | None = None, few: bool = False) -> DataFrame:
     """The target after the updates: new over old over default, column by column.
 
     Defaults apply to inserted keys only.  Both sides hold a key once when they
     meet, so the join cannot multiply rows or gather them at one key.
+
+    With ``few`` the folded updates are written first, so that Spark knows their
+    size and, if it is small, sends them to the target instead of shuffling it.
     """
-    joined, columns = _join_updates(target, updates, key, order)
+    columns = [c for c in target.columns if c != key]
+    shared = [c for c in columns if c in updates.columns]
+    new = reduce_updates(updates, key, order, shared).select(
+        F.col(key), *[F.col(c).alias(f"_new_{c}") for c in shared])
+    old = target.select(F.col(key), F.lit(True).alias("_held"), *[F.col(c).alias(f"_old_{c}") for c in columns])
+    joined = _join_few(old, new, key) if few else old.join(new, key, "full_outer")
+
     merged = []
     for c in columns:
-        dtype = target.schema[c].dataType
-        old = F.col(f"_old_{c}")
-        value = F.coalesce(F.col(f"_new_{c}").cast(dtype), old) if f"_new_{c}" in joined.columns else old
+        dtype, value = target.schema[c].dataType, F.col(f"_old_{c}")
+        if c in shared:
+            value = F.coalesce(F.col(f"_new_{c}").cast(dtype), value)
         if defaults and c in defaults:
             default = defaults[c] if isinstance(defaults[c], Column) else F.lit(defaults[c])
-            value = F.when(F.col("_old") | value.isNotNull(), value).otherwise(default.cast(dtype))
+            value = F.when(F.col("_held") | value.isNotNull(), value).otherwise(default.cast(dtype))
         merged.append(value.alias(c))
     return joined.select(key, *merged).select(*target.columns)
 
 
+def _join_few(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """Full outer join as a left join plus the keys the target lacks.
+
+    The second pass reads only the target's key column.
+    """
+    new = materialize(new, "updates")
+    known = old.select(key).join(new.select(key), key, "left_semi").distinct()
+    return old.join(new, key, "left").unionByName(
+        new.join(known, key, "left_anti"), allowMissingColumns=True)
+
+
 def upsert_stats(target: DataFrame, updates: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """processed, inserted, updated and the success share, as one row.
 
@@ -89,15 +110,3 @@ def new_rows(target: DataFrame, rows: DataFrame, key: str, order: Sequence[str]
     if order:
         rows = dedup_keep_first(rows, key, order)
     return split_updates(rows, target, key)[1].select(*rows.columns)
-
-
-def _join_updates(target, updates, key, order):
-    columns = [c for c in target.columns if c != key]
-    shared = [c for c in columns if c in updates.columns]
-    new = reduce_updates(updates, key, order, shared).select(
-        F.col(key), *[F.col(c).alias(f"_new_{c}") for c in shared])
-    old = target.select(F.col(key), F.lit(True).alias("_is_old"),
-                        *[F.col(c).alias(f"_old_{c}") for c in columns])
-    joined = old.join(new, key, "full_outer").withColumn(
-        "_old", F.coalesce("_is_old", F.lit(False)))
-    return joined, columns

@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from martkit.functions.availability import STATUS_RULES
 from martkit.functions.text import case_label, contains_ci
 from martkit.operators.clean import (
-    FILLED, TRIMMED, cast_problems, clean, enforce_schema, fill_nulls, quarantine, stamp)
+    FILLED, TRIMMED, clean, enforce_schema, fill_nulls, quarantine, stamp, storage_problems)
 from martkit.operators.dedup import dedup_keep_first
 from martkit.operators.keys import build_dimension
-from martkit.operators.lookup import DimRef, lookup_dimensions
+from martkit.operators.lookup import DimRef, lookup_dimensions, measured
 from martkit.operators.quality import quality_gate, quality_rejects, quality_report
 from martkit.operators.stats import load_verification
 from martkit.schemas import MART_RULES, MIN_QUALITY
@@ -82,16 +82,16 @@ def build_fact(deduplicated: DataFrame, categories: DimRef, product_types: DimRe
     return project_fact(lookup_dimensions(accepted, [categories, product_types, ratings]))
 
 
-def category_ref(dim: DataFrame, rows: int | None = None) -> DimRef:
-    return DimRef(dim, "category", "category", "category_id", rows)
+def category_ref(dim: DataFrame) -> DimRef:
+    return DimRef(dim, "category", "category", "category_id")
 
 
-def product_type_ref(dim: DataFrame, rows: int | None = None) -> DimRef:
-    return DimRef(dim, "product_type", "product_type", "product_type_id", rows)
+def product_type_ref(dim: DataFrame) -> DimRef:
+    return DimRef(dim, "product_type", "product_type", "product_type_id")
 
 
-def rating_ref(dim: DataFrame, rows: int | None = None) -> DimRef:
-    return DimRef(dim, "rating", "rating_value", "rating_id", rows)
+def rating_ref(dim: DataFrame) -> DimRef:
+    return DimRef(dim, "rating", "rating_value", "rating_id")
 
 
 def transform(raw: DataFrame, order: Sequence[str], ratings: DataFrame | None = None,
@@ -101,16 +101,15 @@ def transform(raw: DataFrame, order: Sequence[str], ratings: DataFrame | None =
     Deduplication comes before the gate: a poor first row hides a better later
     one.  The deduplicated rows are written once, because both dimensions, the
     fact and the rejects read them; the dimensions are written because their
-    counted size decides how the fact is joined to them.
+    measured size decides how the fact is joined to them.
     """
     spark = raw.sparkSession
     kept = materialize(first_clean_rows(raw, key, order), "deduplicated")
     categories = materialize(build_dimension(kept, "category", "category_id"), "categories")
     product_types = materialize(build_dimension(kept, "product_type", "product_type_id"), "product_types")
     ratings = default_ratings(spark) if ratings is None else ratings
-    fact = build_fact(kept, category_ref(categories, categories.count()),
-                      product_type_ref(product_types, product_types.count()),
-                      rating_ref(ratings, ratings.count()), minimum)
+    fact = build_fact(kept, measured(category_ref(categories)), measured(product_type_ref(product_types)),
+                      measured(rating_ref(ratings)), minimum)
     rejects = with_stock_flags(quality_rejects(kept, minimum=minimum))
     dims = {"dim_ratings": ratings, "dim_categories": categories, "dim_product_types": product_types}
     return Mart(kept, dims, fact, rejects)
@@ -155,14 +154,14 @@ def run_mart(raw: DataFrame, store: MartStore, order: Sequence[str], minimum: fl
                                        ("dim_product_types", "product_type", "product_type_id")):
             dim = stamp(build_dimension(kept, column, id_name), "created_at", at)
             dim = store.write(version, table, enforce_schema(dim, MART_RULES[table].schema))
-            refs[table] = DimRef(dim, column, column, id_name, dim.count())
+            refs[table] = measured(DimRef(dim, column, column, id_name))
         ratings = store.write(version, "dim_ratings", ratings)
-        refs["dim_ratings"] = rating_ref(ratings, ratings.count())
+        refs["dim_ratings"] = measured(rating_ref(ratings))
 
         rules = MART_RULES["fact_books"]
         fact = stamp(build_fact(kept, refs["dim_categories"], refs["dim_product_types"],
                                 refs["dim_ratings"], minimum), "processed_at", at)
-        good, refused = quarantine(fact, cast_problems(fact, rules))
+        good, refused = quarantine(fact, storage_problems(fact, rules))
         store.write(version, "fact_books", enforce_schema(good, rules.schema))
         store.write(version, "fact_rejects", refused)
         low = store.write(version, "quality_rejects", with_stock_flags(quality_rejects(kept, minimum=minimum)))

@@ -11,7 +11,7 @@ from martkit.operators import clean as C
 from martkit.operators.constraints import check_numeric, check_table, check_tables_present
 from martkit.operators.dedup import dedup_keep_first, dedup_stats, later_duplicates
 from martkit.operators.keys import build_dimension, surrogate_keys
-from martkit.operators.lookup import DimRef, fk_orphans, lookup_dimensions
+from martkit.operators.lookup import BROADCAST_BYTES, DimRef, fk_orphans, lookup_dimensions, measured
 from martkit.operators.merge import insert_if_absent, upsert, upsert_stats
 from martkit.operators.quality import completeness_grade, quality_rejects, quality_report, split_by_quality
 from martkit.operators.stats import delay_stats, kind_share, latest_values, load_verification, throughput, top_k
@@ -80,13 +80,17 @@ def test_surrogate_keys_edges(spark):
         surrogate_keys(df, "v", "id", 9)
 
 
-@pytest.mark.parametrize("known", [2, None])
-def test_lookup(spark, known):
+@pytest.mark.parametrize("size", ["measured", None, BROADCAST_BYTES + 1])
+def test_lookup(spark, size):
     items = spark.createDataFrame(
         [(1, " Travel "), (2, "Travel"), (3, ""), (4, "   "), (5, None), (6, "Art"), (7, None)], "i int, category string")
     items = C.trim_columns(items, ["category"])
     dim = spark.createDataFrame([(1, "Travel"), (2, "Art")], "category_id long, category string")
-    out = lookup_dimensions(items, [DimRef(dim, "category", "category", "category_id", known)])
+    ref = DimRef(dim, "category", "category", "category_id", None if size == "measured" else size)
+    if size == "measured":
+        ref = measured(ref)
+        assert ref.size == len("TravelArt") + 2 * 16
+    out = lookup_dimensions(items, [ref])
     assert [(r.i, r.category_id) for r in out.orderBy("i").collect()] == [
         (1, 1), (2, 1), (3, None), (4, None), (5, None), (6, 2), (7, None)]
 
@@ -149,6 +153,19 @@ def test_upsert_against_brute_force(spark):
     assert rows(upsert(t, u, "k", ["seq"]), "k") == sorted((k, *v) for k, v in want.items())
 
 
+def test_few_updates_give_the_same_table(spark):
+    target = spark.createDataFrame([(f"k{i}", i, None) for i in range(40)], "k string, a int, b string")
+    updates = spark.createDataFrame(
+        [("k3", None, "x", 1), ("k3", 7, None, 2), ("new", None, None, 3), ("new", 1, "y", 4), (None, 1, "z", 5)],
+        "k string, a int, b string, seq int")
+    defaults = {"b": "none"}
+    got = rows(upsert(target, updates, "k", ["seq"], defaults, few=True))
+    assert got == rows(upsert(target, updates, "k", ["seq"], defaults)) and len(got) == 41
+    assert ("k3", 7, "x") in got and ("new", 1, "y") in got
+    again = upsert(target, updates.limit(0), "k", ["seq"], defaults, few=True)
+    assert rows(again) == rows(target)
+
+
 def test_insert_defaults(spark):
     run = F.lit("2026-03-01 00:00:00").cast("timestamp_ntz")
     schema = "url string, scraped_at timestamp_ntz, available_quantity int, in_stock boolean"
@@ -205,7 +222,7 @@ def test_required_and_quarantine(spark):
     df = spark.createDataFrame([
         ("u", "t", 0.0), (None, "", 2.0), ("x" * 501, "t", 5.0)], "url string, title string, price double")
     assert [r[0] for r in df.select(C.required_fields(df)).collect()] == [["price"], ["title", "url"], []]
-    good, bad = C.quarantine(df, C.cast_problems(df, RAW_RULES))
+    good, bad = C.quarantine(df, C.storage_problems(df, RAW_RULES))
     assert good.count() == 1
     assert sorted(r.reject_reason for r in bad.collect()) == ["url: is null", "url: longer than 500"]
     assert C.enforce_schema(good, RAW_RULES.schema).columns == RAW_RULES.schema.names

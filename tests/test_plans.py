@@ -8,7 +8,7 @@ from martkit.operators.clean import clean
 from martkit.operators.dedup import dedup_keep_first, later_duplicates
 from martkit.operators.keys import build_dimension
 from martkit.operators.lookup import DimRef, lookup_dimensions
-from martkit.operators.merge import reduce_updates
+from martkit.operators.merge import reduce_updates, upsert
 from martkit.plans.items import pages_to_items
 from martkit.plans.mart import transform
 from martkit.session import materialize, scratch_root
@@ -121,3 +121,12 @@ def test_hot_key_of_an_unsized_lookup_is_split(spark):
     finally:
         for k in conf:
             spark.conf.unset(k)
+
+
+def test_few_updates_do_not_shuffle_the_target(spark):
+    target = materialize(spark.range(1000).select(F.col("id").alias("k"), F.lit("x").alias("v")), "target")
+    updates = spark.range(3).select(F.col("id").alias("k"), F.lit("y").alias("v"), F.col("id").alias("seq"))
+    text = plan(upsert(target, updates, "k", ["seq"], few=True))
+    assert "SortMergeJoin" not in text
+    left = text[:text.index("LeftAnti")]
+    assert "LeftOuter" in left and "Exchange hashpartitioning" not in left
