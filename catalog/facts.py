@@ -23,12 +23,13 @@ def distinct_dimension(spark, sf):
 
 
 @query("dimension_cardinality", f"""with {DEDUP}
-select count(distinct nullif(category, '')) as categories, count(distinct nullif(product_type, '')) as product_types
-from kept""")
+select 'category' as dimension, count(distinct nullif(category, '')) as members from kept
+union all select 'product_type', count(distinct nullif(product_type, '')) from kept""")
 def dimension_cardinality(spark, sf):
     kept = materialize(kept_items(spark, sf).select("category", "product_type"), "kept")
-    return row_count(distinct_values(kept, "category"), "categories").join(
-        row_count(distinct_values(kept, "product_type"), "product_types"))
+    sizes = [row_count(distinct_values(kept, c), "members").select(F.lit(c).alias("dimension"), "members")
+             for c in ("category", "product_type")]
+    return sizes[0].unionByName(sizes[1])
 
 
 @query("surrogate_keys", f"with {DIMS} select category_id, category from categories")

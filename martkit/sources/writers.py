@@ -65,6 +65,62 @@ def load_if_empty(df: DataFrame, spec: TableSpec) -> str:
     return LOADED
 
 
+def column_types(schema: T.StructType) -> str:
+    """Column types for a JDBC table that Spark creates, with lengths and precision.
+
+    Goes into the ``createTableColumnTypes`` option.
+    """
+    def one(f: T.StructField) -> str:
+        if "max_length" in f.metadata:
+            return f"{f.name} VARCHAR({f.metadata['max_length']})"
+        return f"{f.name} {f.dataType.simpleString().upper()}"
+    fields = [f for f in schema if "max_length" in f.metadata or isinstance(f.dataType, T.DecimalType)]
+    return ", ".join(map(one, fields))
+
+
+def init_tables(spark: SparkSession, specs: Mapping[str, TableSpec], rules: Mapping[str, TableRules] = MART_RULES,
+                drop_existing: bool = False) -> list[str]:
+    """Create the tables that are missing, or all of them anew; returns what was created."""
+    created = []
+    # What refers to others goes first when it is emptied.
+    for name in reversed(list(rules)):
+        spec = specs[name]
+        try:
+            read_table(spark, spec).schema  # noqa: B018
+            exists = True
+        except AnalysisException:
+            exists = False
+        if drop_existing or not exists:
+            overwrite(local_frame(spark, [], rules[name].schema), spec)
+            created.append(name)
+    load_if_empty(seed_ratings(spark), specs["dim_ratings"])
+    return created[::-1]
+
+
+def refresh_in_place(tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec],
+                     rules: Mapping[str, TableRules] = MART_RULES) -> dict[str, str]:
+    """Full refresh of tables that are emptied and filled again, such as JDBC tables.
+
+    The fact is emptied before its dimensions and filled after them; the ratings
+    are filled only when they are empty.  Give JDBC specs ``cascadeTruncate``
+    where foreign keys forbid a plain truncate.  Readers can see the gap: for
+    files, ``MartStore.full_refresh`` switches all tables at once.
+    """
+    order = [n for n in rules if n in tables]
+    kept = "dim_ratings"
+    for name in reversed(order):
+        if name != kept:
+            overwrite(tables[name].limit(0), specs[name])
+    status = {}
+    for name in order:
+        if name == kept:
+            status[name] = load_if_empty(tables[name], specs[name])
+        else:
+            append(tables[name], specs[name])
+            status[name] = LOADED
+    return status
+
+
 def export_json(df: DataFrame, path: str) -> None:
     """All rows as JSON Lines, NULL fields included."""
     micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"

@@ -14,7 +14,8 @@ from martkit.schemas import MART_RULES, RAW_ITEM, RATING_ROWS
 from martkit.session import local_frame, scratch_path
 from martkit.sources.readers import TableSpec, default_ratings, jdbc_spec, load_readback, read_or_default, read_table
 from martkit.sources.writers import (
-    MartStore, append, export_json, load_if_empty, overwrite, read_run_metrics, store_items)
+    MartStore, append, export_json, init_tables, load_if_empty, overwrite, read_run_metrics, refresh_in_place,
+    store_items)
 
 ORDER = ["scraped_at", "url"]
 
@@ -174,6 +175,29 @@ def test_jdbc_options_are_passed(spark):
                             "numPartitions": "8"}
 
 
+def test_column_types():
+    from martkit.schemas import DIM_RATINGS, FACT
+    from martkit.sources.writers import column_types
+
+    assert column_types(DIM_RATINGS) == "rating_name VARCHAR(10), rating_description VARCHAR(100)"
+    assert "price DECIMAL(10,2)" in column_types(FACT) and "description" not in column_types(FACT)
+
+
+def test_init_tables_in_a_catalog(spark, tmp_path):
+    specs = {t: TableSpec(f"probe_{t}", "table", options={"path": str(tmp_path / t)}) for t in MART_RULES}
+    assert init_tables(spark, specs) == list(MART_RULES)
+    assert init_tables(spark, specs) == []
+    assert [read_table(spark, TableSpec(s.path, "table")).count() for s in specs.values()] == [6, 0, 0, 0]
+    fact = local_frame(spark, [{"book_id": "b", "title": "t"}], MART_RULES["fact_books"].schema)
+    for _ in range(2):
+        assert refresh_in_place({"fact_books": fact}, specs) == {"fact_books": "loaded"}
+    assert read_table(spark, specs["fact_books"]).count() == 1
+    assert init_tables(spark, specs, drop_existing=True) == list(MART_RULES)
+    assert read_table(spark, specs["fact_books"]).count() == 0
+    for s in specs.values():
+        spark.sql(f"drop table {s.path}")
+
+
 def test_json_feed_keeps_null_fields(spark, raw):
     path = scratch_path(spark, "feed")
     export_json(raw.where("upc is null").select("url", "upc", "scraped_at"), path)
