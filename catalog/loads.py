@@ -182,9 +182,11 @@ def mart_report(spark, sf):
         F.greatest(F.col("low") - 10, F.lit(0)).alias("not_listed"))
 
 
-@query("stamped_rows", "select n_nationkey, n_name, n_regionkey, timestamp '2026-02-10 10:25:25' as created_at from nation")
+@query("stamped_rows", """select o_orderkey, o_orderstatus, timestamp '2026-02-10 10:25:25' as processed_at
+from orders""")
 def stamped(spark, sf):
-    return stamp(table(spark, sf, "nation"), "created_at", F.lit("2026-02-10 10:25:25").cast("timestamp_ntz"))
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    return stamp(orders, "processed_at", F.lit("2026-02-10 10:25:25").cast("timestamp_ntz"))
 
 
 # Per user the last purchase value, the last error value and the last kind of event.
