@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martkit.llm import decontaminate, mixture, quality_rules
+from martkit.llm import decontaminate, mixture, quality_rules, token_shards
 from martkit.llm.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,8 @@ def op4(spark, sf_dir):
 def op7(spark, sf_dir):
     return decontaminate.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
+
+
+@query("op1_token_shards")
+def op1(spark, sf_dir):
+    return token_shards.write_and_digest(table(spark, sf_dir, "documents"))
