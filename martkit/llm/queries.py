@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martkit.llm import decontaminate, mixture, quality_rules, token_shards
+from martkit.llm import decontaminate, jaccard, mixture, quality_rules, token_shards
 from martkit.llm.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,8 @@ def op7(spark, sf_dir):
 @query("op1_token_shards")
 def op1(spark, sf_dir):
     return token_shards.write_and_digest(table(spark, sf_dir, "documents"))
+
+
+@query("op3_chosen_path_join")
+def op3(spark, sf_dir):
+    return jaccard.jaccard_groups(table(spark, sf_dir, "documents"))
