@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martkit.llm import decontaminate, jaccard, mixture, quality_rules, token_shards
+from martkit.llm import decontaminate, jaccard, mixture, pivot_search, quality_rules, token_shards
 from martkit.llm.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,15 @@ def op1(spark, sf_dir):
 @query("op3_chosen_path_join")
 def op3(spark, sf_dir):
     return jaccard.jaccard_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op10_pivot_top5", """with usable as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v from embeddings
+  where vec_id is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)
+select query_id, cast(rank as integer) as rank, vec_id, score from (
+  select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score,
+    row_number() over (partition by q.vec_id order by list_inner_product(q.v, c.v) desc, c.vec_id) as rank
+  from usable q join usable c on c.vec_id <> q.vec_id where q.vec_id % 50 = 0) where rank <= 5""")
+def op10(spark, sf_dir):
+    return pivot_search.nearest(table(spark, sf_dir, "embeddings"))
