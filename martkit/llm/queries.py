@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martkit.llm import decontaminate, jaccard, mixture, pivot_search, quality_rules, token_shards
+from martkit.llm import decontaminate, jaccard, mixture, pivot_search, quality_rules, surrogates, token_shards, toxicity
 from martkit.llm.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +58,13 @@ select query_id, cast(rank as integer) as rank, vec_id, score from (
   from usable q join usable c on c.vec_id <> q.vec_id where q.vec_id % 50 = 0) where rank <= 5""")
 def op10(spark, sf_dir):
     return pivot_search.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query("op8_noisy_or_toxicity")
+def op8(spark, sf_dir):
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op5_pii_surrogates")
+def op5(spark, sf_dir):
+    return surrogates.surrogate_report(table(spark, sf_dir, "documents"))
