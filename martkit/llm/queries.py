@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martkit.llm import decontaminate, jaccard, mixture, pivot_search, quality_rules, surrogates, token_shards, toxicity
+from martkit.llm import decontaminate, jaccard, line_dedup, mixture, pivot_search, quality_rules, surrogates, token_shards, toxicity
 from martkit.llm.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,8 @@ def op8(spark, sf_dir):
 @query("op5_pii_surrogates")
 def op5(spark, sf_dir):
     return surrogates.surrogate_report(table(spark, sf_dir, "documents"))
+
+
+@query("op6_line_edit_join")
+def op6(spark, sf_dir):
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
