@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martkit.llm import decontaminate, jaccard, line_dedup, mixture, pivot_search, quality_rules, surrogates, token_shards, toxicity
+from martkit.llm import decontaminate, jaccard, line_dedup, mixture, pivot_search, quality_rules, suffix_dedup, surrogates, token_shards, toxicity
 from martkit.llm.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,8 @@ def op5(spark, sf_dir):
 @query("op6_line_edit_join")
 def op6(spark, sf_dir):
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
+@query("op2_induced_suffix_dedup")
+def op2(spark, sf_dir):
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
