@@ -27,8 +27,10 @@ from __future__ import annotations
 
 import bisect
 import posixpath
+import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,7 +46,11 @@ from martkit.session import scratch_path
 
 MAGIC = 0x3153444944524F57
 #: Encoded words that a task remembers at most; then it starts anew.
-MEMORY_WORDS = 400_000
+MEMORY_WORDS = 1_000_000
+#: Texts whose words are looked up together.
+TEXTS = 64
+#: Bytes of text that one shard aims at: large enough that most words of a shard are known ones.
+SHARD_BYTES = 64 << 20
 #: Bytes of ids read from a shard at once.
 BLOCK = 8 << 20
 
@@ -165,13 +171,17 @@ class ShardIndex:
         return first, np.where(known, self.counts[slot], 0).astype(np.int64)
 
 
+# A full stop or comma after anything but a plain letter, a digit or a space may be one piece with it.
+_MARKS = re.compile(r"[^0-9A-Za-zÀ-ÖØ-öø-ÿ \n][.,]")
+
+
 # --- encoding -------------------------------------------------------------------------
 
 class Encoder:
     """Texts to bytes of ids.
 
-    ``by_word`` is for tokenizers that never look across a space and drop white space: then
-    every distinct word is encoded once and remembered.
+    ``by_word`` is for tokenizers that never look across white space, drop it, drop letter case and
+    take words and marks apart: then every distinct word is encoded once and remembered.
     """
 
     def __init__(self, tokenizer: str, end_id: int, by_word: bool):
@@ -179,28 +189,41 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_str(tokenizer)
         self.width = 2 if max(self._tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-        self._kind = "<u2" if self.width == 2 else "<u4"
-        self._end = np.array([end_id], self._kind).tobytes()
+        self._code = "H" if self.width == 2 else "I"
+        self._end = array(self._code, [end_id]).tobytes()
         self._by_word, self._known = by_word, {}
 
     def _ids(self, values: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self._kind).tobytes()
+        return [array(self._code, e.ids).tobytes()
                 for e in self._tokenizer.encode_batch_fast(values, add_special_tokens=False)]
 
+    def _words(self, value: str) -> list[bytes]:
+        """Pieces that the tokenizer, which looks at white space anyway, encodes one by one."""
+        # A full stop or comma after a letter or digit is a piece of its own; after another mark it is not.
+        apart = not _MARKS.search(value)
+        raw = value.encode("utf-8")
+        # Letter case is dropped by the tokenizer too, but for the names of its special tokens.
+        raw = raw if b"<|" in raw else raw.lower()
+        raw = raw.replace(b"\n", b" ")
+        if apart:
+            raw = raw.replace(b", ", b" , ").replace(b". ", b" . ")
+        return raw.split(b" ")
+
     def __call__(self, values: list[str]) -> Iterator[bytes]:
         if not self._by_word:
             for v in values:
                 yield self._ids([v])[0] + self._end
             return
-        for v in values:
-            words = v.replace("\n", " ").split(" ")
-            new = list(set(words).difference(self._known))
-            if new:
-                if len(self._known) + len(new) > MEMORY_WORDS:
-                    self._known.clear()
-                    new = list(set(words))
-                self._known.update(zip(new, self._ids(new)))
-            yield b"".join([*map(self._known.__getitem__, words), self._end])
+        for at in range(0, len(values), TEXTS):
+            texts_words = [self._words(v) for v in values[at:at + TEXTS]]
+            new = set().union(*texts_words).difference(self._known)
+            if len(self._known) + len(new) > MEMORY_WORDS:
+                self._known.clear()
+                new = set().union(*texts_words)
+            new = list(new)
+            self._known.update(zip(new, self._ids([w.decode("utf-8") for w in new])))
+            for words in texts_words:
+                yield b"".join([*map(self._known.__getitem__, words), self._end])
 
 
 # --- writing --------------------------------------------------------------------------
@@ -250,14 +273,15 @@ def write_shards(docs: DataFrame, root: str, tokenizer: str, end_id: int, by_wor
     """Write ``docs`` in key order below ``root`` (shared by all executors) and return the manifest.
 
     ``tokenizer``: a tokenizer definition (the text of its JSON file, a few megabytes, sent to the
-    executors once).  Without ``shards`` their number follows from the size of the data:
-    adaptive execution merges small ranges.
+    executors once).  Without ``shards`` their number follows from the size of the texts.
     """
     spark = docs.sparkSession
     rows = texts(docs, key, text=text).select(F.col(f"`{key}`").cast("bigint").alias("doc_id"), "text")
+    if shards is None:
+        size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        shards = max(1, -(-size // SHARD_BYTES))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]
-    dealt = rows.repartitionByRange(shards, *order) if shards else rows.repartitionByRange(*order)
-    dealt = dealt.sortWithinPartitions(*order, "text")
+    dealt = rows.repartitionByRange(shards, *order).sortWithinPartitions(*order, "text")
     manifest = dealt.mapInArrow(_write(Shared(spark, tokenizer), f"{root}/data", end_id, by_word), MANIFEST)
     manifest.write.parquet(f"{root}/manifest")
     return read_manifest(spark, root)
