@@ -10,6 +10,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from catalog.scratch import with_scratch
+
 
 @dataclass(frozen=True)
 class Entry:
@@ -25,7 +27,7 @@ def query(name: str, sql: str | None = None):
     def add(fn):
         if name in REGISTRY:
             raise ValueError(f"{name} is registered twice")
-        REGISTRY[name] = Entry(fn, sql)
+        REGISTRY[name] = Entry(with_scratch(fn), sql)
         return fn
     return add
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F, types as T
 
-from martkit.operators.clean import enforce_schema, quarantine, stamp, storage_problems
+from martkit.operators.clean import enforce_schema, quarantine, stamp, storage_problems, validate_items
 from martkit.operators.merge import upsert
 from martkit.operators.stats import load_verification
 from martkit.plans.mart import run_mart, transform
@@ -14,7 +14,7 @@ from martkit.sources.writers import (
     MartStore, append, export_json, init_tables, load_if_empty, overwrite, read_run_metrics, refresh_in_place,
     store_items)
 from martkit.streaming.ingest import ChangeLog, read_stream, stream_ingest
-from martkit.schemas import MART_RULES
+from martkit.schemas import MART_RULES, TableRules, col, text
 from catalog import query, table
 from catalog.feed import DEDUP, FACT, MINIMUM, ORDER, raw_items
 from catalog.merges import DEFAULTS, FOLDED, ORDER as UPDATE_ORDER, supplier_updates
@@ -24,8 +24,9 @@ from catalog.merges import DEFAULTS, FOLDED, ORDER as UPDATE_ORDER, supplier_upd
 def sink_roundtrip(spark, sf):
     orders = table(spark, sf, "orders")
     spec = TableSpec(scratch_path(spark, "orders"), schema=orders.schema)
-    append(orders.where("o_orderstatus = 'F'"), spec)
-    append(orders.where("o_orderstatus <> 'F'"), spec)
+    done = F.col("o_orderstatus").eqNullSafe("F")
+    append(orders.where(done), spec)
+    append(orders.where(~done), spec)
     return read_table(spark, spec)
 
 
@@ -209,6 +210,13 @@ def _base(spark, sf):
         F.col("c_acctbal").alias("error"), F.col("c_mktsegment").alias("kind"))
 
 
+def _kinds(batch):
+    kind = F.col("event_type")
+    return batch.select(
+        "user_id", F.when(kind == "purchase", F.col("value")).alias("purchase"),
+        F.when(kind == "error", F.col("value")).alias("error"), kind.alias("kind"), "ts", "event_id")
+
+
 def _streamed(spark, sf):
     """The events table split into files and streamed a few at a time."""
     events = table(spark, sf, "events")
@@ -216,14 +224,8 @@ def _streamed(spark, sf):
     events.repartitionByRange(6, "event_id").write.parquet(folder)
     log = ChangeLog(spark, scratch_path(spark, "changes"), _ITEM, "user_id", ["ts", "event_id"], by_arrival=False)
 
-    def validate(batch):
-        kind = F.col("event_type")
-        return batch.select(
-            "user_id", F.when(kind == "purchase", F.col("value")).alias("purchase"),
-            F.when(kind == "error", F.col("value")).alias("error"), kind.alias("kind"), "ts", "event_id")
-
     source = read_stream(spark, folder, events.schema, maxFilesPerTrigger="2")
-    stream_ingest(source, log, validate).awaitTermination()
+    stream_ingest(source, log, _kinds, scratch_path(spark, "stream")).awaitTermination()
     return log
 
 
@@ -241,6 +243,76 @@ def stream_stats(spark, sf):
     return _streamed(spark, sf).stats(_base(spark, sf))
 
 
+@query("stream_two_runs", f"""with {_STREAMED}
+select user_id, coalesce(f.purchase, b.purchase) as purchase, coalesce(f.error, b.error) as error,
+  coalesce(f.kind, b.kind) as kind from base b full outer join folded f using (user_id)""")
+def two_runs(spark, sf):
+    """Files that arrive between two runs of a stream; then the log is compacted."""
+    events = table(spark, sf, "events")
+    folder, checkpoint = scratch_path(spark, "arrivals"), scratch_path(spark, "stream")
+    log = ChangeLog(spark, scratch_path(spark, "changes"), _ITEM, "user_id", ["ts", "event_id"], by_arrival=False)
+    even = F.pmod("event_id", F.lit(2)).eqNullSafe(0)
+    for arrived in (events.where(even), events.where(~even)):
+        arrived.write.mode("append").parquet(folder)
+        source = read_stream(spark, folder, events.schema, maxFilesPerTrigger="1")
+        stream_ingest(source, log, _kinds, checkpoint).awaitTermination()
+    log.compact()
+    return log.current(_base(spark, sf))
+
+
+_EVENT_ITEM = T.StructType([
+    T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
+    T.StructField("value", T.DoubleType()), T.StructField("event_id", T.LongType())])
+
+
+@query("stream_rejects", """select event_id, event_type, 'event_type: longer than 5' as reject_reason from events
+where length(event_type) > 5""")
+def stream_rejects(spark, sf):
+    """Rows that the table refuses, while the others are stored and the run goes on."""
+    events = table(spark, sf, "events")
+    folder, rules = scratch_path(spark, "arrivals"), TableRules(T.StructType([
+        col("event_id", T.LongType(), nullable=False), text("event_type", 5)]))
+    events.repartitionByRange(4, "event_id").write.parquet(folder)
+    log = ChangeLog(spark, scratch_path(spark, "changes"), _EVENT_ITEM, "user_id", ["event_id"])
+    source = read_stream(spark, folder, events.schema, maxFilesPerTrigger="1")
+    stream_ingest(source, log, lambda df: df, scratch_path(spark, "stream"), rules).awaitTermination()
+    return log.rejects(rules).select(F.col("event_id").cast("bigint"), "event_type", "reject_reason")
+
+
+@query("stream_counters", """select count(*) as total_processed, count(*) as cleaned_ints,
+  count(*) filter (where event_type is null or event_type = '') as validation_errors from events""")
+def stream_counters(spark, sf):
+    """Validation counters of all batches of a run."""
+    events = table(spark, sf, "events").select(
+        F.col("event_type").alias("title"), F.lit("1").alias("price"), F.lit("u").alias("url"),
+        F.col("event_id").cast("string").alias("rating"))
+    folder = scratch_path(spark, "arrivals")
+    events.write.parquet(folder)
+    schema = T.StructType([T.StructField("url", T.StringType()), T.StructField("rating", T.LongType())])
+    log = ChangeLog(spark, scratch_path(spark, "changes"), schema, "url", ["rating"])
+    source = read_stream(spark, folder, events.schema)
+    at = F.lit("2026-03-01 00:00:00").cast("timestamp_ntz")
+    stream_ingest(source, log, lambda df: validate_items(df, at), scratch_path(spark, "stream")).awaitTermination()
+    return log.counters().select("total_processed", "cleaned_ints", "validation_errors")
+
+
+@query("init_mart", """select 'supplier' as table_name, count(*) as before, count(*) as after from supplier
+union all select 'part', 0, 0""")
+def init_mart(spark, sf):
+    """Creating tables leaves a filled one alone."""
+    rules = {n: TableRules(table(spark, sf, n).schema) for n in ("part", "supplier")}
+    specs = {n: TableSpec(scratch_path(spark, n), schema=r.schema) for n, r in rules.items()}
+    specs["dim_ratings"] = TableSpec(scratch_path(spark, "ratings"))
+    append(table(spark, sf, "supplier"), specs["supplier"])
+    before = read_table(spark, specs["supplier"]).agg(F.count("*").alias("before"))
+    init_tables(spark, specs, rules)
+    counts = [read_table(spark, specs[n]).agg(F.count("*").alias("after")).withColumn("table_name", F.lit(n))
+              for n in ("supplier", "part")]
+    held = before.withColumn("table_name", F.lit("supplier"))
+    return counts[0].unionByName(counts[1]).join(held, "table_name", "left").select(
+        "table_name", F.coalesce("before", F.lit(0)).cast("bigint").alias("before"), "after")
+
+
 @query("batch_equals_stream", f"""with {_STREAMED}
 select user_id, coalesce(f.purchase, b.purchase) as purchase, coalesce(f.error, b.error) as error,
   coalesce(f.kind, b.kind) as kind from base b full outer join folded f using (user_id)""")

@@ -17,14 +17,14 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 select cast(sum(n) as bigint) as request_count, round(sum(total), 2) as total_delay,
   round(sum(total) / sum(n), 6) as avg_delay, min(latest) as min_delay, max(latest) as max_delay from per_key""")
 def delays(spark, sf):
-    return delay_stats(table(spark, sf, "events"), "user_id", "value", "ts").withColumns({
+    return delay_stats(table(spark, sf, "events"), "user_id", "value", ["ts", "event_id"]).withColumns({
         "total_delay": F.round("total_delay", 2), "avg_delay": F.round("avg_delay", 6)})
 
 
 @query("top5_latest", """select user_id, arg_max(value, ts) as value from events group by user_id
 order by value desc, user_id limit 5""")
 def top5_latest(spark, sf):
-    return top_k(latest_values(table(spark, sf, "events"), "user_id", "value", "ts"), "value", 5, ["user_id"])
+    return top_k(latest_values(table(spark, sf, "events"), "user_id", "value", ["ts", "event_id"]), "value", 5, ["user_id"])
 
 
 @query("page_delay_stats", """with log as (

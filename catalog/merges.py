@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from martkit.operators.merge import insert_if_absent, reduce_updates, split_updates, upsert, upsert_stats
+from martkit.operators.merge import insert_if_absent, reduce_updates, split_storable, split_updates, upsert, upsert_stats
 from catalog import query, table
 
 ORDER = ["o_orderdate", "o_orderkey"]
@@ -59,6 +59,26 @@ def upsert_few(spark, sf):
     return upsert(table(spark, sf, "supplier"), supplier_updates(spark, sf), "s_suppkey", ORDER, DEFAULTS, few=True)
 
 
+@query("upsert_quarantine", """with updates as (select c_custkey, c_name, case when c_custkey % 3 = 0 then c_name
+  when c_custkey % 3 = 1 then '99999999999' else cast(c_nationkey as varchar) end as s_nationkey from customer),
+good as (select * from updates where c_custkey % 3 = 2)
+select coalesce(s.s_suppkey, g.c_custkey) as key, coalesce(cast(g.s_nationkey as int), s.s_nationkey) as nation,
+  'stored' as outcome from supplier s full outer join good g on s.s_suppkey = g.c_custkey
+union all select c_custkey, null, 's_nationkey: not a int' from updates where c_custkey % 3 <> 2""")
+def upsert_quarantine(spark, sf):
+    """Updates that the target's types cannot hold are kept apart; the others are merged."""
+    suppliers = table(spark, sf, "supplier")
+    kind = F.col("c_custkey") % 3
+    updates = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("s_suppkey"), F.when(kind == 0, F.col("c_name")).when(kind == 1, "99999999999").otherwise(
+            F.col("c_nationkey").cast("string")).alias("s_nationkey"))
+    good, refused = split_storable(updates, suppliers)
+    merged = upsert(suppliers, good, "s_suppkey", ["s_suppkey"])
+    return merged.select(F.col("s_suppkey").alias("key"), F.col("s_nationkey").alias("nation"), F.lit("stored").alias(
+        "outcome")).unionByName(refused.select(
+            F.col("s_suppkey").alias("key"), F.lit(None).cast("int").alias("nation"), F.col("reject_reason").alias("outcome")))
+
+
 @query("upsert_stats", f"""with {FOLDED}, m as (
   select n, s_suppkey in (select s_suppkey from supplier) as known from folded)
 select cast(sum(n) as bigint) as processed, count(*) filter (where not known) as inserted,

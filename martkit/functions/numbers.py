@@ -32,11 +32,14 @@ def parse_count(c: Column | str) -> Column:
 
     Surrounding white space, a sign and single underscores between digits are
     allowed.  The result is a bigint, so a value too wide for an ``int`` column
-    is still visible to the schema check of the sink.
+    is still visible to the schema check of the sink; one too wide even for a
+    bigint becomes the outermost bigint of its sign, which no ``int`` column holds.
     """
     c = _c(c)
     digits = F.regexp_replace(strip_ws(c), r"(?<=[0-9])_(?=[0-9])", "")
-    whole = let(digits, lambda v: F.when(v.rlike(r"^[+-]?[0-9]+$"), v.try_cast("bigint")))
+    widest = F.lit(2**63 - 1)
+    whole = let(digits, lambda v: F.when(v.rlike(r"^[+-]?[0-9]+$"), F.coalesce(
+        v.try_cast("bigint"), F.when(v.startswith("-"), -widest).otherwise(widest))))
     return F.when(c.isNotNull(), F.coalesce(whole, F.lit(0).cast("bigint")))
 
 
@@ -47,26 +50,29 @@ def to_int_or_zero(df: DataFrame, name: str) -> Column:
     return F.col(name).try_cast("bigint")
 
 
-_ISO = (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
-        r"([T ][0-9]{2}(:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?)?(Z|[+-][0-9]{2}:?[0-9]{2})?)?$")
+_ISO = (r"^([0-9]{4})(-?)([0-9]{2})\2([0-9]{2})"
+        r"(?:[Tt ]([0-9]{2})(?:(:?)([0-9]{2})(?:\6([0-9]{2})(?:[.,]([0-9]+))?)?)?(?:[Zz]|([+-])([0-9]{2}):?([0-9]{2})?)?)?$")
 
 
 def parse_iso_ts(c: Column | str, fallback: Column) -> Column:
     """ISO-8601 text to a UTC wall-clock ``timestamp_ntz``; bad text to ``fallback``.
 
-    A zone suffix is applied by arithmetic, so the result does not depend on the
-    session time zone.  NULL stays NULL.  Pass a literal as ``fallback``: one
-    value per run keeps re-executed tasks in agreement.
+    The extended and the basic form, any number of decimals after a point or a comma (cut to
+    six).  A zone suffix is applied by arithmetic, so the result does not depend on the session
+    time zone.  NULL stays NULL.  Pass a literal as ``fallback``: one value per run keeps
+    re-executed tasks in agreement.  Week dates are not read.
     """
     c = _c(c)
-    zone = r"^.*[T ][0-9:.]+([+-])([0-9]{2}):?([0-9]{2})$"
-    part = lambda i: F.nullif(F.regexp_extract(c, zone, i), F.lit(""))
-    minutes = part(2).cast("int") * 60 + part(3).cast("int")
-    signed = F.when(part(1) == "-", -minutes).otherwise(minutes)
-    wall = F.regexp_replace(c, r"([T ][0-9:.]+)(Z|[+-][0-9]{2}:?[0-9]{2})$", "$1")
-    naive = F.when(c.rlike(_ISO), wall.try_cast("timestamp_ntz"))
-    shifted = naive - F.make_dt_interval(mins=F.coalesce(signed, F.lit(0)))
-    return F.when(c.isNotNull(), F.coalesce(shifted, fallback))
+
+    def part(i: int, default: str) -> Column:
+        return F.coalesce(F.nullif(F.regexp_extract(c, _ISO, i), F.lit("")), F.lit(default))
+    text = F.concat(part(1, ""), F.lit("-"), part(3, ""), F.lit("-"), part(4, ""), F.lit("T"), part(5, "00"), F.lit(":"),
+                    part(7, "00"), F.lit(":"), part(8, "00"), F.lit("."), F.rpad(F.substring(part(9, "0"), 1, 6), 6, "0"))
+    minutes = part(11, "0").cast("int") * 60 + part(12, "0").cast("int")
+    signed = F.when(part(10, "+") == "-", -minutes).otherwise(minutes)
+    return (F.when(c.isNull(), F.lit(None).cast("timestamp_ntz"))
+            .when(~c.rlike(_ISO), fallback)
+            .otherwise(F.coalesce(text.try_cast("timestamp_ntz") - F.make_dt_interval(mins=signed), fallback)))
 
 
 def in_range(c: Column | str, low: float, high: float) -> Column:

@@ -34,10 +34,6 @@ def non_blank(df: DataFrame, name: str) -> DataFrame:
     return df.where(F.col(name).isNotNull() & (F.col(name) != ""))
 
 
-def drop_columns(df: DataFrame, *names: str) -> DataFrame:
-    return df.drop(*names)
-
-
 def stamp(df: DataFrame, name: str, at: Column | None = None) -> DataFrame:
     """Add a timestamp; pass a literal so that every table of a run carries the same one."""
     return df.withColumn(name, F.current_timestamp() if at is None else at)

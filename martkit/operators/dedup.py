@@ -38,12 +38,17 @@ def first_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
 def later_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Every row that is not the first of its key.
 
-    The winners are joined on key and order together.  These pairs are unique, so
-    the shuffle is even however many rows share one key.
+    The winners are joined on key and order together, so the shuffle is even however many
+    rows share one key.  Of rows that tie for the first place one stays: among the tied
+    rows alone, which are few unless a table repeats itself, one is left out by number.
     """
     winners = first_keys(df, keys, order)
     on = [df[c].eqNullSafe(winners[c]) for c in [*keys, *order]]
-    return df.join(winners, on, "left_anti")
+    tied = df.join(winners, on, "left_semi")
+    # A hash of the whole row makes the choice the same when a task runs again.
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(*df.columns)))
+    return df.join(winners, on, "left_anti").unionByName(
+        tied.withColumn("_rn", rank).where("_rn > 1").drop("_rn"))
 
 
 def dedup_stats(df: DataFrame, key: str) -> DataFrame:

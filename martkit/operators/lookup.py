@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # What a dimension's keys and ids may measure to be sent to every executor.
 BROADCAST_BYTES = 64 << 20
@@ -31,6 +31,15 @@ def measured(ref: DimRef) -> DimRef:
     return replace(ref, size=ref.df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0])
 
 
+def _comparable(key: Column, have: T.DataType, other: T.DataType) -> Column:
+    """A key in a form that both sides can be compared in without losing a value.
+
+    Numbers widen by themselves; anything else of different types is compared as text.
+    """
+    same = have == other or (isinstance(have, T.NumericType) and isinstance(other, T.NumericType))
+    return key if same else key.cast("string")
+
+
 def lookup_dimensions(fact: DataFrame, dims: Sequence[DimRef]) -> DataFrame:
     """Add one id column per dimension; unmatched and NULL keys get NULL.
 
@@ -44,22 +53,31 @@ def lookup_dimensions(fact: DataFrame, dims: Sequence[DimRef]) -> DataFrame:
     out = fact
     for d in dims:
         key = F.col("_dim_key")
-        ref = d.df.select(
-            F.col(d.dim_key).cast(fact.schema[d.fact_key].dataType).alias("_dim_key"),
-            F.col(d.id_name))
+        have, want = fact.schema[d.fact_key].dataType, d.df.schema[d.dim_key].dataType
+        own = _comparable(F.col(d.fact_key), have, want)
+        ref = d.df.select(_comparable(F.col(d.dim_key), want, have).alias("_dim_key"), F.col(d.id_name))
         if d.size is not None and d.size <= BROADCAST_BYTES:
-            out = out.join(F.broadcast(ref), F.col(d.fact_key) == key, "left")
+            out = out.join(F.broadcast(ref), own == key, "left")
         else:
+            # Hashes of equal keys are equal in one type only, so both sides are hashed as text.
             spread = F.when(F.col(d.fact_key).isNull(), F.xxhash64(*out.columns)).otherwise(
-                F.xxhash64(d.fact_key))
+                F.xxhash64(_hashable(F.col(d.fact_key), have, want)))
             out = out.withColumn("_spread", spread).join(
-                ref.withColumn("_dim_spread", F.xxhash64(key)),
-                (F.col(d.fact_key) == key) & (F.col("_spread") == F.col("_dim_spread")),
+                ref.withColumn("_dim_spread", F.xxhash64(_hashable(key, have, want))),
+                (own == key) & (F.col("_spread") == F.col("_dim_spread")),
                 "left").drop("_spread", "_dim_spread")
         out = out.drop("_dim_key")
     return out
 
 
+def _hashable(key: Column, have: T.DataType, other: T.DataType) -> Column:
+    """A key in one type for both sides: whole numbers as decimals, other numbers as doubles."""
+    if have == other or not (isinstance(have, T.NumericType) and isinstance(other, T.NumericType)):
+        return key if have == other else key.cast("string")
+    whole = all(isinstance(t, T.IntegralType) for t in (have, other))
+    return key.cast("decimal(38,0)" if whole else "double")
+
+
 def fk_orphans(fact: DataFrame, dim: DataFrame, fk: str, pk: str) -> DataFrame:
     """Foreign keys without a partner, with the number of fact rows that hold each.
 

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from martkit.operators.clean import loses_value, quarantine
 from martkit.operators.dedup import dedup_keep_first
 from martkit.session import materialize
 
@@ -32,9 +33,15 @@ def upsert(target: DataFrame, updates: DataFrame, key: str, order: Sequence[str]
     Defaults apply to inserted keys only.  Both sides hold a key once when they
     meet, so the join cannot multiply rows or gather them at one key.
 
+    A value that the target's type cannot hold counts as not sent; ``split_storable`` keeps such
+    rows apart beforehand.  Columns that the target lacks, other than those of ``order``, are an error.
+
     With ``few`` the folded updates are written first, so that Spark knows their
     size and, if it is small, sends them to the target instead of shuffling it.
     """
+    unknown = [c for c in updates.columns if c not in target.columns and c not in order]
+    if unknown:
+        raise ValueError(f"the target has no columns {unknown}")
     columns = [c for c in target.columns if c != key]
     shared = [c for c in columns if c in updates.columns]
     new = reduce_updates(updates, key, order, shared).select(
@@ -46,7 +53,7 @@ def upsert(target: DataFrame, updates: DataFrame, key: str, order: Sequence[str]
     for c in columns:
         dtype, value = target.schema[c].dataType, F.col(f"_old_{c}")
         if c in shared:
-            value = F.coalesce(F.col(f"_new_{c}").cast(dtype), value)
+            value = F.coalesce(F.col(f"_new_{c}").try_cast(dtype), value)
         if defaults and c in defaults:
             default = defaults[c] if isinstance(defaults[c], Column) else F.lit(defaults[c])
             value = F.when(F.col("_held") | value.isNotNull(), value).otherwise(default.cast(dtype))
@@ -65,6 +72,14 @@ def _join_few(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
         new.join(known, key, "left_anti"), allowMissingColumns=True)
 
 
+def split_storable(updates: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Updates whose values the target's types hold, and the others with their reasons."""
+    checks = [F.when(loses_value(F.col(f.name), updates.schema[f.name].dataType, f.dataType),
+                     f"{f.name}: not a {f.dataType.simpleString()}")
+              for f in target.schema if f.name in updates.columns and updates.schema[f.name].dataType != f.dataType]
+    return quarantine(updates, checks)
+
+
 def upsert_stats(target: DataFrame, updates: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """processed, inserted, updated and the success share, as one row.
 

@@ -28,10 +28,16 @@ def validation_stats(validated: DataFrame) -> DataFrame:
         F.try_divide(good, F.col("total_processed")) * 100, F.lit(0.0)))
 
 
-def delay_stats(log: DataFrame, key: str, value: str, order: str) -> DataFrame:
+def _latest(value: str, order: str | Sequence[str]) -> Column:
+    """The value of the last row; rows equal in ``order`` are told apart by the value itself."""
+    columns = [order] if isinstance(order, str) else list(order)
+    return F.max_by(value, F.struct(*columns, value))
+
+
+def delay_stats(log: DataFrame, key: str, value: str, order: str | Sequence[str]) -> DataFrame:
     """Count, total and average over all requests; min and max of the latest value per key."""
     per_key = log.groupBy(key).agg(
-        F.count(value).alias("n"), F.sum(value).alias("total"), F.max_by(value, order).alias("latest"))
+        F.count(value).alias("n"), F.sum(value).alias("total"), _latest(value, order).alias("latest"))
     return per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("request_count"),
         F.sum("total").alias("total_delay"),
@@ -39,9 +45,9 @@ def delay_stats(log: DataFrame, key: str, value: str, order: str) -> DataFrame:
         F.min("latest").alias("min_delay"), F.max("latest").alias("max_delay"))
 
 
-def latest_values(log: DataFrame, key: str, value: str, order: str) -> DataFrame:
+def latest_values(log: DataFrame, key: str, value: str, order: str | Sequence[str]) -> DataFrame:
     """The value of the latest row per key, by a partial and a final aggregate."""
-    return log.groupBy(key).agg(F.max_by(value, order).alias(value))
+    return log.groupBy(key).agg(_latest(value, order).alias(value))
 
 
 def top_k(df: DataFrame, value: str, k: int = 5, tie: Sequence[str] = ()) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -20,18 +19,23 @@ RECOMMENDED = {
 }
 
 
-def sized_for(shuffle_bytes: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
-    """Settings for a job that shuffles this much: partitions that fit a task's memory.
+#: Sizes of partitions and splits, and the size that a block of a shuffle should keep above.
+SMALLEST, LARGEST, BLOCK = 128 << 20, 4 << 30, 128 << 10
 
-    Adaptive execution merges partitions that turn out small but cannot split
-    ordinary ones, so the number starts from the largest shuffle expected.  Scans
-    of very large inputs take bigger splits, to keep the number of tasks in bounds.
+
+def sized_for(shuffle_bytes: int) -> dict[str, str]:
+    """Settings for a job that shuffles this much.
+
+    With splits and partitions of one size p, n bytes make (n / p) squared blocks of p * p / n
+    bytes.  So p grows as the root of the data, from 128 MiB to 4 GiB, which a task sorts with
+    spilling: blocks stay above 100 KiB up to 100 TB and more.  At that size a push-based or
+    remote shuffle service, which merges the blocks of a partition, is expected all the same.
+    Adaptive execution merges partitions that turn out small.
     """
-    partitions = max(200, -(-shuffle_bytes // partition_bytes))
-    split = 512 << 20 if shuffle_bytes > 10 << 40 else 128 << 20
-    return {"spark.sql.shuffle.partitions": str(partitions),
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
-            "spark.sql.files.maxPartitionBytes": str(split)}
+    size = min(LARGEST, max(SMALLEST, int((shuffle_bytes * BLOCK) ** 0.5)))
+    return {"spark.sql.shuffle.partitions": str(max(200, -(-shuffle_bytes // size))),
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(size),
+            "spark.sql.files.maxPartitionBytes": str(size)}
 
 
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
@@ -43,18 +47,24 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     return builder.getOrCreate()
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+_CHOSEN: dict[str, str] = {}
 
-    Only a local session, whose one machine is the whole cluster, falls back to
-    a temporary folder when the setting is absent.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="martkit-")
+
+def use_scratch(spark: SparkSession, path: str) -> None:
+    """A shared folder for a session that was started without ``spark.checkpoint.dir``."""
+    _CHOSEN[spark.sparkContext.applicationId] = path
+
+
+def scratch_is_set(spark: SparkSession) -> bool:
+    return bool(spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.applicationId in _CHOSEN)
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``, else what ``use_scratch`` set."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or _CHOSEN.get(spark.sparkContext.applicationId)
+    if not root:
+        raise ValueError("set spark.checkpoint.dir, or call use_scratch, with a folder every executor can reach")
+    return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

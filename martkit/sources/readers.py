@@ -48,6 +48,15 @@ def read_table(spark: SparkSession, spec: TableSpec) -> DataFrame:
     return reader.load(spec.path) if spec.path else reader.load()
 
 
+# The error conditions of Spark that mean "there is no such table".
+ABSENT = {"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
+
+
+def is_absent(error: AnalysisException) -> bool:
+    """Whether an error says that a table does not exist, as opposed to any other trouble."""
+    return (error.getCondition() or "").split(".")[0] in ABSENT
+
+
 def read_or_default(spark: SparkSession, spec: TableSpec, default: DataFrame) -> DataFrame:
     """The table, or ``default`` where it does not exist or has no rows.
 
@@ -55,7 +64,9 @@ def read_or_default(spark: SparkSession, spec: TableSpec, default: DataFrame) ->
     """
     try:
         df = read_table(spark, spec)
-    except AnalysisException:
+    except AnalysisException as e:
+        if not is_absent(e):
+            raise
         return default
     return default if df.isEmpty() else df
 
@@ -80,6 +91,11 @@ def load_readback(spark: SparkSession, specs: Mapping[str, TableSpec]) -> dict[s
     return out
 
 
-def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """A page corpus as (page_id, url, html)."""
-    return spark.read.format(fmt).load(path).select("page_id", "url", "html")
+def read_pages(spark: SparkSession, path: str, fmt: str = "parquet", tasks: int | None = None) -> DataFrame:
+    """A page corpus as (page_id, url, html).
+
+    A file of one row group is one task, however long its pages take to read: ``tasks``
+    deals the pages out first.
+    """
+    pages = spark.read.format(fmt).load(path).select("page_id", "url", "html")
+    return pages.repartition(tasks) if tasks else pages

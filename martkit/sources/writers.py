@@ -20,7 +20,7 @@ from martkit.operators.clean import stamp
 from martkit.operators.merge import new_rows, upsert
 from martkit.schemas import MART_RULES, RUN_METRICS, TableRules
 from martkit.session import local_frame
-from martkit.sources.readers import TableSpec, default_ratings, read_table
+from martkit.sources.readers import TableSpec, default_ratings, is_absent, read_table
 
 _VERSIONS = T.StructType([
     T.StructField("version", T.StringType()), T.StructField("tables", T.ArrayType(T.StringType())),
@@ -56,7 +56,9 @@ def load_if_empty(df: DataFrame, spec: TableSpec) -> str:
     """Write only into a table without rows; says what was done."""
     try:
         existing = read_table(df.sparkSession, spec)
-    except AnalysisException:
+    except AnalysisException as e:
+        if not is_absent(e):
+            raise
         append(df, spec)
         return LOADED_UNCHECKED
     if not existing.isEmpty():
@@ -80,7 +82,11 @@ def column_types(schema: T.StructType) -> str:
 
 def init_tables(spark: SparkSession, specs: Mapping[str, TableSpec], rules: Mapping[str, TableRules] = MART_RULES,
                 drop_existing: bool = False) -> list[str]:
-    """Create the tables that are missing, or all of them anew; returns what was created."""
+    """Create the tables that are missing, or all of them anew; returns what was created.
+
+    A table that is there is never written to unless ``drop_existing``: only an error that says
+    "no such table" counts as missing, and creating one fails if it has appeared meanwhile.
+    """
     created = []
     # What refers to others goes first when it is emptied.
     for name in reversed(list(rules)):
@@ -88,10 +94,12 @@ def init_tables(spark: SparkSession, specs: Mapping[str, TableSpec], rules: Mapp
         try:
             read_table(spark, spec).schema  # noqa: B018
             exists = True
-        except AnalysisException:
+        except AnalysisException as e:
+            if not is_absent(e):
+                raise
             exists = False
         if drop_existing or not exists:
-            overwrite(local_frame(spark, [], rules[name].schema), spec)
+            _write(local_frame(spark, [], rules[name].schema), spec, "overwrite" if exists else "errorifexists")
             created.append(name)
     load_if_empty(seed_ratings(spark), specs["dim_ratings"])
     return created[::-1]
@@ -167,7 +175,9 @@ class MartStore:
         """The version finished last."""
         try:
             done = self.spark.read.schema(_VERSIONS).json(f"{self.root}/_versions")
-        except AnalysisException:
+        except AnalysisException as e:
+            if not is_absent(e):
+                raise
             return None
         row = done.agg(F.max_by(F.struct("version", "tables"), F.struct("finished_at", "version")).alias("v")).first()
         return Version(row["v"]["version"], tuple(row["v"]["tables"])) if row["v"] else None

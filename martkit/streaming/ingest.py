@@ -1,23 +1,36 @@
 """A stream of items, validated and merged by key.
 
-Each micro-batch is validated and written to a change log of its own folder
-(``batch_id=N``, overwritten when the batch is replayed, so a replay changes
-nothing).  The current table is the base plus the log, folded by key; ``compact``
-writes that fold as a new base.  A batch therefore costs as much as its own rows,
-however large the table has grown.
+Each micro-batch is validated; rows the table would refuse go to a folder of rejects, the
+others to a change log, both in a folder of the batch's own (``batch_id=N``, overwritten
+when the batch is replayed, so a replay changes nothing).  The current table is the base
+plus the log, folded by key; a batch therefore costs as much as its own rows, however large
+the table has grown.  ``compact`` rewrites the older part of the log as the few rows that
+still matter.
+
+Batch numbers belong to a checkpoint, so a log takes batches under one checkpoint only.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from martkit.operators.clean import quarantine, storage_problems
 from martkit.operators.merge import upsert, upsert_stats
-from martkit.session import local_frame, scratch_path
+from martkit.operators.stats import validation_stats
+from martkit.schemas import TableRules
+from martkit.session import local_frame
+from martkit.sources.readers import is_absent
+
+_OWNER = T.StructType([T.StructField("checkpoint", T.StringType())])
+_COMPACTED = T.StructType([T.StructField("folder", T.StringType()), T.StructField("upto", T.LongType())])
+# The counters of a run.
+COUNTERS = ["total_processed", "cleaned_prices", "cleaned_ints", "fixed_dates", "validation_errors"]
 
 
 @dataclass(frozen=True)
@@ -35,31 +48,104 @@ class ChangeLog:
     order: Sequence[str]
     by_arrival: bool = True
 
-    def write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
-
-    def changes(self) -> DataFrame:
-        schema = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])
+    def _read(self, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+        """A table below the log; no rows where there is none yet.  Any other trouble is raised."""
         try:
-            return self.spark.read.schema(schema).parquet(self.path)
-        except AnalysisException:
+            return self.spark.read.schema(schema).format(fmt).load(path)
+        except AnalysisException as e:
+            if not is_absent(e):
+                raise
             return local_frame(self.spark, [], schema)
 
+    def bind(self, checkpoint: str) -> None:
+        """Claim the log for one checkpoint: another one would number its batches from 0 again."""
+        path = f"{self.path}/_stream"
+        owners = {r["checkpoint"] for r in self._read(path, _OWNER, "json").collect()}
+        if owners - {checkpoint}:
+            raise ValueError(f"the log {self.path} holds batches of the checkpoint {owners}; "
+                             "continue with that one, or start another log")
+        if not owners:
+            local_frame(self.spark, [{"checkpoint": checkpoint}], _OWNER).write.mode("append").json(path)
+
+    def write_batch(self, batch: DataFrame, batch_id: int, part: str = "changes") -> None:
+        batch.write.mode("overwrite").parquet(f"{self.path}/{part}/batch_id={batch_id}")
+
+    @property
+    def _numbered(self) -> T.StructType:
+        return T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])
+
+    def _compaction(self):
+        """The last finished compaction, or None."""
+        done = self._read(f"{self.path}/_compacted", _COMPACTED, "json")
+        return done.orderBy(F.desc("upto"), "folder").first()
+
+    def changes(self) -> DataFrame:
+        rows = self._read(f"{self.path}/changes", self._numbered)
+        done = self._compaction()
+        if done is None:
+            return rows
+        older = self.spark.read.schema(self._numbered).parquet(f"{self.path}/{done['folder']}")
+        return older.unionByName(rows.where(F.col("batch_id") > done["upto"]))
+
+    def rejects(self, rules: TableRules) -> DataFrame:
+        """Refused rows of all batches with their reasons, as text."""
+        fields = [T.StructField(f.name, T.StringType()) for f in rules.schema]
+        reason = [T.StructField("reject_reason", T.StringType()), T.StructField("batch_id", T.LongType())]
+        return self._read(f"{self.path}/rejects", T.StructType([*fields, *reason]))
+
+    def counters(self) -> DataFrame:
+        """The validation counters of all batches, added up."""
+        fields = [T.StructField(c, T.LongType()) for c in COUNTERS]
+        rows = self._read(f"{self.path}/counters", T.StructType([*fields, T.StructField("batch_id", T.LongType())]))
+        total = rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTERS])
+        good = F.col("total_processed") - F.col("validation_errors")
+        return total.withColumn("success_rate", F.coalesce(
+            F.try_divide(good, F.col("total_processed")) * 100, F.lit(0.0)))
+
     @property
     def full_order(self) -> list[str]:
         return [*(["batch_id"] if self.by_arrival else []), *self.order]
 
+    def _ordered(self) -> DataFrame:
+        rows = self.changes()
+        return rows if self.by_arrival else rows.drop("batch_id")
+
     def current(self, base: DataFrame, defaults: Mapping[str, object] | None = None) -> DataFrame:
         """The base table with all changes merged in."""
-        return upsert(base, self.changes(), self.key, self.full_order, defaults)
+        return upsert(base, self._ordered(), self.key, self.full_order, defaults)
 
     def stats(self, base: DataFrame) -> DataFrame:
-        return upsert_stats(base, self.changes(), self.key, self.full_order)
-
-    def compact(self, base: DataFrame, out_path: str, defaults: Mapping[str, object] | None = None) -> DataFrame:
-        """Write the current table to a new place; the caller then starts a new log on it."""
-        self.current(base, defaults).write.parquet(out_path)
-        return self.spark.read.schema(base.schema).parquet(out_path)
+        """Counts of the rows in the log; a compacted log has fewer of them than were sent."""
+        return upsert_stats(base, self._ordered(), self.key, self.full_order)
+
+    def compact(self) -> int | None:
+        """Keep, of all batches but the last, the rows that give a key the value of some column.
+
+        These rows keep their order values, so a change that arrives late and is older still
+        loses.  The result counts from the moment its one marker row is written; batches are
+        not deleted and may be expired by age.  Returns the last batch compacted.
+        """
+        rows = self.changes()
+        last = rows.agg(F.max("batch_id")).first()[0]
+        if last is None:
+            return None
+        old = rows.where(F.col("batch_id") < last)
+        upto = old.agg(F.max("batch_id")).first()[0]
+        if upto is None:
+            return None
+        place = F.struct(*self.full_order)
+        fields = [c for c in self.schema.names if c != self.key and c not in self.order]
+        # The last place at which each column was sent, and the last row of the key as such.
+        winners = old.groupBy(self.key).agg(F.max(place).alias("_last"), *[
+            F.max(F.when(F.col(c).isNotNull(), place)).alias(f"_at_{c}") for c in fields])
+        places = winners.select(F.col(self.key).alias("_key"), F.explode(F.array_distinct(F.array_compact(
+            F.array("_last", *[f"_at_{c}" for c in fields])))).alias("_place"))
+        held = old.join(places, F.col(self.key).eqNullSafe(F.col("_key")) & place.eqNullSafe(F.col("_place")), "left_semi")
+        folder = f"_old/{uuid.uuid4().hex}"
+        held.write.parquet(f"{self.path}/{folder}")
+        local_frame(self.spark, [{"folder": folder, "upto": upto}], _COMPACTED).write.mode("append").json(
+            f"{self.path}/_compacted")
+        return upto
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
@@ -68,18 +154,36 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return spark.readStream.schema(schema).format(fmt).options(**options).load(path)
 
 
-def stream_ingest(source: DataFrame, log: ChangeLog, validate: Callable[[DataFrame], DataFrame],
-                  checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
+def stream_ingest(source: DataFrame, log: ChangeLog, validate: Callable[[DataFrame], DataFrame], checkpoint: str,
+                  rules: TableRules | None = None, available_now: bool = True) -> StreamingQuery:
     """Start the ingest; with ``available_now`` it ends when the waiting files are done.
 
-    Pass a fixed ``checkpoint`` folder on shared storage to continue after a restart.
+    ``checkpoint`` is a folder on shared storage; starting again with it continues, and a log
+    refuses any other one.  With ``rules`` the rows that the table would refuse go to the
+    rejects, and the run goes on.  Where ``validate`` leaves its flags (``_validation``), the
+    batch's counters are kept.
     """
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        log.write_batch(validate(batch).select(*log.schema.fieldNames()), batch_id)
+    log.bind(checkpoint)
 
-    writer = (source.writeStream.foreachBatch(on_batch)
-              .option("checkpointLocation", checkpoint or scratch_path(log.spark, "stream")))
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        # Read up to three times; what is lost with an executor is computed again from the batch.
+        checked = validate(batch).persist()
+        try:
+            if "_validation" in checked.columns:
+                log.write_batch(validation_stats(checked).select(*COUNTERS), batch_id, "counters")
+            good = checked
+            if rules is not None:
+                good, refused = quarantine(checked, storage_problems(checked, rules))
+                names = [f.name for f in rules.schema if f.name in refused.columns]
+                log.write_batch(refused.select(*[F.col(n).cast("string").alias(n) for n in names], "reject_reason"),
+                                batch_id, "rejects")
+            # The changes come last: with them the batch is stored.
+            log.write_batch(good.select(*[
+                F.col(f.name).try_cast(f.dataType).alias(f.name) for f in log.schema]), batch_id)
+        finally:
+            checked.unpersist()
+
+    writer = source.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
-

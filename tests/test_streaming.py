@@ -1,10 +1,12 @@
 """A stream gives what one batch over all its files gives."""
 
+import pytest
 from pyspark.sql import functions as F, types as T
 
 from martkit.operators.clean import REQUIRED_FIELDS, required_fields, validate_items
 from martkit.operators.merge import upsert
 from martkit.operators.stats import validation_stats
+from martkit.schemas import TableRules
 from martkit.session import local_frame, scratch_path
 from martkit.streaming.ingest import ChangeLog, read_stream, stream_ingest
 
@@ -61,8 +63,44 @@ def test_stream_equals_batch_and_survives_replay(spark):
     stream_ingest(source, log, validate, checkpoint).awaitTermination()
     assert rows(log.current(base)) == want
 
-    compacted = log.compact(base, scratch_path(spark, "base"))
-    assert rows(compacted) == want and rows(log.current(compacted)) == want
+    # All batches but the last become the rows that still matter; later ones are merged as before.
+    assert log.compact() == 1
+    assert rows(log.current(base)) == want
+    late = [{"url": "a", "title": "late", "price": "9", "rating": "1", "scraped_at": "2026-02-10T09:00:00"}]
+    log.write_batch(validate(local_frame(spark, late, RAW)), 3)
+    assert log.compact() == 2 and rows(log.current(base)) == want
+    assert log.compact() == 2
+
+
+def test_two_runs_share_a_log_only_by_one_checkpoint(spark):
+    log = ChangeLog(spark, scratch_path(spark, "log"), TYPED, "url", ["scraped_at"])
+    base, folder, checkpoint = local_frame(spark, [], TYPED), scratch_path(spark, "in"), scratch_path(spark, "ck")
+    for f in FILES[:2]:
+        local_frame(spark, f, RAW).coalesce(1).write.mode("append").json(folder)
+        stream_ingest(read_stream(spark, folder, RAW, "json"), log, validate, checkpoint).awaitTermination()
+    assert {r.url for r in log.current(base).collect()} == {"a", "b"}
+    assert log.changes().count() == 3
+    other = read_stream(spark, folder, RAW, "json")
+    with pytest.raises(ValueError, match="another log"):
+        stream_ingest(other, log, validate, scratch_path(spark, "ck"))
+    assert log.changes().count() == 3
+
+
+def test_rejects_and_counters(spark):
+    rules = TableRules(T.StructType([
+        T.StructField("url", T.StringType()), T.StructField("title", T.StringType(), False),
+        T.StructField("rating", T.IntegerType())]))
+    log = ChangeLog(spark, scratch_path(spark, "log"), TYPED, "url", ["scraped_at"])
+    folder, checkpoint = scratch_path(spark, "in"), scratch_path(spark, "ck")
+    wide = [{"url": "w", "title": "W", "price": "1", "rating": "99999999999999999999", "scraped_at": None}]
+    for f in [*FILES, wide]:
+        local_frame(spark, f, RAW).coalesce(1).write.mode("append").json(folder)
+    source = read_stream(spark, folder, RAW, "json", maxFilesPerTrigger="1")
+    stream_ingest(source, log, lambda df: validate_items(df, run_ts()), checkpoint, rules).awaitTermination()
+    refused = {(r.url, r.reject_reason) for r in log.rejects(rules).collect()}
+    assert refused == {("b", "title: is null"), ("a", "title: is null"), ("w", "rating: not a int")}
+    assert tuple(log.counters().first())[:5] == (6, 3, 3, 5, 4)
+    assert {r.url for r in log.changes().collect()} == {"a", "b", "c"}
 
 
 def test_arrival_order(spark):
