@@ -97,40 +97,50 @@ _ROWS = {
     "Price (excl. tax)": f"concat('£', {_PRICE})",
     "Price (incl. tax)": f"concat('&pound;', {_PRICE})",
     "Tax": "case when p_partkey % 5 = 0 then '' else '£0.00' end",
-    "Availability": f"case when p_partkey % 3 = 0 then '' else {_STOCK} end",
-    "Number of reviews": "cast(p_size as string)",
+    "Availability:": f"case when p_partkey % 3 = 0 then '' else {_STOCK} end",
+    "Number of reviews": "case when p_partkey % 17 = 0 then '99999999999999999999' else cast(p_size as string) end",
 }
 _TABLE_ROWS = ", ".join(f"'<tr><th>{h}</th><td>', {v}, '</td></tr>\\n'" for h, v in _ROWS.items())
-_HTML = f"""concat('<html><head><title>x</title></head><body><ul class="breadcrumb">\\n<li><a href="../../index.html">Home</a></li>',
+# Some parts are what a parser must not read, or must read although it looks odd: commented-out and scripted
+# markup, attributes without quotes or with the other quote inside, several links in a box, an empty box, a
+# second striped table, cells with child elements, a pager without a link, a header with a colon, a huge number.
+_HTML = f"""concat('<html><head><title>x</title><script>var t = "<div class=product_main><h1>no</h1></div>";</script></head>',
+  '<body><!-- <div class="product_main"><h1>old</h1></div><div class="product_pod"><h3><a href="/gone">x</a></h3></div> -->',
+  '<ul class="breadcrumb">\\n<li><a href="../../index.html">Home</a></li>',
   '<li><a href="../c.html">Items</a></li><li><a href="../c/x.html">', p_type, '</a></li><li class="active">', p_name,
   '</li></ul><div id="product_gallery" class="carousel"><div class="thumbnail"><div class="item active">',
-  case when p_partkey % 7 = 0 then '' else concat('<img alt="x" src="../../media/', {_KEY}, '.jpg"/>') end,
+  case when p_partkey % 7 = 0 then '' else concat('<img alt="x" src="../../media/o', char(39), {_KEY}, '.jpg"/>') end,
   '</div></div></div><div class="col-sm-6 product_main"><h1>', p_name, ' &amp; ', p_brand, '</h1><p class="price_color">£',
   {_PRICE}, '</p>', case when p_partkey % 3 = 0 then concat('<p class="instock availability">\\n ', {_STOCK}, '\\n</p>') else '' end,
   case when p_partkey % 11 = 0 then '' else concat('<p class="star-rating ', {_WORD}, '"><i class="icon-star"></i></p>') end,
   '</div><div id="product_description" class="sub-header"><h2>Product Description</h2></div>\\n<p>', p_name, ' &lt;', p_type,
   '&gt;</p><table class="other"><tr><th>UPC</th><td>none</td></tr></table><table class="table table-striped">',
   case when p_partkey % 13 = 0 then '<tr><th>UPC</th><td>old</td></tr>' else '' end, {_TABLE_ROWS},
-  '</table><div class="product_pod"><h3><a href="../item_', cast(p_partkey + 1 as string), '/index.html">next</a></h3>',
-  '<p class="star-rating One"></p><p class="price_color">£1.00</p></div><article class="row product_pod"><h3><a title="t" href="/item_',
-  cast(p_partkey + 2 as string), '">more</a></h3></article>',
-  case when p_size % 9 = 0 then '' else concat('<ul class="pager"><li class="next"><a href="page-', cast(p_size as string),
+  '</table><table class="striped table table-striped"><tr><th>Tax</th><td><b>x</b> t', {_KEY}, '</td></tr></table>',
+  '<div class="product_pod"><h3><a href="../item_', cast(p_partkey + 1 as string), '/index.html">next</a>',
+  concat('<a href=', char(39), '/two?a="b"', char(39), '>and</a></h3>'),
+  '<p class="star-rating One"></p><p class="price_color">£1.00</p></div><div class="product_pod"><p>empty</p></div>',
+  '<article class="row product_pod"><h3><a title="t" href=/item_',
+  cast(p_partkey + 2 as string), '>more</a></h3></article>',
+  case when p_size % 9 = 0 then '<ul class="pager"><li class="next disabled">next</li></ul><a href="/footer">f</a>' else concat('<ul class="pager"><li class="next"><a href="page-', cast(p_size as string),
   '.html">next</a></li></ul>') end, '</body></html>')"""
 
 
 def item_pages(spark, sf):
-    parts = spark.read.parquet(f"{sf}/part.parquet")
+    # One row group would be one task, whatever it costs to read its pages.
+    parts = spark.read.parquet(f"{sf}/part.parquet").repartition(spark.sparkContext.defaultParallelism)
     return parts.selectExpr("p_partkey as page_id", f"{_URL} as url", f"{_HTML} as html")
 
 
 _SPEC = f"""select p_partkey, {_ROWS['UPC']} as upc, p_brand as product_type, concat('£', {_PRICE}) as price_text,
-  case when p_partkey % 5 = 0 then null else '£0.00' end as tax_text,
-  case when p_partkey % 3 = 0 then null else {_STOCK} end as stock_cell, cast(p_size as varchar) as reviews_text from part"""
+  concat(' t', {_KEY}) as tax_text, case when p_partkey % 5 = 0 then null else '£0.00' end as first_tax,
+  case when p_partkey % 3 = 0 then null else {_STOCK} end as stock_cell,
+  case when p_partkey % 17 = 0 then '99999999999999999999' else cast(p_size as varchar) end as reviews_text from part"""
 
 
 @query("page_spec_table", f"""with s as ({_SPEC})
 select p_partkey as page_id, upc, product_type, price_text as price_excl_tax_raw, price_text as price_incl_tax_raw,
-  tax_text as tax_raw, reviews_text as reviews_raw, stock_cell from s""")
+  tax_text as tax_raw, reviews_text as reviews_raw, cast(null as varchar) as stock_cell from s""")
 def spec(spark, sf):
     return spec_table(item_pages(spark, sf))
 
@@ -140,9 +150,10 @@ def spec(spark, sf):
   union all select p_partkey, 1, 'UPC', upc from s union all select p_partkey, 2, 'Product Type', product_type from s
   union all select p_partkey, 3, 'Price (excl. tax)', price_text from s
   union all select p_partkey, 4, 'Price (incl. tax)', price_text from s
-  union all select p_partkey, 5, 'Tax', tax_text from s where tax_text is not null
-  union all select p_partkey, 6, 'Availability', stock_cell from s where stock_cell is not null
-  union all select p_partkey, 7, 'Number of reviews', reviews_text from s)
+  union all select p_partkey, 5, 'Tax', first_tax from s where first_tax is not null
+  union all select p_partkey, 6, 'Availability:', stock_cell from s where stock_cell is not null
+  union all select p_partkey, 7, 'Number of reviews', reviews_text from s
+  union all select p_partkey, 8, 'Tax', tax_text from s)
 select page_id, cast(row_number() over (partition by page_id order by k) - 1 as int) as position, header, value from r""")
 def spec_lines(spark, sf):
     return spec_rows(item_pages(spark, sf))
@@ -150,7 +161,8 @@ def spec_lines(spark, sf):
 
 @query("item_links", """select p_partkey as page_id, 0 as position,
   concat('http://shop.example/catalogue/item_', cast(p_partkey + 1 as varchar), '/index.html') as link_url from part
-union all select p_partkey, 1, concat('http://shop.example/item_', cast(p_partkey + 2 as varchar)) from part""")
+union all select p_partkey, 1, 'http://shop.example/two?a="b"' from part
+union all select p_partkey, 2, concat('http://shop.example/item_', cast(p_partkey + 2 as varchar)) from part""")
 def listed_items(spark, sf):
     return item_links(item_pages(spark, sf))
 
@@ -165,7 +177,7 @@ def pager(spark, sf):
 _SCRAPED = "2026-02-10 10:25:25"
 
 
-@query("pages_to_items", f"""with s as (select *, case when p_partkey % 3 = 0 then p_size else p_size end as n from part),
+@query("pages_to_items", f"""with s as (select * from part),
 i as (select {_URL} as url, timestamp '{_SCRAPED}' as scraped_at, concat(p_name, ' & ', p_brand) as title,
   p_retailprice as price, concat('£', {_PRICE}) as price_raw,
   case when p_size % 4 = 0 then 'Out of stock' else 'In stock' end as availability, {_STOCK} as availability_raw,
@@ -174,12 +186,12 @@ i as (select {_URL} as url, timestamp '{_SCRAPED}' as scraped_at, concat(p_name,
   concat(p_name, ' <', p_type, '>') as description, concat('upc-', {_KEY}) as upc, p_brand as product_type,
   p_retailprice as price_excl_tax, concat('£', {_PRICE}) as price_excl_tax_raw,
   p_retailprice as price_incl_tax, concat('£', {_PRICE}) as price_incl_tax_raw,
-  case when p_partkey % 5 = 0 then null else cast(0 as double) end as tax,
-  case when p_partkey % 5 = 0 then null else '£0.00' end as tax_raw, p_size as reviews_count,
+  cast(p_partkey as double) as tax, concat(' t', {_KEY}) as tax_raw,
+  case when p_partkey % 17 = 0 then null else p_size end as reviews_count,
   case when p_partkey % 11 = 0 then 1 else p_size % 6 end as rating,
   case when p_partkey % 11 = 0 then 'One' else {_WORD} end as rating_text, p_type as category,
-  case when p_partkey % 7 = 0 then null else concat('http://shop.example/media/', {_KEY}, '.jpg') end as image_url,
-  case when p_partkey % 7 = 0 then null else concat({_KEY}, '.jpg') end as image_filename from s)
+  case when p_partkey % 7 = 0 then null else concat('http://shop.example/media/o''', {_KEY}, '.jpg') end as image_url,
+  case when p_partkey % 7 = 0 then null else concat('o''', {_KEY}, '.jpg') end as image_filename from s)
 select *, round(cast(9 + case when rating = 0 then 0 else 1 end + case when image_url is null then 0 else 1 end as double)
   / 11 * 100, 2) as data_quality_score from i""")
 def items(spark, sf):

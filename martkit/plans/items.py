@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from martkit.functions import html as H
@@ -15,7 +17,7 @@ from martkit.schemas import RAW_ITEM
 MAIN = H.open_tag(H.ANY, "product_main")
 GALLERY = H.open_tag(H.ANY, element_id="product_gallery")
 BREADCRUMB = H.open_tag(H.ANY, "breadcrumb")
-SPEC_TABLE = H.open_tag("table", "table", "table-striped")
+SPEC_TABLE = H.open_tag(H.ANY, "table", "table-striped")
 ITEM_BOX = H.open_tag(H.ANY, "product_pod")
 STOCK = H.open_tag(H.ANY, "availability")
 NEXT = H.open_tag(H.ANY, "next")
@@ -33,86 +35,89 @@ RATING_WORDS = {"Zero": 0, "One": 1, "Two": 2, "Three": 3, "Four": 4, "Five": 5}
 
 
 def item_links(pages: DataFrame) -> DataFrame:
-    """One row per item link of a listing page, absolute, with its position."""
-    hrefs = H.all_links("html", ITEM_BOX, H.open_tag("h3"))
-    return explode_links(pages, hrefs)
+    """One row per item link of a listing page, absolute, with its position: all anchors of all boxes."""
+    return explode_links(pages, lambda page: H.links_within(page, ITEM_BOX, H.open_tag("h3")))
 
 
 def page_links(pages: DataFrame) -> DataFrame:
     """One row per link of a page, absolute, with its position."""
-    return explode_links(pages, H.all_links("html"))
+    return explode_links(pages, H.all_links)
+
 
+def visible(pages: DataFrame, *columns: str) -> DataFrame:
+    """The given columns and ``_page``, the markup without comments, scripts and styles."""
+    return pages.select(*columns, H.visible_markup("html").alias("_page"))
 
-def explode_links(pages: DataFrame, hrefs: Column) -> DataFrame:
-    out = pages.select("page_id", "url", F.posexplode(hrefs).alias("position", "href"))
-    return out.withColumn("href", H.unescape("href")).select(
-        "page_id", "position", resolve_url("url", "href").alias("link_url"))
+
+def explode_links(pages: DataFrame, hrefs: Callable[[Column], Column]) -> DataFrame:
+    out = visible(pages, "page_id", "url").select("page_id", "url", hrefs(F.col("_page")).alias("_hrefs"))
+    out = out.select("page_id", "url", F.posexplode(H.unescape_all(F.col("_hrefs"))).alias("position", "href"))
+    return out.select("page_id", "position", resolve_url("url", "href").alias("link_url"))
 
 
 def next_page(pages: DataFrame) -> DataFrame:
     """The pager's link, absolute, or NULL on the last page of a list."""
-    href = H.unescape(H.first_attr("html", "href", NEXT, H.open_tag("a")))
-    return pages.select("page_id", "url", href.alias("_href")).select(
-        "page_id", F.when(F.col("_href").isNotNull(), resolve_url("url", "_href")).alias("next_url"))
+    hrefs = visible(pages, "page_id", "url").select(
+        "page_id", "url", F.try_element_at(H.links_within("_page", NEXT), F.lit(1)).alias("_href"))
+    return hrefs.select("page_id", "url", H.unescape("_href").alias("_href")).select(
+        "page_id", F.when(F.col("_href") != "", resolve_url("url", "_href")).alias("next_url"))
 
 
 def spec_rows(pages: DataFrame) -> DataFrame:
     """The two-column specification rows of every page as (page_id, position, header, value)."""
-    block = H.inner_html("html", SPEC_TABLE)
-    zipped = F.arrays_zip(H.kv_keys("_block").alias("k"), H.kv_values("_block").alias("v"))
-    return (pages.select("page_id", block.alias("_block"))
-            .select("page_id", F.posexplode(zipped).alias("position", "kv"))
-            .select("page_id", "position", H.unescape("kv.k").alias("header"), H.unescape("kv.v").alias("value")))
+    blocks = visible(pages, "page_id").select("page_id", H.elements("_page", SPEC_TABLE).alias("_blocks"))
+    pairs = blocks.select("page_id", F.posexplode(H.kv_rows(F.col("_blocks"))).alias("position", "kv"))
+    texts = pairs.select("page_id", "position", H.unescape_all(F.array("kv.k", "kv.v")).alias("kv"))
+    return texts.select("page_id", "position", F.col("kv")[0].alias("header"), F.col("kv")[1].alias("value"))
 
 
 def spec_table(pages: DataFrame) -> DataFrame:
     """The specification of every page as one row; a repeated header keeps its last value."""
-    block = H.inner_html("html", SPEC_TABLE)
-    staged = pages.select("page_id", block.alias("_block")).select(
-        "page_id", H.kv_keys("_block").alias("_keys"), H.kv_values("_block").alias("_values"))
-    return staged.select("page_id", *[
-        H.unescape(H.kv_lookup(F.col("_keys"), F.col("_values"), header)).alias(name)
-        for name, header in HEADERS.items()])
+    blocks = visible(pages, "page_id").select("page_id", H.elements("_page", SPEC_TABLE).alias("_blocks"))
+    staged = blocks.select("page_id", H.kv_rows(F.col("_blocks")).alias("_pairs"))
+    return _decoded(staged, ["page_id"], {
+        name: H.kv_lookup(F.col("_pairs"), header) for name, header in HEADERS.items()})
+
+
+def _decoded(rows: DataFrame, keep: list[str], texts: dict[str, Column]) -> DataFrame:
+    """The texts with their character references decoded, all of a row in one expression."""
+    raw = rows.select(*keep, F.array(*texts.values()).alias("_raw")).select(
+        *keep, H.unescape_all(F.col("_raw")).alias("_texts"))
+    return raw.select(*keep, *[F.col("_texts")[i].alias(name) for i, name in enumerate(texts)])
 
 
 def pages_to_items(pages: DataFrame, scraped_at: Column) -> DataFrame:
     """Raw item rows of a corpus of detail pages.
 
-    Three projections: cut the page into its blocks, read texts and attributes
-    out of them, then derive the typed columns.
+    Projections in a row: cut what is not shown, cut the page into its blocks, read texts and
+    attributes out of them, decode those, then derive the typed columns.  The page itself
+    leaves with the blocks.  A number that its column cannot hold becomes NULL.
     """
-    blocks = pages.select(
-        "url",
-        H.inner_html("html", MAIN).alias("_main"),
-        H.inner_html("html", SPEC_TABLE).alias("_spec"),
-        H.inner_html("html", GALLERY).alias("_gallery"),
-        F.regexp_extract("html", rf"(?s){BREADCRUMB}(.*?)</[uoUO][lL]\s*>", 1).alias("_crumbs"),
-        H.sibling_text("html", "product_description", "p").alias("_description"),
-        H.first_attr("html", "class", H.open_tag(H.ANY, "star-rating")).alias("_stars"),
-        "html",
-    )
-    texts = blocks.select(
+    blocks = visible(pages, "url").select(
         "url",
-        H.first_text("_main", H.open_tag("h1")).alias("title"),
-        H.first_text("_main", H.open_tag(H.ANY, "price_color")).alias("price_raw"),
-        H.first_text("_main", STOCK).alias("stock_main"),
-        H.first_attr("_gallery", "src", H.open_tag("img")).alias("image_src"),
-        H.first_text(F.try_element_at(H.list_items("_crumbs"), F.lit(-2)), H.open_tag("a")).alias("category"),
-        F.col("_description").alias("description"),
-        F.col("_stars").alias("stars"),
-        "html",
-        H.kv_keys("_spec").alias("_keys"), H.kv_values("_spec").alias("_values"),
+        H.inner_html("_page", MAIN).alias("_main"),
+        H.kv_rows(H.elements("_page", SPEC_TABLE)).alias("_pairs"),
+        H.inner_html("_page", GALLERY).alias("_gallery"),
+        F.regexp_extract("_page", rf"(?s){BREADCRUMB}(.*?)</[uoUO][lL]\s*>", 1).alias("_crumbs"),
+        H.sibling_text("_page", "product_description", "p").alias("_description"),
+        H.first_attr("_page", "class", H.open_tag(H.ANY, "star-rating")).alias("_stars"),
+        H.cell_beside("_page", HEADERS["stock_cell"]).alias("_stock_row"),
+        # Only a page without a stock text in a table or the main block needs this one.
+        H.deep_text(H.inner_html("_page", STOCK)).alias("_stock_any"),
     )
-    cells = texts.select(
-        "url", "_keys", "_values", *[
-            H.unescape(c).alias(c) for c in (
-                "title", "price_raw", "stock_main", "image_src", "category", "description", "stars")], "html")
-    cells = cells.select(
-        "*", *[H.unescape(H.kv_lookup(F.col("_keys"), F.col("_values"), header)).alias(name)
-               for name, header in HEADERS.items()])
-    # Only a page without a stock text in either place is searched once more.
-    anywhere = H.unescape(H.deep_text(H.inner_html("html", STOCK)))
-    stock = first_non_empty("stock_cell", "stock_main", anywhere)
+    cells = _decoded(blocks, ["url"], {
+        "title": H.first_text("_main", H.open_tag("h1")),
+        "price_raw": H.first_text("_main", H.open_tag(H.ANY, "price_color")),
+        "stock_main": H.first_text("_main", STOCK),
+        "image_src": H.first_attr("_gallery", "src", H.open_tag("img")),
+        "category": H.first_text(F.try_element_at(H.list_items("_crumbs"), F.lit(-2)), H.open_tag("a")),
+        "description": F.col("_description"),
+        "stars": F.col("_stars"),
+        "stock_row": F.col("_stock_row"),
+        "stock_any": F.col("_stock_any"),
+        **{name: H.kv_lookup(F.col("_pairs"), header) for name, header in HEADERS.items()},
+    })
+    stock = first_non_empty("stock_cell", "stock_row", "stock_main", "stock_any")
     named = with_availability(cells.withColumn("_stock", stock), "_stock")
 
     word = last_token("stars")
@@ -132,6 +137,6 @@ def pages_to_items(pages: DataFrame, scraped_at: Column) -> DataFrame:
     score = "data_quality_score"
     body = named.select(*[
         derived.get(f.name, F.col(f.name) if f.name in named.columns else F.lit(None))
-        .cast(f.dataType).alias(f.name)
+        .try_cast(f.dataType).alias(f.name)
         for f in RAW_ITEM if f.name != score])
     return body.withColumn(score, completeness_score(body, SCORED_FIELDS))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from martkit.functions import html as H
-from martkit.plans.items import item_links, next_page, page_links, pages_to_items, spec_table
+from martkit.plans.items import item_links, next_page, page_links, pages_to_items, spec_rows, spec_table
 
 URL = "https://shop.example/catalogue/a-light_1000/index.html"
 SPEC = """<table class="table table-striped">
@@ -123,3 +123,63 @@ def test_comments_and_scripts_can_be_cut(spark):
 def test_spec_table_only_reads_its_table(spark):
     df = spark.createDataFrame([(1, "<table><tr><th>UPC</th><td>x</td></tr></table>" + SPEC)], "page_id long, html string")
     assert spec_table(df).first().upc == "a897fe39b1053632"
+
+
+def one_page(spark, body):
+    return spark.createDataFrame([(1, "http://s.example/a/b.html", body)], "page_id long, url string, html string")
+
+
+def test_what_is_not_shown_is_not_read(spark):
+    hidden = ('<!-- <div class="product_main"><h1>old</h1></div><a href="/c">x</a> --><script>"<a href=/s>"</script>'
+              '<style><a href="/t"></style><div class="product_main"><h1>new</h1></div><a href="/d">y</a>')
+    assert read(spark, hidden)[0].title == "new"
+    assert [r.link_url for r in page_links(one_page(spark, hidden)).collect()] == ["http://s.example/d"]
+
+
+def test_attribute_quoting(spark):
+    body = """<a href="/o'brien/x">1</a><a href='/q"r'>2</a><a href=/plain>3</a><p class=next><a href=/n>4</a></p>"""
+    assert [r.link_url for r in page_links(one_page(spark, body)).orderBy("position").collect()] == [
+        "http://s.example/o'brien/x", 'http://s.example/q"r', "http://s.example/plain", "http://s.example/n"]
+    assert next_page(one_page(spark, body)).first().next_url == "http://s.example/n"
+
+
+def test_links_stay_inside_their_element(spark):
+    body = ('<ul><li class="next disabled">next</li></ul><div class="product_pod"><h3>none</h3></div>'
+            '<div class="product_pod"><h3><a href="/1">a</a><a href="/2">b</a></h3><a href="/not">c</a></div><a href="/f">f</a>')
+    assert next_page(one_page(spark, body)).first().next_url is None
+    assert [r.link_url for r in item_links(one_page(spark, body)).orderBy("position").collect()] == [
+        "http://s.example/1", "http://s.example/2"]
+
+
+def test_all_striped_tables_and_mixed_cells(spark):
+    body = ('<table class="table table-striped"><tr><th>UPC</th><td>u1</td></tr></table>'
+            '<div class="table table-striped"><table><tr><th><i>!</i>Product Type</th><td><b>x</b> u9</td></tr>'
+            '<tr><th>Tax</th><td><b><i>x</i></b><br/>t</td></tr><tr><th>Empty</th><td></td></tr></table></div>')
+    assert [(r.header, r.value) for r in spec_rows(one_page(spark, body)).orderBy("position").collect()] == [
+        ("UPC", "u1"), ("Product Type", " u9"), ("Tax", "t")]
+
+
+@pytest.mark.parametrize("body", [
+    '<table class="table table-striped"><tr><th>Availability:</th><td>In stock (3 available)</td></tr></table>',
+    "<table><tr><th>Availability</th><td>In stock (3 available)</td></tr></table>",
+    "<table><tr><td>Availability</td></tr><tr><td>x</td></tr></table><p class='availability'><i></i>In stock (3 available)</p>"
+    .replace("<td>Availability</td>", "<td></td>"),
+    '<div class="product_main"><p class="availability">In stock (3 available)</p></div>',
+])
+def test_places_of_the_stock_text(spark, body):
+    row = read(spark, body)[0]
+    assert (row.availability_raw, row.available_quantity) == ("In stock (3 available)", 3)
+
+
+def test_no_value_ends_the_job(spark):
+    body = '<table class="table table-striped"><tr><th>Number of reviews</th><td>9999999999</td></tr></table>'
+    assert read(spark, body)[0].reviews_count is None
+    texts = spark.createDataFrame(
+        [("&#00000065;&#x000000042;&#99999999999999999999;&#xFFFFFFFFFF;&nosuch;&amp;lt;",)], "t string")
+    assert texts.select(H.unescape("t")).first()[0] == "AB��&nosuch;&lt;"
+
+
+def test_page_leaves_after_its_blocks(spark):
+    plan = pages_to_items(one_page(spark, ""), F.lit(None).cast("timestamp_ntz"))._jdf.queryExecution().optimizedPlan().toString()
+    reads = [line for line in plan.splitlines() if "html#" in line]
+    assert len(reads) <= 3, plan[:2000]
