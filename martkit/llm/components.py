@@ -22,13 +22,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     a join that adaptive execution can split.  Links never meet in one place.
     """
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
-    edges = stored(edges, "components")
     mark = _mark(edges)
     for _ in range(ROUNDS):
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stored(large.filter("u <> v").distinct(), "components")
+        large = large.filter("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
             least.select("u", F.col("m").alias("v")))

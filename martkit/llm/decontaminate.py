@@ -180,7 +180,7 @@ def benchmark_shards(benchmark: DataFrame, item_id: str = "item_id", text: str =
 
 def _merge(spans: list[tuple[int, int]]) -> list[list[int]]:
     out: list[list[int]] = []
-    for a, b in sorted(spans):
+    for a, b in sorted(map(tuple, spans)):
         if out and a <= out[-1][1]:
             out[-1][1] = max(out[-1][1], b)
         else:

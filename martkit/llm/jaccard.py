@@ -34,10 +34,13 @@ THRESHOLD = 0.8
 RECALL = 0.999999
 #: Buckets of more sets than this are split further.
 SMALL = 24
-#: Choices that make up the longest path.
-DEPTH = 6
+#: Choices that make up the longest path; buckets that are still large then are compared in blocks.
+DEPTH = 4
+#: How many times as many shingles are chosen where a large bucket is split: few buckets are, so
+#: their sets can afford more of them, and hardly a pair is parted there.
+SPLIT = 4
 #: Sets that meet another block of sets in one task.
-BLOCK = 256
+BLOCK = 512
 #: Bytes of text hashed at once.
 CHUNK = 4 << 20
 
@@ -106,16 +109,20 @@ def _chunk_sets(raws: list[bytes], shingle: int) -> tuple[np.ndarray, list[int]]
     return np.concatenate(out), counts
 
 
-def _limits(sizes: np.ndarray, threshold: float) -> np.ndarray:
-    """Hashes below this are chosen: a share of 1 / (threshold * size)."""
-    share = np.minimum(1.0, 1.0 / (threshold * np.maximum(sizes, 1)))
+def _limits(sizes: np.ndarray, threshold: float, times: int = 1) -> np.ndarray:
+    """Hashes below this are chosen: a share of ``times`` / (threshold * size)."""
+    share = np.minimum(1.0, times / (threshold * np.maximum(sizes, 1)))
     return np.minimum(share * 2.0**64, 2.0**64 - 2048).astype(np.uint64)
 
 
-def runs_for(threshold_met: float = 1.0, recall: float = RECALL) -> int:
-    """Runs needed when a pair keeps ``threshold_met`` common shingles per choice on average."""
-    missed = 1 - (1 - math.exp(-threshold_met)) ** 2
-    return math.ceil(math.log(1 - recall) / math.log(missed))
+def runs_for(recall: float = RECALL) -> int:
+    """Runs after which a pair at the threshold is missed with chance ``1 - recall`` at most.
+
+    Such a pair keeps one common shingle on average in each of the first two choices, and
+    SPLIT of them in every later one, so a run finds it with the product of the chances to keep any.
+    """
+    found = (1 - math.exp(-1)) ** 2 * (1 - math.exp(-SPLIT)) ** (DEPTH - 3)
+    return math.ceil(math.log(1 - recall) / math.log(1 - found))
 
 
 def _first_buckets(threshold: float, runs: int, shingle: int):
@@ -201,19 +208,20 @@ def _split(threshold: float, level: int):
     """Each bucket of a set becomes one bucket for every shingle chosen there."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rids, children = [], []
-            for rid, own, nodes in zip(*(batch.column(c).to_pylist() for c in ("rid", "own", "nodes"))):
+            rids, roots, children = [], [], []
+            for rid, root, own, nodes in zip(*(batch.column(c).to_pylist() for c in ("rid", "root", "own", "nodes"))):
                 own = np.frombuffer(own, np.uint64)
-                limit = _limits(np.array([len(own)]), threshold)[0]
+                limit = _limits(np.array([len(own)]), threshold, SPLIT)[0]
                 for node in nodes:
                     seed = (node ^ level * 0x5851F42D4C957F2D) & (2**64 - 1)
                     chosen = own[_mix(own, seed) < limit]
                     children.append(_mix(chosen, seed ^ 0x14057B7EF767814F))
                     rids.append(np.full(len(chosen), rid, np.int64))
+                    roots.append(np.full(len(chosen), root, np.int64))
             if rids:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(children).view(np.int64)), pa.array(np.concatenate(rids))],
-                    names=["node", "rid"])
+                    [pa.array(np.concatenate(children).view(np.int64)), pa.array(np.concatenate(rids)),
+                     pa.array(np.concatenate(roots))], names=["node", "rid", "root"])
     return run
 
 
@@ -310,7 +318,7 @@ def jaccard_groups(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     """
     rows = texts(docs, "doc_id")
     members = stored(rows.mapInArrow(
-        _first_buckets(threshold, runs_for(recall=recall), shingle),
+        _first_buckets(threshold, runs_for(recall), shingle),
         "doc_id bigint, rid bigint, n int, nodes array<bigint>"), "jaccard-members")
     classes = stored(members.filter("rid is not null").groupBy("rid").agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "jaccard-classes")
@@ -340,11 +348,15 @@ def jaccard_groups(docs: DataFrame, threshold: float = THRESHOLD, recall: float
             found.append(grid.select("node", "i", "j", "block", "rid", "own").groupBy("node", "i", "j").applyInArrow(
                 _cross(threshold), "a bigint, b bigint"))
         else:
-            nodes = large.groupBy("rid").agg(F.collect_set("node").alias("nodes")).join(sets, "rid")
-            children = nodes.select("rid", "own", "nodes").mapInArrow(_split(threshold, level), "node bigint, rid bigint")
-            live = stored(_shared(children.distinct()), "jaccard-buckets")
-            found.append(verified(live.filter("rid <> low").select(F.col("low").alias("a"), F.col("rid").alias("b")),
-                                  sets, threshold))
+            nodes = large.groupBy("rid").agg(F.collect_set("node").alias("nodes"), F.first("root").alias("root")).join(
+                sets, "rid")
+            live = stored(_shared(nodes.select("rid", "root", "own", "nodes").mapInArrow(
+                _split(threshold, level), "node bigint, rid bigint, root bigint").distinct()), "jaccard-buckets")
+            # Sets of one group need not be compared: a bucket's first set against those of other groups.
+            first = live.filter("rid = low").select("node", F.col("root").alias("low_root"))
+            star = live.join(first, "node").filter(F.col("root") != F.col("low_root"))
+            found.append(verified(star.select(F.col("low").alias("a"), F.col("rid").alias("b")), sets, threshold))
+            live = live.drop("root")
         new = found[0].unionByName(found[1]) if len(found) > 1 else found[0]
         links = stored(links.unionByName(new).distinct(), "jaccard-links")
         if last:
