@@ -16,7 +16,7 @@ from martkit.sources.writers import (
 from martkit.streaming.ingest import ChangeLog, read_stream, stream_ingest
 from martkit.schemas import MART_RULES, TableRules, col, text
 from catalog import query, table
-from catalog.feed import DEDUP, FACT, MINIMUM, ORDER, raw_items
+from catalog.feed import COLUMNS, DEDUP, DIMS, FACT, MINIMUM, ORDER, raw_items
 from catalog.merges import DEFAULTS, FOLDED, ORDER as UPDATE_ORDER, supplier_updates
 
 
@@ -116,6 +116,23 @@ def mart_refused(spark, sf):
     return store.read("fact_rejects").select("book_id", "title", "url", "reject_reason")
 
 
+_LONG = COLUMNS["category"]
+_LONG_DIMS = DIMS.replace(_LONG, f"case when l_partkey % 19 = 0 then repeat({_LONG}, 40) else {_LONG} end")
+
+
+@query("mart_dim_rejects", f"""with {_LONG_DIMS}
+select 'dim_categories' as table_name, category_id as id, category as value, 'category: longer than 200' as reject_reason
+from categories where length(category) > 200""")
+def mart_dim_rejects(spark, sf):
+    """Members of a dimension that its declared table refuses."""
+    raw = raw_items(spark, sf)
+    long = raw.withColumn("category", F.when(F.col("l_partkey") % 19 == 0, F.repeat("category", 40)).otherwise(
+        F.col("category")))
+    store = MartStore(spark, scratch_path(spark, "mart"))
+    run_mart(long, store, ORDER, MINIMUM)
+    return store.read("dim_rejects")
+
+
 @query("mart_dimensions", f"""with {FACT}
 select 'dim_ratings' as table_name, cast(rating_id as int) as id, case rating_value when 0 then 'Zero' when 1 then 'One'
   when 2 then 'Two' when 3 then 'Three' when 4 then 'Four' else 'Five' end as value from ratings

@@ -6,8 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from martkit.functions.numbers import in_range
-from martkit.functions.text import drop_parenthetical, let, strip_ws
+from martkit.functions.text import drop_parenthetical, strip_ws
 
 # --- fixed values: patterns in order of precedence, phrases, labels, bounds ---
 QUANTITY_PATTERNS = [
@@ -32,14 +31,21 @@ QUANTITY_BOUNDS = (0, 1000)
 
 def first_pattern_int(c: Column | str, patterns: Sequence[str] = QUANTITY_PATTERNS,
                       low: int = QUANTITY_BOUNDS[0], high: int = QUANTITY_BOUNDS[1]) -> Column:
-    """Number of the first pattern whose first match lies between the bounds, else 0."""
+    """Number of the first pattern whose first match lies between the bounds, else 0.
+
+    The bounds are 0 and a power of ten, so that they can be read off the digits: a number in
+    range has that many digits at most after its leading zeros, and one at least.
+    """
+    digits = len(str(high)) - 1
+    if low != 0 or high != 10 ** digits:
+        raise ValueError("the bounds must be 0 and a power of ten")
     c = F.col(c) if isinstance(c, str) else c
-    # No match is an empty text; a failing cast would cost an exception per row.
-    found = [F.nullif(F.regexp_extract(c, "(?iU)" + p, 1), F.lit("")).try_cast("bigint") for p in patterns]
-    # Lazily in order: a pattern is tried only where the ones before it gave nothing.
-    hits = [let(n, lambda v: F.when(in_range(v, low, high), v)) for n in found]
-    none = F.lit(0).cast("bigint")
-    return F.when(c.rlike("[0-9]"), F.coalesce(*hits, none)).when(c.isNotNull(), none).cast("int")
+    usable = rf"^0*([1-9][0-9]{{0,{digits - 1}}})$"
+    # All matches as one text, each with a separator behind: no match leaves the separator alone.  Strings
+    # only, so the whole of it is generated code and each pattern is evaluated once.
+    hits = F.concat_ws(",", *[F.regexp_extract(F.regexp_extract(c, "(?iU)" + p, 1), usable, 1) for p in patterns])
+    first = F.regexp_extract(hits, "^,*([0-9]+)", 1)
+    return F.when(c.rlike("[0-9]"), F.concat(F.lit("0"), first).cast("int")).when(c.isNotNull(), F.lit(0))
 
 
 def stock_status(c: Column | str, lowered: Column | str, quantity: Column | str) -> Column:
@@ -77,9 +83,9 @@ def availability_label(c: Column | str, clean: Column | str, in_stock: Column, q
 def with_availability(df: DataFrame, text: str) -> DataFrame:
     """Add availability_raw, available_quantity, in_stock, availability_status and availability.
 
-    Intermediate texts are columns of their own, so each is computed once and
-    the whole chain is generated code.  An in-stock item counts at least one
-    piece, any other none.
+    Intermediate texts are columns of their own, so each is computed once, and
+    none of them needs a lambda.  An in-stock item counts at least one piece,
+    any other none.
     """
     in_stock = F.col("availability_status") == "in_stock"
     return (

@@ -17,7 +17,7 @@ def parse_amount(c: Column | str) -> Column:
     """Digits and dots of a text as a double; NULL where they form no number."""
     kept = F.regexp_replace(_c(c), r"[^0-9.]", "")
     # Only what is a number reaches the cast: a failing one costs an exception per row.
-    return let(kept, lambda v: F.when(v.rlike(r"^([0-9]+\.?[0-9]*|\.[0-9]+)$"), v.cast("double")))
+    return F.nullif(F.regexp_extract(kept, r"^([0-9]+\.?[0-9]*|\.[0-9]+)$", 1), F.lit("")).cast("double")
 
 
 def to_double_lenient(df: DataFrame, name: str) -> Column:

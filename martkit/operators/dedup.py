@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def dedup_keep_first(df: DataFrame, keys: str | Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -21,6 +21,17 @@ def dedup_keep_first(df: DataFrame, keys: str | Sequence[str], order: Sequence[s
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
+def first_with_counts(df: DataFrame, key: str, order: Sequence[str], counts: Mapping[str, Column]) -> DataFrame:
+    """The first row of every key as ``dedup_keep_first`` gives it, with counts over all rows of the key.
+
+    One aggregate with a partial step: the rows are read once, whatever is counted beside them.
+    """
+    fields = [c for c in df.columns if c != key]
+    first = F.min_by(F.struct(*fields), F.struct(*order)).alias("_first")
+    return df.groupBy(key).agg(first, *[c.alias(n) for n, c in counts.items()]).select(
+        *[F.col(key) if c == key else F.col(f"_first.{c}").alias(c) for c in df.columns], *counts)
+
+
 def latest_per_key(df: DataFrame, keys: str | Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row of every key in ``order``; same plan as ``dedup_keep_first``."""
     keys = [keys] if isinstance(keys, str) else list(keys)

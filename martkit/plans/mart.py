@@ -7,13 +7,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from martkit.functions.availability import STATUS_RULES
 from martkit.functions.text import case_label, contains_ci
 from martkit.operators.clean import (
     FILLED, TRIMMED, clean, enforce_schema, fill_nulls, quarantine, stamp, storage_problems)
-from martkit.operators.dedup import dedup_keep_first
+from martkit.operators.dedup import dedup_keep_first, first_with_counts
 from martkit.operators.keys import build_dimension
 from martkit.operators.lookup import DimRef, lookup_dimensions, measured
 from martkit.operators.quality import quality_gate, quality_rejects, quality_report
@@ -115,10 +115,19 @@ def transform(raw: DataFrame, order: Sequence[str], ratings: DataFrame | None =
     return Mart(kept, dims, fact, rejects)
 
 
+def raw_counts() -> dict[str, Column]:
+    """What is counted over raw rows after cleaning: rows, and NULLs of some columns."""
+    return {"records": F.count("*"), **{f"null_{c}": F.count_if(F.col(c).isNull()) for c in PROFILED}}
+
+
 def profile_raw(raw: DataFrame) -> DataFrame:
     """Row count and the NULLs left after cleaning, from one narrow pass."""
-    counts = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in PROFILED]
-    return clean(raw).agg(F.count("*").alias("records"), *counts)
+    return clean(raw).agg(*[c.alias(n) for n, c in raw_counts().items()])
+
+
+def counted_first_rows(raw: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """The first clean row per key with the counts of all its raw rows, prefixed ``_``: one pass over the source."""
+    return first_with_counts(clean(raw), key, order, {f"_{n}": c for n, c in raw_counts().items()})
 
 
 def new_run_id(now: datetime) -> str:
@@ -133,28 +142,37 @@ def run_mart(raw: DataFrame, store: MartStore, order: Sequence[str], minimum: fl
 
     Counts come from finished tables, not from counters inside running tasks, so
     a task that runs twice cannot change them.  Fact rows the declared table
-    would refuse go to ``fact_rejects`` with their reasons.
+    would refuse go to ``fact_rejects`` with their reasons, members of dimensions to
+    ``dim_rejects``; facts that refer to such a member get no id.  Error texts are cut to
+    200 characters, as a run record holds them.
     """
     spark, started = raw.sparkSession, datetime.now(UTC)
     record = {"etl_run_id": new_run_id(started), "spark_application_id": spark.sparkContext.applicationId}
     metrics_path = metrics_path or f"{store.root}/_runs"
     try:
         previous = store.init(drop_existing)
-        profile = profile_raw(raw).first().asDict()
+        # The source may change: everything that is said about it comes from this one pass.
+        counted = materialize(counted_first_rows(raw, key, order), "deduplicated")
+        profile = counted.agg(*[F.coalesce(F.sum(f"_{n}"), F.lit(0)).alias(n) for n in raw_counts()]).first().asDict()
         extracted = profile.pop("records")
         if extracted == 0:
             return RunResult(None, {**record, "status": "no data", "extraction_records": 0})
         at = F.lit(started)
         ratings = read_or_default(spark, store.spec("dim_ratings", previous), seed_ratings(spark))
-        kept = materialize(first_clean_rows(raw, key, order), "deduplicated")
+        kept = counted.drop(*[f"_{n}" for n in raw_counts()])
 
         version = store.new_version()
-        refs = {}
+        refs, dim_rejects = {}, None
         for table, column, id_name in (("dim_categories", "category", "category_id"),
                                        ("dim_product_types", "product_type", "product_type_id")):
             dim = stamp(build_dimension(kept, column, id_name), "created_at", at)
-            dim = store.write(version, table, enforce_schema(dim, MART_RULES[table].schema))
-            refs[table] = measured(DimRef(dim, column, column, id_name))
+            stored, refused = quarantine(dim, storage_problems(dim, MART_RULES[table]))
+            stored = store.write(version, table, enforce_schema(stored, MART_RULES[table].schema))
+            refs[table] = measured(DimRef(stored, column, column, id_name))
+            refused = refused.select(F.lit(table).alias("table_name"), F.col(id_name).cast("bigint").alias("id"),
+                                     F.col(column).alias("value"), "reject_reason")
+            dim_rejects = refused if dim_rejects is None else dim_rejects.unionByName(refused)
+        store.write(version, "dim_rejects", dim_rejects)
         ratings = store.write(version, "dim_ratings", ratings)
         refs["dim_ratings"] = measured(rating_ref(ratings))
 
@@ -165,7 +183,7 @@ def run_mart(raw: DataFrame, store: MartStore, order: Sequence[str], minimum: fl
         store.write(version, "fact_books", enforce_schema(good, rules.schema))
         store.write(version, "fact_rejects", refused)
         low = store.write(version, "quality_rejects", with_stock_flags(quality_rejects(kept, minimum=minimum)))
-        store.finish(version, [*MART_RULES, "fact_rejects", "quality_rejects"])
+        store.finish(version, [*MART_RULES, "dim_rejects", "fact_rejects", "quality_rejects"])
 
         checked = {r["table_name"]: r for r in load_verification(load_readback(
             spark, {t: store.spec(t, version) for t in MART_RULES})).collect()}

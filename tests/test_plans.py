@@ -1,18 +1,21 @@
 """The shape of the physical plans that scale depends on."""
 
 import re
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
+from martkit.functions.availability import first_pattern_int, with_availability
+from martkit.functions.numbers import parse_amount
 from martkit.operators.clean import clean
 from martkit.operators.dedup import dedup_keep_first, later_duplicates
 from martkit.operators.keys import build_dimension
 from martkit.operators.lookup import DimRef, lookup_dimensions
 from martkit.operators.merge import reduce_updates, upsert
 from martkit.plans.items import pages_to_items
-from martkit.plans.mart import transform
-from martkit.session import materialize, scratch_root, sized_for
+from martkit.plans.mart import counted_first_rows, profile_raw, transform
+from martkit.session import materialize, scratch_root, sized_for, use_scratch
 from catalog.feed import MINIMUM, ORDER, raw_items
 
 
@@ -40,15 +43,40 @@ def test_fact_is_not_shuffled(spark, sf_dir):
     assert re.search(r"PushedFilters: \[IsNotNull\(data_quality_score\), GreaterThanOrEqual\(data_quality_score", text)
 
 
-def test_keys_scan_once_and_rank_in_ranges(spark, sf_dir):
+def test_keys_rank_hashes_in_ranges(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     text = final_plan(build_dimension(docs, "text", "text_id"))
-    assert "ReusedExchange" in text
-    assert text.count("FileScan") == 1
-    # Only the totals per range meet in one partition.
+    # Hashes alone are sorted for the ranks; the texts are read once, for the join at the end.
+    windows = [line for line in text.splitlines() if "Window [" in line]
+    assert windows and not any("text#" in line for line in windows)
+    assert text.count("ReadSchema: struct<text:string,_hash:string>") == 1
+    # Only the totals per group of ranges meet in one partition.
     single = text[text.index("SinglePartition"):]
-    assert "max(_rank" in single.split("\n")[1]
-    assert "ReadSchema: struct<text:string>" in text
+    assert "_group" in single.split("\n")[1]
+
+
+def test_run_reads_the_source_once(spark, sf_dir):
+    raw = raw_items(spark, sf_dir)
+    text = plan(counted_first_rows(raw, "upc", ORDER))
+    assert text.count("lineitem.parquet") == plan(raw).count("lineitem.parquet")
+    counted = counted_first_rows(raw, "upc", ORDER)
+    want = profile_raw(raw).first().asDict()
+    got = counted.agg(*[F.sum(f"_{n}").alias(n) for n in want]).first().asDict()
+    assert got == want
+    columns = [c for c in counted.columns if not c.startswith("_")]
+    first = dedup_keep_first(clean(raw), "upc", ORDER).select(*columns)
+    assert counted.select(*columns).exceptAll(first).isEmpty() and counted.count() == first.count()
+
+
+@pytest.mark.parametrize("column", ["label", "quantity", "amount"])
+def test_text_functions_are_generated_code(spark, column):
+    texts = materialize(spark.createDataFrame([("In stock (3 available)",)], "x string"), "texts")
+    made = {"label": lambda: with_availability(texts, "x"),
+            "quantity": lambda: texts.select(first_pattern_int("x").alias("q")),
+            "amount": lambda: texts.select(parse_amount("x").alias("a"))}[column]()
+    bare = [line for line in plan(made).splitlines() if "Project" in line and not re.search(r"\*\(\d+\)", line)
+            and not re.match(r"\W*\(\d+\) Project", line)]
+    assert not bare, bare
 
 
 def test_unsized_lookup_does_not_force_a_broadcast(spark):
@@ -149,13 +177,19 @@ def test_scratch_folder_is_the_one_the_session_names():
 
     named = Session(spark_checkpoint_dir="s3a://shared/ck/", spark_master="spark://h:7077")
     assert scratch_root(named) == "s3a://shared/ck"
+    unnamed = Session(spark_master="local[2]")
+    unnamed.sparkContext = SimpleNamespace(applicationId="app-of-this-test")
     with pytest.raises(ValueError):
-        scratch_root(Session(spark_master="spark://h:7077"))
-    assert "martkit-" in scratch_root(Session(spark_master="local[2]"))
+        scratch_root(unnamed)
+    use_scratch(unnamed, "/shared/chosen/")
+    assert scratch_root(unnamed) == "/shared/chosen"
 
 
 def test_sizes():
     small, large = sized_for(1 << 30), sized_for(100 << 40)
     assert small["spark.sql.shuffle.partitions"] == "200"
-    assert large["spark.sql.shuffle.partitions"] == str(100 * 8192)
     assert int(large["spark.sql.files.maxPartitionBytes"]) > int(small["spark.sql.files.maxPartitionBytes"])
+    for size in (1 << 40, 10 << 40, 100 << 40):
+        conf = sized_for(size)
+        partitions, split = int(conf["spark.sql.shuffle.partitions"]), int(conf["spark.sql.files.maxPartitionBytes"])
+        assert size / (size / split) / partitions > 100 << 10
