@@ -38,7 +38,7 @@ def test_quality_on_held_out_rows(corpus):
 def test_toxicity_on_held_out_rows(corpus):
     docs, labels = corpus
     scores = toxicity_scores(docs, labels)
-    assert share_right(scores, labels, "toxic") == 1
+    assert share_right(scores, labels, "toxic") >= 0.95
     for r in scores.collect():
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and 0 <= r.score <= 1
     model = fit_toxicity(docs, labels)
