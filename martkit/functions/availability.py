@@ -41,11 +41,10 @@ def first_pattern_int(c: Column | str, patterns: Sequence[str] = QUANTITY_PATTER
         raise ValueError("the bounds must be 0 and a power of ten")
     c = F.col(c) if isinstance(c, str) else c
     usable = rf"^0*([1-9][0-9]{{0,{digits - 1}}})$"
-    # All matches as one text, each with a separator behind: no match leaves the separator alone.  Strings
-    # only, so the whole of it is generated code and each pattern is evaluated once.
-    hits = F.concat_ws(",", *[F.regexp_extract(F.regexp_extract(c, "(?iU)" + p, 1), usable, 1) for p in patterns])
-    first = F.regexp_extract(hits, "^,*([0-9]+)", 1)
-    return F.when(c.rlike("[0-9]"), F.concat(F.lit("0"), first).cast("int")).when(c.isNotNull(), F.lit(0))
+    # Lazily in order, without a lambda: a pattern is tried only where the ones before it gave nothing, and
+    # only the one that gives the number is evaluated twice.
+    hits = [F.nullif(F.regexp_extract(F.regexp_extract(c, "(?iU)" + p, 1), usable, 1), F.lit("")) for p in patterns]
+    return F.when(c.rlike("[0-9]"), F.coalesce(*hits, F.lit("0")).cast("int")).when(c.isNotNull(), F.lit(0))
 
 
 def stock_status(c: Column | str, lowered: Column | str, quantity: Column | str) -> Column:

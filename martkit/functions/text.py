@@ -77,7 +77,3 @@ def percent_text(c: Column | str) -> Column:
 
 def md5_hex(c: Column | str) -> Column:
     return F.md5(_c(c))
-
-
-def lower(c: Column | str) -> Column:
-    return F.lower(_c(c))

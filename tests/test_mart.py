@@ -2,6 +2,7 @@
 
 import json
 import os
+import re
 from datetime import datetime
 
 import pytest
@@ -9,13 +10,13 @@ from pyspark.sql import functions as F
 
 from martkit.operators.constraints import check_table
 from martkit.plans import mart as M
-from martkit.plans.mart import run_mart, transform
+from martkit.plans.mart import new_run_id, run_mart, transform
 from martkit.schemas import MART_RULES, RAW_ITEM, RATING_ROWS
 from martkit.session import local_frame, scratch_path
 from martkit.sources.readers import TableSpec, default_ratings, jdbc_spec, load_readback, read_or_default, read_table
 from martkit.sources.writers import (
     MartStore, append, export_json, init_tables, load_if_empty, overwrite, read_run_metrics, refresh_in_place,
-    store_items)
+    seed_ratings, store_items)
 
 ORDER = ["scraped_at", "url"]
 
@@ -219,3 +220,21 @@ def test_store_items_modes(spark, raw):
 def test_readback_reports_missing_tables(spark):
     got = load_readback(spark, {"gone": TableSpec(scratch_path(spark, "gone"))})
     assert isinstance(got["gone"], Exception)
+
+
+def test_a_filled_table_survives_an_unrelated_error(spark):
+    rules = {"dim_ratings": MART_RULES["dim_ratings"]}
+    path = scratch_path(spark, "ratings")
+    good = TableSpec(path, schema=rules["dim_ratings"].schema)
+    overwrite(seed_ratings(spark), good)
+    bad = TableSpec(path, "parquet", None, {"mergeSchema": "no such value"})
+    for act in (lambda: init_tables(spark, {"dim_ratings": bad}, rules), lambda: load_if_empty(seed_ratings(spark), bad)):
+        with pytest.raises(Exception):
+            act()
+        assert read_table(spark, good).count() == 6
+
+
+def test_run_id_shape():
+    now = datetime(2026, 2, 10, 10, 25, 25)
+    ids = {new_run_id(now) for _ in range(50)}
+    assert len(ids) == 50 and all(re.fullmatch(r"etl_run_20260210_102525_[0-9a-f]{8}", i) for i in ids)
