@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from martkit.llm import decontaminate, jaccard, line_dedup, mixture, pivot_search, quality_rules, suffix_dedup, surrogates, token_shards, toxicity
 from martkit.llm.base import table
 
+# Words as the operators see them: A-Z lower-cased, runs of letters, digits and anything beyond ASCII.
+_WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -32,7 +36,21 @@ def op4(spark, sf_dir):
     return mixture.mixture(table(spark, sf_dir, "documents"))
 
 
-@query("op7_suffix_automaton")
+@query("op7_suffix_automaton", f"""with d as (select doc_id, {_WORDS} as w from documents),
+b as (select item_id, {_WORDS} as w from benchmark where item_id is not null),
+bw as (select item_id, w, least(len(w), 10) as n, unnest(range(1, len(w) - least(len(w), 10) + 2)) as k from b
+  where len(w) > 0),
+windows as (select distinct item_id, n, array_to_string(w[k:k + n - 1], ' ') as win from bw),
+dw as (select doc_id, w, n, unnest(range(1, cast(len(w) - n + 2 as bigint))) as k
+  from d, (select distinct n from windows) where len(w) >= n),
+hits as (select doc_id, dw.n, k, item_id from dw join windows on dw.n = windows.n and
+  array_to_string(w[k:k + dw.n - 1], ' ') = win),
+places as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(k, k + n)) as p from hits) group by 1),
+items as (select doc_id, count(*) as n_items, string_agg(i, ',' order by i) as ids
+  from (select distinct doc_id, cast(item_id as varchar) as i from hits) group by 1)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join places using (doc_id) left join items using (doc_id)""")
 def op7(spark, sf_dir):
     return decontaminate.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
@@ -43,7 +61,16 @@ def op1(spark, sf_dir):
     return token_shards.write_and_digest(table(spark, sf_dir, "documents"))
 
 
-@query("op3_chosen_path_join")
+@query("op3_chosen_path_join", f"""with recursive d as (select doc_id, {_WORDS} as w from documents),
+p as (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as k from d where len(w) > 0),
+s as (select distinct doc_id, array_to_string(w[k:k + 4], ' ') as g from p),
+z as (select doc_id, count(*) as n from s group by 1),
+shared as (select a.doc_id as x, b.doc_id as y, count(*) as c from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+links as (select x, y from shared join z zx on zx.doc_id = x join z zy on zy.doc_id = y where c >= 0.8 * (zx.n + zy.n - c)),
+reach as (select doc_id as x, doc_id as y from d union select r.x, l.y from reach r join links l on r.y = l.x),
+deg as (select x, count(*) as n_links from links group by 1)
+select r.x as doc_id, min(r.y) as class_id, coalesce(any_value(n_links), 0) as n_links
+from reach r left join deg on deg.x = r.x group by r.x""")
 def op3(spark, sf_dir):
     return jaccard.jaccard_groups(table(spark, sf_dir, "documents"))
 
