@@ -158,7 +158,7 @@ def _place_key(text_hash: int, place: int) -> int:
     return xxhash.xxh3_64_intdigest(text_hash.to_bytes(8, "little", signed=True) + place.to_bytes(8, "little"))
 
 
-OCCURRENCE = "seg bigint, g bigint, doc_id bigint, th bigint, start bigint, size int, place bigint"
+OCCURRENCE = "seg bigint, g bigint, doc_id bigint, th bigint, place bigint, size int"
 
 
 def _occurrences(shared: Shared, length: int):
@@ -172,9 +172,9 @@ def _occurrences(shared: Shared, length: int):
                 whole = raw.tobytes() if keep.any() else b""
                 for g, (p, a, b) in zip(grams[keep].view(np.int64).tolist(), _surroundings(raw, places[keep], length)):
                     # The anchor's place in its surroundings belongs to what must be equal.
-                    rows.append((xxhash.xxh3_64_intdigest(whole[a:b], p - a) - (1 << 63), g, doc, th, a, b - a, p))
+                    rows.append((xxhash.xxh3_64_intdigest(whole[a:b], p - a) - (1 << 63), g, doc, th, p, b - a))
             if rows:
-                kinds = [pa.int64()] * 5 + [pa.int32(), pa.int64()]
+                kinds = [pa.int64()] * 5 + [pa.int32()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
                                                  names=[x.split()[0] for x in OCCURRENCE.split(", ")])
     return run
@@ -311,12 +311,14 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SH
     told = Shared(spark, make_filter(repeated, "g"))
     occurrences = docs.mapInArrow(_occurrences(told, length), OCCURRENCE)
     classes = stored(occurrences.groupBy("seg", "g").agg(
-        F.min(F.struct("doc_id", "th", "start", "place")).alias("first"), F.count("*").alias("n")), "suffix-classes")
+        F.min(F.struct("doc_id", "th", "place")).alias("first"), F.count("*").alias("n")), "suffix-classes")
     # Members of a class beside its first one are repeats as a whole.
     several = classes.filter("n > 1").select("seg", "first")
-    copies = occurrences.filter(F.col("size") >= length).drop("g", "place").join(several, "seg").filter(
-        ~F.struct("doc_id", "th", "start").eqNullSafe(F.struct("first.doc_id", "first.th", "first.start")))
-    copies = copies.select("doc_id", "th", "start", F.col("size").cast("bigint").alias("size"))
+    copies = occurrences.filter(F.col("size") >= length).drop("g").join(several, "seg").filter(
+        ~F.struct("doc_id", "th", "place").eqNullSafe(F.col("first")))
+    reach = length - length // 2
+    copies = copies.select("doc_id", "th", F.greatest(F.lit(0).cast("bigint"), F.col("place") - reach).alias("start"),
+                           F.col("size").cast("bigint").alias("size"))
     # Grams with different surroundings: their firsts are sorted.
     many = stored(classes.groupBy("g").agg(F.count("*").alias("kinds")).filter("kinds > 1"), "suffix-many")
     firsts = classes.join(many.select("g"), "g").select("first.th", "first.place")
@@ -358,20 +360,31 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
-def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        hashes = [th for _, th, _ in _documents(batch)]
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hashes, pa.int64())], names=["doc_id", "text", "th"])
+def _hashed(shared: Shared):
+    """Each document's text hash, and whether the filter may hold it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = shared.value
+        for batch in batches:
+            hashes = np.array([th for _, th, _ in _documents(batch)], np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(hashes), pa.array(in_filter(words, hashes.view(np.uint64)))],
+                names=["doc_id", "text", "th", "touched"])
+    return run
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, **sizes: int) -> DataFrame:
     """Per document: n_bytes, n_removed, n_spans (runs removed), kept_sha256 and ``kept``, the bytes that stay."""
     rows = texts(docs, "doc_id").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    ranges = repeated_ranges(rows, length, **sizes).groupBy("doc_id", "th", "start").agg(F.max("size").alias("size"))
+    ranges = repeated_ranges(rows, length, **sizes)
     per_doc = stored(ranges.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "size")).alias("r")).select(
         F.col("doc_id").alias("its_doc"), F.col("th").alias("its_th"), F.col("r.start").alias("starts"),
         F.col("r.size").alias("sizes")), "suffix-ranges")
-    hashed = rows.mapInArrow(_hashed, "doc_id bigint, text string, th bigint")
-    joined = hashed.join(per_doc, F.col("doc_id").eqNullSafe(F.col("its_doc")) & (F.col("th") == F.col("its_th")), "left")
-    return joined.select("doc_id", "text", "starts", "sizes").mapInArrow(
+    # Only documents that may have ranges meet them in a join; the others stay where they are.
+    told = Shared(docs.sparkSession, make_filter(per_doc.select("its_th").distinct(), "its_th"))
+    hashed = rows.mapInArrow(_hashed(told), "doc_id bigint, text string, th bigint, touched boolean")
+    joined = hashed.filter("touched").join(
+        per_doc, F.col("doc_id").eqNullSafe(F.col("its_doc")) & (F.col("th") == F.col("its_th")), "left")
+    none = [F.lit(None).cast("array<bigint>").alias(c) for c in ("starts", "sizes")]
+    whole = hashed.filter("not touched").select("doc_id", "text", *none)
+    return joined.select("doc_id", "text", "starts", "sizes").unionByName(whole).mapInArrow(
         _apply, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
