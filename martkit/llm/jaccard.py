@@ -7,8 +7,8 @@ sets that keep the same ones hold them together.  Two such choices make the firs
 buckets that are still large are split by further choices.  Small buckets are compared set by
 set; runs repeat until the chance to miss a pair is below ``1 - recall``.
 
-Work is bounded for hot buckets: every member is compared with the bucket's first member,
-which already joins most of a group of near copies; a bucket whose members are one group by
+Work is bounded for hot buckets: every set is first compared with two of the sets that lead its
+buckets, which already joins most of a group of near copies; a bucket whose members are one group by
 then is finished, as pairs inside a group are counted exactly once, at the end, in blocks.
 Equal sets are one class with a number of copies and are never expanded.
 
@@ -327,9 +327,10 @@ def jaccard_groups(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     wanted = live.select("rid").distinct().join(classes, "rid").select("rid", F.col("rep").alias("doc_id"))
     sets = stored(rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["doc_id"])).select("rid", "text").mapInArrow(
         _sets(shingle), "rid bigint, own binary"), "jaccard-sets")
-    # Every member of a bucket against the bucket's first one.
-    links = stored(verified(live.filter("rid <> low").select(F.col("low").alias("a"), F.col("rid").alias("b")),
-                            sets, threshold), "jaccard-links")
+    # Every set against two of the sets that are first in its buckets: that joins most of a group.
+    firsts = live.filter("rid <> low").groupBy("rid").agg(F.array_distinct(F.array(F.min("low"), F.max("low"))).alias("low"))
+    links = stored(verified(firsts.select(F.explode("low").alias("a"), F.col("rid").alias("b")), sets, threshold),
+                   "jaccard-links")
     for level in range(3, DEPTH + 1):
         groups = stored(components(links), "jaccard-groups")
         named = live.join(groups, F.col("rid") == F.col("member"), "left").select(
