@@ -46,11 +46,11 @@ from martkit.session import scratch_path
 
 MAGIC = 0x3153444944524F57
 #: Encoded words that a task remembers at most; then it starts anew.
-MEMORY_WORDS = 1_000_000
+MEMORY_WORDS = 500_000
 #: Texts whose words are looked up together.
 TEXTS = 64
 #: Bytes of text that one shard aims at: large enough that most words of a shard are known ones.
-SHARD_BYTES = 64 << 20
+SHARD_BYTES = 32 << 20
 #: Bytes of ids read from a shard at once.
 BLOCK = 8 << 20
 
@@ -249,9 +249,10 @@ def _write(shared: Shared, root: str, end_id: int, by_word: bool):
             column = batch.column("doc_id")
             nulls += column.null_count
             keys.append(column.fill_null(0).to_numpy(zero_copy_only=False))
-            for ids in encoder(batch.column("text").to_pylist()):
-                lengths.append(len(ids) // encoder.width)
-                out.write(ids)
+            for at in range(0, batch.num_rows, TEXTS):
+                for ids in encoder(batch.column("text").slice(at, TEXTS).to_pylist()):
+                    lengths.append(len(ids) // encoder.width)
+                    out.write(ids)
         if out is None:
             return
         out.close()
