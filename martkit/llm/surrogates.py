@@ -18,7 +18,6 @@ results.  Other columns are not read by ``surrogate_report`` and kept by ``repla
 from __future__ import annotations
 
 import hashlib
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
