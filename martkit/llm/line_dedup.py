@@ -3,9 +3,9 @@
 Two lines within ``threshold`` edits of each other agree in one of ``threshold + 1`` segments of
 the shorter one, near the place where it stands there.  Every line is indexed by its segments
 and probes those of lines of its own length and up to ``threshold`` less, at the few places that
-the edits left and right of a segment allow.  What meets on a segment is checked by the parity of
-letter counts (an edit changes two at most) inside the join, and then by the edit distance: a
-band of 2 * threshold + 1 diagonals, kept as bits of one number.
+the edits left and right of a segment allow.  What meets on a segment is checked by the counts of
+some letters (an edit changes two by one at most) inside the join, and then by the edit distance:
+a band of 2 * threshold + 1 diagonals, kept as bits of one number.
 
 Equal lines are one: they are counted first by a partial aggregate, and lines with many copies
 enter the join once.  Lines that links join, directly or over others, are a class; the first
@@ -27,8 +27,10 @@ THRESHOLD = 2
 MIN_CHARS = 24
 #: Lines with more copies enter the join once; others as often as they occur.
 COPIES = 20
-# The letters whose parity is compared.
-LETTERS = "etaoinshrdlucmfwypgbvkE."
+# The letters whose counts are compared.
+LETTERS = "etaoin"
+#: Rows up to which a table of hashes is sent to the tasks; a larger one is joined by shuffle.
+SENT_ROWS = 200_000
 
 
 def lines_of(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -38,13 +40,24 @@ def lines_of(docs: DataFrame, min_chars: int) -> DataFrame:
         "doc_id", "pos", "line", F.xxhash64("line").alias("h"))
 
 
-def parity(line: Column) -> Column:
-    """One bit per letter of LETTERS: whether it occurs an odd number of times."""
-    bits = F.lit(0)
+def letter_counts(line: Column) -> Column:
+    """How often each letter of LETTERS occurs, 1,023 at most, in ten bits each of one number."""
+    out = F.lit(0).cast("bigint")
     for i, c in enumerate(LETTERS):
-        odd = (F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))).bitwiseAND(1)
-        bits = bits.bitwiseOR(F.shiftleft(odd, i))
-    return bits
+        n = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit("")))
+        out = out + F.shiftleft(F.least(n, F.lit(1023)).cast("bigint"), 10 * i)
+    return out
+
+
+def counts_apart(a: Column, b: Column) -> Column:
+    """By how much the counts of two lines differ in all."""
+    return sum((F.abs(F.shiftright(a, 10 * i).bitwiseAND(1023) - F.shiftright(b, 10 * i).bitwiseAND(1023))
+                for i in range(len(LETTERS))), F.lit(0))
+
+
+def _sent(table: DataFrame) -> DataFrame:
+    """A finished table, marked to be sent to all tasks if it is small enough."""
+    return F.broadcast(table) if table.count() <= SENT_ROWS else table
 
 
 def _segment(length: Column, parts: int, i: int) -> tuple[Column, Column]:
@@ -131,23 +144,23 @@ def within(a: Column, b: Column, threshold: int) -> Column:
 
 
 def near_pairs(lines: DataFrame, counts: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """Pairs (a, b) of hashes of different lines that may be near: they meet on a segment and in parity."""
+    """Pairs (a, b) of hashes of different lines that may be near: they meet on a segment and in letter counts."""
     many = counts.filter(F.col("n") > COPIES).select("h", F.col("first").alias("kept"))
-    once = lines.join(many, "h", "left").filter(
+    once = lines.join(_sent(many), "h", "left").filter(
         F.col("kept").isNull() | F.col("kept").eqNullSafe(F.struct("doc_id", "pos")))
-    rows = once.select("h", "line", F.length("line").alias("size"), parity(F.col("line")).alias("parity"))
-    index = rows.select("h", "parity", F.explode(index_keys(F.col("line"), F.col("size"), threshold)).alias("key"))
-    probe = rows.select(F.col("h").alias("other"), F.col("parity").alias("their"), F.explode(
+    rows = once.select("h", "line", F.length("line").alias("size"), letter_counts(F.col("line")).alias("letters"))
+    index = rows.select("h", "letters", F.explode(index_keys(F.col("line"), F.col("size"), threshold)).alias("key"))
+    probe = rows.select(F.col("h").alias("other"), F.col("letters").alias("their"), F.explode(
         probe_keys(F.col("line"), F.col("size"), threshold)).alias("key"))
     met = index.join(probe, (index["key"] == probe["key"]) & (F.col("h") != F.col("other")) & (
-        F.bit_count(F.col("parity").bitwiseXOR(F.col("their"))) <= 2 * threshold))
+        counts_apart(F.col("letters"), F.col("their")) <= 2 * threshold))
     return met.select(F.least("h", "other").alias("a"), F.greatest("h", "other").alias("b")).distinct()
 
 
 def near_links(lines: DataFrame, pairs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """The pairs whose lines are within the threshold."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
-    wanted = stored(lines.select("h", "line").join(ends, "h", "left_semi").groupBy("h").agg(
+    ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct(), "lines-ends")
+    wanted = stored(lines.select("h", "line").join(_sent(ends), "h", "left_semi").groupBy("h").agg(
         F.min("line").alias("line")), "lines-wanted")
     both = pairs.join(wanted.select(F.col("h").alias("a"), F.col("line").alias("one")), "a").join(
         wanted.select(F.col("h").alias("b"), F.col("line").alias("two")), "b")
