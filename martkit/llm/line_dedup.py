@@ -11,8 +11,10 @@ Equal lines are one: they are counted first by a partial aggregate, and lines wi
 enter the join once.  Lines that links join, directly or over others, are a class; the first
 line of a class (smallest document, then smallest number) stays and its other lines go.
 
-Only lines of ``min_chars`` characters or more are compared; shorter ones always stay, as do
-empty texts; null texts have no lines.  Null ids come before all others.  Rows that agree in id
+Lines of ``min_chars`` characters or more are compared with ``threshold`` edits.  With ``short``
+every other line that is not empty takes part too: lines of ONE_EDIT_CHARS characters or more with
+one edit (the shorter line of a pair says how many), and below that copies alone go.  Without it
+shorter lines stay.  Empty lines and texts stay; null texts have no lines.  Null ids come before all others.  Rows that agree in id
 are one document: equal rows get equal results.  Other columns are kept by ``drop_lines``.
 """
 
@@ -25,6 +27,8 @@ from martkit.llm.components import components
 
 THRESHOLD = 2
 MIN_CHARS = 24
+#: Lines of fewer than ``min_chars`` but so many characters are compared with one edit, as two would join unlike words.
+ONE_EDIT_CHARS = 12
 #: Lines with more copies enter the join once; others as often as they occur.
 COPIES = 20
 # The letters whose counts are compared.
@@ -171,33 +175,61 @@ def near_links(lines: DataFrame, pairs: DataFrame, threshold: int = THRESHOLD) -
                           within(F.col("one"), F.col("two"), threshold)).select("a", "b")
 
 
-def repeated_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
+def short_links(lines: DataFrame, low: int, high: int) -> DataFrame:
+    """Links (a, b) that join lines within one edit whose shorter one has ``low`` to ``high`` - 1 characters.
+
+    Lines that agree without the character at one place are linked to the first of them, and a line
+    to every line that it becomes without one character: no pairs are formed, whatever the groups.
+    """
+    rows = stored(lines.filter(F.length("line").between(low, high)).select("h", "line").distinct(), "lines-short")
+    line, shorter = F.col("line"), rows.filter(F.length("line") < high)
+
+    def without(i: Column) -> Column:
+        return F.concat(F.substring(line, F.lit(1), i - 1), F.substring(line, i + 1, F.length(line)))
+    places = F.sequence(F.lit(1), F.length(line))
+    keys = shorter.select("h", F.explode(F.transform(places, lambda i: F.xxhash64(i, without(i)))).alias("key"))
+    groups = stored(keys.groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("last")).filter("a < last")
+                    .select("key", "a"), "lines-replaced")
+    replaced = keys.join(_sent(groups), "key").filter("h <> a").select("a", F.col("h").alias("b"))
+    dropped = rows.filter(F.length("line") > low).select(F.col("h").alias("b"), F.explode(
+        F.array_distinct(F.transform(places, lambda i: F.xxhash64(without(i))))).alias("a"))
+    dropped = dropped.join(_sent(stored(shorter.select(F.col("h").alias("a")), "lines-shorter")), "a")
+    return replaced.unionByName(dropped.select("a", "b")).distinct()
+
+
+def repeated_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS,
+                   short: bool = False) -> DataFrame:
     """doc_id and pos of every line that is not the first one of its class, with its class."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    lines = lines_of(rows, min_chars)
+    lines = lines_of(rows, 1 if short else min_chars)
+    compared = lines.filter(F.length("line") >= min_chars)
     occurrences = stored(lines.select("doc_id", "pos", "h"), "lines-occurrences")
     counts = stored(occurrences.groupBy("h").agg(
         F.min(F.struct("doc_id", "pos")).alias("first"), F.count("*").alias("n")), "lines-counts")
-    pairs = stored(near_pairs(lines, counts, threshold), "lines-pairs")
-    links = stored(near_links(lines, pairs, threshold), "lines-links")
+    pairs = stored(near_pairs(compared, counts, threshold), "lines-pairs")
+    links = near_links(compared, pairs, threshold)
+    if short and threshold > 0:
+        links = links.unionByName(short_links(lines, ONE_EDIT_CHARS, min_chars))
+    links = stored(links, "lines-links")
     roots = stored(components(links), "lines-classes")
     classes = counts.join(roots, F.col("h") == F.col("member"), "left").select(
         "h", "first", "n", F.coalesce("root", "h").alias("class_id"), F.col("root").isNotNull().alias("linked"))
     firsts = classes.filter("linked").groupBy("class_id").agg(F.min("first").alias("class_first"))
     known = classes.filter((F.col("n") > 1) | F.col("linked")).join(firsts, "class_id", "left").select(
         "h", "class_id", F.coalesce("class_first", "first").alias("class_first"))
-    return occurrences.join(stored(known, "lines-known"), "h").filter(
+    return occurrences.join(_sent(stored(known, "lines-known")), "h").filter(
         ~F.struct("doc_id", "pos").eqNullSafe(F.col("class_first"))).select("doc_id", "pos", "class_id")
 
 
-def _removed(docs: DataFrame, threshold: int, min_chars: int) -> DataFrame:
-    gone = repeated_lines(docs, threshold, min_chars)
+def _removed(docs: DataFrame, threshold: int, min_chars: int, short: bool) -> DataFrame:
+    gone = repeated_lines(docs, threshold, min_chars, short)
     return gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("pos")).alias("removed"))
 
 
-def line_report(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
+def line_report(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS,
+                short: bool = False) -> DataFrame:
     """Per document: its lines, how many of them are removed, and the numbers (from 0) of those."""
-    gone = _removed(docs, threshold, min_chars).withColumnRenamed("doc_id", "its_doc")
+    gone = _removed(docs, threshold, min_chars, short).withColumnRenamed("doc_id", "its_doc")
     rows = docs.select("doc_id", F.when(F.col("text").isNull() | (F.col("text") == ""), F.lit(0)).otherwise(
         F.size(F.split("text", "\n"))).cast("bigint").alias("n_lines"))
     return rows.join(gone, rows["doc_id"].eqNullSafe(gone["its_doc"]), "left").select(
@@ -205,9 +237,10 @@ def line_report(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MI
         F.coalesce("removed", F.array().cast("array<int>")).alias("removed_lines"))
 
 
-def drop_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
+def drop_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS,
+               short: bool = False) -> DataFrame:
     """``docs`` without the repeated lines; all columns kept in place."""
-    gone = _removed(docs, threshold, min_chars).withColumnRenamed("doc_id", "its_doc")
+    gone = _removed(docs, threshold, min_chars, short).withColumnRenamed("doc_id", "its_doc")
     rows = docs.select(F.struct("*").alias("row"), "doc_id")
     kept = F.array_join(F.filter(F.split("row.text", "\n"), lambda line, i: ~F.array_contains("removed", i)), "\n")
     text = F.when(F.col("removed").isNull(), F.col("row.text")).otherwise(kept)
