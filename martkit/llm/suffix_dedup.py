@@ -6,7 +6,8 @@ document of smaller id, or further up in the same one).
 Every window of ``length`` bytes holds an anchor: the last of its smallest grams (by hash) of half
 that size.  Equal windows have equal anchors at the same place, so only the surroundings of grams
 that occur more than once can hold repeats.  Equal surroundings are counted, not compared: all but
-the first are repeats as a whole.  The different surroundings of a gram are dealt by it to shards;
+the first are repeats as a whole.  The different surroundings of a gram, each as its first document
+has it and no copy of that, are dealt by it to shards;
 each shard is sorted by ``induced_sort`` with its queues on disk, and runs of suffixes with a
 common prefix of ``length`` are the repeats.  A gram with very many different surroundings does
 not go to one shard: its windows are compared by a partial aggregate over their contents' hash.
@@ -154,8 +155,10 @@ def _surroundings(raw: np.ndarray, places: np.ndarray, length: int) -> Iterator[
         yield p, max(0, p - reach), min(len(raw), p + length)
 
 
-def _place_key(text_hash: int, place: int) -> int:
-    return xxhash.xxh3_64_intdigest(text_hash.to_bytes(8, "little", signed=True) + place.to_bytes(8, "little"))
+def _place_keys(doc: np.ndarray, th: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Filter keys of places in documents; a null id counts as 0, which only costs a wrong hit."""
+    with np.errstate(over="ignore"):
+        return _mix(_mix(_mix(doc.view(np.uint64)) ^ th.view(np.uint64)) + place.view(np.uint64) * _BASE)
 
 
 OCCURRENCE = "seg bigint, g bigint, doc_id bigint, th bigint, place bigint, size int"
@@ -190,9 +193,8 @@ def _contents(shared: Shared, length: int):
                 grams, places = anchors.find(raw)
                 if not len(places):
                     continue
-                # Cheap first: only places that the filter of (text, place) may hold are cut out.
-                keys = np.array([_place_key(th, p) for p in places.tolist()], np.uint64)
-                keep = in_filter(words, keys)
+                # Cheap first: only places that the filter of (document, text, place) may hold are cut out.
+                keep = in_filter(words, _place_keys(np.array([doc or 0], np.int64), np.array([th], np.int64), places))
                 whole = raw.tobytes() if keep.any() else b""
                 for g, (p, a, b) in zip(grams[keep].view(np.int64).tolist(), _surroundings(raw, places[keep], length)):
                     rows.append((g, doc, th, a, p, whole[a:b]))
@@ -205,8 +207,9 @@ def _contents(shared: Shared, length: int):
 
 def _keys_of_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keys = [_place_key(t, p) for t, p in zip(batch.column("th").to_pylist(), batch.column("place").to_pylist())]
-        yield pa.RecordBatch.from_arrays([pa.array(np.array(keys, np.uint64).view(np.int64))], names=["key"])
+        doc = batch.column("doc_id").fill_null(0)
+        keys = _place_keys(*(c.to_numpy() for c in (doc, batch.column("th"), batch.column("place"))))
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64))], names=["key"])
 
 
 def _opener(root: str):
@@ -321,11 +324,14 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SH
                            F.col("size").cast("bigint").alias("size"))
     # Grams with different surroundings: their firsts are sorted.
     many = stored(classes.groupBy("g").agg(F.count("*").alias("kinds")).filter("kinds > 1"), "suffix-many")
-    firsts = classes.join(many.select("g"), "g").select("first.th", "first.place")
+    firsts = stored(classes.join(many, "g").select("g", "kinds", "first.*"), "suffix-firsts")
     chosen = Shared(spark, make_filter(firsts.mapInArrow(_keys_of_places, "key bigint"), "key"))
-    contents = stored(docs.mapInArrow(
-        _contents(chosen, length), "g bigint, doc_id bigint, th bigint, start bigint, place bigint, own binary")
-        .filter(F.length("own") >= length).join(many, "g"), "suffix-contents")
+    found = docs.mapInArrow(
+        _contents(chosen, length), "g bigint, doc_id bigint, th bigint, start bigint, place bigint, own binary").filter(
+        F.length("own") >= length).groupBy("g", "th", "place").agg(F.min(F.struct("doc_id", "start", "own")).alias("row"))
+    # A text's place is the first of one class at most, and repeated rows are one document: a gram has ``kinds`` rows.
+    contents = stored(found.join(firsts.withColumnRenamed("doc_id", "its_doc"), ["g", "th", "place"]).filter(
+        F.col("row.doc_id").eqNullSafe(F.col("its_doc"))).select("g", "th", "row.*", "kinds"), "suffix-contents")
     total = contents.filter(F.col("kinds") <= shard_group).agg(F.sum(F.length("own") + 1)).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
     root = scratch_path(spark, "suffix-queues")
