@@ -39,8 +39,9 @@ DEPTH = 4
 #: How many times as many shingles are chosen where a large bucket is split: few buckets are, so
 #: their sets can afford more of them, and hardly a pair is parted there.
 SPLIT = 4
-#: Sets that meet another block of sets in one task.
+#: Sets, and shingles of them in all, that meet another block of sets in one task.
 BLOCK = 512
+BLOCK_SHINGLES = 1 << 20
 #: Bytes of text hashed at once.
 CHUNK = 4 << 20
 
@@ -147,10 +148,10 @@ def _first_buckets(threshold: float, runs: int, shingle: int):
                 order = np.argsort(docs, kind="stable")
                 offsets = np.searchsorted(docs[order], np.arange(len(sizes) + 1))
                 yield pa.RecordBatch.from_arrays([
-                    small.column("doc_id"), pa.array(_set_ids(hashes, bounds), pa.int64(), mask=sizes == 0),
+                    small.column("doc_id"), small.column("th"), pa.array(_set_ids(hashes, bounds), pa.int64(), mask=sizes == 0),
                     pa.array(sizes.astype(np.int32)),
                     pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(nodes[order].view(np.int64)))],
-                    names=["doc_id", "rid", "n", "nodes"])
+                    names=["doc_id", "th", "rid", "n", "nodes"])
     return run
 
 
@@ -302,26 +303,23 @@ def _cross(threshold: float):
     return run
 
 
-def _cells(rows: DataFrame, group: str, size: str) -> DataFrame:
-    """Each row of a group of ``size`` members, once for every pair of blocks that its block is in."""
-    count = F.ceil(F.col(size) / BLOCK).cast("int")
+def _cells(rows: DataFrame) -> DataFrame:
+    """Each row of a group of ``size`` sets with ``total`` shingles, once for every pair of blocks that its block is in."""
+    count = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
     blocks = rows.withColumn("count", count).withColumn("block", F.pmod(F.hash("rid"), F.col("count")))
     return blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("count") - 1))).withColumns({
         "i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other", "count")
 
 
-def jaccard_groups(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL,
-                   shingle: int = SHINGLE) -> DataFrame:
-    """Per document: ``class_id``, the smallest id of its group, and ``n_links``, the documents similar to it.
-
-    A group is what links join, directly or over others.  Equal texts count as links.
-    """
-    rows = texts(docs, "doc_id")
+def _linked(docs: DataFrame, threshold: float, recall: float, shingle: int) -> tuple[DataFrame, ...]:
+    """(members, classes, sets, groups): documents with their set's id, sets with copies and first document,
+    shingles of sets that share a bucket, and the root of every set that a link joins to others."""
+    rows = texts(docs, "doc_id").withColumn("th", F.xxhash64("text"))
     members = stored(rows.mapInArrow(
         _first_buckets(threshold, runs_for(recall), shingle),
-        "doc_id bigint, rid bigint, n int, nodes array<bigint>"), "jaccard-members")
+        "doc_id bigint, th bigint, rid bigint, n int, nodes array<bigint>"), "jaccard-members")
     classes = stored(members.filter("rid is not null").groupBy("rid").agg(
-        F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "jaccard-classes")
+        F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.max("n").alias("n")), "jaccard-classes")
     live = stored(_shared(members.filter("rid is not null").select(F.explode("nodes").alias("node"), "rid"))
                   .distinct(), "jaccard-buckets")
     wanted = live.select("rid").distinct().join(classes, "rid").select("rid", F.col("rep").alias("doc_id"))
@@ -345,7 +343,8 @@ def jaccard_groups(docs: DataFrame, threshold: float = THRESHOLD, recall: float
         large = mixed.filter(F.col("size") > SMALL)
         last = level == DEPTH or large.isEmpty()
         if last:
-            grid = _cells(large.join(sets.dropDuplicates(["rid"]), "rid"), "node", "size")
+            totals = large.join(classes.select("rid", "n"), "rid").groupBy("node").agg(F.sum("n").alias("total"))
+            grid = _cells(large.join(totals, "node").join(sets.dropDuplicates(["rid"]), "rid"))
             found.append(grid.select("node", "i", "j", "block", "rid", "own").groupBy("node", "i", "j").applyInArrow(
                 _cross(threshold), "a bigint, b bigint"))
         else:
@@ -362,11 +361,20 @@ def jaccard_groups(docs: DataFrame, threshold: float = THRESHOLD, recall: float
         links = stored(links.unionByName(new).distinct(), "jaccard-links")
         if last:
             break
-    groups = stored(components(links), "jaccard-groups")
-    sizes = groups.groupBy("root").agg(F.count("*").alias("size"))
-    grouped = groups.join(sizes, "root").select("root", "size", F.col("member").alias("rid")).join(
-        classes.select("rid", "copies"), "rid").join(sets, "rid")
-    counts = _cells(grouped, "root", "size").select("root", "i", "j", "block", "rid", "copies", "own").groupBy(
+    return members, classes, sets, stored(components(links), "jaccard-groups")
+
+
+def jaccard_groups(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL,
+                   shingle: int = SHINGLE) -> DataFrame:
+    """Per document: ``class_id``, the smallest id of its group, and ``n_links``, the documents similar to it.
+
+    A group is what links join, directly or over others.  Equal texts count as links.
+    """
+    members, classes, sets, groups = _linked(docs, threshold, recall, shingle)
+    named = groups.withColumnRenamed("member", "rid").join(classes.select("rid", "copies", "n"), "rid")
+    sizes = named.groupBy("root").agg(F.count("*").alias("size"), F.sum("n").alias("total"))
+    grouped = named.select("rid", "root", "copies").join(sizes, "root").join(sets, "rid")
+    counts = _cells(grouped).select("root", "i", "j", "block", "rid", "copies", "own").groupBy(
         "root", "i", "j").applyInArrow(_cell(threshold), "rid bigint, links bigint")
     counts = counts.groupBy("rid").agg(F.sum("links").alias("links"))
     firsts = groups.join(classes, F.col("member") == F.col("rid")).groupBy("root").agg(F.min("rep").alias("first"))
@@ -381,6 +389,11 @@ def jaccard_groups(docs: DataFrame, threshold: float = THRESHOLD, recall: float
 
 def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One document of each group stays: the one with the smallest id.  All columns as they came."""
-    groups = jaccard_groups(docs, threshold)
-    gone = groups.filter(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias("gone")).distinct()
+    members, classes, _, groups = _linked(docs, threshold, RECALL, SHINGLE)
+    named = members.join(groups, F.col("rid") == F.col("member"), "left").select(
+        "doc_id", F.coalesce("root", "rid").alias("class"))
+    firsts = classes.join(groups, F.col("rid") == F.col("member"), "left").groupBy(
+        F.coalesce("root", "rid").alias("class")).agg(F.min("rep").alias("first"))
+    gone = named.join(firsts, "class").filter(F.col("doc_id") != F.col("first")).select(
+        F.col("doc_id").alias("gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
