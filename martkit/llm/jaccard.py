@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from martkit.llm.base import stored, texts
 from martkit.llm.components import components
@@ -388,12 +388,29 @@ def jaccard_groups(docs: DataFrame, threshold: float = THRESHOLD, recall: float
 
 
 def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One document of each group stays: the one with the smallest id.  All columns as they came."""
-    members, classes, _, groups = _linked(docs, threshold, RECALL, SHINGLE)
-    named = members.join(groups, F.col("rid") == F.col("member"), "left").select(
-        "doc_id", F.coalesce("root", "rid").alias("class"))
-    firsts = classes.join(groups, F.col("rid") == F.col("member"), "left").groupBy(
-        F.coalesce("root", "rid").alias("class")).agg(F.min("rep").alias("first"))
-    gone = named.join(firsts, "class").filter(F.col("doc_id") != F.col("first")).select(
-        F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
+    """One row of each group stays: the one with the smallest id, then text hash.  All columns as they came.
+
+    Null ids come after all others.  Rows that agree in id and text are one document; of those without
+    words, rows of null id cannot be told apart and all stay.
+    """
+    members, _, _, groups = _linked(docs, threshold, RECALL, SHINGLE)
+    own = members.groupBy("doc_id", "th", "rid").agg(F.count("*").alias("rows"))
+    own = stored(own.join(groups, F.col("rid") == F.col("member"), "left").select(
+        "doc_id", "th", "rows", F.coalesce("root", "rid").alias("class")), "jaccard-documents")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "th")
+    firsts = own.filter("class is not null").groupBy("class").agg(F.min(place).alias("first"))
+    stays = F.col("class").isNull() | place.eqNullSafe(F.col("first"))
+    again = (F.col("rows") > 1) & (F.col("class").isNotNull() | F.col("doc_id").isNotNull())
+    marked = own.join(firsts, "class", "left").select(
+        F.col("doc_id").alias("its_doc"), F.col("th").alias("its_th"), stays.alias("stays"), again.alias("again"))
+    told = stored(marked.filter("again or not stays"), "jaccard-told")
+    rows = docs.select(F.struct("*").alias("row")).select(
+        "row", "row.doc_id", F.xxhash64(F.coalesce("row.text", F.lit(""))).alias("th"))
+
+    def same(other: DataFrame) -> Column:
+        return rows["doc_id"].eqNullSafe(other["its_doc"]) & (rows["th"] == other["its_th"])
+    # Of equal documents one row: the rank filter is a limit in every task before the shuffle.
+    repeated = told.filter("stays")
+    rank = F.row_number().over(Window.partitionBy("doc_id", "th").orderBy(F.xxhash64("row")))
+    one = rows.join(repeated, same(repeated), "left_semi").withColumn("rank", rank).filter("rank = 1")
+    return rows.join(told, same(told), "left_anti").select("row.*").unionByName(one.select("row.*"))
