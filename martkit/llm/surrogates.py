@@ -2,7 +2,7 @@
 
 Mails, addresses of machines, phone numbers, cards, accounts, secrets and persons are found by
 one pattern and replaced by others of the same kind: same length, punctuation, letter case and
-script, same gender of given names, same validity of check digits.  The replacement is a function of a
+script (letters of scripts without a list here become Latin ones), same gender of given names, same validity of check digits.  The replacement is a function of a
 secret key and the entity alone, so a person or number is the same everywhere in the corpus
 (whatever its letter case or separators).  Entities of the corpus are then checked against each
 other: where two would share a replacement, or one would equal an entity that occurs, one of
@@ -40,8 +40,15 @@ TITLES = "Mr Mrs Ms Dr Prof Herr Frau Señor Señora Monsieur Madame".split()
 
 _NAMES = "|".join(n for names in GIVEN.values() for n in names)
 _SURNAME = r"\p{Lu}\p{Ll}+(?:[-']\p{Lu}\p{Ll}+)*"
+# Scripts without spaces between words.  A mail address is of these or of other letters, so the
+# sentence around an address does not belong to it.
+_JOINED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+_HOST = (rf"(?:[\p{{L}}\p{{M}}\p{{N}}\-&&[^{_JOINED}]]+|[{_JOINED}]+)"
+         rf"(?:\.(?:[\p{{L}}\p{{M}}\p{{N}}\-&&[^{_JOINED}]]+|[{_JOINED}]+))*"
+         rf"\.(?:[\p{{L}}\p{{M}}&&[^{_JOINED}]]{{2,}}|[{_JOINED}]{{2,}})")
+_LOCAL = rf"[\p{{L}}\p{{M}}\p{{N}}_.+\-&&[^{_JOINED}]]"
 PATTERNS = {
-    "mail": r"(?<![\w.+-])[A-Za-z0-9][\w.+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "mail": rf"(?:(?<!{_LOCAL})[\p{{L}}\p{{N}}&&[^{_JOINED}]]{_LOCAL}*|(?<![{_JOINED}])[{_JOINED}]+)@{_HOST}",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![\w]|\.[0-9])",
     "account": r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "card": r"(?<![\w.+-])[0-9](?:[ -]?[0-9]){12,18}(?![\w])",
@@ -101,6 +108,9 @@ def _like(c: Column, digest: Column, i: Column, hex_only: Column) -> Column:
         hex_only & F.regexp_like(low, F.lit("[a-f]")), F.lit("abcdef"))
     for letters in _LETTERS:
         alphabet = alphabet.when(F.instr(F.lit(letters), low) > 0, F.lit(letters))
+    # Letters and digits that no list holds must not stay either.
+    alphabet = alphabet.when(F.regexp_like(c, F.lit(r"\p{L}")), F.lit(_LETTERS[1])).when(
+        F.regexp_like(c, F.lit(r"\p{N}")), F.lit("0123456789"))
     return F.when(alphabet.isNull() | (F.length(c) == 0), c).otherwise(_letter(digest, i, alphabet))
 
 
