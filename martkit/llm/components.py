@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from martkit.llm.base import stored
 
-ROUNDS = 60
-
 
 def _mark(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
@@ -22,8 +20,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     a join that adaptive execution can split.  Links never meet in one place.
     """
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
-    mark = _mark(edges)
-    for _ in range(ROUNDS):
+    before, mark = None, _mark(edges)
+    # Every round but the last brings links closer to stars, so this ends, after few rounds as a rule.
+    while mark != before:
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -33,7 +32,5 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             least.select("u", F.col("m").alias("v")))
         edges = stored(small.filter("u <> v").distinct(), "components")
         before, mark = mark, _mark(edges)
-        if mark == before:
-            break
     stars = edges.select(F.col("u").alias("member"), F.col("v").alias("root"))
     return stars.union(edges.select(F.col("v").alias("member"), F.col("v").alias("root")).distinct())
