@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+#: Copies of a row that one row is dealt out into at once.
+PIECE = 10_000
 
 def dedup_keep_first(df: DataFrame, keys: str | Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of every key in ascending ``order`` (NULLs first).
@@ -50,16 +52,28 @@ def later_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -
     """Every row that is not the first of its key.
 
     The winners are joined on key and order together, so the shuffle is even however many
-    rows share one key.  Of rows that tie for the first place one stays: among the tied
-    rows alone, which are few unless a table repeats itself, one is left out by number.
+    rows share one key.  Of rows that tie for the first place one stays.  Tied rows are counted
+    by a partial aggregate over all columns, the count of each key's smallest one is lowered
+    by one, and the counts are dealt out again in pieces, so a table that repeats itself meets
+    in no task either.
     """
     winners = first_keys(df, keys, order)
     on = [df[c].eqNullSafe(winners[c]) for c in [*keys, *order]]
     tied = df.join(winners, on, "left_semi")
-    # A hash of the whole row makes the choice the same when a task runs again.
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(*df.columns)))
-    return df.join(winners, on, "left_anti").unionByName(
-        tied.withColumn("_rn", rank).where("_rn > 1").drop("_rn"))
+    rows = tied.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
+    own = [F.col("_row")[k].alias(f"_k{i}") for i, k in enumerate(keys)]
+    counted = rows.groupBy("_row").agg(F.count("*").alias("_n")).select(*own, "_row", "_n")
+    names = [f"_k{i}" for i in range(len(keys))]
+    # A row that is the smallest of its key loses one copy.
+    least = rows.groupBy(*own).agg(F.min("_row").alias("_least")).withColumn("_h", F.xxhash64("_least"))
+    counted = counted.withColumn("_own", F.xxhash64("_row"))
+    left = counted.join(least.drop(*names), (F.col("_own") == F.col("_h")) & F.col("_row").eqNullSafe(F.col("_least")),
+                        "left").select("_row", (F.col("_n") - F.col("_least").isNotNull().cast("int")).alias("_n"))
+    pieces = left.filter("_n > 0").select("_row", "_n", F.explode(F.sequence(
+        F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / PIECE))).alias("_piece"))
+    again = pieces.repartition("_row", "_piece").select("_row", F.explode(F.sequence(
+        F.lit(1).cast("bigint"), F.least(F.lit(PIECE).cast("bigint"), F.col("_n") - F.col("_piece") * PIECE))).alias("_copy"))
+    return df.join(winners, on, "left_anti").unionByName(again.select("_row.*"))
 
 
 def dedup_stats(df: DataFrame, key: str) -> DataFrame:
