@@ -48,7 +48,9 @@ _HOST = (rf"(?:[\p{{L}}\p{{M}}\p{{N}}\-&&[^{_JOINED}]]+|[{_JOINED}]+)"
          rf"\.(?:[\p{{L}}\p{{M}}&&[^{_JOINED}]]{{2,}}|[{_JOINED}]{{2,}})")
 _LOCAL = rf"[\p{{L}}\p{{M}}\p{{N}}_.+\-&&[^{_JOINED}]]"
 PATTERNS = {
-    "mail": rf"(?:(?<!{_LOCAL})[\p{{L}}\p{{N}}&&[^{_JOINED}]]{_LOCAL}*|(?<![{_JOINED}])[{_JOINED}]+)@{_HOST}",
+    # The first test of each branch is only there to fail fast; "@" is in no class, so nothing need be given back.
+    "mail": (rf"(?:(?<![A-Za-z0-9])(?<!{_LOCAL})[\p{{L}}\p{{N}}&&[^{_JOINED}]]{_LOCAL}*+"
+             rf"|(?=[^\x00-\x7F])(?<![{_JOINED}])[{_JOINED}]++)@{_HOST}"),
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![\w]|\.[0-9])",
     "account": r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "card": r"(?<![\w.+-])[0-9](?:[ -]?[0-9]){12,18}(?![\w])",
