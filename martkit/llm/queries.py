@@ -6,13 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martkit.llm import decontaminate, jaccard, line_dedup, mixture, pivot_search, quality_rules, suffix_dedup, surrogates, token_shards, toxicity
+from martkit.llm import (
+    decontaminate, jaccard, line_dedup, mixture, periodic_runs, pivot_search, prefix_trie, quality_rules, suffix_dedup, surrogates,
+    token_shards, toxicity)
 from martkit.llm.base import table
 
 # Words as the operators see them: A-Z lower-cased, runs of letters, digits and anything beyond ASCII.
 _WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
           r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
 
+# Words without white space.
+_PLAIN = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+
+def _crc32(value: str) -> str:
+    """crc32 of a short text: bit by bit, eight steps a byte."""
+    return (f"xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(string_split({value}, ''), "
+            "lambda c: [cast(ascii(c) as bigint), 0, 0, 0, 0, 0, 0, 0]))), "
+            "lambda a, x: xor(xor(a, x) // 2, 3988292384 * (xor(a, x) % 2))))")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -105,3 +118,47 @@ def op6(spark, sf_dir):
 @query("op2_induced_suffix_dedup")
 def op2(spark, sf_dir):
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query("op11_prefix_trie", f"""with own as (select conv_id, {_crc32("cast(conv_id as varchar)")} % 9 as h, turns from (
+  select conv_id, list({{'role': role, 'text': text}} order by turn nulls first, sha256(strlen(role) || ':' || role || text)) as turns
+  from (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null)
+  group by 1)),
+rebuilt as (select o.conv_id, list_concat(coalesce(b.turns[1:o.h], []), o.turns[o.h + 1:]) as turns
+  from own o left join own b on b.conv_id = o.conv_id - o.conv_id % 5),
+prefixes as (select conv_id, len(turns) as n, d, turns[1:d] as pre
+  from (select *, unnest(range(0, len(turns) + 1)) as d from rebuilt)),
+node as (select d, pre, min(conv_id) as conv_id, count(*) as n_convs,
+  sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (where n = d), '')) as ends_sha256
+  from prefixes group by d, pre),
+kids as (select d - 1 as d, pre[1:d - 1] as pre, count(*) as n_children from node where d > 0 group by all),
+told as (select node.*, coalesce(n_children, 0) as n_children from node left join kids using (d, pre)),
+sums as (select a as d, pre[1:a] as pre, cast(sum(case when n_children = 0 then 1 else 0 end) as bigint) as n_leaves,
+  cast(sum(case when d > 0 then (n_convs - 1) * strlen(pre[d].text) else 0 end) as bigint) as saved_tokens
+  from (select *, unnest(range(0, d + 1)) as a from told) group by all)
+select t.conv_id, t.d as depth, p.conv_id as parent_conv_id, t.n_convs, t.n_children, n_leaves, saved_tokens, t.ends_sha256
+from told t join sums using (d, pre) left join node p on p.d = t.d - 1 and p.pre = t.pre[1:t.d - 1]""")
+def op11(spark, sf_dir):
+    return prefix_trie.branched_trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op12_periodic_runs", f"""with d as (select doc_id, {_PLAIN} as w, {_crc32("cast(doc_id as varchar)")} as h from documents),
+s as (select *, len(w) as n, h // 10 % greatest(len(w), 1) as a, h // 10 % 8 as k from d),
+e as (select doc_id, n, case when h % 10 = 0 and n > 0 then list_transform(range(n),
+  lambda i: w[1 + case when i >= a then a + (i - a) % (1 + (n - a) // (3 + k)) else i end]) else w end as w from s),
+pos as (select doc_id, n, unnest(w) as word, unnest(range(n)) as i from e),
+pair as (select x.doc_id, x.i, y.i - x.i as q from pos x join pos y on x.doc_id = y.doc_id and x.word = y.word
+  and y.i > x.i and 4 * (y.i - x.i) <= x.n),
+stretch as (select doc_id, q, min(i) as s, max(i) + q + 1 as e from (
+  select *, i - row_number() over (partition by doc_id, q order by i) as g from pair)
+  group by doc_id, q, g having count(*) + q >= greatest(6, 4 * q)),
+run as (select doc_id, s, e - s as len, min(q) as q from stretch group by all),
+best as (select doc_id, count(*) as n_runs, arg_min({{'s': s, 'len': len, 'q': q}}, {{'l': -len, 's': s, 'q': q}}) as b,
+  sha256(string_agg(s || ',' || len || ',' || q || chr(10), '' order by s, q)) as runs_sha256 from run group by 1),
+gone as (select distinct doc_id, unnest(range(s + q, s + len)) as i from run),
+kept as (select doc_id, string_agg(word, ' ' order by i) as text from pos anti join gone using (doc_id, i) group by 1)
+select e.doc_id, coalesce(n_runs, 0) as n_runs, b.s as start, b.len as length, b.q as period, 1000 * b.len // b.q as exponent_milli,
+  coalesce(runs_sha256, sha256('')) as runs_sha256, sha256(coalesce(kept.text, '')) as collapsed_sha256, n as n_words
+from e left join best using (doc_id) left join kept using (doc_id)""")
+def op12(spark, sf_dir):
+    return periodic_runs.run_report(table(spark, sf_dir, "documents"))
