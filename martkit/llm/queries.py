@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from martkit.llm import (
-    decontaminate, jaccard, line_dedup, mixture, periodic_runs, pivot_search, prefix_trie, quality_rules, suffix_dedup, surrogates,
+    decontaminate, hyperminhash, jaccard, line_dedup, mixture, periodic_runs, pivot_search, prefix_trie, quality_rules, suffix_dedup, surrogates,
     token_shards, toxicity)
 from martkit.llm.base import table
 
@@ -162,3 +162,17 @@ select e.doc_id, coalesce(n_runs, 0) as n_runs, b.s as start, b.len as length, b
 from e left join best using (doc_id) left join kept using (doc_id)""")
 def op12(spark, sf_dir):
     return periodic_runs.run_report(table(spark, sf_dir, "documents"))
+
+
+@query("op13_hyperminhash", f"""with recursive d as (select doc_id, {_PLAIN.replace("coalesce(text, '')",
+    "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as w from documents),
+p as (select doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) as k from d where len(w) > 0),
+s as (select distinct doc_id, array_to_string(w[k:k + 2], ' ') as g from p),
+z as (select doc_id, count(*) as n from s group by 1),
+shared as (select a.doc_id as x, b.doc_id as y, count(*) as c from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+links as (select x, y from shared join z zx on zx.doc_id = x join z zy on zy.doc_id = y where 100 * c >= 85 * (zx.n + zy.n - c)),
+reach as (select doc_id as x, doc_id as y from d union select r.x, l.y from reach r join links l on r.y = l.x)
+select r.x as doc_id, coalesce(any_value(z.n), 0) as n_shingles, min(r.y) as component_id, r.x = min(r.y) as kept
+from reach r left join z on z.doc_id = r.x group by r.x""")
+def op13(spark, sf_dir):
+    return hyperminhash.near_copies(table(spark, sf_dir, "documents"))
