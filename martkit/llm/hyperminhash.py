@@ -119,7 +119,7 @@ def least_counts(percent: int, most: int) -> np.ndarray:
 
 def likely(one: np.ndarray, two: np.ndarray, n_one: np.ndarray, n_two: np.ndarray, percent: int, least: np.ndarray) -> np.ndarray:
     """Which pairs of sketches (bigints) may be links, by sizes and by the corrected count of equal registers."""
-    x, y = (np.ascontiguousarray(s).view(np.uint16).reshape(len(s), -1) for s in (one, two))
+    x, y = (np.ascontiguousarray(s).view(np.uint16).reshape(len(s), s.shape[1] * BUCKETS) for s in (one, two))
     used = ~((x == _NONE) & (y == _NONE))
     k, equal = used.sum(axis=1), ((x == y) & used).sum(axis=1)
     c = chance_equal(n_one, n_two)
@@ -204,8 +204,8 @@ def _small_pairs(percent: int, rounds: int):
         rid, root, n, large = (np.array([r[k] for r in rows], np.int64) for k in (2, 3, 4, 6))
         sketch = np.array([r[5] for r in rows], np.int64)
         i, j = np.triu_indices(len(rows), 1)
-        i, j = (x[root[i] != root[j]] for x in (i, j))
-        large = large.view(np.uint64)
+        apart = root[i] != root[j]
+        i, j, large = i[apart], j[apart], large.view(np.uint64)
         here = _first_shared(sketch[i], sketch[j], large[i], large[j]) == band
         i, j = i[here], j[here]
         ok = likely(sketch[i], sketch[j], n[i], n[j], percent, least)
@@ -332,7 +332,7 @@ def _linked(rows: DataFrame, percent: int, rounds: int, shingle: int) -> tuple[D
     named = live.join(groups, F.col("rid") == F.col("member"), "left").select("band", "key", "rid", F.coalesce("root", "rid").alias("root"))
     per = named.groupBy("band", "key").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
     mixed = stored(named.join(per.filter("low < high").select("band", "key", "size"), ["band", "key"]), "hyper-mixed")
-    large = mixed.groupBy("rid").agg(F.bit_or(F.when(F.col("size") > SMALL, F.shiftleft(F.lit(1).cast("bigint"), F.col("band")))
+    large = mixed.groupBy("rid").agg(F.bit_or(F.when(F.col("size") > SMALL, F.expr("shiftleft(1L, band)"))
                                               .otherwise(F.lit(0).cast("bigint"))).alias("large"))
     rest = mixed.join(large, "rid")
     small = rest.filter(F.col("size") <= SMALL).join(classes.select("rid", "n", "sketch"), "rid").repartition(
