@@ -8,7 +8,7 @@ from martkit.functions import html as H
 from martkit.functions.urls import basename, resolve_url, short_key
 from martkit.plans.items import item_links, next_page, page_links, pages_to_items, spec_rows, spec_table
 from martkit.sources.readers import read_pages
-from catalog import query
+from catalog import REGISTRY, query
 
 _DECODE = ("replace(replace(replace(replace({0}, '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&amp;', '&')")
 
@@ -196,3 +196,55 @@ select *, round(cast(9 + case when rating = 0 then 0 else 1 end + case when imag
   / 11 * 100, 2) as data_quality_score from i""")
 def items(spark, sf):
     return pages_to_items(item_pages(spark, sf), F.lit(_SCRAPED).cast("timestamp_ntz"))
+
+
+# The same pages as HTML also allows them: end tags left out, ``>`` and ``<`` inside attribute values.
+_LOOSE = {
+    "</td></tr>\n": "", "</td></tr>": "", "</th>": "", "</li>": "", "</p>": "",
+    '<p class="price_color">': '<p data-note="5 > 4" class="price_color">',
+    "<h1>": "<h1 title='a > b'>",
+    '<img alt="x"': '<img alt="1 > 0 < 2"',
+    '<a title="t"': '<a title="</h3> >"',
+    '<div id="product_description"': '<div data-q="a>b" id="product_description"',
+    '<a href="page-': '<a data-x=">" href="page-',
+    '<div class="col-sm-6 product_main">': '<div data-a="x>y" class="col-sm-6 product_main">',
+}
+
+
+def loose_pages(spark, sf):
+    html = F.col("html")
+    for found, put in _LOOSE.items():
+        html = F.replace(html, F.lit(found), F.lit(put))
+    return item_pages(spark, sf).withColumn("html", html)
+
+
+def _same(name: str, source: str):
+    """A query over the loose pages whose result is that of ``source`` over the full ones."""
+    return query(name, REGISTRY[source].sql)
+
+
+@_same("page_spec_rows_loose", "page_spec_rows")
+def loose_spec_lines(spark, sf):
+    return spec_rows(loose_pages(spark, sf))
+
+
+@_same("item_links_loose", "item_links")
+def loose_listed_items(spark, sf):
+    return item_links(loose_pages(spark, sf))
+
+
+@_same("next_page_loose", "next_page")
+def loose_pager(spark, sf):
+    return next_page(loose_pages(spark, sf))
+
+
+@_same("pages_to_items_loose", "pages_to_items")
+def loose_items(spark, sf):
+    return pages_to_items(loose_pages(spark, sf), F.lit(_SCRAPED).cast("timestamp_ntz"))
+
+
+@_same("page_links_signs", "page_links")
+def links_beside_signs(spark, sf):
+    """Every anchor gets attributes with a ``>`` in front of its ``href``; no link may be lost."""
+    pages = corpus(spark, sf)
+    return page_links(pages.withColumn("html", F.replace("html", F.lit("<a href="), F.lit("<a title='5 > 4' data-x=\">\" href="))))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from martkit.functions import html as H
 from martkit.functions.availability import with_availability
+from martkit.functions.markup import closed_markup
 from martkit.functions.numbers import SCORED_FIELDS, completeness_score, parse_amount, parse_count
 from martkit.functions.text import first_non_empty, last_token, map_lookup
 from martkit.functions.urls import basename, resolve_url
@@ -30,6 +31,7 @@ HEADERS = {
     "reviews_raw": "Number of reviews",
     "stock_cell": "Availability",
 }
+ATTRIBUTES = ("image_src", "stars")
 RATING_WORDS = {"Zero": 0, "One": 1, "Two": 2, "Three": 3, "Four": 4, "Five": 5}
 # --- end of fixed values ------------------------------------------------------
 
@@ -45,13 +47,13 @@ def page_links(pages: DataFrame) -> DataFrame:
 
 
 def visible(pages: DataFrame, *columns: str) -> DataFrame:
-    """The given columns and ``_page``, the markup without comments, scripts and styles."""
-    return pages.select(*columns, H.visible_markup("html").alias("_page"))
+    """The given columns and ``_page``, the markup without comments, scripts and styles, every element with its end tag."""
+    return closed_markup(pages.select(*columns, H.visible_markup("html").alias("_page")), "_page")
 
 
 def explode_links(pages: DataFrame, hrefs: Callable[[Column], Column]) -> DataFrame:
     out = visible(pages, "page_id", "url").select("page_id", "url", hrefs(F.col("_page")).alias("_hrefs"))
-    out = out.select("page_id", "url", F.posexplode(H.unescape_all(F.col("_hrefs"))).alias("position", "href"))
+    out = out.select("page_id", "url", F.posexplode(H.unescape_all(F.col("_hrefs"), attributes=True)).alias("position", "href"))
     return out.select("page_id", "position", resolve_url("url", "href").alias("link_url"))
 
 
@@ -59,7 +61,7 @@ def next_page(pages: DataFrame) -> DataFrame:
     """The pager's link, absolute, or NULL on the last page of a list."""
     hrefs = visible(pages, "page_id", "url").select(
         "page_id", "url", F.try_element_at(H.links_within("_page", NEXT), F.lit(1)).alias("_href"))
-    return hrefs.select("page_id", "url", H.unescape("_href").alias("_href")).select(
+    return hrefs.select("page_id", "url", H.unescape("_href", attribute=True).alias("_href")).select(
         "page_id", F.when(F.col("_href") != "", resolve_url("url", "_href")).alias("next_url"))
 
 
@@ -81,15 +83,18 @@ def spec_table(pages: DataFrame) -> DataFrame:
 
 def _decoded(rows: DataFrame, keep: list[str], texts: dict[str, Column]) -> DataFrame:
     """The texts with their character references decoded, all of a row in one expression."""
-    raw = rows.select(*keep, F.array(*texts.values()).alias("_raw")).select(
-        *keep, H.unescape_all(F.col("_raw")).alias("_texts"))
-    return raw.select(*keep, *[F.col("_texts")[i].alias(name) for i, name in enumerate(texts)])
+    kinds = {False: [n for n in texts if n not in ATTRIBUTES], True: [n for n in texts if n in ATTRIBUTES]}
+    raw = rows.select(*keep, *[F.array(*[texts[n] for n in names]).alias(f"_raw_{kind}") for kind, names in kinds.items() if names])
+    decoded = raw.select(*keep, *[H.unescape_all(F.col(f"_raw_{kind}"), kind).alias(f"_texts_{kind}")
+                                  for kind, names in kinds.items() if names])
+    return decoded.select(*keep, *[F.col(f"_texts_{kind}")[i].alias(name) for kind, names in kinds.items()
+                                   for i, name in enumerate(names)])
 
 
 def pages_to_items(pages: DataFrame, scraped_at: Column) -> DataFrame:
     """Raw item rows of a corpus of detail pages.
 
-    Projections in a row: cut what is not shown, cut the page into its blocks, read texts and
+    Projections in a row: cut what is not shown, close what is left open, cut the page into its blocks, read texts and
     attributes out of them, decode those, then derive the typed columns.  The page itself
     leaves with the blocks.  A number that its column cannot hold becomes NULL.
     """

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from martkit.functions import html as H
+from martkit.functions.markup import close_elements, closed_markup, leaves_open
 from martkit.plans.items import item_links, next_page, page_links, pages_to_items, spec_rows, spec_table
 
 URL = "https://shop.example/catalogue/a-light_1000/index.html"
@@ -183,3 +184,61 @@ def test_page_leaves_after_its_blocks(spark):
     plan = pages_to_items(one_page(spark, ""), F.lit(None).cast("timestamp_ntz"))._jdf.queryExecution().optimizedPlan().toString()
     reads = [line for line in plan.splitlines() if "html#" in line]
     assert len(reads) <= 3, plan[:2000]
+
+
+def test_signs_inside_attribute_values(spark):
+    body = ("""<a title="5 > 4" href="/x">1</a><a data-href="/no" title='a>b' href='/y'>2</a><a title=it's href=/z>3</a>"""
+            """<a href="/first" href="/second">4</a><a/href="/w">5</a>""")
+    assert [r.link_url for r in page_links(one_page(spark, body)).orderBy("position").collect()] == [
+        f"http://s.example/{n}" for n in ("x", "y", "z", "first", "w")]
+    main = '<div data-q="a>b" class="product_main"><h1 title="1 > 0">T</h1><p data-x=">" class="price_color" data-y="<">£2</p></div>'
+    row = read(spark, main)[0]
+    assert (row.title, row.price) == ("T", 2.0)
+    assert read(spark, '<p title=\'class="star-rating Five"\' class="star-rating Two">x</p>')[0].rating == 2
+
+
+LOOSE = (CRUMBS.replace("</li>", "") + MAIN.replace("</p>", "") + ABOUT.replace("</p>", "")
+         + SPEC.replace("</td>", "").replace("</th>", "").replace("</tr>", ""))
+
+
+def test_end_tags_left_out(spark):
+    loose, full = read(spark, f"<html><body>{LOOSE}", page(gallery=""))
+    for name in ("title", "price", "category", "upc", "product_type", "price_incl_tax", "rating", "reviews_count", "available_quantity", "in_stock"):
+        # The line break between a cell and the next row is text of the open cell.
+        assert (loose[name].strip() if isinstance(full[name], str) else loose[name]) == full[name], name
+    assert loose.description.strip() == full.description
+    nav = one_page(spark, '<ul class="pager"><li class="current">1<li class="next"><a href="p2">next</a></ul><a href="/foot">f</a>')
+    assert next_page(nav).first().next_url == "http://s.example/a/p2"
+    none = one_page(spark, '<ul class="pager"><li class="next">next<li class="last"><a href="p9">last</a></ul>')
+    assert next_page(none).first().next_url is None
+
+
+def test_closed_pages_stay_as_they_are(spark):
+    bodies = [page(others=OTHERS), LOOSE, "<p>a</p>text < 5 & more", None, "", '<a title="<li>">x</a>', "<LI>a</LI><Td>b"]
+    df = spark.createDataFrame([(b,) for b in bodies], "html string")
+    assert [r[0] for r in df.select(leaves_open(F.col("html"))).collect()] == [False, True, False, None, False, True, True]
+    got = [r[0] for r in closed_markup(df, "html").collect()]
+    assert got[0] == bodies[0] and got[2:5] == bodies[2:5]
+    assert got[5:] == ['<a title="&lt;li&gt;">x</a>', "<li>a</li><td>b</td>"]
+
+
+@pytest.mark.parametrize("loose, full", [
+    ("<ul><li>a<li>b <b>x</ul><p>one<div>two</p>", "<ul><li>a</li><li>b <b>x</b></li></ul><p>one</p><div>two</div>"),
+    ("<table><tr><th>A<td title='5 > 4'>1<tr><td>2<table><tr><td>in</table></table>z",
+     '<table><tr><th>A</th><td title="5 &gt; 4">1</td></tr><tr><td>2<table><tr><td>in</td></tr></table></td></tr></table>z'),
+    ("<dl><dt>a<dd>b<dt>c</dl>", "<dl><dt>a</dt><dd>b</dd><dt>c</dt></dl>"),
+    ("<ul><li>a<ul><li>b</ul><li>c</ul>", "<ul><li>a<ul><li>b</li></ul></li><li>c</li></ul>"),
+    ("<td>a</li></td>", "<td>a</td>"),
+    ("x<![if q]>y<![foo[z]]><br/><p/>&copy 1 &amp;", "xy<br><p></p>&copy 1 &amp;"),
+    ("<p>" * 3000, "<p></p>" * 3000),
+])
+def test_elements_are_closed_where_html_closes_them(loose, full):
+    assert close_elements(loose) == full
+
+
+def test_references_without_a_semicolon(spark):
+    df = spark.createDataFrame([("&copy 2020 &notin; &notit; &#65 &#x42&amp &nosuch &copy=1",)], "t string")
+    assert df.select(H.unescape("t")).first()[0] == "© 2020 ∉ ¬it; A B& &nosuch ©=1"
+    assert df.select(H.unescape("t", attribute=True)).first()[0] == "© 2020 ∉ &notit; A B& &nosuch &copy=1"
+    body = '<a href="/q?a=1&copy=2&reg;=3&lt">x</a>'
+    assert page_links(one_page(spark, body)).first().link_url == "http://s.example/q?a=1&copy=2®=3<"
