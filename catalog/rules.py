@@ -8,7 +8,7 @@ from martkit.operators.clean import enforce_schema, quarantine, storage_problems
 from martkit.operators.constraints import (
     check_length, check_not_null, check_numeric, check_primary_key, check_range, check_table, check_unique,
     missing_members)
-from martkit.operators.dedup import first_keys, later_duplicates
+from martkit.operators.dedup import first_places, later_duplicates
 from martkit.schemas import ForeignKey, TableRules, col, text
 from catalog import query, table
 from catalog.feed import RAW, raw_items
@@ -127,6 +127,7 @@ from (select *, row_number() over (partition by l_orderkey, l_linenumber order b
 def quarantine_split(spark, sf):
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", *_LINE_ORDER)
     keys = ["l_orderkey", "l_linenumber"]
-    stored = first_keys(lines, keys, _LINE_ORDER).withColumn("outcome", F.lit("stored"))
-    rejected = later_duplicates(lines, keys, _LINE_ORDER).withColumn("outcome", F.lit("rejected"))
+    firsts = first_places(lines, keys, _LINE_ORDER)
+    stored = firsts.drop("_ties").withColumn("outcome", F.lit("stored"))
+    rejected = later_duplicates(lines, keys, _LINE_ORDER, firsts).withColumn("outcome", F.lit("rejected"))
     return stored.unionByName(rejected)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+
+from martkit.session import materialize
 
 #: Copies of a row that one row is dealt out into at once.
 PIECE = 10_000
@@ -23,17 +25,6 @@ def dedup_keep_first(df: DataFrame, keys: str | Sequence[str], order: Sequence[s
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def first_with_counts(df: DataFrame, key: str, order: Sequence[str], counts: Mapping[str, Column]) -> DataFrame:
-    """The first row of every key as ``dedup_keep_first`` gives it, with counts over all rows of the key.
-
-    One aggregate with a partial step: the rows are read once, whatever is counted beside them.
-    """
-    fields = [c for c in df.columns if c != key]
-    first = F.min_by(F.struct(*fields), F.struct(*order)).alias("_first")
-    return df.groupBy(key).agg(first, *[c.alias(n) for n, c in counts.items()]).select(
-        *[F.col(key) if c == key else F.col(f"_first.{c}").alias(c) for c in df.columns], *counts)
-
-
 def latest_per_key(df: DataFrame, keys: str | Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row of every key in ``order``; same plan as ``dedup_keep_first``."""
     keys = [keys] if isinstance(keys, str) else list(keys)
@@ -41,39 +32,45 @@ def latest_per_key(df: DataFrame, keys: str | Sequence[str], order: Sequence[str
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def first_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Key and order values of the first row per key (partial and final aggregate)."""
-    first = F.min(F.struct(*[F.col(o) for o in order]))
-    return df.groupBy(*keys).agg(first.alias("_first")).select(
-        *keys, *[F.col(f"_first.{o}").alias(o) for o in order])
+def first_places(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Key and order values of the first row per key, and ``_ties``: how many rows have that place.
+
+    From one narrow pass: rows are counted per key and place by a partial aggregate, so neither a hot key nor a row that
+    repeats itself meets in one task; then each task passes on one place a key.  Written once, for all that asks for it.
+    """
+    places = df.groupBy(*dict.fromkeys([*keys, *order])).agg(F.count("*").alias("_ties"))
+    first = Window.partitionBy(*keys).orderBy(*[F.col(o).asc_nulls_first() for o in order])
+    return materialize(places.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").drop("_rn"), "first-places")
 
 
-def later_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Every row that is not the first of its key.
+def later_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[str], firsts: DataFrame | None = None) -> DataFrame:
+    """Every row that is not the first of its key; with ``first_places`` it reads ``df`` once more, else twice in all.
 
-    The winners are joined on key and order together, so the shuffle is even however many
-    rows share one key.  Of rows that tie for the first place one stays.  Tied rows are counted
-    by a partial aggregate over all columns, the count of each key's smallest one is lowered
-    by one, and the counts are dealt out again in pieces, so a table that repeats itself meets
-    in no task either.
+    The first places are joined on key and order together, so the shuffle is even however many
+    rows share one key.  Of rows that tie for the first place one stays, the smallest.  Where there are ties, the
+    rows are written once with a mark; the tied ones are counted by a partial aggregate over all columns, the count of each
+    key's smallest one is lowered by one, and the counts are dealt out again in pieces, so a table that repeats
+    itself meets in no task either.
     """
-    winners = first_keys(df, keys, order)
-    on = [df[c].eqNullSafe(winners[c]) for c in [*keys, *order]]
-    tied = df.join(winners, on, "left_semi")
-    rows = tied.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
+    firsts = first_places(df, keys, order) if firsts is None else firsts
+    on = [df[c].eqNullSafe(firsts[c]) for c in dict.fromkeys([*keys, *order])]
+    if firsts.filter("_ties > 1").isEmpty():
+        return df.join(firsts, on, "left_anti")
+    row = F.struct(*[df[c].alias(c) for c in df.columns]).alias("_row")
+    marked = df.join(firsts, on, "left").filter("_ties is null or _ties > 1").select(row, F.col("_ties").isNotNull().alias("_tied"))
+    marked = materialize(marked, "later-rows")
     own = [F.col("_row")[k].alias(f"_k{i}") for i, k in enumerate(keys)]
-    counted = rows.groupBy("_row").agg(F.count("*").alias("_n")).select(*own, "_row", "_n")
-    names = [f"_k{i}" for i in range(len(keys))]
+    tied = marked.filter("_tied")
+    counted = tied.groupBy("_row").agg(F.count("*").alias("_n")).withColumn("_own", F.xxhash64("_row"))
     # A row that is the smallest of its key loses one copy.
-    least = rows.groupBy(*own).agg(F.min("_row").alias("_least")).withColumn("_h", F.xxhash64("_least"))
-    counted = counted.withColumn("_own", F.xxhash64("_row"))
-    left = counted.join(least.drop(*names), (F.col("_own") == F.col("_h")) & F.col("_row").eqNullSafe(F.col("_least")),
+    least = tied.groupBy(*own).agg(F.min("_row").alias("_least")).select("_least", F.xxhash64("_least").alias("_h"))
+    left = counted.join(least, (F.col("_own") == F.col("_h")) & F.col("_row").eqNullSafe(F.col("_least")),
                         "left").select("_row", (F.col("_n") - F.col("_least").isNotNull().cast("int")).alias("_n"))
     pieces = left.filter("_n > 0").select("_row", "_n", F.explode(F.sequence(
         F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / PIECE))).alias("_piece"))
     again = pieces.repartition("_row", "_piece").select("_row", F.explode(F.sequence(
         F.lit(1).cast("bigint"), F.least(F.lit(PIECE).cast("bigint"), F.col("_n") - F.col("_piece") * PIECE))).alias("_copy"))
-    return df.join(winners, on, "left_anti").unionByName(again.select("_row.*"))
+    return marked.filter("not _tied").select("_row.*").unionByName(again.select("_row.*"))
 
 
 def dedup_stats(df: DataFrame, key: str) -> DataFrame:

@@ -7,13 +7,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark import SparkContext
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from martkit.functions.availability import STATUS_RULES
 from martkit.functions.text import case_label, contains_ci
 from martkit.operators.clean import (
     FILLED, TRIMMED, clean, enforce_schema, fill_nulls, quarantine, stamp, storage_problems)
-from martkit.operators.dedup import dedup_keep_first, first_with_counts
+from martkit.operators.dedup import dedup_keep_first
 from martkit.operators.keys import build_dimension
 from martkit.operators.lookup import DimRef, lookup_dimensions, measured
 from martkit.operators.quality import quality_gate, quality_rejects, quality_report
@@ -125,9 +126,31 @@ def profile_raw(raw: DataFrame) -> DataFrame:
     return clean(raw).agg(*[c.alias(n) for n, c in raw_counts().items()])
 
 
-def counted_first_rows(raw: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """The first clean row per key with the counts of all its raw rows, prefixed ``_``: one pass over the source."""
-    return first_with_counts(clean(raw), key, order, {f"_{n}": c for n, c in raw_counts().items()})
+def first_rows_and_counts(raw: DataFrame, key: str, order: Sequence[str]) -> tuple[DataFrame, dict]:
+    """The first clean row per key, written, and ``raw_counts`` over all rows: one pass over the source.
+
+    Counters are observed beside the rows that pass, so they cost no column and no sort.  A stage that ran again
+    may have counted rows again: then the counts come from a narrow pass of their own.
+    """
+    context, seen, group = raw.sparkSession.sparkContext, Observation(), uuid.uuid4().hex
+    counted = clean(raw).observe(seen, *[c.alias(n) for n, c in raw_counts().items()])
+    before = context.getLocalProperty("spark.jobGroup.id")
+    context.setLocalProperty("spark.jobGroup.id", group)
+    try:
+        kept = materialize(dedup_keep_first(counted, key, order), "deduplicated")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", before)
+    # Nothing is observed where Spark sees that the source is empty.
+    anew = kept.isEmpty() or ran_again(context, group)
+    return kept, profile_raw(raw).first().asDict() if anew else dict(seen.get)
+
+
+def ran_again(context: SparkContext, group: str) -> bool:
+    """Whether a stage of the group's jobs had more than one attempt, or is no longer known."""
+    tracker = context.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(group)]
+    stages = [tracker.getStageInfo(s) for job in jobs if job for s in job.stageIds]
+    return not jobs or None in jobs or any(s is not None and s.currentAttemptId > 0 for s in stages)
 
 
 def new_run_id(now: datetime) -> str:
@@ -140,8 +163,8 @@ def run_mart(raw: DataFrame, store: MartStore, order: Sequence[str], minimum: fl
              drop_existing: bool = False) -> RunResult:
     """The whole job: init, extract, transform, load, verify, record.
 
-    Counts come from finished tables, not from counters inside running tasks, so
-    a task that runs twice cannot change them.  Fact rows the declared table
+    Counts of tables come from the finished tables, those of the source from the one pass over it
+    (``first_rows_and_counts``).  Fact rows the declared table
     would refuse go to ``fact_rejects`` with their reasons, members of dimensions to
     ``dim_rejects``; facts that refer to such a member get no id.  Error texts are cut to
     200 characters, as a run record holds them.
@@ -152,14 +175,12 @@ def run_mart(raw: DataFrame, store: MartStore, order: Sequence[str], minimum: fl
     try:
         previous = store.init(drop_existing)
         # The source may change: everything that is said about it comes from this one pass.
-        counted = materialize(counted_first_rows(raw, key, order), "deduplicated")
-        profile = counted.agg(*[F.coalesce(F.sum(f"_{n}"), F.lit(0)).alias(n) for n in raw_counts()]).first().asDict()
+        kept, profile = first_rows_and_counts(raw, key, order)
         extracted = profile.pop("records")
         if extracted == 0:
             return RunResult(None, {**record, "status": "no data", "extraction_records": 0})
         at = F.lit(started)
         ratings = read_or_default(spark, store.spec("dim_ratings", previous), seed_ratings(spark))
-        kept = counted.drop(*[f"_{n}" for n in raw_counts()])
 
         version = store.new_version()
         refs, dim_rejects = {}, None

@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 
 from martkit.functions.availability import first_pattern_int, with_availability
 from martkit.functions.numbers import parse_amount
+from martkit.operators import dedup
 from martkit.operators.clean import clean
 from martkit.operators.dedup import dedup_keep_first, later_duplicates
 from martkit.operators.keys import build_dimension
 from martkit.operators.lookup import DimRef, lookup_dimensions
 from martkit.operators.merge import reduce_updates, upsert
 from martkit.plans.items import pages_to_items
-from martkit.plans.mart import counted_first_rows, profile_raw, transform
+from martkit.plans import mart
+from martkit.plans.mart import profile_raw, transform
 from martkit.session import materialize, scratch_root, sized_for, use_scratch
 from catalog.feed import MINIMUM, ORDER, raw_items
 
@@ -55,17 +57,32 @@ def test_keys_rank_hashes_in_ranges(spark, sf_dir):
     assert "_group" in single.split("\n")[1]
 
 
-def test_run_reads_the_source_once(spark, sf_dir):
+def test_run_reads_the_source_once(spark, sf_dir, monkeypatch):
+    raw, plans = raw_items(spark, sf_dir), []
+    monkeypatch.setattr(mart, "materialize", lambda df, name: plans.append(plan(df)) or materialize(df, name))
+    kept, counts = mart.first_rows_and_counts(raw, "upc", ORDER)
+    # Counters ride along: no aggregate over rows of the source, one window with a limit before its shuffle.
+    assert len(plans) == 1 and plans[0].count("lineitem.parquet") == plan(raw).count("lineitem.parquet")
+    assert "SortAggregate" not in plans[0] and "CollectMetrics" in plans[0] and "WindowGroupLimit" in plans[0]
+    assert counts == profile_raw(raw).first().asDict()
+    first = dedup_keep_first(clean(raw), "upc", ORDER)
+    assert kept.exceptAll(first).isEmpty() and kept.count() == first.count()
+
+
+def test_counts_of_a_stage_that_ran_again_are_taken_anew(spark, sf_dir, monkeypatch):
     raw = raw_items(spark, sf_dir)
-    text = plan(counted_first_rows(raw, "upc", ORDER))
-    assert text.count("lineitem.parquet") == plan(raw).count("lineitem.parquet")
-    counted = counted_first_rows(raw, "upc", ORDER)
-    want = profile_raw(raw).first().asDict()
-    got = counted.agg(*[F.sum(f"_{n}").alias(n) for n in want]).first().asDict()
-    assert got == want
-    columns = [c for c in counted.columns if not c.startswith("_")]
-    first = dedup_keep_first(clean(raw), "upc", ORDER).select(*columns)
-    assert counted.select(*columns).exceptAll(first).isEmpty() and counted.count() == first.count()
+    monkeypatch.setattr(mart, "ran_again", lambda context, group: True)
+    asked = []
+    monkeypatch.setattr(mart, "profile_raw", lambda df: asked.append(1) or profile_raw(df))
+    assert mart.first_rows_and_counts(raw, "upc", ORDER)[1]["records"] == raw.count() and asked == [1]
+
+
+def test_attempts_are_looked_up(spark):
+    context = spark.sparkContext
+    context.setLocalProperty("spark.jobGroup.id", "once")
+    spark.range(10).groupBy("id").count().collect()
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert not mart.ran_again(context, "once") and mart.ran_again(context, "never heard of")
 
 
 @pytest.mark.parametrize("column", ["label", "quantity", "amount"])
@@ -114,10 +131,24 @@ def test_later_duplicates_shuffle_on_key_and_order(spark, sf_dir):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_pages_stay_in_one_stage_without_python(spark, sf_dir):
+def test_later_duplicates_read_the_source_twice(spark, sf_dir, monkeypatch):
+    raw, plans = raw_items(spark, sf_dir), []
+    keep = dedup.materialize
+    monkeypatch.setattr(dedup, "materialize", lambda df, name: plans.append(plan(df)) or keep(df, name))
+    plans.append(plan(later_duplicates(raw, ["upc"], ORDER)))
+    tied = raw.unionByName(raw)
+    again = later_duplicates(tied, ["upc"], ORDER)
+    assert [p.count("lineitem.parquet") for p in plans] == [1, 1, 2, 2] and "parquet" in plan(again)
+    assert plan(again).count("lineitem.parquet") == 0
+    assert again.count() == 2 * raw.count() - raw.select("upc").distinct().count()
+
+
+def test_pages_stay_in_one_stage_and_closed_ones_in_the_jvm(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     text = plan(pages_to_items(pages, F.lit("2026-02-10 00:00:00").cast("timestamp_ntz")))
-    assert "Exchange" not in text and "Python" not in text and "ReadSchema: struct<url:string,html:string>" in text
+    assert "Exchange" not in text and "ReadSchema: struct<url:string,html:string>" in text
+    # Only pages that leave elements open go through the parser: all others are sent as NULL.
+    assert text.count("ArrowEvalPython") == 1 and len(re.findall(r"closed\(CASE WHEN", text)) >= 1
 
 
 def test_cleaning_reads_only_what_is_asked_for(spark, sf_dir):
