@@ -15,7 +15,8 @@ Lines of ``min_chars`` characters or more are compared with ``threshold`` edits.
 every other line that is not empty takes part too: lines of ONE_EDIT_CHARS characters or more with
 one edit (the shorter line of a pair says how many), and below that copies alone go.  Without it
 shorter lines stay.  Empty lines and texts stay; null texts have no lines.  Null ids come before all others.  Rows that agree in id
-are one document: equal rows get equal results.  Other columns are kept by ``drop_lines``.
+and text are one document: equal rows get equal results.  Documents that share an id alone, or have none, are
+documents of their own, in the order of a hash of their texts.  Other columns are kept by ``drop_lines``.
 """
 
 from __future__ import annotations
@@ -35,13 +36,19 @@ COPIES = 20
 LETTERS = "etaoin"
 #: Rows up to which a table of hashes is sent to the tasks; a larger one is joined by shuffle.
 SENT_ROWS = 200_000
+#: Where a line stands: in which document, and at which number.
+PLACE = ["doc_id", "th", "pos"]
 
 
 def lines_of(docs: DataFrame, min_chars: int) -> DataFrame:
-    """doc_id, pos (from 0), line and its two hashes, for lines that are long enough."""
-    rows = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    """Their document (doc_id and text hash), pos (from 0), line and its hash, for lines that are long enough."""
+    rows = docs.select("doc_id", text_hash(F.col("text")).alias("th"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     return rows.filter(F.length("line") >= min_chars).select(
-        "doc_id", "pos", "line", F.xxhash64("line").alias("h"))
+        "doc_id", "th", "pos", "line", F.xxhash64("line").alias("h"))
+
+
+def text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def letter_counts(line: Column) -> Column:
@@ -151,7 +158,7 @@ def near_pairs(lines: DataFrame, counts: DataFrame, threshold: int = THRESHOLD)
     """Pairs (a, b) of hashes of different lines that may be near: they meet on a segment and in letter counts."""
     many = counts.filter(F.col("n") > COPIES).select("h", F.col("first").alias("kept"))
     once = lines.join(_sent(many), "h", "left").filter(
-        F.col("kept").isNull() | F.col("kept").eqNullSafe(F.struct("doc_id", "pos")))
+        F.col("kept").isNull() | F.col("kept").eqNullSafe(F.struct(*PLACE)))
     rows = once.select("h", "line", F.length("line").alias("size"), letter_counts(F.col("line")).alias("letters"))
     index = rows.select("h", "letters", F.explode(index_keys(F.col("line"), F.col("size"), threshold)).alias("key"))
     probe = rows.select(F.col("h").alias("other"), F.col("letters").alias("their"), F.explode(
@@ -199,13 +206,13 @@ def short_links(lines: DataFrame, low: int, high: int) -> DataFrame:
 
 def repeated_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS,
                    short: bool = False) -> DataFrame:
-    """doc_id and pos of every line that is not the first one of its class, with its class."""
+    """Document and pos of every line that is not the first one of its class, with its class."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     lines = lines_of(rows, 1 if short else min_chars)
     compared = lines.filter(F.length("line") >= min_chars)
-    occurrences = stored(lines.select("doc_id", "pos", "h"), "lines-occurrences")
+    occurrences = stored(lines.select(*PLACE, "h"), "lines-occurrences")
     counts = stored(occurrences.groupBy("h").agg(
-        F.min(F.struct("doc_id", "pos")).alias("first"), F.count("*").alias("n")), "lines-counts")
+        F.min(F.struct(*PLACE)).alias("first"), F.count("*").alias("n")), "lines-counts")
     pairs = stored(near_pairs(compared, counts, threshold), "lines-pairs")
     links = near_links(compared, pairs, threshold)
     if short and threshold > 0:
@@ -218,21 +225,27 @@ def repeated_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int =
     known = classes.filter((F.col("n") > 1) | F.col("linked")).join(firsts, "class_id", "left").select(
         "h", "class_id", F.coalesce("class_first", "first").alias("class_first"))
     return occurrences.join(_sent(stored(known, "lines-known")), "h").filter(
-        ~F.struct("doc_id", "pos").eqNullSafe(F.col("class_first"))).select("doc_id", "pos", "class_id")
+        ~F.struct(*PLACE).eqNullSafe(F.col("class_first"))).select(*PLACE, "class_id")
 
 
 def _removed(docs: DataFrame, threshold: int, min_chars: int, short: bool) -> DataFrame:
     gone = repeated_lines(docs, threshold, min_chars, short)
-    return gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("pos")).alias("removed"))
+    return gone.groupBy(F.col("doc_id").alias("its_doc"), F.col("th").alias("its_th")).agg(
+        F.array_sort(F.collect_set("pos")).alias("removed"))
+
+
+def _beside(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """The removed lines beside the rows (doc_id, th) of their documents."""
+    return rows.join(gone, rows["doc_id"].eqNullSafe(gone["its_doc"]) & (rows["th"] == gone["its_th"]), "left")
 
 
 def line_report(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS,
                 short: bool = False) -> DataFrame:
     """Per document: its lines, how many of them are removed, and the numbers (from 0) of those."""
-    gone = _removed(docs, threshold, min_chars, short).withColumnRenamed("doc_id", "its_doc")
-    rows = docs.select("doc_id", F.when(F.col("text").isNull() | (F.col("text") == ""), F.lit(0)).otherwise(
+    gone = _removed(docs, threshold, min_chars, short)
+    rows = docs.select("doc_id", text_hash(F.col("text")).alias("th"), F.when(F.col("text").isNull() | (F.col("text") == ""), F.lit(0)).otherwise(
         F.size(F.split("text", "\n"))).cast("bigint").alias("n_lines"))
-    return rows.join(gone, rows["doc_id"].eqNullSafe(gone["its_doc"]), "left").select(
+    return _beside(rows, gone).select(
         "doc_id", "n_lines", F.coalesce(F.size("removed"), F.lit(0)).cast("bigint").alias("n_removed"),
         F.coalesce("removed", F.array().cast("array<int>")).alias("removed_lines"))
 
@@ -240,9 +253,9 @@ def line_report(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MI
 def drop_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS,
                short: bool = False) -> DataFrame:
     """``docs`` without the repeated lines; all columns kept in place."""
-    gone = _removed(docs, threshold, min_chars, short).withColumnRenamed("doc_id", "its_doc")
-    rows = docs.select(F.struct("*").alias("row"), "doc_id")
+    gone = _removed(docs, threshold, min_chars, short)
+    rows = docs.select(F.struct("*").alias("row")).select("row", "row.doc_id", text_hash(F.col("row.text")).alias("th"))
     kept = F.array_join(F.filter(F.split("row.text", "\n"), lambda line, i: ~F.array_contains("removed", i)), "\n")
     text = F.when(F.col("removed").isNull(), F.col("row.text")).otherwise(kept)
-    return rows.join(gone, rows["doc_id"].eqNullSafe(gone["its_doc"]), "left").select(
+    return _beside(rows, gone).select(
         [text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
