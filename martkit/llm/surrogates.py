@@ -6,7 +6,8 @@ script (letters of scripts without a list here become Latin ones), same gender o
 secret key and the entity alone, so a person or number is the same everywhere in the corpus
 (whatever its letter case or separators).  Entities of the corpus are then checked against each
 other: where two would share a replacement, or one would equal an entity that occurs, one of
-them moves to the next attempt, until all are distinct.
+them moves to the next attempt, until all are distinct.  After every ATTEMPTS attempts its form grows by a letter or digit at
+the end, so there is always room, however many entities of one short form a corpus holds.
 
 Texts are cut at the matches and joined again, so nothing outside a match changes.  The check
 runs over distinct entities; only those that had to move are joined back to their documents.
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from martkit.llm.base import let, stored
 
 KEY = "change-me"
+#: Attempts at one length.
 ATTEMPTS = 20
 
 # Given names by script and gender.
@@ -160,18 +162,25 @@ def _core(m: Column, digits: Column, kind: Column, digest: Column) -> Column:
     return F.when((kind == "card") & (_luhn(digits) % 10 == 0), valid).otherwise(made)
 
 
+def _more(digest: Column, grown: Column, alphabet: str) -> Column:
+    """So many further letters or digits."""
+    return F.when(grown == 0, F.lit("")).otherwise(F.array_join(F.transform(
+        F.sequence(F.lit(1), F.greatest(grown, F.lit(1))), lambda i: _letter(digest, i + 1000, F.lit(alphabet))), ""))
+
+
 def surrogate(m: Column, kind: Column, canon: Column, attempt: Column, key: str = KEY) -> Column:
     """The replacement of a mention, a function of the key, the entity and the attempt."""
     def body(p: Column) -> Column:
-        m, kind, digest = p["m"], p["kind"], p["digest"]
+        m, kind, digest, grown = p["m"], p["kind"], p["digest"], p["grown"]
+        letters, numbers = _more(digest, grown, _LETTERS[1]), _more(digest, grown, "0123456789")
         part = [F.pmod(F.xxhash64(digest, F.lit(i)), F.lit(n)) for i, n in enumerate((14, 256, 256, 254))]
         # 240.0.0.0 and above are never assigned to a machine.
-        ip = F.concat_ws(".", part[0] + 240, part[1], part[2], part[3] + 1)
+        ip = F.concat(F.concat_ws(".", part[0] + 240, part[1], part[2], part[3] + 1), F.when(grown == 0, "").otherwise("."), numbers)
         host = F.substring(m, F.instr(m, "@") + 1, F.length(m))
         top = F.concat(F.lit("."), F.substring_index(host, ".", -1))
         name = F.substring(host, F.lit(1), F.length(host) - F.length(top))
         place = F.sha2(F.concat_ws("\1", F.lit(key), F.lit("host"), F.lower(host)), 256)
-        mail = F.concat(_fill(F.substring_index(m, "@", 1), digest, F.lit(False)), F.lit("@"),
+        mail = F.concat(_fill(F.substring_index(m, "@", 1), digest, F.lit(False)), letters, F.lit("@"),
                         _fill(name, place, F.lit(False)), top)
         given = F.create_map(*[F.lit(x) for pair in _next_names(key).items() for x in pair])
         first = p["first"]
@@ -179,13 +188,14 @@ def surrogate(m: Column, kind: Column, canon: Column, attempt: Column, key: str
         title = F.substring(first, F.lit(1), F.length(first) - F.length(spoken) - 1)
         person = F.concat(
             F.when(spoken == "", first).otherwise(F.concat(title, F.element_at(given, spoken), F.lit(" "))),
-            _fill(F.substring(m, F.length(first) + 1, F.length(m)), digest, F.lit(False)))
+            _fill(F.substring(m, F.length(first) + 1, F.length(m)), digest, F.lit(False)), letters)
         number = let(_core(m, F.regexp_replace(m, "[^0-9]", ""), kind, digest), lambda core: _digits(m, core))
         return (F.when(kind == "mail", mail).when(kind == "ip", ip).when(kind == "person", person)
-                .when(kind.isin("phone", "card", "social"), number)
-                .otherwise(_fill(m, digest, F.regexp_like(m, F.lit("^[0-9A-Fa-f]+$")))))
+                .when(kind.isin("phone", "card", "social"), F.concat(number, numbers))
+                .otherwise(F.concat(_fill(m, digest, F.regexp_like(m, F.lit("^[0-9A-Fa-f]+$"))), numbers)))
     digest = F.sha2(F.concat_ws("\1", F.lit(key), kind, canon, attempt.cast("string")), 256)
-    return let(F.struct(m.alias("m"), kind.alias("kind"), digest.alias("digest"), _first_words(m).alias("first")), body)
+    return let(F.struct(m.alias("m"), kind.alias("kind"), digest.alias("digest"), _first_words(m).alias("first"),
+                        F.floor(attempt / ATTEMPTS).cast("int").alias("grown")), body)
 
 
 def entities(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -202,7 +212,7 @@ def moved_entities(found: DataFrame, key: str = KEY) -> DataFrame:
     taken = None
     names = found.select("kind", F.col("canon").alias("made"))
     order = Window.partitionBy("kind", "made").orderBy("canon")
-    for _ in range(ATTEMPTS):
+    while True:  # ends, as forms grow while any are left
         made = surrogate(F.col("m"), F.col("kind"), F.col("canon"), F.col("attempt"), key)
         tried = pending.withColumn("made", made).withColumn("made", canonical(F.col("made"), F.col("kind")))
         tried = stored(tried.withColumn("place", F.row_number().over(order)), "surrogates-tried")
@@ -215,8 +225,6 @@ def moved_entities(found: DataFrame, key: str = KEY) -> DataFrame:
             "kind", "canon", "m", (F.col("attempt") + 1).alias("attempt")), "surrogates-pending")
         if pending.isEmpty():
             break
-    else:
-        raise ValueError(f"more entities of a kind than replacements: {pending.count()} left")
     return taken.filter("attempt > 0").select("kind", "canon", "attempt")
 
 
