@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import pickle
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -50,6 +53,20 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column
     return texts(docs, "doc_id").join(F.broadcast(chosen), "doc_id")
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def released(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """The function of a task, after which its worker gives memory back: Spark keeps workers for the next stage."""
+    def task(batches: Batches) -> Batches:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library; others return memory by themselves
+        if trim:
+            trim(0)
+    return task
+
 
 class Shared:
     """A value of bounded size, sent to each executor once."""

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from martkit.llm.base import stored, texts
+from martkit.llm.base import released, stored, texts
 from martkit.llm.components import components
 from martkit.llm.decontaminate import _FOLD
 
@@ -202,7 +202,7 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     one = sets.select(F.col("rid").alias("a"), F.col("own").alias("one"))
     two = sets.select(F.col("rid").alias("b"), F.col("own").alias("two"))
     rows = pairs.select("a", "b").distinct().join(one, "a").join(two, "b")
-    return rows.select("a", "b", "one", "two").mapInArrow(_verify(threshold), "a bigint, b bigint").distinct()
+    return rows.select("a", "b", "one", "two").mapInArrow(released(_verify(threshold)), "a bigint, b bigint").distinct()
 
 
 def _split(threshold: float, level: int):
@@ -316,7 +316,7 @@ def _linked(docs: DataFrame, threshold: float, recall: float, shingle: int) -> t
     shingles of sets that share a bucket, and the root of every set that a link joins to others."""
     rows = texts(docs, "doc_id").withColumn("th", F.xxhash64("text"))
     members = stored(rows.mapInArrow(
-        _first_buckets(threshold, runs_for(recall), shingle),
+        released(_first_buckets(threshold, runs_for(recall), shingle)),
         "doc_id bigint, th bigint, rid bigint, n int, nodes array<bigint>"), "jaccard-members")
     classes = stored(members.filter("rid is not null").groupBy("rid").agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.max("n").alias("n")), "jaccard-classes")
@@ -324,7 +324,7 @@ def _linked(docs: DataFrame, threshold: float, recall: float, shingle: int) -> t
                   .distinct(), "jaccard-buckets")
     wanted = live.select("rid").distinct().join(classes, "rid").select("rid", F.col("rep").alias("doc_id"))
     sets = stored(rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["doc_id"])).select("rid", "text").mapInArrow(
-        _sets(shingle), "rid bigint, own binary"), "jaccard-sets")
+        released(_sets(shingle)), "rid bigint, own binary"), "jaccard-sets")
     # Every set against two of the sets that are first in its buckets: that joins most of a group.
     firsts = live.filter("rid <> low").groupBy("rid").agg(F.array_distinct(F.array(F.min("low"), F.max("low"))).alias("low"))
     links = stored(verified(firsts.select(F.explode("low").alias("a"), F.col("rid").alias("b")), sets, threshold),

@@ -41,12 +41,12 @@ import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from martkit.llm.base import Shared, texts
+from martkit.llm.base import Shared, released, texts
 from martkit.session import scratch_path
 
 MAGIC = 0x3153444944524F57
-#: Encoded words that a task remembers at most; then it starts anew.
-MEMORY_WORDS = 500_000
+#: Bytes of words and their ids that a task remembers at most, with what Python adds to each; then it starts anew.
+MEMORY_BYTES, WORD_BYTES = 64 << 20, 200
 #: Texts whose words are looked up together.
 TEXTS = 64
 #: Bytes of text that one shard aims at: large enough that most words of a shard are known ones.
@@ -191,7 +191,7 @@ class Encoder:
         self.width = 2 if max(self._tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         self._code = "H" if self.width == 2 else "I"
         self._end = array(self._code, [end_id]).tobytes()
-        self._by_word, self._known = by_word, {}
+        self._by_word, self._known, self._room = by_word, {}, MEMORY_BYTES
 
     def _ids(self, values: list[str]) -> list[bytes]:
         return [array(self._code, e.ids).tobytes()
@@ -217,9 +217,11 @@ class Encoder:
         for at in range(0, len(values), TEXTS):
             texts_words = [self._words(v) for v in values[at:at + TEXTS]]
             new = set().union(*texts_words).difference(self._known)
-            if len(self._known) + len(new) > MEMORY_WORDS:
+            self._room -= sum(map(len, new)) * 2 + WORD_BYTES * len(new)
+            if self._room < 0:
                 self._known.clear()
                 new = set().union(*texts_words)
+                self._room = MEMORY_BYTES - sum(map(len, new)) * 2 - WORD_BYTES * len(new)
             new = list(new)
             self._known.update(zip(new, self._ids([w.decode("utf-8") for w in new])))
             for words in texts_words:
@@ -283,7 +285,7 @@ def write_shards(docs: DataFrame, root: str, tokenizer: str, end_id: int, by_wor
         shards = max(1, -(-size // SHARD_BYTES))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]
     dealt = rows.repartitionByRange(shards, *order).sortWithinPartitions(*order, "text")
-    manifest = dealt.mapInArrow(_write(Shared(spark, tokenizer), f"{root}/data", end_id, by_word), MANIFEST)
+    manifest = dealt.mapInArrow(released(_write(Shared(spark, tokenizer), f"{root}/data", end_id, by_word)), MANIFEST)
     manifest.write.parquet(f"{root}/manifest")
     return read_manifest(spark, root)
 
@@ -381,7 +383,7 @@ def read_digests(spark: SparkSession, root: str) -> DataFrame:
     manifest = read_manifest(spark, root).select("shard", "ids", "index", "base")
     shards = manifest.count()
     return manifest.repartition(max(1, shards)).mapInArrow(
-        _digest(root), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, shard int")
+        released(_digest(root)), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, shard int")
 
 
 def write_and_digest(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = 2,
