@@ -46,11 +46,11 @@ from martkit.session import scratch_path
 
 MAGIC = 0x3153444944524F57
 #: Bytes of words and their ids that a task remembers at most, with what Python adds to each; then it starts anew.
-MEMORY_BYTES, WORD_BYTES = 64 << 20, 200
+MEMORY_BYTES, WORD_BYTES = 144 << 20, 200
 #: Texts whose words are looked up together.
 TEXTS = 64
 #: Bytes of text that one shard aims at: large enough that most words of a shard are known ones.
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 64 << 20
 #: Bytes of ids read from a shard at once.
 BLOCK = 8 << 20
 
