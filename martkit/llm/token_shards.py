@@ -50,7 +50,7 @@ MEMORY_BYTES, WORD_BYTES = 144 << 20, 200
 #: Texts whose words are looked up together.
 TEXTS = 64
 #: Bytes of text that one shard aims at: large enough that most words of a shard are known ones.
-SHARD_BYTES = 64 << 20
+SHARD_BYTES = 128 << 20
 #: Bytes of ids read from a shard at once.
 BLOCK = 8 << 20
 
