@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from martkit.operators.merge import insert_if_absent, reduce_updates, split_storable, split_updates, upsert, upsert_stats
+from martkit.session import scratch_path
+from martkit.sources.buckets import BucketedTable
 from catalog import query, table
 
 ORDER = ["o_orderdate", "o_orderkey"]
@@ -59,6 +61,19 @@ def upsert_few(spark, sf):
     return upsert(table(spark, sf, "supplier"), supplier_updates(spark, sf), "s_suppkey", ORDER, DEFAULTS, few=True)
 
 
+@query("upsert_buckets", _MERGED)
+def upsert_buckets(spark, sf):
+    """The same result from a table in hash buckets, in two loads."""
+    suppliers, updates = table(spark, sf, "supplier"), supplier_updates(spark, sf)
+    stored = BucketedTable(spark, scratch_path(spark, "buckets"), suppliers.schema, "s_suppkey")
+    stored.replace(suppliers, 16)
+    # Every key is in one of the two loads, so that each of them folds all of a key's updates.
+    early = F.pmod("s_suppkey", F.lit(3)).eqNullSafe(0)
+    for part in (updates.where(early), updates.where(~early)):
+        stored.upsert(part, ORDER, DEFAULTS)
+    return stored.read()
+
+
 @query("upsert_quarantine", """with updates as (select c_custkey, c_name, case when c_custkey % 3 = 0 then c_name
   when c_custkey % 3 = 1 then '99999999999' else cast(c_nationkey as varchar) end as s_nationkey from customer),
 good as (select * from updates where c_custkey % 3 = 2)

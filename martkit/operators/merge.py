@@ -39,13 +39,23 @@ def upsert(target: DataFrame, updates: DataFrame, key: str, order: Sequence[str]
     With ``few`` the folded updates are written first, so that Spark knows their
     size and, if it is small, sends them to the target instead of shuffling it.
     """
-    unknown = [c for c in updates.columns if c not in target.columns and c not in order]
+    shared = shared_columns(target.columns, updates.columns, key, order)
+    return merge_folded(target, reduce_updates(updates, key, order, shared), key, shared, defaults, few)
+
+
+def shared_columns(target: Sequence[str], updates: Sequence[str], key: str, order: Sequence[str]) -> list[str]:
+    """The columns that updates may change; those the target lacks are an error."""
+    unknown = [c for c in updates if c not in target and c not in order]
     if unknown:
         raise ValueError(f"the target has no columns {unknown}")
+    return [c for c in target if c != key and c in updates]
+
+
+def merge_folded(target: DataFrame, folded: DataFrame, key: str, shared: Sequence[str],
+                 defaults: Mapping[str, object] | None = None, few: bool = False) -> DataFrame:
+    """The target after updates that ``reduce_updates`` has folded; see ``upsert``."""
     columns = [c for c in target.columns if c != key]
-    shared = [c for c in columns if c in updates.columns]
-    new = reduce_updates(updates, key, order, shared).select(
-        F.col(key), *[F.col(c).alias(f"_new_{c}") for c in shared])
+    new = folded.select(F.col(key), *[F.col(c).alias(f"_new_{c}") for c in shared])
     old = target.select(F.col(key), F.lit(True).alias("_held"), *[F.col(c).alias(f"_old_{c}") for c in columns])
     joined = _join_few(old, new, key) if few else old.join(new, key, "full_outer")
 
