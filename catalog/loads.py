@@ -277,6 +277,20 @@ def two_runs(spark, sf):
     return log.current(_base(spark, sf))
 
 
+@query("stream_levels", f"""with {_STREAMED}
+select user_id, coalesce(f.purchase, b.purchase) as purchase, coalesce(f.error, b.error) as error,
+  coalesce(f.kind, b.kind) as kind from base b full outer join folded f using (user_id)""")
+def stream_levels(spark, sf):
+    """A log whose levels are folded while the stream runs."""
+    events = table(spark, sf, "events")
+    folder = scratch_path(spark, "arrivals")
+    events.repartitionByRange(8, "event_id").write.parquet(folder)
+    log = ChangeLog(spark, scratch_path(spark, "changes"), _ITEM, "user_id", ["ts", "event_id"], by_arrival=False)
+    source = read_stream(spark, folder, events.schema, maxFilesPerTrigger="1")
+    stream_ingest(source, log, _kinds, scratch_path(spark, "stream"), fan=2).awaitTermination()
+    return log.current(_base(spark, sf))
+
+
 _EVENT_ITEM = T.StructType([
     T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
     T.StructField("value", T.DoubleType()), T.StructField("event_id", T.LongType())])

@@ -84,6 +84,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, by one listing; none where there is no such folder."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in files.listStatus(hadoop)) if files.exists(hadoop) else []
+
+
 def local_frame(spark: SparkSession, rows: Sequence[dict], schema: T.StructType) -> DataFrame:
     """A few rows of the driver's own, planned as a local table instead of a job."""
     return spark.createDataFrame(pa.Table.from_pylist(list(rows), to_arrow_schema(schema)), schema)

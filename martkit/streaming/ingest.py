@@ -4,8 +4,10 @@ Each micro-batch is validated; rows the table would refuse go to a folder of rej
 others to a change log, both in a folder of the batch's own (``batch_id=N``, overwritten
 when the batch is replayed, so a replay changes nothing).  The current table is the base
 plus the log, folded by key; a batch therefore costs as much as its own rows, however large
-the table has grown.  ``compact`` rewrites the older part of the log as the few rows that
-still matter.
+the table has grown.  ``fold_levels`` keeps the log short as batches come: runs of batches are
+folded into the rows of theirs that still matter, runs of folded runs again, so that after n
+batches a read opens some log n folders and every row was rewritten log n times.  ``compact``
+rewrites the whole older part at once.
 
 Batch numbers belong to a checkpoint, so a log takes batches under one checkpoint only.
 """
@@ -14,7 +16,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -24,15 +27,28 @@ from martkit.operators.clean import quarantine, storage_problems
 from martkit.operators.merge import upsert, upsert_stats
 from martkit.operators.stats import validation_stats
 from martkit.schemas import TableRules
-from martkit.session import local_frame
+from martkit.session import folder_names, local_frame
 from martkit.sources.readers import is_absent
 
 _OWNER = T.StructType([T.StructField("checkpoint", T.StringType())])
-_COMPACTED = T.StructType([T.StructField("folder", T.StringType()), T.StructField("upto", T.LongType())])
+_FOLDED = T.StructType([T.StructField("folder", T.StringType()), T.StructField("first", T.LongType()),
+                        T.StructField("upto", T.LongType()), T.StructField("level", T.IntegerType())])
+#: Batches, or runs of one level, that are folded into a run of the next one.
+FAN = 8
 # The counters of a run.
 COUNTERS = ["total_processed", "cleaned_prices", "cleaned_ints", "fixed_dates", "validation_errors"]
 
 
+@dataclass(frozen=True)
+class Run:
+    """Batches ``first`` to ``upto``, folded into the rows in ``folder``."""
+
+    first: int
+    upto: int
+    level: int
+    folder: str
+
+
 @dataclass(frozen=True)
 class ChangeLog:
     """Where a stream keeps its changes, and how they fold into a table.
@@ -74,18 +90,35 @@ class ChangeLog:
     def _numbered(self) -> T.StructType:
         return T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])
 
-    def _compaction(self):
-        """The last finished compaction, or None."""
-        done = self._read(f"{self.path}/_compacted", _COMPACTED, "json")
-        return done.orderBy(F.desc("upto"), "folder").first()
+    def _runs(self) -> list[Run]:
+        """The folded runs in use, oldest first: those that no later run holds the batches of."""
+        rows = self._read(f"{self.path}/_compacted", _FOLDED, "json").collect()
+        runs = sorted((Run(r["first"] or 0, r["upto"], r["level"] or 1, r["folder"]) for r in rows), key=lambda r: (r.first, -r.upto, r.folder))
+        used: list[Run] = []
+        for run in runs:
+            if not used or run.upto > used[-1].upto:
+                used.append(run)
+        return used
+
+    def _batches(self) -> list[int]:
+        """The numbers of the batches stored, from the names of their folders."""
+        names = folder_names(self.spark, f"{self.path}/changes")
+        return sorted(int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id="))
+
+    def _rows_of(self, runs: Sequence[Run], batches: Sequence[int]) -> DataFrame:
+        parts = []
+        if runs:
+            parts.append(self.spark.read.schema(self._numbered).parquet(*[f"{self.path}/{r.folder}" for r in runs]))
+        if batches:
+            parts.append(self.spark.read.schema(self._numbered).option("basePath", f"{self.path}/changes").parquet(
+                *[f"{self.path}/changes/batch_id={b}" for b in batches]))
+        return reduce(DataFrame.unionByName, parts) if parts else local_frame(self.spark, [], self._numbered)
 
     def changes(self) -> DataFrame:
-        rows = self._read(f"{self.path}/changes", self._numbered)
-        done = self._compaction()
-        if done is None:
-            return rows
-        older = self.spark.read.schema(self._numbered).parquet(f"{self.path}/{done['folder']}")
-        return older.unionByName(rows.where(F.col("batch_id") > done["upto"]))
+        """The rows in the log: folded runs, and the batches after them as they came."""
+        runs = self._runs()
+        upto = runs[-1].upto if runs else -1
+        return self._rows_of(runs, [b for b in self._batches() if b > upto])
 
     def rejects(self, rules: TableRules) -> DataFrame:
         """Refused rows of all batches with their reasons, as text."""
@@ -118,34 +151,57 @@ class ChangeLog:
         """Counts of the rows in the log; a compacted log has fewer of them than were sent."""
         return upsert_stats(base, self._ordered(), self.key, self.full_order)
 
-    def compact(self) -> int | None:
-        """Keep, of all batches but the last, the rows that give a key the value of some column.
+    def _fold(self, rows: DataFrame, first: int, upto: int, level: int) -> Run:
+        """A new run: of these rows the ones that give a key the value of some column.
 
-        These rows keep their order values, so a change that arrives late and is older still
-        loses.  The result counts from the moment its one marker row is written; batches are
-        not deleted and may be expired by age.  Returns the last batch compacted.
+        They keep their order values, so a change that arrives late and is older still loses.
+        The run counts from the moment its one marker row is written.
         """
-        rows = self.changes()
-        last = rows.agg(F.max("batch_id")).first()[0]
-        if last is None:
-            return None
-        old = rows.where(F.col("batch_id") < last)
-        upto = old.agg(F.max("batch_id")).first()[0]
-        if upto is None:
-            return None
         place = F.struct(*self.full_order)
         fields = [c for c in self.schema.names if c != self.key and c not in self.order]
         # The last place at which each column was sent, and the last row of the key as such.
-        winners = old.groupBy(self.key).agg(F.max(place).alias("_last"), *[
+        winners = rows.groupBy(self.key).agg(F.max(place).alias("_last"), *[
             F.max(F.when(F.col(c).isNotNull(), place)).alias(f"_at_{c}") for c in fields])
         places = winners.select(F.col(self.key).alias("_key"), F.explode(F.array_distinct(F.array_compact(
             F.array("_last", *[f"_at_{c}" for c in fields])))).alias("_place"))
-        held = old.join(places, F.col(self.key).eqNullSafe(F.col("_key")) & place.eqNullSafe(F.col("_place")), "left_semi")
-        folder = f"_old/{uuid.uuid4().hex}"
-        held.write.parquet(f"{self.path}/{folder}")
-        local_frame(self.spark, [{"folder": folder, "upto": upto}], _COMPACTED).write.mode("append").json(
-            f"{self.path}/_compacted")
-        return upto
+        held = rows.join(places, F.col(self.key).eqNullSafe(F.col("_key")) & place.eqNullSafe(F.col("_place")), "left_semi")
+        run = Run(first, upto, level, f"_old/{uuid.uuid4().hex}")
+        held.write.parquet(f"{self.path}/{run.folder}")
+        local_frame(self.spark, [asdict(run)], _FOLDED).write.mode("append").json(f"{self.path}/_compacted")
+        return run
+
+    def compact(self) -> int | None:
+        """Fold all batches but the last, which may be sent again, into one run.
+
+        Batches are not deleted and may be expired by age.  Returns the last batch compacted.
+        """
+        runs, batches = self._runs(), self._batches()
+        upto = runs[-1].upto if runs else -1
+        later = [b for b in batches[:-1] if b > upto]
+        if later or len(runs) > 1:
+            top = max([r.level for r in runs], default=0) + 1
+            upto = self._fold(self._rows_of(runs, later), 0, max(later, default=upto), top).upto
+        return upto if upto >= 0 else None
+
+    def fold_levels(self, fan: int = FAN) -> int:
+        """Fold batches, all but the last, and runs of one level wherever ``fan`` of them stand in a row.
+
+        One writer at a time: what ingests the log may do so after each batch.  Returns the number of runs written.
+        """
+        if fan < 2:
+            raise ValueError("at least two runs are folded into one")
+        runs, written = self._runs(), 0
+        upto = runs[-1].upto if runs else -1
+        later = [b for b in self._batches()[:-1] if b > upto]
+        while len(later) >= fan:
+            some, later = later[:fan], later[fan:]
+            runs.append(self._fold(self._rows_of([], some), upto + 1, some[-1], 1))
+            upto, written = some[-1], written + 1
+            while len(runs) >= fan and len({r.level for r in runs[-fan:]}) == 1:
+                some_runs = runs[-fan:]
+                merged = self._fold(self._rows_of(some_runs, []), some_runs[0].first, some_runs[-1].upto, some_runs[0].level + 1)
+                runs, written = [*runs[:-fan], merged], written + 1
+        return written
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
@@ -155,13 +211,13 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
 
 
 def stream_ingest(source: DataFrame, log: ChangeLog, validate: Callable[[DataFrame], DataFrame], checkpoint: str,
-                  rules: TableRules | None = None, available_now: bool = True) -> StreamingQuery:
+                  rules: TableRules | None = None, available_now: bool = True, fan: int | None = None) -> StreamingQuery:
     """Start the ingest; with ``available_now`` it ends when the waiting files are done.
 
     ``checkpoint`` is a folder on shared storage; starting again with it continues, and a log
     refuses any other one.  With ``rules`` the rows that the table would refuse go to the
     rejects, and the run goes on.  Where ``validate`` leaves its flags (``_validation``), the
-    batch's counters are kept.
+    batch's counters are kept.  With ``fan`` the log's levels are folded after each batch.
     """
     log.bind(checkpoint)
 
@@ -182,6 +238,8 @@ def stream_ingest(source: DataFrame, log: ChangeLog, validate: Callable[[DataFra
                 F.col(f.name).try_cast(f.dataType).alias(f.name) for f in log.schema]), batch_id)
         finally:
             checked.unpersist()
+        if fan is not None:
+            log.fold_levels(fan)
 
     writer = source.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     if available_now:

@@ -118,3 +118,36 @@ def test_validation_statistics(spark):
     assert tuple(validation_stats(checked).first()) == (5, 2, 2, 5, 4, 20.0)
     assert tuple(validation_stats(checked.limit(0)).first()) == (0, 0, 0, 0, 0, 0.0)
     assert set(REQUIRED_FIELDS) >= {n for r in checked.select(required_fields(checked)).collect() for n in r[0]}
+
+
+def test_levels_keep_a_read_short(spark):
+    """After n batches a read opens some log n folders and gives what all batches give."""
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("a", T.LongType()),
+                           T.StructField("b", T.StringType()), T.StructField("at", T.LongType())])
+    base = local_frame(spark, [{"k": 0, "a": -1, "b": "old", "at": None}], schema)
+    plain = ChangeLog(spark, scratch_path(spark, "log"), schema, "k", ["at"], by_arrival=False)
+    levels = ChangeLog(spark, scratch_path(spark, "log"), schema, "k", ["at"], by_arrival=False)
+    assert levels.fold_levels(3) == 0 and levels.compact() is None and levels.changes().count() == 0
+    opened, written = [], 0
+    for i in range(14):
+        # Keys recur, fields are absent at times, and every fourth batch is older than those before it.
+        at = i if i % 4 else i - 6
+        batch = local_frame(spark, [{"k": i % 5, "a": i if i % 3 else None, "b": None if i % 2 else f"b{i}", "at": at},
+                                    {"k": 100 + i, "a": i, "b": None, "at": at}], schema).coalesce(1)
+        for log in (plain, levels):
+            log.write_batch(batch, i)
+        written += levels.fold_levels(3)
+        opened.append(len({f.rsplit("/", 2)[-2] for f in levels.changes().inputFiles()}))
+    assert written == 5 and [(r.first, r.upto, r.level) for r in levels._runs()] == [(0, 8, 2), (9, 11, 1)]
+    assert max(opened) <= 3 * 2 + 1 and opened[-1] == 4
+    want = rows(plain.current(base))
+    assert rows(levels.current(base)) == want and len(want) == 19
+    # The last batch, sent again in another form, replaces itself; then all that is older becomes one run.
+    again = local_frame(spark, [{"k": 3, "a": 77, "b": "again", "at": 50}], schema)
+    for log in (plain, levels):
+        log.write_batch(again, 13)
+    assert rows(levels.current(base)) == rows(plain.current(base))
+    assert levels.compact() == 12 and len(levels._runs()) == 1
+    assert rows(levels.current(base)) == rows(plain.current(base))
+    with pytest.raises(ValueError):
+        levels.fold_levels(1)
