@@ -22,6 +22,11 @@ QUANTITY_PATTERNS = [
     r"\b([0-9]+)\s+remaining\b",
     r"\b([0-9]+)\b",
 ]
+# What a text must hold for the pattern at the same place to match, in small letters; one of them is enough.
+PATTERN_NEEDS = [
+    ["available"], ["available"], ["available"], ["stock"], ["stock"], ["stock"], ["stock"],
+    ["pc", "item", "unit"], ["left"], ["remaining"], [],
+]
 OUT_PHRASES = ["out of stock", "not available", "sold out", "нет в наличии"]
 IN_PHRASES = ["in stock", "available", "есть в наличии"]
 STATUS_RULES = [("in stock", "in_stock"), ("out of stock", "out_of_stock")]
@@ -30,20 +35,32 @@ QUANTITY_BOUNDS = (0, 1000)
 
 
 def first_pattern_int(c: Column | str, patterns: Sequence[str] = QUANTITY_PATTERNS,
-                      low: int = QUANTITY_BOUNDS[0], high: int = QUANTITY_BOUNDS[1]) -> Column:
+                      low: int = QUANTITY_BOUNDS[0], high: int = QUANTITY_BOUNDS[1],
+                      needs: Sequence[Sequence[str]] | None = None, lowered: Column | str | None = None) -> Column:
     """Number of the first pattern whose first match lies between the bounds, else 0.
 
     The bounds are 0 and a power of ten, so that they can be read off the digits: a number in
     range has that many digits at most after its leading zeros, and one at least.
+
+    ``needs`` names texts of which a match holds one (those of the stock patterns by default): a pattern is
+    tried only where ``lowered``, the text in small letters, has it.  That test is one for ASCII texts; in others
+    letters such as the long s fold to ASCII ones, so there every pattern is tried.
     """
     digits = len(str(high)) - 1
     if low != 0 or high != 10 ** digits:
         raise ValueError("the bounds must be 0 and a power of ten")
     c = F.col(c) if isinstance(c, str) else c
+    lowered = F.lower(c) if lowered is None else F.col(lowered) if isinstance(lowered, str) else lowered
+    if needs is None:
+        needs = PATTERN_NEEDS if patterns is QUANTITY_PATTERNS else [[]] * len(patterns)
     usable = rf"^0*([1-9][0-9]{{0,{digits - 1}}})$"
+    folds = F.octet_length(c) != F.length(c)
     # Lazily in order, without a lambda: a pattern is tried only where the ones before it gave nothing, and
     # only the one that gives the number is evaluated twice.
-    hits = [F.nullif(F.regexp_extract(F.regexp_extract(c, "(?iU)" + p, 1), usable, 1), F.lit("")) for p in patterns]
+    hits = []
+    for pattern, words in zip(patterns, needs, strict=True):
+        hit = F.nullif(F.regexp_extract(F.regexp_extract(c, "(?iU)" + pattern, 1), usable, 1), F.lit(""))
+        hits.append(F.when(_any_of(lowered, words) | folds, hit) if words else hit)
     return F.when(c.rlike("[0-9]"), F.coalesce(*hits, F.lit("0")).cast("int")).when(c.isNotNull(), F.lit(0))
 
 
@@ -71,7 +88,7 @@ def availability_label(c: Column | str, clean: Column | str, in_stock: Column, q
     """The text without its parentheses, or a label built anew when nothing is left."""
     c, clean = (F.col(x) if isinstance(x, str) else x for x in (c, clean))
     rebuilt = (F.when(in_stock & (quantity > 0),
-                      F.format_string("In stock (%d available)", quantity))
+                      F.concat(F.lit("In stock ("), quantity.cast("string"), F.lit(" available)")))
                .when(in_stock, "In stock")
                .otherwise("Out of stock"))
     return (F.when(c.isNull() | (c == ""), "Unknown")
@@ -89,8 +106,8 @@ def with_availability(df: DataFrame, text: str) -> DataFrame:
     in_stock = F.col("availability_status") == "in_stock"
     return (
         df.withColumn("availability_raw", strip_ws(text))
-        .withColumns({"_lowered": F.lower("availability_raw"),
-                      "_quantity": first_pattern_int("availability_raw"),
+        .withColumn("_lowered", F.lower("availability_raw"))
+        .withColumns({"_quantity": first_pattern_int("availability_raw", lowered="_lowered"),
                       "_clean": drop_parenthetical("availability_raw")})
         .withColumn("availability_status", stock_status(text, "_lowered", "_quantity"))
         .withColumns({

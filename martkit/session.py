@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 # Adaptive execution is what sizes joins, merges small partitions and splits
-# skewed ones at run time; the zone keeps timestamps equal on every machine.
+# skewed ones at run time; the zone keeps timestamps equal on every machine.  HotSpot does not
+# compile methods above 8,000 bytes, so wide projections are generated in parts instead.
 RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

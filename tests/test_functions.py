@@ -161,3 +161,15 @@ def test_inner_html_counts_nesting(spark):
              '<p class="product_main">x<div>y</div>': "x<div>y</div>"}
     got = values(spark, cases, lambda c: F.lower(H.inner_html(c, start)))
     assert got == [v.lower() for v in cases.values()]
+
+
+def test_patterns_where_letters_fold_to_ascii(spark):
+    """Gates by words do not lose texts whose letters only fold to those words."""
+    from martkit.functions.availability import PATTERN_NEEDS, QUANTITY_PATTERNS, first_pattern_int
+
+    assert len(PATTERN_NEEDS) == len(QUANTITY_PATTERNS)
+    texts = ["9 or 12 in ſtock", "9, 12 AVAıLABLE", "9, 12 LEFT", "é 9, 7 Items", "1200 in stock, 30 units", None, "", "none"]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    every = [[] for _ in QUANTITY_PATTERNS]
+    got = df.select(first_pattern_int("x"), first_pattern_int("x", needs=every)).collect()
+    assert [r[0] for r in got] == [r[1] for r in got] == [12, 12, 12, 7, 30, None, 0, 0]
