@@ -165,8 +165,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", keep:
                  decay: float = 0.0001, rate: float = 0.3) -> ToxicModel:
     """Learn from at most ``train_rows`` labelled documents (the documented bound of the fit)."""
     spark = docs.sparkSession
+    # Equal texts count once; where their labels differ, label 1 holds, however the rows are dealt.
     sample = stored(labelled_sample(docs, labels, label, F.lit(True) if keep is None else keep, train_rows)
-                    .dropDuplicates(["text"]), "toxicity-sample")
+                    .groupBy("text").agg(F.max("y").alias("y")), "toxicity-sample")
     counts = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
     rows, positives = sum(counts.values()), counts.get(1, 0)
     names = choose_features(sample, positives, rows, features) if len(counts) == 2 else []
