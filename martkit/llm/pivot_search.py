@@ -11,10 +11,10 @@ size, each sent to all tasks once and run over all candidates.  A task returns k
 query, which are merged by a ranking per query.
 
 Vectors that are null or hold a null, a NaN or an infinity take no part, nor do rows without an
-id; a vector of another length than the most frequent one has no inner product with the others
-and takes no part either (ties: the smallest length).  Rows with equal ids and equal vectors
-count once; with equal ids and different vectors each is a candidate and each is a query's own.
-An empty table has no result rows.  Other columns are not read.
+id.  Vectors of different lengths have no inner product: every length is searched by itself.
+Rows with equal ids and equal vectors count once; with equal ids and different vectors each is a candidate
+and each is a query's own.  A component whose whole number is no bigint, and a score that is none,
+is an error, never a wrapped number.  An empty table has no result rows.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -40,12 +40,11 @@ def whole_vectors(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     usable = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("e")).filter(
         F.col("vec_id").isNotNull() & F.col("e").isNotNull() & (F.size("e") > 0)
         & F.forall("e", lambda x: F.coalesce(F.abs(x) < F.lit(float("inf")), F.lit(False))))
-    whole = usable.select(F.col("vec_id").cast("bigint").alias("vec_id"),
-                          F.transform("e", lambda x: F.floor(x * scale).cast("bigint")).alias("v"))
-    lengths = whole.groupBy(F.size("v").alias("n")).count()
-    common = lengths.agg(F.max(F.struct("count", (-F.col("n")).alias("less"))).alias("m")).select(
-        (-F.col("m.less")).alias("n"))
-    return whole.join(F.broadcast(common), F.size("v") == F.col("n"), "left_semi").distinct()
+    def rounded(x):
+        fits = F.abs(x * scale) < F.lit(2.0**63)
+        return F.when(fits, F.floor(x * scale).cast("bigint")).otherwise(
+            F.raise_error(F.concat(F.lit("no bigint: a component of vector "), F.col("vec_id").cast("string"))).cast("bigint"))
+    return usable.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.transform("e", rounded).alias("v")).distinct()
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -53,7 +52,9 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _distances(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    """Squared distances are whole numbers and exact; the root is rounded."""
+    """Squared distances are whole numbers and exact, however large; the root is rounded."""
+    if _exact(np.concatenate([rows, pivots]), pivots) is object:
+        rows, pivots = rows.astype(object), pivots.astype(object)
     square = (rows * rows).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :] - 2 * (rows @ pivots.T)
     return np.sqrt(np.maximum(square, 0).astype(np.float64))
 
@@ -87,10 +88,14 @@ def choose_pivots(whole: DataFrame, pivots: int = PIVOTS) -> np.ndarray:
     return rows[chosen]
 
 
-def _exact_float(rows: np.ndarray) -> np.ndarray:
-    """As doubles where every product sum stays a whole number below 2**53; else as they are."""
-    top = float(np.abs(rows).max(initial=0))
-    return rows.astype(np.float64) if top * top * max(rows.shape[1], 1) < 2.0**52 else rows
+def _exact(rows: np.ndarray, queries: np.ndarray) -> type:
+    """The fastest type in which every product of the two sides, and every sum of them, is exact."""
+    most = _top(rows) * _top(queries) * max(rows.shape[1], 1)
+    return np.float64 if most < 2**52 else np.int64 if most < 2**62 else object
+
+
+def _top(rows: np.ndarray) -> int:
+    return max(abs(int(rows.max(initial=0))), abs(int(rows.min(initial=0))))
 
 
 def _search(shared: Shared, k: int):
@@ -106,11 +111,13 @@ def _search(shared: Shared, k: int):
                 near = np.zeros((len(query_ids), len(ids)))
                 for p in range(d.shape[1]):
                     np.maximum(near, np.abs(query_d[:, p, None] - d[None, :, p]), out=near)
-                # A little more than the bound, for the rounding of the roots.
-                bound = (square[:, None] + (rows.astype(np.float64) ** 2).sum(1)[None, :] - near**2 * (1 - 1e-9)) / 2 + 1e-3
-                exact = _exact_float(rows)
+                # A little more than the bound, for the rounding of the roots and of the squares.
+                sides = square[:, None] + (rows.astype(np.float64) ** 2).sum(1)[None, :]
+                bound = (sides * (1 + 1e-12) - near**2 * (1 - 1e-9)) / 2 + 1e-3
+                kind = _exact(rows, queries)
+                exact, asked = rows.astype(kind, copy=False), queries.astype(kind, copy=False)
                 for q in range(len(query_ids)):
-                    best[q] = _scan(int(query_ids[q]), queries[q].astype(exact.dtype), bound[q], ids, exact, best[q], k)
+                    best[q] = _scan(int(query_ids[q]), asked[q], bound[q], ids, exact, best[q], k)
         out = [(int(q), int(i), int(s)) for q, (ids, scores) in zip(query_ids, best) for i, s in zip(ids, scores)]
         if out:
             q, i, s = zip(*out)
@@ -128,7 +135,10 @@ def _scan(own: int, query: np.ndarray, bound: np.ndarray, ids: np.ndarray, rows:
     while at < len(order) and (len(top_scores) < k or bound[order[at]] >= top_scores[-1]):
         some = order[at:at + step]
         some = some[ids[some] != own]
-        scores = (rows[some] @ query).astype(np.int64)
+        scores = rows[some] @ query
+        if scores.dtype == object and any(abs(int(x)) >= 2**63 for x in scores):
+            raise OverflowError(f"a score of vector {own} is no bigint")
+        scores = scores.astype(np.int64)
         all_ids, all_scores = np.concatenate([top_ids, ids[some]]), np.concatenate([top_scores, scores])
         keep = np.lexsort((all_ids, -all_scores))[:k]
         top_ids, top_scores = all_ids[keep], all_scores[keep]
@@ -150,13 +160,17 @@ def _blocks(queries: DataFrame, size: int) -> Iterator[tuple]:
 def nearest(vectors: DataFrame, k: int = 5, every: int = 50, pivots: int = PIVOTS) -> DataFrame:
     """query_id, rank, vec_id, score: the k best of every query, ties to the smaller id."""
     spark = vectors.sparkSession
-    whole = stored(whole_vectors(vectors), "pivot-vectors")
+    usable = stored(whole_vectors(vectors), "pivot-vectors")
+    # Lengths that occur among the queries; vectors of any other length meet none.
+    lengths = [r[0] for r in usable.filter(F.col("vec_id") % every == 0).select(F.size("v")).distinct().collect()]
     found = []
-    table = stored(whole.mapInArrow(_pivot_table(Shared(spark, choose_pivots(whole, pivots))),
-                                    "vec_id bigint, v array<bigint>, d array<double>"), "pivot-table")
-    for block in _blocks(table.filter(F.col("vec_id") % every == 0), QUERY_BLOCK):
-        found.append(stored(table.mapInArrow(_search(Shared(spark, block), k),
-                                             "query_id bigint, vec_id bigint, score bigint"), "pivot-found"))
+    for length in sorted(lengths):
+        whole = usable.filter(F.size("v") == length)
+        table = stored(whole.mapInArrow(_pivot_table(Shared(spark, choose_pivots(whole, pivots))),
+                                        "vec_id bigint, v array<bigint>, d array<double>"), "pivot-table")
+        for block in _blocks(table.filter(F.col("vec_id") % every == 0), QUERY_BLOCK):
+            found.append(stored(table.mapInArrow(_search(Shared(spark, block), k),
+                                                 "query_id bigint, vec_id bigint, score bigint"), "pivot-found"))
     if not found:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
     rows = found[0]
