@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from martkit.functions import html as H
 from martkit.functions.urls import basename, resolve_url, short_key
 from martkit.plans.items import item_links, next_page, page_links, pages_to_items, spec_rows, spec_table
+from martkit.session import scratch_path
+from martkit.sources.rawpages import read_raw_pages
 from martkit.sources.readers import read_pages
 from catalog import REGISTRY, query
 
@@ -248,3 +250,31 @@ def links_beside_signs(spark, sf):
     """Every anchor gets attributes with a ``>`` in front of its ``href``; no link may be lost."""
     pages = corpus(spark, sf)
     return page_links(pages.withColumn("html", F.replace("html", F.lit("<a href="), F.lit("<a title='5 > 4' data-x=\">\" href="))))
+
+
+# A page's label by the bytes it is written in: marked UTF-8, marked UTF-16, and ISO-8859-1 where that can hold it.
+_LATIN = r"r'^[\x00-\xff]*$'"
+_PUT = "replace(html, '<meta charset=\"utf-8\">', '<meta charset=\"iso-8859-1\">')"
+
+
+def raw_folder(spark, sf):
+    """The pages as files, one each, in three character sets."""
+    narrow = f"page_id % 3 = 2 and html rlike {_LATIN}"
+    page = F.expr(f"case when {narrow} then {_PUT} else html end")
+    # The writer ends each file with one byte, a line feed: the second one of a feed in UTF-16.
+    wide = F.expr("unhex(concat('FEFF', hex(encode(html, 'UTF-16BE')), '00'))")
+    content = F.when(F.col("narrow"), F.encode(F.when(F.col("narrow"), F.col("html")), "ISO-8859-1")).when(
+        F.col("page_id") % 3 == 1, wide).otherwise(F.expr("unhex(concat('EFBBBF', hex(html)))"))
+    pages = corpus(spark, sf).select("page_id", F.expr(narrow).alias("narrow"), page.alias("html"))
+    path = scratch_path(spark, "raw-pages")
+    pages.select("page_id", content.cast("string").alias("value")).write.partitionBy("page_id").text(path)
+    return path
+
+
+@query("raw_pages_decoded", rf"""select page_id, md5(concat(case when page_id % 3 = 2 and regexp_full_match(html, '[\x00-\xff]*', 's')
+  then {_PUT} else html end, chr(10))) as page_md5, nullif({_DECODE.format("regexp_extract(html, '<h1>([^<]*)', 1)")}, '') as heading
+from pages""")
+def raw_pages(spark, sf):
+    pages = read_raw_pages(spark, raw_folder(spark, sf), pattern="part-*")
+    return pages.select("page_id", F.md5(F.col("html").cast("binary")).alias("page_md5"),
+                        H.unescape(H.first_text("html", H.open_tag("h1"))).alias("heading"))

@@ -12,7 +12,7 @@ from martkit.operators import dedup
 from martkit.operators.clean import clean
 from martkit.operators.dedup import dedup_keep_first, later_duplicates
 from martkit.operators.keys import build_dimension
-from martkit.operators.lookup import DimRef, lookup_dimensions
+from martkit.operators.lookup import DimRef, lookup_dimensions, orphan_rows
 from martkit.operators.merge import reduce_updates, upsert
 from martkit.plans.items import pages_to_items
 from martkit.plans import mart
@@ -114,6 +114,16 @@ def test_unsized_lookup_does_not_force_a_broadcast(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_wide_rows_of_orphans_are_not_shuffled(spark, tmp_path):
+    spark.range(50_000).selectExpr("nullif(id % 1000, 7) as fk", "repeat('x', 50) as wide").write.parquet(f"{tmp_path}/fact")
+    spark.range(998).selectExpr("id as pk").write.parquet(f"{tmp_path}/dim")
+    out = orphan_rows(spark.read.parquet(f"{tmp_path}/fact"), spark.read.parquet(f"{tmp_path}/dim"), "fk", "pk")
+    assert {r.fk for r in out.collect()} == {998, 999} and out.count() == 100
+    text = final_plan(out)
+    assert "BroadcastHashJoin" in text and "LeftSemi" in text
+    assert not any("wide" in line for line in text.splitlines() if "Exchange" in line)
+
+
 def test_updates_are_folded_before_the_shuffle(spark):
     updates = spark.range(1000).select((F.col("id") % 2).alias("k"), F.col("id").alias("seq"),
                                        F.col("id").cast("string").alias("v"))
