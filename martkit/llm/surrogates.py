@@ -50,8 +50,9 @@ _HOST = (rf"(?:[\p{{L}}\p{{M}}\p{{N}}\-&&[^{_JOINED}]]+|[{_JOINED}]+)"
          rf"\.(?:[\p{{L}}\p{{M}}&&[^{_JOINED}]]{{2,}}|[{_JOINED}]{{2,}})")
 _LOCAL = rf"[\p{{L}}\p{{M}}\p{{N}}_.+\-&&[^{_JOINED}]]"
 PATTERNS = {
-    # The first test of each branch is only there to fail fast; "@" is in no class, so nothing need be given back.
-    "mail": (rf"(?:(?<![A-Za-z0-9])(?<!{_LOCAL})[\p{{L}}\p{{N}}&&[^{_JOINED}]]{_LOCAL}*+"
+    # The first test of each branch is only there to fail fast, as is the ASCII run; "@" is in no class, so nothing need be
+    # given back.
+    "mail": (rf"(?:(?<![A-Za-z0-9])(?<!{_LOCAL})[\p{{L}}\p{{N}}&&[^{_JOINED}]](?:[A-Za-z0-9_.+\-]++|{_LOCAL})*+"
              rf"|(?=[^\x00-\x7F])(?<![{_JOINED}])[{_JOINED}]++)@{_HOST}"),
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![\w]|\.[0-9])",
     "account": r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
@@ -63,7 +64,31 @@ PATTERNS = {
                r"|(?<!\w)(?:AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36,}|sk-[0-9A-Za-z-]{20,})(?!\w)"),
     "person": rf"(?<![\p{{L}}\p{{M}}])(?:(?:{'|'.join(TITLES)})\.? {_SURNAME}(?: {_SURNAME})?|(?:{_NAMES}) {_SURNAME})(?![\p{{L}}\p{{M}}])",
 }
-ANY = "|".join(PATTERNS.values())
+# What a match of any kind but mail begins with, tried before their branches.
+_START = r"(?=[\p{Lu}0-9+(]|[a-f][0-9A-Fa-f]{31}|gh[pousr]_|sk-)"
+NO_MAIL = f"{_START}(?:{'|'.join(p for kind, p in PATTERNS.items() if kind != 'mail')})"
+ANY = f"{PATTERNS['mail']}|{NO_MAIL}"
+# Set around matches; texts that hold it themselves are cut by the pattern instead.
+_MARK = "\x01"
+
+
+def _by_pattern(text: Column, use) -> Column:
+    """``use`` of the pattern that a text needs: without an "@" there is no mail address to look for."""
+    return F.when(text.contains("@"), use(F.lit(ANY))).otherwise(use(F.lit(NO_MAIL)))
+
+
+def mentions_of(text: Column) -> Column:
+    """All matches of a text, in order."""
+    return _by_pattern(text, lambda pattern: F.regexp_extract_all(text, pattern, F.lit(0)))
+
+
+def _cut(text: Column) -> Column:
+    """(pieces, found): the matches of a text and what stands around them, one piece more than matches, by one scan."""
+    marked = _by_pattern(text, lambda pattern: F.regexp_replace(text, pattern, F.lit(f"{_MARK}$0{_MARK}")))
+    at_marks = let(F.split(marked, _MARK, -1), lambda parts: F.struct(
+        F.filter(parts, lambda _, i: i % 2 == 0).alias("pieces"), F.filter(parts, lambda _, i: i % 2 == 1).alias("found")))
+    by_pattern = F.struct(F.split(text, ANY, -1).alias("pieces"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)).alias("found"))
+    return F.when(text.contains(_MARK), by_pattern).otherwise(at_marks)
 
 
 def _next_names(key: str) -> dict[str, str]:
@@ -200,8 +225,11 @@ def surrogate(m: Column, kind: Column, canon: Column, attempt: Column, key: str
 
 def entities(docs: DataFrame, text: str = "text") -> DataFrame:
     """The distinct entities of the corpus: kind, canon and one mention of each."""
-    found = docs.select(F.explode(F.regexp_extract_all(F.col(f"`{text}`"), F.lit(ANY), F.lit(0))).alias("m")).distinct()
-    kinds = found.select("m", kind_of(F.col("m")).alias("kind"))
+    return _distinct_entities(docs.select(F.explode(mentions_of(F.col(f"`{text}`").cast("string"))).alias("m")))
+
+
+def _distinct_entities(mentions: DataFrame) -> DataFrame:
+    kinds = mentions.select("m").distinct().select("m", kind_of(F.col("m")).alias("kind"))
     return kinds.groupBy("kind", canonical(F.col("m"), F.col("kind")).alias("canon")).agg(F.min("m").alias("m"))
 
 
@@ -238,27 +266,28 @@ def _replaced(text: Column, attempts: Column | None, key: str) -> Column:
         return let(F.struct(m.alias("m"), kind_of(m).alias("kind")), lambda p: let(
             F.struct(p["m"].alias("m"), p["kind"].alias("kind"), canonical(p["m"], p["kind"]).alias("canon")), body))
 
-    made = F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), one)
     none = F.struct(text.alias("text"), F.array().cast("array<string>").alias("kinds"))
-    # One piece more than matches: the last one is joined to nothing.
-    joined = let(made, lambda made: F.struct(
-        F.array_join(F.zip_with(F.split(text, ANY, -1), made, lambda piece, s: F.concat(
-            piece, F.coalesce(s["made"], F.lit("")))), "").alias("text"),
-        F.transform(made, lambda s: s["kind"]).alias("kinds")))
-    return F.when(F.regexp_like(text, F.lit(ANY)), joined).otherwise(none)
+    # The last piece is joined to nothing.
+    done = let(_cut(text), lambda cut: let(
+        F.struct(cut["pieces"].alias("pieces"), F.transform(cut["found"], one).alias("made")), lambda cut: F.struct(
+            F.array_join(F.zip_with(cut["pieces"], cut["made"], lambda piece, s: F.concat(
+                piece, F.coalesce(s["made"], F.lit("")))), "").alias("text"),
+            F.transform(cut["made"], lambda s: s["kind"]).alias("kinds"))))
+    return F.when(text.isNull(), none).otherwise(done)
 
 
 def with_surrogates(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFrame:
     """``row`` (all columns as they came) and ``new`` (text, kinds)."""
     value = F.col(f"`{text}`").cast("string")
-    moved = stored(moved_entities(stored(entities(docs, text), "surrogates-entities"), key), "surrogates-moved")
+    # The matches of every text with its checksum, written once: whose they are, and which documents hold them.
+    mentions = stored(docs.select(F.md5(value.cast("binary")).alias("sum"), F.explode(
+        F.array_distinct(mentions_of(value))).alias("m")), "surrogates-mentions")
+    moved = stored(moved_entities(stored(_distinct_entities(mentions), "surrogates-entities"), key), "surrogates-moved")
     rows = docs.select(F.struct("*").alias("row"), value.alias("text"))
     if moved.isEmpty():
         return rows.select("row", _replaced(F.col("text"), None, key).alias("new"))
     # Documents that hold a moved entity, by the checksum of their text: equal texts need equal maps.
-    mentions = docs.select(F.md5(value.cast("binary")).alias("sum"), F.explode(
-        F.regexp_extract_all(value, F.lit(ANY), F.lit(0))).alias("m")).distinct()
-    mentions = mentions.withColumn("kind", kind_of(F.col("m"))).withColumn("canon", canonical(F.col("m"), F.col("kind")))
+    mentions = mentions.distinct().withColumn("kind", kind_of(F.col("m"))).withColumn("canon", canonical(F.col("m"), F.col("kind")))
     maps = mentions.select("sum", "kind", "canon").distinct().join(moved, ["kind", "canon"]).groupBy("sum").agg(
         F.map_from_entries(F.collect_list(F.struct(F.concat_ws("\1", "kind", "canon"), "attempt"))).alias("attempts"))
     joined = rows.withColumn("sum", F.md5(F.col("text").cast("binary"))).join(stored(maps, "surrogates-maps"), "sum", "left")
