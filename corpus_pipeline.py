@@ -13,6 +13,10 @@ from martkit.llm import decontaminate, jaccard, mixture, quality_rules, token_sh
 from martkit.llm.base import stored, table
 
 
+#: Bytes of words that a task of the last stage remembers: by then the executors' JVMs have grown to their limit.
+TOKEN_MEMORY = 40 << 20
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule ensemble rejects go."""
     return quality_rules.keep_quality(docs, table(spark, sf_dir, "labels"))
@@ -35,7 +39,7 @@ def source_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Shards of token ids with their index; the rows are read back from the files."""
-    return token_shards.write_and_digest(docs)
+    return token_shards.write_and_digest(docs, memory=TOKEN_MEMORY)
 
 
 STAGES = [("quality", quality), ("near_copies", near_copies), ("benchmark_text", benchmark_text),

@@ -6,6 +6,7 @@ import ctypes
 import gc
 import pickle
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -18,10 +19,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared scratch folder and read back: computed once, whatever executors are lost later."""
+#: Rows of whole texts that go to a worker at once, where its memory counts.
+TEXT_ROWS = 1_000
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int):
+    """What runs inside passes batches of so many rows at most to its workers: executor and worker hold one of each task."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if 0 < int(before) <= rows:
+        yield
+        return
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Write to the shared scratch folder and read back: computed once, whatever executors are lost later.
+
+    With ``rows``, workers get batches of so many rows at most.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    if rows is None:
+        df.write.parquet(path)
+    else:
+        with batches_of(df.sparkSession, rows):
+            df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -26,6 +26,7 @@ manifest.  Keys are whole numbers; other columns are not read.
 from __future__ import annotations
 
 import bisect
+import os
 import posixpath
 import re
 import uuid
@@ -41,7 +42,7 @@ import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from martkit.llm.base import Shared, released, texts
+from martkit.llm.base import TEXT_ROWS, Shared, batches_of, released, texts
 from martkit.session import scratch_path
 
 MAGIC = 0x3153444944524F57
@@ -184,14 +185,16 @@ class Encoder:
     take words and marks apart: then every distinct word is encoded once and remembered.
     """
 
-    def __init__(self, tokenizer: str, end_id: int, by_word: bool):
+    def __init__(self, tokenizer: str, end_id: int, by_word: bool, memory: int = MEMORY_BYTES):
+        # Spark runs a task on every core already; threads of the library's own cost time and hold memory besides.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_str(tokenizer)
         self.width = 2 if max(self._tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         self._code = "H" if self.width == 2 else "I"
         self._end = array(self._code, [end_id]).tobytes()
-        self._by_word, self._known, self._room = by_word, {}, MEMORY_BYTES
+        self._by_word, self._known, self._memory, self._room = by_word, {}, memory, memory
 
     def _ids(self, values: list[str]) -> list[bytes]:
         return [array(self._code, e.ids).tobytes()
@@ -221,7 +224,7 @@ class Encoder:
             if self._room < 0:
                 self._known.clear()
                 new = set().union(*texts_words)
-                self._room = MEMORY_BYTES - sum(map(len, new)) * 2 - WORD_BYTES * len(new)
+                self._room = self._memory - sum(map(len, new)) * 2 - WORD_BYTES * len(new)
             new = list(new)
             self._known.update(zip(new, self._ids([w.decode("utf-8") for w in new])))
             for words in texts_words:
@@ -234,7 +237,7 @@ MANIFEST = ("shard int, ids string, index string, n_docs bigint, n_tokens bigint
             "first_key bigint, last_key bigint")
 
 
-def _write(shared: Shared, root: str, end_id: int, by_word: bool):
+def _write(shared: Shared, root: str, end_id: int, by_word: bool, memory: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = out = None
         keys, lengths, nulls = [], [], 0
@@ -245,7 +248,7 @@ def _write(shared: Shared, root: str, end_id: int, by_word: bool):
             if not batch.num_rows:
                 continue
             if out is None:
-                encoder = Encoder(shared.value, end_id, by_word)
+                encoder = Encoder(shared.value, end_id, by_word, memory)
                 fs.create_dir(folder, recursive=True)
                 out = fs.open_output_stream(posixpath.join(folder, names[0]), compression=None)
             column = batch.column("doc_id")
@@ -272,11 +275,13 @@ def _write(shared: Shared, root: str, end_id: int, by_word: bool):
 
 
 def write_shards(docs: DataFrame, root: str, tokenizer: str, end_id: int, by_word: bool = False,
-                 key: str = "doc_id", text: str = "text", shards: int | None = None) -> DataFrame:
+                 key: str = "doc_id", text: str = "text", shards: int | None = None,
+                 memory: int = MEMORY_BYTES) -> DataFrame:
     """Write ``docs`` in key order below ``root`` (shared by all executors) and return the manifest.
 
     ``tokenizer``: a tokenizer definition (the text of its JSON file, a few megabytes, sent to the
     executors once).  Without ``shards`` their number follows from the size of the texts.
+    ``memory``: bytes of words and ids that a task remembers; it changes the time taken, not the ids.
     """
     spark = docs.sparkSession
     rows = texts(docs, key, text=text).select(F.col(f"`{key}`").cast("bigint").alias("doc_id"), "text")
@@ -285,8 +290,9 @@ def write_shards(docs: DataFrame, root: str, tokenizer: str, end_id: int, by_wor
         shards = max(1, -(-size // SHARD_BYTES))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]
     dealt = rows.repartitionByRange(shards, *order).sortWithinPartitions(*order, "text")
-    manifest = dealt.mapInArrow(released(_write(Shared(spark, tokenizer), f"{root}/data", end_id, by_word)), MANIFEST)
-    manifest.write.parquet(f"{root}/manifest")
+    manifest = dealt.mapInArrow(released(_write(Shared(spark, tokenizer), f"{root}/data", end_id, by_word, memory)), MANIFEST)
+    with batches_of(spark, TEXT_ROWS):
+        manifest.write.parquet(f"{root}/manifest")
     return read_manifest(spark, root)
 
 
@@ -387,7 +393,7 @@ def read_digests(spark: SparkSession, root: str) -> DataFrame:
 
 
 def write_and_digest(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = 2,
-                     root: str | None = None) -> DataFrame:
+                     root: str | None = None, memory: int = MEMORY_BYTES) -> DataFrame:
     """Encode ``docs`` with a public tokenizer, write the shards and return what they hold."""
     import public_tokenizers
 
@@ -396,5 +402,5 @@ def write_and_digest(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_
     with open(public_tokenizers.path(tokenizer), encoding="utf-8") as f:
         definition = f.read()
     # This tokenizer marks word ends and drops white space, so words can be encoded one by one.
-    write_shards(docs, root, definition, end_id, by_word=tokenizer.startswith("word_"))
+    write_shards(docs, root, definition, end_id, by_word=tokenizer.startswith("word_"), memory=memory)
     return read_digests(spark, root)

@@ -9,6 +9,7 @@ from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from conftest_llm import prose
+from martkit.llm import token_shards
 from martkit.llm.token_shards import Encoder, PerfectHash, ShardIndex, ShardSet, read_digests, write_shards
 from martkit.session import scratch_path
 
@@ -66,3 +67,29 @@ def test_hash_is_perfect_and_minimal(n):
     assert (count == 1).all() and first.tolist() == list(range(len(keys)))
     strangers = np.setdiff1d(np.arange(1000), keys)
     assert not index.find(strangers)[1].any()
+
+
+def test_workers_get_small_batches(spark, frame, monkeypatch):
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+    def refusing(run):
+        def task(batches):
+            def told():
+                for b in batches:
+                    if b.num_rows > 1000:
+                        raise ValueError(f"a batch of {b.num_rows} rows")
+                    yield b
+            yield from run(told())
+        return task
+    monkeypatch.setattr(token_shards, "released", refusing)
+    manifest = write_shards(frame([(i, f"word {i}") for i in range(2500)]), scratch_path(spark, "tokens"), DEFINITION, 2,
+                            by_word=True, shards=1)
+    assert manifest.first().n_docs == 2500
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+def test_less_memory_gives_the_same_ids():
+    values = [prose(i) for i in range(300)]
+    small = Encoder(DEFINITION, 2, by_word=True, memory=5_000)
+    assert [np.frombuffer(x, "<u2").tolist() for x in small(values)] == [ids(v) for v in values]
+    assert len(small._known) < len({w for v in values for w in v.lower().split()})
