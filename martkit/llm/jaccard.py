@@ -10,6 +10,9 @@ set; runs repeat until the chance to miss a pair is below ``1 - recall``.
 Work is bounded for hot buckets: every set is first compared with two of the sets that lead its
 buckets, which already joins most of a group of near copies; a bucket whose members are one group by
 then is finished, as pairs inside a group are counted exactly once, at the end, in blocks.
+Large buckets that share sets make an area.  Where all its sets together have at most WHOLE times the pairs
+of its buckets one by one, as in a large group of near copies whose sets share many buckets, the area is
+compared as a whole, each set once, in blocks; other areas are split.
 Equal sets are one class with a number of copies and are never expanded.
 
 A text without words has no shingles: such a document is a class of its own.  Null ids and
@@ -20,12 +23,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from martkit.llm.base import released, stored, texts
+from martkit.llm.base import TEXT_ROWS, released, stored, texts
 from martkit.llm.components import components
 from martkit.llm.decontaminate import _FOLD
 
@@ -39,6 +43,9 @@ DEPTH = 4
 #: How many times as many shingles are chosen where a large bucket is split: few buckets are, so
 #: their sets can afford more of them, and hardly a pair is parted there.
 SPLIT = 4
+#: An area is compared as a whole if that makes at most so many times the pairs of its buckets: a split deals every set to
+#: some SPLIT / threshold buckets for each one it is in, and those are compared again.
+WHOLE = 16
 #: Sets, and shingles of them in all, that meet another block of sets in one task.
 BLOCK = 512
 BLOCK_SHINGLES = 1 << 20
@@ -311,54 +318,79 @@ def _cells(rows: DataFrame) -> DataFrame:
         "i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other", "count")
 
 
+def whole_areas(large: DataFrame) -> DataFrame:
+    """(rid, area, size): sets of large buckets (node, rid, low, size) that are compared as a whole.
+
+    An area is what buckets join, directly or over others; it is taken where that makes at most WHOLE times their pairs.
+    """
+    ends = large.filter("rid <> low").select(F.col("rid").alias("a"), F.col("low").alias("b"))
+    areas = stored(components(ends), "jaccard-areas")
+    of_buckets = large.filter("rid = low").select("low", "size").join(areas, F.col("low") == F.col("member")).groupBy("root").agg(
+        F.sum(F.col("size").cast("double") * F.col("size")).alias("pairs"))
+    sizes = areas.groupBy("root").agg(F.count("*").alias("size"))
+    taken = sizes.join(of_buckets, "root").filter(
+        F.col("size").cast("double") * F.col("size") <= WHOLE * F.col("pairs"))
+    return areas.join(taken.select("root", "size"), "root").select(
+        F.col("member").alias("rid"), F.col("root").alias("area"), "size")
+
+
+def _crossed(rows: DataFrame, key: str, classes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links that join all similar sets of each group (``key``, rid, size)."""
+    totals = rows.join(classes.select("rid", "n"), "rid").groupBy(key).agg(F.sum("n").alias("total"))
+    grid = _cells(rows.join(totals, key).join(sets.dropDuplicates(["rid"]), "rid"))
+    return grid.select(key, "i", "j", "block", "rid", "own").groupBy(key, "i", "j").applyInArrow(
+        _cross(threshold), "a bigint, b bigint")
+
+
 def _linked(docs: DataFrame, threshold: float, recall: float, shingle: int) -> tuple[DataFrame, ...]:
     """(members, classes, sets, groups): documents with their set's id, sets with copies and first document,
     shingles of sets that share a bucket, and the root of every set that a link joins to others."""
     rows = texts(docs, "doc_id").withColumn("th", F.xxhash64("text"))
     members = stored(rows.mapInArrow(
         released(_first_buckets(threshold, runs_for(recall), shingle)),
-        "doc_id bigint, th bigint, rid bigint, n int, nodes array<bigint>"), "jaccard-members")
+        "doc_id bigint, th bigint, rid bigint, n int, nodes array<bigint>"), "jaccard-members", TEXT_ROWS)
     classes = stored(members.filter("rid is not null").groupBy("rid").agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.max("n").alias("n")), "jaccard-classes")
     live = stored(_shared(members.filter("rid is not null").select(F.explode("nodes").alias("node"), "rid"))
                   .distinct(), "jaccard-buckets")
     wanted = live.select("rid").distinct().join(classes, "rid").select("rid", F.col("rep").alias("doc_id"))
     sets = stored(rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["doc_id"])).select("rid", "text").mapInArrow(
-        released(_sets(shingle)), "rid bigint, own binary"), "jaccard-sets")
+        released(_sets(shingle)), "rid bigint, own binary"), "jaccard-sets", TEXT_ROWS)
     # Every set against two of the sets that are first in its buckets: that joins most of a group.
     firsts = live.filter("rid <> low").groupBy("rid").agg(F.array_distinct(F.array(F.min("low"), F.max("low"))).alias("low"))
     links = stored(verified(firsts.select(F.explode("low").alias("a"), F.col("rid").alias("b")), sets, threshold),
-                   "jaccard-links")
+                   "jaccard-links", TEXT_ROWS)
     for level in range(3, DEPTH + 1):
         groups = stored(components(links), "jaccard-groups")
         named = live.join(groups, F.col("rid") == F.col("member"), "left").select(
-            "node", "rid", F.coalesce("root", "rid").alias("root"))
+            "node", "rid", "low", F.coalesce("root", "rid").alias("root"))
         per_node = named.groupBy("node").agg(
-            F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+            F.count("*").alias("size"), F.min("root").alias("least"), F.max("root").alias("most")).filter("least < most")
         mixed = stored(named.join(per_node.select("node", "size"), "node"), "jaccard-mixed")
         small = mixed.filter(F.col("size") <= SMALL)
         other = small.select("node", F.col("rid").alias("b"), F.col("root").alias("other_root"))
         pairs = small.join(other, "node").filter((F.col("rid") < F.col("b")) & (F.col("root") != F.col("other_root")))
         found = [verified(pairs.select(F.col("rid").alias("a"), "b"), sets, threshold)]
         large = mixed.filter(F.col("size") > SMALL)
-        last = level == DEPTH or large.isEmpty()
-        if last:
-            totals = large.join(classes.select("rid", "n"), "rid").groupBy("node").agg(F.sum("n").alias("total"))
-            grid = _cells(large.join(totals, "node").join(sets.dropDuplicates(["rid"]), "rid"))
-            found.append(grid.select("node", "i", "j", "block", "rid", "own").groupBy("node", "i", "j").applyInArrow(
-                _cross(threshold), "a bigint, b bigint"))
-        else:
+        last = large.isEmpty()
+        if not last:
+            areas = stored(whole_areas(large), "jaccard-areas")
+            found.append(_crossed(areas, "area", classes, sets, threshold))
+            large = large.join(areas.select("rid"), "rid", "left_anti")
+            last = level == DEPTH or large.isEmpty()
+            if level == DEPTH:
+                found.append(_crossed(large.select("node", "rid", "size"), "node", classes, sets, threshold))
+        if not last:
             nodes = large.groupBy("rid").agg(F.collect_set("node").alias("nodes"), F.first("root").alias("root")).join(
                 sets, "rid")
             live = stored(_shared(nodes.select("rid", "root", "own", "nodes").mapInArrow(
-                _split(threshold, level), "node bigint, rid bigint, root bigint").distinct()), "jaccard-buckets")
+                _split(threshold, level), "node bigint, rid bigint, root bigint").distinct()), "jaccard-buckets", TEXT_ROWS)
             # Sets of one group need not be compared: a bucket's first set against those of other groups.
             first = live.filter("rid = low").select("node", F.col("root").alias("low_root"))
             star = live.join(first, "node").filter(F.col("root") != F.col("low_root"))
             found.append(verified(star.select(F.col("low").alias("a"), F.col("rid").alias("b")), sets, threshold))
             live = live.drop("root")
-        new = found[0].unionByName(found[1]) if len(found) > 1 else found[0]
-        links = stored(links.unionByName(new).distinct(), "jaccard-links")
+        links = stored(reduce(DataFrame.unionByName, [links, *found]).distinct(), "jaccard-links", TEXT_ROWS)
         if last:
             break
     return members, classes, sets, stored(components(links), "jaccard-groups")
@@ -382,7 +414,7 @@ def jaccard_groups(docs: DataFrame, threshold: float = THRESHOLD, recall: float
         counts, "rid", "left").select(
         "rid", F.coalesce("first", "rep").alias("class_id"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    out = members.select("doc_id", "rid").join(stored(per_class, "jaccard-classes"), "rid", "left")
+    out = members.select("doc_id", "rid").join(stored(per_class, "jaccard-classes", TEXT_ROWS), "rid", "left")
     return out.select("doc_id", F.when(F.col("rid").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
                       .alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
