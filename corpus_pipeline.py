@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from martkit.llm import decontaminate, jaccard, mixture, quality_rules, token_shards
-from martkit.llm.base import stored, table
+from martkit.llm.base import TEXT_ROWS, stored, table
 
 
 #: Bytes of words that a task of the last stage remembers: by then the executors' JVMs have grown to their limit.
@@ -52,5 +52,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}", TEXT_ROWS)
     return docs

@@ -18,11 +18,10 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from martkit.llm.base import Shared, stored, texts
+from martkit.llm.base import Shared, released, stored, texts
 
 WINDOW = 10
 #: Words of benchmark text in one automaton: at most twice as many states, about 100 MB.
@@ -192,21 +191,25 @@ _SPANS = T.ArrayType(T.ArrayType(T.IntegerType()))
 _FOUND = {"n_words": T.LongType(), "spans": _SPANS, "items": T.ArrayType(T.StringType())}
 
 
-def find_items(rows: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
+def find_items(rows: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS,
+               cut: bool = False) -> DataFrame:
     """``rows`` (a column ``text``, never null, and others) with n_words, spans and items.
 
+    With ``cut`` also the text without the spans (null if there are none), by the worker that found them.
+
     ``spans`` are hit ranges of word numbers, disjoint and ascending; ``items`` the ids found,
     as text.  A benchmark of more than one automaton takes one pass each, written between.
     """
     spark = rows.sparkSession
-    out = rows.select("*", *[F.lit(None).cast(t).alias(n) for n, t in _FOUND.items()])
+    new = _FOUND | ({"cut": T.StringType()} if cut else {})
+    out = rows.select("*", *[F.lit(None).cast(t).alias(n) for n, t in new.items()])
     schema, first = out.schema, True
     for group in benchmark_shards(benchmark, shard_words=shard_words):
         if not first:
             out = stored(out, "decontaminate")
-        out, first = out.mapInArrow(_pass(Shared(spark, Automaton(group, window))), schema), False
+        out, first = out.mapInArrow(released(_pass(Shared(spark, Automaton(group, window)))), schema), False
     if first:
-        out = out.mapInArrow(_pass(Shared(spark, Automaton([], window))), schema)
+        out = out.mapInArrow(released(_pass(Shared(spark, Automaton([], window)))), schema)
     return out
 
 
@@ -214,7 +217,7 @@ def _pass(shared: Shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = shared.value
         for batch in batches:
-            counts, spans, items = [], [], []
+            counts, spans, items, cut = [], [], [], []
             earlier = zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(),
                           batch.column("items").to_pylist())
             for text, old_spans, old_items in earlier:
@@ -223,7 +226,8 @@ def _pass(shared: Shared):
                 counts.append(len(words))
                 spans.append(_merge([*(old_spans or []), *hit]))
                 items.append(sorted({str(i) for i in ids}.union(old_items or [])))
-            found = {"n_words": counts, "spans": spans, "items": items}
+                cut.append(cut_words(text, spans[-1]) if spans[-1] else None)
+            found = {"n_words": counts, "spans": spans, "items": items, "cut": cut}
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found[f.name], f.type) if f.name in found else batch.column(f.name) for f in batch.schema],
                 schema=batch.schema)
@@ -257,24 +261,19 @@ def cut_words(text: str, spans: list[list[int]]) -> str:
     return b"".join([*kept, raw[at:]]).decode("utf-8", "surrogatepass")
 
 
-@F.pandas_udf(T.StringType())
-def _cut(text: pd.Series, spans: pd.Series) -> pd.Series:
-    return pd.Series([cut_words(t, s) if len(s) else t for t, s in zip(text, spans)], dtype=object)
-
-
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = 0.5) -> DataFrame:
     """Remove contaminated spans; documents of which more than ``max_coverage`` is hit go.
 
     Other rows keep all their columns; ``n_chars``, where present, follows the shortened text.
     """
-    rows = docs.select(F.struct("*").alias("row"), F.coalesce("text", F.lit("")).alias("text"))
-    found = find_items(rows, benchmark, window)
-    hit = hit_words(F.col("spans"))
-    cut = found.filter(hit <= F.col("n_words") * max_coverage).select(
-        "row", "spans", _cut("text", "spans").alias("cut"))
+    # The text goes to the workers once; the other columns stand apart, whatever their names.
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(*others or [F.lit(0)]).alias("row"), F.coalesce("text", F.lit("")).alias("text"),
+                       F.col("text").isNull().alias("unset"))
+    found = find_items(rows, benchmark, window, cut=True).filter(hit_words(F.col("spans")) <= F.col("n_words") * max_coverage)
     touched = F.size("spans") > 0
-    new = {"text": F.when(touched, F.col("cut")).otherwise(F.col("row.text"))}
+    new = {"text": F.when(touched, F.col("cut")).when(~F.col("unset"), F.col("text"))}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         new["n_chars"] = F.when(touched, F.length("cut").cast(kind)).otherwise(F.col("row.n_chars"))
-    return cut.select([new[c].alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns])
+    return found.select([new[c].alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns])

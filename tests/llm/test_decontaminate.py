@@ -76,3 +76,15 @@ def test_spans_are_cut(spark, frame):
     assert out[1].text == f"{prose(1)} . {prose(2)}" and out[1].n_chars == len(out[1].text)
     assert out[3].text == prose(3) and out[3].rid == "rid"
     assert cut_words("Ünï a-b c", [[0, 1], [2, 3]]) == " a- c"
+
+
+def test_one_worker_finds_and_cuts(spark, frame):
+    passage = prose(50, 30)
+    rows = [(1, f"{prose(1, 80)} {passage} {prose(2, 80)}"), (2, None), (3, ""), (4, prose(3)), (5, passage)]
+    out = decontaminate(frame(rows), benchmark(spark, [(1, passage, "")]))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "EvalPython" not in plan
+    got = {r.doc_id: (r.text, r.n_chars) for r in out.collect()}
+    kept = f"{prose(1, 80)} {prose(2, 80)}"
+    assert words_of(got[1][0]) == words_of(kept) and got[1][1] == len(got[1][0])
+    assert {k: v[0] for k, v in got.items() if k != 1} == {2: None, 3: "", 4: prose(3)}
