@@ -3,9 +3,8 @@
 Two lines within ``threshold`` edits of each other agree in one of ``threshold + 1`` segments of
 the shorter one, near the place where it stands there.  Every line is indexed by its segments
 and probes those of lines of its own length and up to ``threshold`` less, at the few places that
-the edits left and right of a segment allow.  What meets on a segment is checked by the counts of
-some letters (an edit changes two by one at most) inside the join, and then by the edit distance:
-a band of 2 * threshold + 1 diagonals, kept as bits of one number.
+the edits left and right of a segment allow.  What meets on a segment is checked by the edit distance
+in a band of the distance table.  Lines with a segment that very many share meet on more of their text.
 
 Equal lines are one: they are counted first by a partial aggregate, and lines with many copies
 enter the join once.  Lines that links join, directly or over others, are a class; the first
@@ -23,7 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from martkit.llm.base import let, stored
+from martkit.llm.base import stored
 from martkit.llm.components import components
 
 THRESHOLD = 2
@@ -33,7 +32,9 @@ ONE_EDIT_CHARS = 12
 #: Lines with more copies enter the join once; others as often as they occur.
 COPIES = 20
 # The letters whose counts are compared.
-LETTERS = "etaoin"
+LETTERS = ["etaoin", "shrdlu"]
+#: Lines that share a segment; where there are more, they meet on all but two of so many pieces of the line.
+HOT, PIECES = 24, 8
 #: Rows up to which a table of hashes is sent to the tasks; a larger one is joined by shuffle.
 SENT_ROWS = 200_000
 #: Where a line stands: in which document, and at which number.
@@ -51,19 +52,19 @@ def text_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def letter_counts(line: Column) -> Column:
-    """How often each letter of LETTERS occurs, 1,023 at most, in ten bits each of one number."""
+def letter_counts(line: Column, letters: str) -> Column:
+    """How often each of six letters occurs, 1,023 at most, in ten bits each of one number."""
     out = F.lit(0).cast("bigint")
-    for i, c in enumerate(LETTERS):
+    for i, c in enumerate(letters):
         n = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit("")))
         out = out + F.shiftleft(F.least(n, F.lit(1023)).cast("bigint"), 10 * i)
     return out
 
 
 def counts_apart(a: Column, b: Column) -> Column:
-    """By how much the counts of two lines differ in all."""
+    """By how much the counts of two lines differ in all; an edit changes two by one at most."""
     return sum((F.abs(F.shiftright(a, 10 * i).bitwiseAND(1023) - F.shiftright(b, 10 * i).bitwiseAND(1023))
-                for i in range(len(LETTERS))), F.lit(0))
+                for i in range(6)), F.lit(0))
 
 
 def _sent(table: DataFrame) -> DataFrame:
@@ -71,101 +72,126 @@ def _sent(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.count() <= SENT_ROWS else table
 
 
-def _segment(length: Column, parts: int, i: int) -> tuple[Column, Column]:
-    """(start, size) of segment ``i`` of a line: all of one size, the last ones a character longer."""
-    size = F.floor(length / parts).cast("int")
-    short = parts - length % parts
-    start = size * i + F.greatest(F.lit(0), F.lit(i) - short) + 1
-    return start.cast("int"), (size + (F.lit(i) >= short).cast("int")).cast("int")
+def _piece(length: Column, parts: int, i: Column) -> tuple[Column, Column]:
+    """(start, size) of piece ``i`` of a line: all of one size, the last ones a character longer."""
+    size, short = F.floor(length / parts).cast("int"), parts - length % parts
+    start = size * i + F.greatest(F.lit(0), i - short) + 1
+    return start.cast("int"), (size + (i >= short).cast("int")).cast("int")
 
 
-def _key(line: Column, i: int, length: Column, start: Column, size: Column) -> Column:
-    return F.xxhash64(F.lit(i), length, F.substring(line, start, size))
+def _places(threshold: int) -> list[tuple[int, int, int]]:
+    """(less, i, shift): where segment i of a line shorter by ``less`` can stand in a line.
 
+    With segment i (from 0) unchanged, at most i edits are left of it and at most threshold - i
+    right of it; both bound how far it is shifted.  Of two lines of one length each looks for the other: with two
+    edits, a segment that one sees moved left is seen moved right by the other.
+    """
+    return [(less, i, shift) for less in range(threshold + 1) for i in range(threshold + 1)
+            for shift in range(max(-i, less - (threshold - i)), min(i, less + (threshold - i)) + 1)
+            if not (threshold == 2 and less == 0 and shift < 0)]
 
-def index_keys(line: Column, length: Column, threshold: int) -> Column:
-    parts = threshold + 1
-    return F.array(*[_key(line, i, length, *_segment(length, parts, i)) for i in range(parts)])
 
+def _each(rows: DataFrame, names: str, values: list[tuple]) -> DataFrame:
+    """Every row once with each of the values: one expression serves them all, instead of one for each."""
+    return rows.select("*", F.inline(F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names.split(), x)])
+                                               for x in values])))
 
-def probe_keys(line: Column, length: Column, threshold: int) -> Column:
-    """Segments of lines shorter by 0 to ``threshold``, at the places where they can stand in this line.
 
-    With segment i (from 0) unchanged, at most i edits are left of it and at most threshold - i
-    right of it; both bound how far it is shifted.
-    """
-    parts, keys = threshold + 1, []
-    for less in range(threshold + 1):
-        other = length - less
-        for i in range(parts):
-            start, size = _segment(other, parts, i)
-            for shift in range(max(-i, less - (threshold - i)), min(i, less + (threshold - i)) + 1):
-                keys.append(_key(line, i, other, start + shift, size))
-    return F.array(*keys)
+def index_keys(rows: DataFrame, threshold: int) -> DataFrame:
+    """(key, h): the segments of every line (h, line, size)."""
+    start, size = _piece(F.col("size"), threshold + 1, F.col("i"))
+    return _each(rows, "i", [(i,) for i in range(threshold + 1)]).select(
+        F.xxhash64("i", "size", F.substring("line", start, size)).alias("key"), "h")
+
+
+def probe_keys(rows: DataFrame, threshold: int) -> DataFrame:
+    """(key, other): segments of lines shorter by 0 to ``threshold``, at the places where they can stand in a line."""
+    other = F.col("size") - F.col("less")
+    start, size = _piece(other, threshold + 1, F.col("i"))
+    return _each(rows, "less i shift", _places(threshold)).select(
+        F.xxhash64("i", other, F.substring("line", start + F.col("shift"), size)).alias("key"), F.col("h").alias("other"))
+
+
+def _around(length: Column, between: Column, less: Column) -> Column:
+    """Hash of a line without its pieces p and q (of PIECES): before p, between them (moved), behind q (moved by ``less``)."""
+    p, q = F.col("p"), F.col("q")
+    (at_p, size_p), (at_q, size_q) = _piece(length, PIECES, p), _piece(length, PIECES, q)
+    behind = at_q + size_q
+    return F.xxhash64(p, q, length, F.substring("line", F.lit(1), at_p - 1), F.substring(
+        "line", at_p + size_p + between, at_q - at_p - size_p), F.substring("line", behind + less, length - behind + 1))
+
+
+def long_index_keys(rows: DataFrame, *more: str) -> DataFrame:
+    """(key, h) and more columns: all but two of the PIECES pieces of every line."""
+    pieces = [(p, q) for q in range(PIECES) for p in range(q)]
+    return _each(rows, "p q", pieces).select(_around(F.col("size"), F.lit(0), F.lit(0)).alias("key"), "h", *more)
+
+
+def long_probe_keys(rows: DataFrame, *more: str) -> DataFrame:
+    """(key, other) and more columns: those of lines shorter by 0 to 2, as two edits in the two pieces left out may move them."""
+    pieces = [(p, q, less, between) for q in range(PIECES) for p in range(q) for less in range(3)
+              for between in ([0] if q == p + 1 else range(max(-1, less - 1), 2))]
+    return _each(rows, "p q less between", pieces).select(
+        _around(F.col("size") - F.col("less"), F.col("between"), F.col("less")).alias("key"),
+        F.col("h").alias("other"), *more)
 
 
 def within(a: Column, b: Column, threshold: int) -> Column:
-    """Whether the edit distance of two strings is ``threshold`` at most; ``b`` is longer by 0 to ``threshold``.
+    """Whether the edit distance of two strings is ``threshold`` at most; only a band of the distance table is filled."""
+    return F.levenshtein(a, b, threshold) >= 0
 
-    Cells of the distance table beside its main diagonal are kept as differences down a column:
-    bit k of ``vp`` (``vn``) says that the cell k below the band's top is one more (less) than the
-    cell above.  Every character of ``b`` moves the band one row down and one column right.  The
-    lowest diagonal is followed as a number, and from its end the differences lead to the last row.
-    """
-    width = 2 * threshold + 1
-    mask = (1 << width) - 1
-
-    def invert(v: Column) -> Column:
-        return v.bitwiseXOR(F.lit(mask))
-
-    def run(own: Column, p: Column) -> Column:
-        start = F.struct(F.lit(mask ^ ((1 << threshold) - 1)).alias("vp"), F.lit(0).alias("vn"),
-                         F.lit(threshold).alias("low"), F.lit(0).alias("j"))
-
-        def step(s: Column, c: Column) -> Column:
-            equal = F.lit(0)
-            for k in range(width):
-                equal = equal + F.when(F.element_at(own, s["j"] + 1 + k) == c, F.lit(1 << k)).otherwise(F.lit(0))
-            vp, vn = s["vp"], s["vn"]
-            same = let(equal, lambda e: ((e.bitwiseAND(vp) + vp).bitwiseXOR(vp)).bitwiseOR(e).bitwiseOR(vn).bitwiseAND(
-                F.lit(mask)))
-
-            def moved(d: Column) -> Column:
-                hp, hn, down = vn.bitwiseOR(invert(d.bitwiseOR(vp))), d.bitwiseAND(vp), F.shiftright(d, 1)
-                return F.struct(hn.bitwiseOR(invert(down.bitwiseOR(hp))).alias("vp"), down.bitwiseAND(hp).alias("vn"),
-                                (s["low"] + 1 - F.shiftright(d, width - 1)).alias("low"), (s["j"] + 1).alias("j"))
-            return let(same, moved)
-
-        def end(s: Column) -> Column:
-            # The differences between the last row of the table and the band's lowest one.
-            less = F.length(p["b"]) - F.length(p["a"])
-            rows = F.lit(0)
-            for d in range(threshold + 1):
-                rows = F.when(less == d, F.lit(((1 << 2 * threshold) - 1) & ~((1 << (threshold - d)) - 1))).otherwise(rows)
-            return s["low"] - F.bit_count(s["vp"].bitwiseAND(rows)) + F.bit_count(s["vn"].bitwiseAND(rows))
-        return F.aggregate(F.split(p["b"], ""), start, step, end) <= threshold
-
-    # Nothing equals the padding, so the band may reach over both ends of ``a``.
-    def padded(p: Column) -> Column:
-        chars = F.concat(F.array_repeat(F.lit("\n\n"), threshold), F.split(p["a"], ""),
-                         F.array_repeat(F.lit("\n\n"), width + threshold))
-        return let(chars, lambda own: run(own, p))
-
-    return let(F.struct(a.alias("a"), b.alias("b")), padded)
-
-
-def near_pairs(lines: DataFrame, counts: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """Pairs (a, b) of hashes of different lines that may be near: they meet on a segment and in letter counts."""
+
+def _pairs(met: DataFrame) -> DataFrame:
+    return met.filter(F.col("h") != F.col("other")).select(
+        F.least("h", "other").alias("a"), F.greatest("h", "other").alias("b")).distinct()
+
+
+def lines_once(lines: DataFrame, counts: DataFrame) -> DataFrame:
+    """(h, line, size), lines with many copies as their first place has them."""
     many = counts.filter(F.col("n") > COPIES).select("h", F.col("first").alias("kept"))
-    once = lines.join(_sent(many), "h", "left").filter(
-        F.col("kept").isNull() | F.col("kept").eqNullSafe(F.struct(*PLACE)))
-    rows = once.select("h", "line", F.length("line").alias("size"), letter_counts(F.col("line")).alias("letters"))
-    index = rows.select("h", "letters", F.explode(index_keys(F.col("line"), F.col("size"), threshold)).alias("key"))
-    probe = rows.select(F.col("h").alias("other"), F.col("letters").alias("their"), F.explode(
-        probe_keys(F.col("line"), F.col("size"), threshold)).alias("key"))
-    met = index.join(probe, (index["key"] == probe["key"]) & (F.col("h") != F.col("other")) & (
-        counts_apart(F.col("letters"), F.col("their")) <= 2 * threshold))
-    return met.select(F.least("h", "other").alias("a"), F.greatest("h", "other").alias("b")).distinct()
+    return lines.join(_sent(many), "h", "left").filter(
+        F.col("kept").isNull() | F.col("kept").eqNullSafe(F.struct(*PLACE))).select("h", "line", F.length("line").alias("size"))
+
+
+def line_links(lines: DataFrame, counts: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """Links (a, b) of hashes of different lines that join all lines within the threshold, directly or over others.
+
+    A segment that more than HOT lines share, as in a large group of near copies or under a common
+    beginning, would meet in pairs that are hardly ever near.  Lines that have one meet on all but two of PIECES
+    pieces instead, which holds for every pair within two edits; each is compared with the first line it meets, and
+    then with lines that this has not joined with it, if the counts of some letters allow two edits.
+    """
+    rows = lines_once(lines, counts)
+    index, probe = index_keys(rows, threshold), probe_keys(rows, threshold)
+    hot = None
+    if threshold == 2:
+        hot = stored(index.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > HOT).select("key"), "lines-hot")
+    if hot is None or hot.isEmpty():
+        return near_links(lines, stored(_pairs(index.join(probe, "key")), "lines-pairs"), threshold)
+    hot = _sent(hot)
+    held = stored(index.join(hot, "key", "left_semi").select("h", F.lit(True).alias("indexed")).unionByName(
+        probe.join(hot, "key", "left_semi").select(F.col("other").alias("h"), F.lit(False).alias("indexed"))).groupBy(
+        "h").agg(F.max("indexed").alias("indexed")), "lines-held")
+    held = stored(rows.join(_sent(held), "h").dropDuplicates(["h"]), "lines-held")
+    # Lines without such a segment, and the other segments of those that have one.
+    rest = rows.join(_sent(held.filter("indexed").select("h")), "h", "left_anti")
+    cold = index_keys(rest, threshold).unionByName(
+        index_keys(held.filter("indexed"), threshold).join(hot, "key", "left_anti"))
+    links = near_links(lines, stored(_pairs(cold.join(probe, "key")), "lines-pairs"), threshold)
+    firsts = long_index_keys(held.filter("indexed")).groupBy("key").agg(F.min("h").alias("h"))
+    star = stored(near_links(lines, stored(_pairs(long_probe_keys(held).join(firsts, "key")), "lines-stars"), threshold),
+                  "lines-links")
+    known = stored(held.join(components(star), F.col("h") == F.col("member"), "left").select(
+        "h", "line", "size", "indexed", F.coalesce("root", "h").alias("root"),
+        *[letter_counts(F.col("line"), x).alias(x) for x in LETTERS]), "lines-roots")
+    one = long_index_keys(known.filter("indexed"), "root", *LETTERS)
+    two = long_probe_keys(known.withColumnsRenamed({x: f"their_{x}" for x in ("root", *LETTERS)}),
+                          "their_root", *[f"their_{x}" for x in LETTERS])
+    # Only where a key has lines of different classes are there pairs left to look at.
+    rest = one.join(two, (one["key"] == two["key"]) & (F.col("root") != F.col("their_root")) & (
+        sum((counts_apart(F.col(x), F.col(f"their_{x}")) for x in LETTERS), F.lit(0)) <= 2 * threshold))
+    return links.unionByName(star).unionByName(
+        near_links(lines, stored(_pairs(rest), "lines-pairs"), threshold))
 
 
 def near_links(lines: DataFrame, pairs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -213,8 +239,7 @@ def repeated_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int =
     occurrences = stored(lines.select(*PLACE, "h"), "lines-occurrences")
     counts = stored(occurrences.groupBy("h").agg(
         F.min(F.struct(*PLACE)).alias("first"), F.count("*").alias("n")), "lines-counts")
-    pairs = stored(near_pairs(compared, counts, threshold), "lines-pairs")
-    links = near_links(compared, pairs, threshold)
+    links = line_links(compared, counts, threshold)
     if short and threshold > 0:
         links = links.unionByName(short_links(lines, ONE_EDIT_CHARS, min_chars))
     links = stored(links, "lines-links")

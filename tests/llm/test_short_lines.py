@@ -51,3 +51,40 @@ def test_query_removes_short_copies(spark, frame):
     frame([(1, "Les.\nOne\n\n"), (2, "Les.\nTwo\n"), (3, "Les.")]).write.parquet(f"{folder}/documents.parquet")
     got = {r.doc_id: list(r.removed_lines) for r in QUERIES["op6_line_edit_join"](spark, folder).collect()}
     assert got == {1: [], 2: [0], 3: [0]}
+
+
+def test_many_lines_with_a_common_segment(spark, monkeypatch):
+    """Lines that share a beginning meet on more of their text; what is linked stays what plain comparison links."""
+    rng = random.Random(8)
+    start = "the same beginning of very many lines, which says nothing "
+    words = ["".join(rng.choice("abcdefgh") for _ in range(9)) for _ in range(40)]
+    lines = {start + " ".join(rng.choice(words) for _ in range(5)) for _ in range(60)}
+    for line in sorted(lines)[:30]:
+        for edits in (1, 2, 2, 3):
+            chars = list(line)
+            for _ in range(edits):
+                at, kind = rng.randrange(len(chars)), rng.randrange(3)
+                chars[at:at + 1] = [[], [rng.choice("xyzé")], [chars[at], rng.choice("xyzé")]][kind]
+            lines.add("".join(chars))
+    lines = sorted(lines)
+    made = []
+    near = line_dedup.near_links
+    monkeypatch.setattr(line_dedup, "near_links", lambda a, pairs, t=2: made.append(pairs.count()) or near(a, pairs, t))
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in line_dedup.repeated_lines(docs).collect()}
+    first = list(range(len(lines)))
+
+    def top(i):
+        while first[i] != i:
+            i = first[i]
+        return i
+    for i, a in enumerate(lines):
+        for j in range(i):
+            if abs(len(a) - len(lines[j])) <= 2 and distance(a, lines[j]) <= 2:
+                x, y = sorted((top(i), top(j)))
+                first[y] = x
+    assert sorted(got) == [i for i in range(len(lines)) if top(i) != i]
+    for i in got:
+        assert (got[i] in {got[j] for j in got if top(j) == top(i)})
+    # The lines that share the beginning: against the first one each, and then the pairs that may still join classes.
+    assert len(made) == 3 and made[1] + made[2] < len(lines)
