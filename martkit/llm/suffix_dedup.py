@@ -12,6 +12,7 @@ each shard is sorted by ``induced_sort`` with its queues on disk, and runs of su
 common prefix of ``length`` are the repeats.  A gram with very many different surroundings does
 not go to one shard: its windows are compared by a partial aggregate over their contents' hash.
 
+Workers get TEXT_ROWS texts at once, as the places of some ten thousand fill hundreds of megabytes.
 Texts are read in several passes instead of being stored: what passes on are grams, places and
 surroundings of repeated grams, told by a filter of fixed size (a wrong hit only costs work).
 
@@ -32,7 +33,7 @@ import pyarrow.fs as pafs
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from martkit.llm.base import Shared, stored, texts
+from martkit.llm.base import TEXT_ROWS, Shared, batches_of, released, stored, texts
 from martkit.llm.induced_sort import sorted_suffixes
 from martkit.session import scratch_path
 
@@ -309,10 +310,10 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SH
                     shard_group: int = SHARD_GROUP, queue_bytes: int = QUEUE_BYTES) -> DataFrame:
     """(doc_id, th, start, size) of ranges to remove; ranges may overlap.  ``docs``: doc_id, text (not null)."""
     spark = docs.sparkSession
-    grams = docs.mapInArrow(_grams(length), "g bigint, n tinyint")
+    grams = docs.mapInArrow(released(_grams(length)), "g bigint, n tinyint")
     repeated = stored(grams.groupBy("g").agg(F.sum("n").alias("n")).filter("n > 1").select("g"), "suffix-grams")
     told = Shared(spark, make_filter(repeated, "g"))
-    occurrences = docs.mapInArrow(_occurrences(told, length), OCCURRENCE)
+    occurrences = docs.mapInArrow(released(_occurrences(told, length)), OCCURRENCE)
     classes = stored(occurrences.groupBy("seg", "g").agg(
         F.min(F.struct("doc_id", "th", "place")).alias("first"), F.count("*").alias("n")), "suffix-classes")
     # Members of a class beside its first one are repeats as a whole.
@@ -327,7 +328,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SH
     firsts = stored(classes.join(many, "g").select("g", "kinds", "first.*"), "suffix-firsts")
     chosen = Shared(spark, make_filter(firsts.mapInArrow(_keys_of_places, "key bigint"), "key"))
     found = docs.mapInArrow(
-        _contents(chosen, length), "g bigint, doc_id bigint, th bigint, start bigint, place bigint, own binary").filter(
+        released(_contents(chosen, length)), "g bigint, doc_id bigint, th bigint, start bigint, place bigint, own binary").filter(
         F.length("own") >= length).groupBy("g", "th", "place").agg(F.min(F.struct("doc_id", "start", "own")).alias("row"))
     # A text's place is the first of one class at most, and repeated rows are one document: a gram has ``kinds`` rows.
     contents = stored(found.join(firsts.withColumnRenamed("doc_id", "its_doc"), ["g", "th", "place"]).filter(
@@ -381,10 +382,11 @@ def _hashed(shared: Shared):
 def remove_repeats(docs: DataFrame, length: int = LENGTH, **sizes: int) -> DataFrame:
     """Per document: n_bytes, n_removed, n_spans (runs removed), kept_sha256 and ``kept``, the bytes that stay."""
     rows = texts(docs, "doc_id").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    ranges = repeated_ranges(rows, length, **sizes)
-    per_doc = stored(ranges.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "size")).alias("r")).select(
-        F.col("doc_id").alias("its_doc"), F.col("th").alias("its_th"), F.col("r.start").alias("starts"),
-        F.col("r.size").alias("sizes")), "suffix-ranges")
+    with batches_of(docs.sparkSession, TEXT_ROWS):
+        ranges = repeated_ranges(rows, length, **sizes)
+        per_doc = stored(ranges.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "size")).alias("r")).select(
+            F.col("doc_id").alias("its_doc"), F.col("th").alias("its_th"), F.col("r.start").alias("starts"),
+            F.col("r.size").alias("sizes")), "suffix-ranges")
     # Only documents that may have ranges meet them in a join; the others stay where they are.
     told = Shared(docs.sparkSession, make_filter(per_doc.select("its_th").distinct(), "its_th"))
     hashed = rows.mapInArrow(_hashed(told), "doc_id bigint, text string, th bigint, touched boolean")

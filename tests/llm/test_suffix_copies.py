@@ -27,3 +27,20 @@ def test_copies_do_not_meet_in_a_shard(spark, frame, monkeypatch):
             assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) == want[r.doc_id], r.doc_id
         per_gram = made["suffix-contents"].groupBy("g").agg(F.count("*").alias("n"), F.max("kinds").alias("kinds")).collect()
         assert per_gram and all(r.n <= r.kinds <= 3 for r in per_gram)
+
+
+def test_workers_get_small_batches(spark, monkeypatch):
+    def refusing(run):
+        def task(batches):
+            def told():
+                for b in batches:
+                    if b.num_rows > 1000:
+                        raise ValueError(f"a batch of {b.num_rows} rows")
+                    yield b
+            yield from run(told())
+        return task
+    monkeypatch.setattr(suffix_dedup, "released", refusing)
+    passage = "p" * 40 + "q" * 40 + "r" * 40
+    docs = spark.createDataFrame([(i, passage if i in (5, 2000) else f"text {i}") for i in range(2500)], "doc_id long, text string")
+    got = suffix_dedup.remove_repeats(docs.coalesce(1)).filter("n_removed > 0").collect()
+    assert [(r.doc_id, r.n_removed) for r in got] == [(2000, 120)]
