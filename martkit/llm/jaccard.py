@@ -29,9 +29,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from martkit.llm.base import TEXT_ROWS, released, stored, texts
+from martkit.llm.base import TEXT_ROWS, Shared, released, stored, texts
 from martkit.llm.components import components
 from martkit.llm.decontaminate import _FOLD
+from martkit.llm.suffix_dedup import in_filter, make_filter
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -342,6 +343,20 @@ def _crossed(rows: DataFrame, key: str, classes: DataFrame, sets: DataFrame, thr
         _cross(threshold), "a bigint, b bigint")
 
 
+def may_be_in(keys: DataFrame, key: Column) -> Column:
+    """Whether ``key`` may be among ``keys`` (key bigint): whole texts that are not need not be shuffled for a join.
+
+    All keys are in a filter of fixed size that is sent to the tasks; a wrong hit only costs work.
+    """
+    shared = Shared(keys.sparkSession, make_filter(keys, "key"))
+
+    def hits(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        words = shared.value
+        for part in parts:
+            yield pa.array(in_filter(words, part.to_numpy().view(np.uint64)))
+    return F.arrow_udf(hits, "boolean")(key)
+
+
 def _linked(docs: DataFrame, threshold: float, recall: float, shingle: int) -> tuple[DataFrame, ...]:
     """(members, classes, sets, groups): documents with their set's id, sets with copies and first document,
     shingles of sets that share a bucket, and the root of every set that a link joins to others."""
@@ -353,8 +368,9 @@ def _linked(docs: DataFrame, threshold: float, recall: float, shingle: int) -> t
         F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.max("n").alias("n")), "jaccard-classes")
     live = stored(_shared(members.filter("rid is not null").select(F.explode("nodes").alias("node"), "rid"))
                   .distinct(), "jaccard-buckets")
-    wanted = live.select("rid").distinct().join(classes, "rid").select("rid", F.col("rep").alias("doc_id"))
-    sets = stored(rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["doc_id"])).select("rid", "text").mapInArrow(
+    wanted = stored(live.select("rid").distinct().join(classes, "rid").select("rid", F.col("rep").alias("doc_id")), "jaccard-wanted")
+    near = rows.filter(may_be_in(wanted.select(F.xxhash64("doc_id").alias("key")), F.xxhash64(F.col("doc_id").cast("bigint"))))
+    sets = stored(near.join(wanted, near["doc_id"].eqNullSafe(wanted["doc_id"])).select("rid", "text").mapInArrow(
         released(_sets(shingle)), "rid bigint, own binary"), "jaccard-sets", TEXT_ROWS)
     # Every set against two of the sets that are first in its buckets: that joins most of a group.
     firsts = live.filter("rid <> low").groupBy("rid").agg(F.array_distinct(F.array(F.min("low"), F.max("low"))).alias("low"))
@@ -438,6 +454,9 @@ def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame
     told = stored(marked.filter("again or not stays"), "jaccard-told")
     rows = docs.select(F.struct("*").alias("row")).select(
         "row", "row.doc_id", F.xxhash64(F.coalesce("row.text", F.lit(""))).alias("th"))
+    # Only rows that may be told meet the others' table in a join; the rest, most as a rule, stay where they are.
+    hit = may_be_in(told.select(F.xxhash64("its_doc", "its_th").alias("key")), F.xxhash64(F.col("doc_id").cast("bigint"), "th"))
+    untold, rows = rows.filter(~hit), rows.filter(hit)
 
     def same(other: DataFrame) -> Column:
         return rows["doc_id"].eqNullSafe(other["its_doc"]) & (rows["th"] == other["its_th"])
@@ -445,4 +464,5 @@ def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame
     repeated = told.filter("stays")
     rank = F.row_number().over(Window.partitionBy("doc_id", "th").orderBy(F.xxhash64("row")))
     one = rows.join(repeated, same(repeated), "left_semi").withColumn("rank", rank).filter("rank = 1")
-    return rows.join(told, same(told), "left_anti").select("row.*").unionByName(one.select("row.*"))
+    return untold.select("row.*").unionByName(rows.join(told, same(told), "left_anti").select("row.*")).unionByName(
+        one.select("row.*"))
