@@ -83,15 +83,20 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column
 Batches = Iterator[pa.RecordBatch]
 
 
+def give_back() -> None:
+    """What a worker no longer uses goes back to the machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library; others return memory by themselves
+    if trim:
+        trim(0)
+
+
 def released(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
     """The function of a task, after which its worker gives memory back: Spark keeps workers for the next stage."""
     def task(batches: Batches) -> Batches:
         yield from run(batches)
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library; others return memory by themselves
-        if trim:
-            trim(0)
+        give_back()
     return task
 
 

@@ -68,7 +68,7 @@ def types(text: np.ndarray) -> np.ndarray:
     differs = np.ones(n, bool)
     differs[:-1] = text[:-1] != text[1:]
     # Equal letters take the type of the next place where letters differ.
-    place = np.where(differs, np.arange(n), n - 1)
+    place = np.where(differs, np.arange(n, dtype=np.int32), np.int32(n - 1))
     place = np.minimum.accumulate(place[::-1])[::-1]
     rises = np.ones(n, bool)
     rises[:-1] = text[:-1] < text[1:]
@@ -79,8 +79,10 @@ def _words(text: np.ndarray, cap: int) -> np.ndarray:
     """Four letters of 16 bits from each place on, as one number; zeros follow the end."""
     padded = np.concatenate([text.astype(np.uint64), np.zeros(cap + 8, np.uint64)])
     n = len(text) + cap + 4
-    return (padded[:n] << np.uint64(48)) | (padded[1:n + 1] << np.uint64(32)) | (
-        padded[2:n + 2] << np.uint64(16)) | padded[3:n + 3]
+    out = padded[:n] << np.uint64(48)
+    for i in range(1, 4):
+        out |= padded[i:n + i] << np.uint64(48 - 16 * i)
+    return out
 
 
 def common_prefix(words: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
@@ -115,6 +117,7 @@ def sort_seeds(text: np.ndarray, is_s: np.ndarray, cap: int) -> np.ndarray:
         keep = np.where(left > 0, ~np.uint64(0) << (np.uint64(64) - np.maximum(left, 1) * np.uint64(16)), np.uint64(0))
         part = np.where(left > 0, words[np.minimum(seeds + at, len(words) - 1)] & keep, np.uint64(0))
         rank = _rank(rank, part)
+    del words
     step = 1
     while step <= cap and rank.max() + 1 < len(rank):
         # Suffixes of the string of names, by twice as many names each round.

@@ -33,7 +33,7 @@ import pyarrow.fs as pafs
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from martkit.llm.base import TEXT_ROWS, Shared, batches_of, released, stored, texts
+from martkit.llm.base import TEXT_ROWS, Shared, batches_of, give_back, released, stored, texts
 from martkit.llm.induced_sort import sorted_suffixes
 from martkit.session import scratch_path
 
@@ -46,6 +46,9 @@ SHARD_GROUP = 20_000
 SHARD_BYTES = 3 << 20
 QUEUE_BYTES = 64 << 20
 
+#: Bytes of text that are looked through for anchors at once, and the bits of a hash that hold a place among them.
+ANCHOR_BLOCK, _PLACE = 1 << 15, np.uint64((1 << 20) - 1)
+
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
@@ -58,7 +61,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class Anchors:
-    """Finds the anchors of texts; keeps tables of powers as long as the longest text so far."""
+    """Finds the anchors of texts, block by block, so that all arrays but the texts' own are small."""
 
     def __init__(self, length: int):
         self.length, self.gram = length, length // 2
@@ -78,28 +81,76 @@ class Anchors:
             sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(raw * self._up[:len(raw)], dtype=np.uint64)])
             return _mix((sums[size:] - sums[:-size]) * self._down[:len(raw) - size + 1])
 
-    def find(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(hashes, places) of the anchors of all windows of a text."""
-        if len(raw) < self.length:
+    def find(self, raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(hashes, places) of the anchors of all windows of texts that lie one after another, text i from
+        bounds[i] to bounds[i + 1]; a place that is anchor of several windows comes once."""
+        long = np.flatnonzero(np.diff(bounds) >= self.length)
+        if not len(long):
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        grams = self.hashes(raw, self.gram)
-        least, place = grams, np.arange(len(grams), dtype=np.int32)
-        width, done = self.length - self.gram + 1, 1
-        while done < width:
-            # The smallest of twice as many grams; of equal ones the last.
-            step = min(done, width - done)
-            left = least[:-step] < least[step:]
-            place = np.where(left, place[:-step], place[step:])
-            least = np.where(left, least[:-step], least[step:])
-            done += step
-        places = place[np.concatenate([[True], place[1:] != place[:-1]])].astype(np.int64)
-        return grams[places], places
-
-
-def _documents(batch: pa.RecordBatch) -> Iterator[tuple[int | None, int, np.ndarray]]:
-    for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-        raw = text.encode("utf-8", "surrogatepass")
-        yield doc, xxhash.xxh3_64_intdigest(raw, 1) - (1 << 63), np.frombuffer(raw, np.uint8)
+        # Only windows inside a text count.
+        inside = np.zeros(len(raw) + 1, np.int8)
+        inside[bounds[long]] = 1
+        inside[bounds[long + 1] - self.length + 1] = -1
+        inside = np.cumsum(inside, dtype=np.int8).view(bool)
+        found = []
+        for at in range(0, len(raw) - self.length + 1, ANCHOR_BLOCK):
+            windows = np.flatnonzero(inside[at:at + min(ANCHOR_BLOCK, len(raw) - self.length + 1 - at)])
+            if not len(windows):
+                continue
+            grams = self.hashes(raw[at:at + ANCHOR_BLOCK + self.length - 1], self.gram)
+            # The smallest gram by the upper bits of its hash, of equal ones the last: the place is below them, backwards.
+            least = (grams & ~_PLACE) | (_PLACE - np.arange(len(grams), dtype=np.uint64))
+            width, done = self.length - self.gram + 1, 1
+            while done < width:
+                step = min(done, width - done)
+                least = np.minimum(least[:-step], least[step:])
+                done += step
+            places = (_PLACE - (least[windows] & _PLACE)).astype(np.int64)
+            places = places[np.concatenate([[True], places[1:] != places[:-1]])]
+            found.append((grams[places], places + at))
+        grams, places = (np.concatenate(x) for x in zip(*found))
+        new = np.concatenate([[True], places[1:] != places[:-1]])
+        return grams[new], places[new]
+
+
+def _text_hash(raw: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(raw, 1) - (1 << 63)
+
+
+def _raws(batch: pa.RecordBatch) -> list[bytes]:
+    """The texts' UTF-8 bytes, as Arrow holds them."""
+    return batch.column("text").cast(pa.binary()).to_pylist()
+
+
+class _Places:
+    """The anchors of a batch of texts; ``keep`` chooses some of them."""
+
+    def __init__(self, anchors: Anchors, batch: pa.RecordBatch):
+        raws = _raws(batch)
+        self.joined = b"".join(raws)
+        self._bounds = np.cumsum([0, *map(len, raws)])
+        self._docs, self._ths = batch.column("doc_id"), np.array([_text_hash(x) for x in raws], np.int64)
+        self.grams, self.at = anchors.find(np.frombuffer(self.joined, np.uint8), self._bounds)
+        self._length = anchors.length
+        self._own()
+
+    def _own(self) -> None:
+        self._owner = np.searchsorted(self._bounds, self.at, "right") - 1
+        self.th = self._ths[self._owner]
+        self.place = self.at - self._bounds[self._owner]
+
+    def keep(self, chosen: np.ndarray) -> None:
+        self.grams, self.at = self.grams[chosen], self.at[chosen]
+        self._own()
+
+    def doc(self) -> pa.Array:
+        return self._docs.take(pa.array(self._owner))
+
+    def surroundings(self) -> tuple[np.ndarray, np.ndarray]:
+        """(start, end) in ``joined``: all windows that can hold an anchor lie between them."""
+        reach = self._length - self._length // 2
+        return (np.maximum(self._bounds[self._owner], self.at - reach),
+                np.minimum(self._bounds[self._owner + 1], self.at + self._length))
 
 
 _COUNTED = np.uint64((1 << 48) - 1)
@@ -110,8 +161,9 @@ def _grams(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors = Anchors(length)
         for batch in batches:
-            found = [anchors.find(raw)[0] for _, _, raw in _documents(batch)]
-            own, count = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]) & _COUNTED, return_counts=True)
+            raws = _raws(batch)
+            found = anchors.find(np.frombuffer(b"".join(raws), np.uint8), np.cumsum([0, *map(len, raws)]))[0]
+            own, count = np.unique(found & _COUNTED, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int64)), pa.array(np.minimum(count, 2).astype(np.int8))],
                                              names=["g", "n"])
     return run
@@ -149,13 +201,6 @@ def in_filter(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return ok
 
 
-def _surroundings(raw: np.ndarray, places: np.ndarray, length: int) -> Iterator[tuple[int, int, int]]:
-    """(anchor, start, end): all windows that can hold the anchor lie between start and end."""
-    reach = length - length // 2
-    for p in places.tolist():
-        yield p, max(0, p - reach), min(len(raw), p + length)
-
-
 def _place_keys(doc: np.ndarray, th: np.ndarray, place: np.ndarray) -> np.ndarray:
     """Filter keys of places in documents; a null id counts as 0, which only costs a wrong hit."""
     with np.errstate(over="ignore"):
@@ -169,18 +214,16 @@ def _occurrences(shared: Shared, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors, words = Anchors(length), shared.value
         for batch in batches:
-            rows = []
-            for doc, th, raw in _documents(batch):
-                grams, places = anchors.find(raw)
-                keep = in_filter(words, grams & _COUNTED)
-                whole = raw.tobytes() if keep.any() else b""
-                for g, (p, a, b) in zip(grams[keep].view(np.int64).tolist(), _surroundings(raw, places[keep], length)):
-                    # The anchor's place in its surroundings belongs to what must be equal.
-                    rows.append((xxhash.xxh3_64_intdigest(whole[a:b], p - a) - (1 << 63), g, doc, th, p, b - a))
-            if rows:
-                kinds = [pa.int64()] * 5 + [pa.int32()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                                                 names=[x.split()[0] for x in OCCURRENCE.split(", ")])
+            found = _Places(anchors, batch)
+            found.keep(in_filter(words, found.grams & _COUNTED))
+            start, end = found.surroundings()
+            joined, before = found.joined, found.at - start
+            # The anchor's place in its surroundings belongs to what must be equal.
+            segs = [xxhash.xxh3_64_intdigest(joined[a:b], p) for a, b, p in zip(start.tolist(), end.tolist(), before.tolist())]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.array(segs, np.uint64).view(np.int64)), pa.array(found.grams.view(np.int64)), found.doc(),
+                pa.array(found.th), pa.array(found.place), pa.array((end - start).astype(np.int32))],
+                names=[x.split()[0] for x in OCCURRENCE.split(", ")])
     return run
 
 
@@ -189,20 +232,16 @@ def _contents(shared: Shared, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors, words = Anchors(length), shared.value
         for batch in batches:
-            rows = []
-            for doc, th, raw in _documents(batch):
-                grams, places = anchors.find(raw)
-                if not len(places):
-                    continue
-                # Cheap first: only places that the filter of (document, text, place) may hold are cut out.
-                keep = in_filter(words, _place_keys(np.array([doc or 0], np.int64), np.array([th], np.int64), places))
-                whole = raw.tobytes() if keep.any() else b""
-                for g, (p, a, b) in zip(grams[keep].view(np.int64).tolist(), _surroundings(raw, places[keep], length)):
-                    rows.append((g, doc, th, a, p, whole[a:b]))
-            if rows:
-                kinds = [pa.int64()] * 5 + [pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                                                 names=["g", "doc_id", "th", "start", "place", "own"])
+            found = _Places(anchors, batch)
+            # Cheap first: only places that the filter of (document, text, place) may hold are cut out.
+            keys = _place_keys(found.doc().fill_null(0).to_numpy(), found.th, found.place)
+            found.keep(in_filter(words, keys))
+            start, end = found.surroundings()
+            own = [found.joined[a:b] for a, b in zip(start.tolist(), end.tolist())]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(found.grams.view(np.int64)), found.doc(), pa.array(found.th),
+                pa.array(found.place - (found.at - start)), pa.array(found.place), pa.array(own, pa.binary())],
+                names=["g", "doc_id", "th", "start", "place", "own"])
     return run
 
 
@@ -249,15 +288,17 @@ def _sort_shard(root: str, length: int, queue_bytes: int):
         own = table.column("own").to_pylist()
         sizes = np.array([len(x) for x in own], np.int64)
         ends = np.cumsum(sizes + 1) - 1
-        text = np.zeros(int(ends[-1]) + 1, np.int64)
+        # Bytes and the ends of segments are small numbers, and a shard's memory goes by their width.
+        text = np.zeros(int(ends[-1]) + 1, np.int16)
         inside = np.ones(len(text), bool)
         inside[ends] = False
-        text[inside] = np.frombuffer(b"".join(own), np.uint8).astype(np.int64) + 1
-        segment = np.repeat(np.arange(len(own)), sizes + 1)
+        text[inside] = np.frombuffer(b"".join(own), np.uint8).astype(np.int16) + 1
+        segment = np.repeat(np.arange(len(own), dtype=np.int32), sizes + 1)
+        del own, inside
         # Places in corpus order: by document, then by start.
-        rank = np.empty(len(own), np.int64)
+        rank = np.empty(len(doc), np.int64)
         order = np.lexsort((th, doc, ~nulls))
-        changed = np.ones(len(own), bool)
+        changed = np.ones(len(doc), bool)
         a, b = order[1:], order[:-1]
         changed[1:] = (doc[a] != doc[b]) | (th[a] != th[b]) | (nulls[a] != nulls[b])
         rank[order] = np.cumsum(changed)
@@ -282,6 +323,7 @@ def _sort_shard(root: str, length: int, queue_bytes: int):
                 repeats.append((s[again], where[again]))
         finally:
             close()
+            give_back()
         s = np.concatenate([np.zeros(0, np.int64), *[x[0] for x in repeats]])
         where = np.concatenate([np.zeros(0, np.int64), *[x[1] for x in repeats]])
         return pa.Table.from_batches([_covered(doc[s], nulls[s], th[s], where, length)])
@@ -313,7 +355,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SH
     grams = docs.mapInArrow(released(_grams(length)), "g bigint, n tinyint")
     repeated = stored(grams.groupBy("g").agg(F.sum("n").alias("n")).filter("n > 1").select("g"), "suffix-grams")
     told = Shared(spark, make_filter(repeated, "g"))
-    occurrences = docs.mapInArrow(released(_occurrences(told, length)), OCCURRENCE)
+    occurrences = stored(docs.mapInArrow(released(_occurrences(told, length)), OCCURRENCE), "suffix-occurrences")
     classes = stored(occurrences.groupBy("seg", "g").agg(
         F.min(F.struct("doc_id", "th", "place")).alias("first"), F.count("*").alias("n")), "suffix-classes")
     # Members of a class beside its first one are repeats as a whole.
@@ -353,11 +395,13 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         starts, sizes = batch.column("starts").to_pylist(), batch.column("sizes").to_pylist()
-        for (doc, _, raw), at, size in zip(_documents(batch), starts, sizes):
-            gone = np.zeros(len(raw) + 1, np.int64)
-            if at:
-                np.add.at(gone, np.array(at), 1)
-                np.add.at(gone, np.array(at) + np.array(size), -1)
+        for doc, text, at, size in zip(batch.column("doc_id").to_pylist(), _raws(batch), starts, sizes):
+            if not at:
+                out.append((doc, len(text), 0, 0, hashlib.sha256(text).hexdigest(), text))
+                continue
+            raw, gone = np.frombuffer(text, np.uint8), np.zeros(len(text) + 1, np.int64)
+            np.add.at(gone, np.array(at), 1)
+            np.add.at(gone, np.array(at) + np.array(size), -1)
             covered = np.cumsum(gone)[:len(raw)] > 0
             spans = int(covered[:1].sum() + (covered[1:] & ~covered[:-1]).sum())
             kept = raw[~covered].tobytes()
@@ -372,7 +416,7 @@ def _hashed(shared: Shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = shared.value
         for batch in batches:
-            hashes = np.array([th for _, th, _ in _documents(batch)], np.int64)
+            hashes = np.array([_text_hash(x) for x in _raws(batch)], np.int64)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(hashes), pa.array(in_filter(words, hashes.view(np.uint64)))],
                 names=["doc_id", "text", "th", "touched"])

@@ -26,6 +26,7 @@ manifest.  Keys are whole numbers; other columns are not read.
 from __future__ import annotations
 
 import bisect
+import json
 import os
 import posixpath
 import re
@@ -178,6 +179,22 @@ _MARKS = re.compile(r"[^0-9A-Za-zÀ-ÖØ-öø-ÿ \n][.,]")
 
 # --- encoding -------------------------------------------------------------------------
 
+def _for_letters(definition: str) -> str | None:
+    """The definition for words of a-z alone, without the steps that leave such words as they are (some 40 % of the
+    time of a word); None where a tokenizer has other steps than those known here."""
+    whole = json.loads(definition)
+    steps = (whole.get("normalizer") or {}).get("normalizers") or []
+    pieces = (whole.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    split, mapped = pieces if len(pieces) == 2 else ({}, {})
+    known = (all(x["type"] in ("NFC", "Lowercase") or x["type"] == "Replace" and x["pattern"] == {"Regex": r"\s+"} for x in steps)
+             and split.get("pattern") == {"Regex": _LETTERS_WHOLE} and (split["behavior"], split["invert"]) == ("Removed", True) and mapped.get("type") == "ByteLevel"
+             and not mapped["add_prefix_space"] and not mapped["use_regex"])
+    return json.dumps({**whole, "normalizer": None, "pre_tokenizer": mapped}) if known else None
+
+
+# A pattern that takes a word of letters as one piece.
+_LETTERS_WHOLE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
 class Encoder:
     """Texts to bytes of ids.
 
@@ -191,14 +208,16 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_str(tokenizer)
+        letters = _for_letters(tokenizer) if by_word else None
+        self._letters = Tokenizer.from_str(letters) if letters else self._tokenizer
         self.width = 2 if max(self._tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         self._code = "H" if self.width == 2 else "I"
         self._end = array(self._code, [end_id]).tobytes()
         self._by_word, self._known, self._memory, self._room = by_word, {}, memory, memory
 
-    def _ids(self, values: list[str]) -> list[bytes]:
+    def _ids(self, values: list[str], tokenizer=None) -> list[bytes]:
         return [array(self._code, e.ids).tobytes()
-                for e in self._tokenizer.encode_batch_fast(values, add_special_tokens=False)]
+                for e in (tokenizer or self._tokenizer).encode_batch_fast(values, add_special_tokens=False)]
 
     def _words(self, value: str) -> list[bytes]:
         """Pieces that the tokenizer, which looks at white space anyway, encodes one by one."""
@@ -225,8 +244,10 @@ class Encoder:
                 self._known.clear()
                 new = set().union(*texts_words)
                 self._room = self._memory - sum(map(len, new)) * 2 - WORD_BYTES * len(new)
-            new = list(new)
-            self._known.update(zip(new, self._ids([w.decode("utf-8") for w in new])))
+            letters = [w for w in new if w.isalpha() and w.islower()]
+            self._known.update(zip(letters, self._ids([w.decode("ascii") for w in letters], self._letters)))
+            rest = [*new.difference(letters)]
+            self._known.update(zip(rest, self._ids([w.decode("utf-8") for w in rest])))
             for words in texts_words:
                 yield b"".join([*map(self._known.__getitem__, words), self._end])
 
