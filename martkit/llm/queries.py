@@ -117,7 +117,7 @@ def op6(spark, sf_dir):
 
 @query("op2_induced_suffix_dedup")
 def op2(spark, sf_dir):
-    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), whole=False)
 
 
 @query("op11_prefix_trie", f"""with own as (select conv_id, {_crc32("cast(conv_id as varchar)")} % 9 as h, turns from (

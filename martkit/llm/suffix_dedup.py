@@ -391,52 +391,76 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SH
     return copies.unionByName(stored(sorted_out, "suffix-sorted")).unionByName(hot)
 
 
-def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        starts, sizes = batch.column("starts").to_pylist(), batch.column("sizes").to_pylist()
-        for doc, text, at, size in zip(batch.column("doc_id").to_pylist(), _raws(batch), starts, sizes):
-            if not at:
-                out.append((doc, len(text), 0, 0, hashlib.sha256(text).hexdigest(), text))
-                continue
-            raw, gone = np.frombuffer(text, np.uint8), np.zeros(len(text) + 1, np.int64)
-            np.add.at(gone, np.array(at), 1)
-            np.add.at(gone, np.array(at) + np.array(size), -1)
-            covered = np.cumsum(gone)[:len(raw)] > 0
-            spans = int(covered[:1].sum() + (covered[1:] & ~covered[:-1]).sum())
-            kept = raw[~covered].tobytes()
-            out.append((doc, len(raw), int(covered.sum()), spans, hashlib.sha256(kept).hexdigest(), kept))
-        kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 6, kinds)],
-                                         names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
-
-
-def _hashed(shared: Shared):
-    """Each document's text hash, and whether the filter may hold it."""
+RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+
+
+def _apply(whole: bool):
+    """Texts without their ranges; ``whole``: with the bytes that stay."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ranges = [batch.column(c).to_pylist() for c in ("starts", "sizes")]
+            yield _results(batch.column("doc_id"), _raws(batch), *ranges, whole)
+    return run
+
+
+def _results(docs: pa.Array, raws: list[bytes], starts: list, sizes: list, whole: bool) -> pa.RecordBatch:
+    out = []
+    for text, at, size in zip(raws, starts, sizes):
+        if not at:
+            out.append((len(text), 0, 0, hashlib.sha256(text).hexdigest(), text if whole else None))
+            continue
+        raw, gone = np.frombuffer(text, np.uint8), np.zeros(len(text) + 1, np.int64)
+        np.add.at(gone, np.array(at), 1)
+        np.add.at(gone, np.array(at) + np.array(size), -1)
+        covered = np.cumsum(gone)[:len(raw)] > 0
+        spans = int(covered[:1].sum() + (covered[1:] & ~covered[:-1]).sum())
+        kept = raw[~covered].tobytes()
+        out.append((len(raw), int(covered.sum()), spans, hashlib.sha256(kept).hexdigest(), kept if whole else None))
+    kinds = [pa.int64()] * 3 + [pa.string(), pa.binary()]
+    columns = [docs, *[pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 5, kinds)]]
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+    return pa.RecordBatch.from_arrays(columns if whole else columns[:-1], names=names if whole else names[:-1])
+
+
+def _touched(shared: Shared):
+    """Texts that the filter may hold, with their hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = shared.value
         for batch in batches:
             hashes = np.array([_text_hash(x) for x in _raws(batch)], np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(hashes), pa.array(in_filter(words, hashes.view(np.uint64)))],
-                names=["doc_id", "text", "th", "touched"])
+            rows = pa.RecordBatch.from_arrays([*batch.columns, pa.array(hashes)], names=["doc_id", "text", "th"])
+            yield rows.filter(pa.array(in_filter(words, hashes.view(np.uint64))))
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, **sizes: int) -> DataFrame:
-    """Per document: n_bytes, n_removed, n_spans (runs removed), kept_sha256 and ``kept``, the bytes that stay."""
+def _untouched(shared: Shared, whole: bool):
+    """What becomes of the other texts: all of it stays."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = shared.value
+        for batch in batches:
+            raws = _raws(batch)
+            rest = ~in_filter(words, np.array([_text_hash(x) for x in raws], np.int64).view(np.uint64))
+            none = [None] * int(rest.sum())
+            yield _results(batch.column("doc_id").filter(pa.array(rest)), [x for x, r in zip(raws, rest.tolist()) if r], none, none, whole)
+    return run
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, whole: bool = True, **sizes: int) -> DataFrame:
+    """Per document: n_bytes, n_removed, n_spans (runs removed), kept_sha256 and, if ``whole``, ``kept``, the bytes that stay."""
     rows = texts(docs, "doc_id").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     with batches_of(docs.sparkSession, TEXT_ROWS):
         ranges = repeated_ranges(rows, length, **sizes)
         per_doc = stored(ranges.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "size")).alias("r")).select(
             F.col("doc_id").alias("its_doc"), F.col("th").alias("its_th"), F.col("r.start").alias("starts"),
             F.col("r.size").alias("sizes")), "suffix-ranges")
-    # Only documents that may have ranges meet them in a join; the others stay where they are.
-    told = Shared(docs.sparkSession, make_filter(per_doc.select("its_th").distinct(), "its_th"))
-    hashed = rows.mapInArrow(_hashed(told), "doc_id bigint, text string, th bigint, touched boolean")
-    joined = hashed.filter("touched").join(
+        # Only documents that may have ranges meet them in a join; the others stay where they are.
+        told = Shared(docs.sparkSession, make_filter(per_doc.select("its_th").distinct(), "its_th"))
+    result = f"{RESULT}, kept binary" if whole else RESULT
+    touched = rows.mapInArrow(released(_touched(told)), "doc_id bigint, text string, th bigint")
+    joined = touched.join(
         per_doc, F.col("doc_id").eqNullSafe(F.col("its_doc")) & (F.col("th") == F.col("its_th")), "left")
-    none = [F.lit(None).cast("array<bigint>").alias(c) for c in ("starts", "sizes")]
-    whole = hashed.filter("not touched").select("doc_id", "text", *none)
-    return joined.select("doc_id", "text", "starts", "sizes").unionByName(whole).mapInArrow(
-        _apply, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
+    out = joined.select("doc_id", "text", "starts", "sizes").mapInArrow(released(_apply(whole)), result).unionByName(
+        rows.mapInArrow(released(_untouched(told, whole)), result))
+    # Made here, as workers get TEXT_ROWS texts at once here only.
+    with batches_of(docs.sparkSession, TEXT_ROWS):
+        return stored(out, "suffix-result")

@@ -44,3 +44,45 @@ def test_workers_get_small_batches(spark, monkeypatch):
     docs = spark.createDataFrame([(i, passage if i in (5, 2000) else f"text {i}") for i in range(2500)], "doc_id long, text string")
     got = suffix_dedup.remove_repeats(docs.coalesce(1)).filter("n_removed > 0").collect()
     assert [(r.doc_id, r.n_removed) for r in got] == [(2000, 120)]
+
+
+def test_workers_of_every_stage_get_small_batches_and_give_memory_back(spark, monkeypatch):
+    from martkit.llm.queries import QUERIES
+    import tempfile
+
+    def refusing(run):
+        def task(batches):
+            def told():
+                for b in batches:
+                    if b.num_rows > 1000:
+                        raise ValueError(f"a batch of {b.num_rows} rows")
+                    yield b
+            for out in run(told()):
+                # No whole text comes back but those that ranges may be cut from.
+                if "text" in out.schema.names and out.num_rows > 10:
+                    raise ValueError(f"{out.num_rows} texts")
+                yield out
+        return task
+    monkeypatch.setattr(suffix_dedup, "released", refusing)
+    passage = "p" * 40 + "q" * 40 + "r" * 40
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    rows = [(i, passage if i in (5, 2000) else f"text {i}") for i in range(2500)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{folder}/documents.parquet")
+    got = QUERIES["op2_induced_suffix_dedup"](spark, folder).collect()
+    assert len(got) == 2500 and [(r.doc_id, r.n_removed) for r in got if r.n_removed] == [(2000, 120)]
+
+
+def test_anchors_of_texts_do_not_depend_on_blocks(monkeypatch):
+    import numpy as np
+
+    raws = [prose(i, 1 + 60 * i).encode() for i in range(8)] + [b"", b"a" * 400, "é".encode() * 300]
+    anchors, bounds = suffix_dedup.Anchors(100), np.cumsum([0, *map(len, raws)])
+    joined = np.frombuffer(b"".join(raws), np.uint8)
+    hashes, places = anchors.find(joined, bounds)
+    alone = [(h, p + at) for raw, at in zip(raws, bounds) for h, p in zip(*(
+        x.tolist() for x in anchors.find(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))))]
+    assert [*zip(hashes.tolist(), places.tolist())] == alone
+    for block in (1, 7, 1000):
+        monkeypatch.setattr(suffix_dedup, "ANCHOR_BLOCK", block)
+        again = anchors.find(joined, bounds)
+        assert (again[0] == hashes).all() and (again[1] == places).all()
