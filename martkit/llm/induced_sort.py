@@ -23,7 +23,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 
-TUPLE = np.dtype([("start", "<i8"), ("common", "u1")])
+#: A shard's text is in memory, so a place in it has 31 bits.
+TUPLE = np.dtype([("start", "<i4"), ("common", "u1")])
 
 
 class DiskQueue:
@@ -76,13 +77,18 @@ def types(text: np.ndarray) -> np.ndarray:
 
 
 def _words(text: np.ndarray, cap: int) -> np.ndarray:
-    """Four letters of 16 bits from each place on, as one number; zeros follow the end."""
-    padded = np.concatenate([text.astype(np.uint64), np.zeros(cap + 8, np.uint64)])
+    """Four letters of 16 bits from each place on, as one number; zeros follow the end.
+
+    The numbers overlap in the letters themselves, which take 2 bytes a place instead of 8; ``_at`` reads them.
+    """
     n = len(text) + cap + 4
-    out = padded[:n] << np.uint64(48)
-    for i in range(1, 4):
-        out |= padded[i:n + i] << np.uint64(48 - 16 * i)
-    return out
+    padded = np.zeros(n + 4, ">u2")
+    padded[:len(text)] = text
+    return np.ndarray(n, ">u8", padded, strides=(2,))
+
+
+def _at(words: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return words[places].astype(np.uint64)
 
 
 def common_prefix(words: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
@@ -90,7 +96,7 @@ def common_prefix(words: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) ->
     out = np.zeros(len(a), np.int64)
     live = np.arange(len(a))
     for at in range(0, cap, 4):
-        x = words[a[live] + at] ^ words[b[live] + at]
+        x = _at(words, a[live] + at) ^ _at(words, b[live] + at)
         same = x == 0
         rest = live[~same]
         y = x[~same]
@@ -110,20 +116,22 @@ def sort_seeds(text: np.ndarray, is_s: np.ndarray, cap: int) -> np.ndarray:
     # Name the pieces from a seed to the next one's letter, by four letters at a time.  Of equal letters
     # the one of type L is smaller, so no piece is a beginning of another.
     words = _words(2 * text + is_s, cap)
-    sizes = np.diff(np.append(seeds, len(text) - 1)) + 1
-    rank = np.zeros(len(seeds), np.int64)
+    sizes = (np.diff(np.append(seeds, len(text) - 1)) + 1).astype(np.int32)
+    rank = np.zeros(len(seeds), np.int32)
     for at in range(0, min(int(sizes.max()), cap) + 4, 4):
         left = np.clip(sizes - at, 0, 4).astype(np.uint64)
         keep = np.where(left > 0, ~np.uint64(0) << (np.uint64(64) - np.maximum(left, 1) * np.uint64(16)), np.uint64(0))
-        part = np.where(left > 0, words[np.minimum(seeds + at, len(words) - 1)] & keep, np.uint64(0))
-        rank = _rank(rank, part)
-    del words
+        del left
+        # Nothing is kept of a piece that has ended.
+        keep &= _at(words, np.minimum(seeds + at, len(words) - 1))
+        rank = _rank(rank, keep)
+    del words, sizes, keep
     step = 1
     while step <= cap and rank.max() + 1 < len(rank):
         # Suffixes of the string of names, by twice as many names each round.
-        after = np.zeros(len(rank), np.int64)
+        after = np.zeros(len(rank), np.int32)
         after[:-step] = rank[step:] + 1
-        new = _rank(rank, after.astype(np.uint64))
+        new = _rank(rank, after)
         step *= 2
         if (new == rank).all():
             break
@@ -133,10 +141,12 @@ def sort_seeds(text: np.ndarray, is_s: np.ndarray, cap: int) -> np.ndarray:
 
 def _rank(rank: np.ndarray, part: np.ndarray) -> np.ndarray:
     order = np.lexsort((part, rank))
-    r, p = rank[order], part[order]
-    new = np.concatenate([[False], (r[1:] != r[:-1]) | (p[1:] != p[:-1])])
-    out = np.empty(len(rank), np.int64)
-    out[order] = np.cumsum(new)
+    new = np.zeros(len(rank), bool)
+    for values in (rank, part):
+        values = values[order]
+        new[1:] |= values[1:] != values[:-1]
+    out = np.empty(len(rank), np.int32)
+    out[order] = np.cumsum(new, dtype=np.int32)
     return out
 
 
@@ -196,8 +206,9 @@ def sorted_suffixes(text: np.ndarray, cap: int, memory: int, open_file: Callable
     ``text`` ends with a 0 and has no other 0 beside a 0.
     """
     n, letters = len(text), int(text.max(initial=0)) + 1
-    is_s, words = types(text), _words(text, cap)
+    is_s = types(text)
     seeds = sort_seeds(text, is_s, cap)
+    words = _words(text, cap)
     seed_common = np.zeros(len(seeds), np.uint8)
     if len(seeds) > 1:
         seed_common[1:] = common_prefix(words, seeds[:-1], seeds[1:], cap)

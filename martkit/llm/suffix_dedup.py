@@ -281,6 +281,12 @@ def _covered(doc: np.ndarray, nulls: np.ndarray, th: np.ndarray, start: np.ndarr
 def _sort_shard(root: str, length: int, queue_bytes: int):
     """Repeats of a shard: suffixes that share ``length`` bytes with one that starts earlier."""
     def run(table: pa.Table) -> pa.Table:
+        out = repeats_of(table)
+        # Only here all arrays of the shard are gone.
+        give_back()
+        return out
+
+    def repeats_of(table: pa.Table) -> pa.Table:
         doc = table.column("doc_id").combine_chunks()
         nulls = doc.is_null().to_numpy(zero_copy_only=False)
         doc = doc.fill_null(0).to_numpy()
@@ -323,7 +329,6 @@ def _sort_shard(root: str, length: int, queue_bytes: int):
                 repeats.append((s[again], where[again]))
         finally:
             close()
-            give_back()
         s = np.concatenate([np.zeros(0, np.int64), *[x[0] for x in repeats]])
         where = np.concatenate([np.zeros(0, np.int64), *[x[1] for x in repeats]])
         return pa.Table.from_batches([_covered(doc[s], nulls[s], th[s], where, length)])
