@@ -97,19 +97,37 @@ def _each(rows: DataFrame, names: str, values: list[tuple]) -> DataFrame:
                                                for x in values])))
 
 
-def index_keys(rows: DataFrame, threshold: int) -> DataFrame:
-    """(key, h): the segments of every line (h, line, size)."""
-    start, size = _piece(F.col("size"), threshold + 1, F.col("i"))
+def _segment(threshold: int, length: Column, shift: Column) -> Column:
+    """The key of segment ``i`` of lines of some length, as it stands in a line, moved by ``shift``."""
+    start, size = _piece(length, threshold + 1, F.col("i"))
+    return F.xxhash64("i", length, F.substring("line", start + shift, size)).alias("key")
+
+
+def index_keys(rows: DataFrame, threshold: int, *more: str) -> DataFrame:
+    """(key, h) and more columns: the segments of every line (h, line, size)."""
     return _each(rows, "i", [(i,) for i in range(threshold + 1)]).select(
-        F.xxhash64("i", "size", F.substring("line", start, size)).alias("key"), "h")
+        _segment(threshold, F.col("size"), F.lit(0)), "h", *more)
 
 
 def probe_keys(rows: DataFrame, threshold: int) -> DataFrame:
     """(key, other): segments of lines shorter by 0 to ``threshold``, at the places where they can stand in a line."""
-    other = F.col("size") - F.col("less")
-    start, size = _piece(other, threshold + 1, F.col("i"))
     return _each(rows, "less i shift", _places(threshold)).select(
-        F.xxhash64("i", other, F.substring("line", start + F.col("shift"), size)).alias("key"), F.col("h").alias("other"))
+        _segment(threshold, F.col("size") - F.col("less"), F.col("shift")), F.col("h").alias("other"))
+
+
+def held_lines(rows: DataFrame, hot: DataFrame, threshold: int) -> DataFrame:
+    """(h, line, size, indexed): lines that hold a segment of ``hot`` (key, i, size), as their own one (indexed) or moved.
+
+    Only lines of a length in which such a segment can stand are looked at, and only at its places.
+    """
+    places = [(0, None, 0, True), *[(*x, False) for x in _places(threshold)]]
+    kinds = _each(hot.select("i", F.col("size").alias("length")).distinct(), "less its_i shift indexed", places).filter(
+        F.col("its_i").isNull() | (F.col("its_i") == F.col("i"))).select(
+        (F.col("length") + F.col("less")).alias("size"), "i", "length", "shift", "indexed")
+    looked = rows.join(_sent(stored(kinds, "lines-kinds")), "size").select(
+        _segment(threshold, F.col("length"), F.col("shift")), "h", "line", "size", "indexed")
+    return looked.join(_sent(hot.select("key")), "key", "left_semi").groupBy("h").agg(
+        F.first("line").alias("line"), F.first("size").alias("size"), F.max("indexed").alias("indexed"))
 
 
 def _around(length: Column, between: Column, less: Column) -> Column:
@@ -121,19 +139,26 @@ def _around(length: Column, between: Column, less: Column) -> Column:
         "line", at_p + size_p + between, at_q - at_p - size_p), F.substring("line", behind + less, length - behind + 1))
 
 
+def _left_out(length: Column, between: Column, less: Column) -> Column:
+    """The pieces p and q that ``_around`` leaves out, one behind the other, as the line has them."""
+    (at_p, size_p), (at_q, size_q) = _piece(length, PIECES, F.col("p")), _piece(length, PIECES, F.col("q"))
+    return F.concat(F.substring("line", at_p, size_p + between), F.substring("line", at_q + between, size_q + less - between))
+
+
 def long_index_keys(rows: DataFrame, *more: str) -> DataFrame:
-    """(key, h) and more columns: all but two of the PIECES pieces of every line."""
+    """(key, h, out) and more columns: all but two of the PIECES pieces of every line, and those two."""
     pieces = [(p, q) for q in range(PIECES) for p in range(q)]
-    return _each(rows, "p q", pieces).select(_around(F.col("size"), F.lit(0), F.lit(0)).alias("key"), "h", *more)
+    around = F.col("size"), F.lit(0), F.lit(0)
+    return _each(rows, "p q", pieces).select(_around(*around).alias("key"), "h", _left_out(*around).alias("out"), *more)
 
 
 def long_probe_keys(rows: DataFrame, *more: str) -> DataFrame:
-    """(key, other) and more columns: those of lines shorter by 0 to 2, as two edits in the two pieces left out may move them."""
+    """(key, other, its_out) and more columns: those of lines shorter by 0 to 2, as two edits in the two pieces left out may move them."""
     pieces = [(p, q, less, between) for q in range(PIECES) for p in range(q) for less in range(3)
               for between in ([0] if q == p + 1 else range(max(-1, less - 1), 2))]
+    around = F.col("size") - F.col("less"), F.col("between"), F.col("less")
     return _each(rows, "p q less between", pieces).select(
-        _around(F.col("size") - F.col("less"), F.col("between"), F.col("less")).alias("key"),
-        F.col("h").alias("other"), *more)
+        _around(*around).alias("key"), F.col("h").alias("other"), _left_out(*around).alias("its_out"), *more)
 
 
 def within(a: Column, b: Column, threshold: int) -> Column:
@@ -159,28 +184,31 @@ def line_links(lines: DataFrame, counts: DataFrame, threshold: int = THRESHOLD)
     A segment that more than HOT lines share, as in a large group of near copies or under a common
     beginning, would meet in pairs that are hardly ever near.  Lines that have one meet on all but two of PIECES
     pieces instead, which holds for every pair within two edits; each is compared with the first line it meets, and
-    then with lines that this has not joined with it, if the counts of some letters allow two edits.
+    then with lines that this has not joined with it, if the counts of some letters allow two edits.  Both are
+    decided where lines meet, by the two pieces that each has besides.
     """
     rows = lines_once(lines, counts)
     index, probe = index_keys(rows, threshold), probe_keys(rows, threshold)
     hot = None
     if threshold == 2:
-        hot = stored(index.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > HOT).select("key"), "lines-hot")
+        # Equal keys are of one segment and length.
+        hot = stored(index_keys(rows, threshold, "i", "size").groupBy("key").agg(
+            F.count("*").alias("n"), F.max("i").alias("i"), F.max("size").alias("size")).filter(F.col("n") > HOT).drop("n"), "lines-hot")
     if hot is None or hot.isEmpty():
         return near_links(lines, stored(_pairs(index.join(probe, "key")), "lines-pairs"), threshold)
-    hot = _sent(hot)
-    held = stored(index.join(hot, "key", "left_semi").select("h", F.lit(True).alias("indexed")).unionByName(
-        probe.join(hot, "key", "left_semi").select(F.col("other").alias("h"), F.lit(False).alias("indexed"))).groupBy(
-        "h").agg(F.max("indexed").alias("indexed")), "lines-held")
-    held = stored(rows.join(_sent(held), "h").dropDuplicates(["h"]), "lines-held")
+    held = stored(held_lines(rows, hot, threshold), "lines-held")
+    hot = _sent(hot.select("key"))
     # Lines without such a segment, and the other segments of those that have one.
     rest = rows.join(_sent(held.filter("indexed").select("h")), "h", "left_anti")
     cold = index_keys(rest, threshold).unionByName(
         index_keys(held.filter("indexed"), threshold).join(hot, "key", "left_anti"))
     links = near_links(lines, stored(_pairs(cold.join(probe, "key")), "lines-pairs"), threshold)
-    firsts = long_index_keys(held.filter("indexed")).groupBy("key").agg(F.min("h").alias("h"))
-    star = stored(near_links(lines, stored(_pairs(long_probe_keys(held).join(firsts, "key")), "lines-stars"), threshold),
-                  "lines-links")
+    firsts = long_index_keys(held.filter("indexed")).groupBy("key").agg(F.min(F.struct("h", "out")).alias("first")).select(
+        "key", "first.*")
+    # Two lines that agree beside two pieces are apart by what these are apart, so only near ones come out as pairs.
+    near = within(F.col("out"), F.col("its_out"), threshold)
+    star = stored(near_links(lines, stored(_pairs(long_probe_keys(held).join(firsts, "key").filter(near)), "lines-stars"),
+                             threshold), "lines-links")
     known = stored(held.join(components(star), F.col("h") == F.col("member"), "left").select(
         "h", "line", "size", "indexed", F.coalesce("root", "h").alias("root"),
         *[letter_counts(F.col("line"), x).alias(x) for x in LETTERS]), "lines-roots")
@@ -189,7 +217,7 @@ def line_links(lines: DataFrame, counts: DataFrame, threshold: int = THRESHOLD)
                           "their_root", *[f"their_{x}" for x in LETTERS])
     # Only where a key has lines of different classes are there pairs left to look at.
     rest = one.join(two, (one["key"] == two["key"]) & (F.col("root") != F.col("their_root")) & (
-        sum((counts_apart(F.col(x), F.col(f"their_{x}")) for x in LETTERS), F.lit(0)) <= 2 * threshold))
+        sum((counts_apart(F.col(x), F.col(f"their_{x}")) for x in LETTERS), F.lit(0)) <= 2 * threshold) & near)
     return links.unionByName(star).unionByName(
         near_links(lines, stored(_pairs(rest), "lines-pairs"), threshold))
 
