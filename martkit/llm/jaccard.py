@@ -15,6 +15,10 @@ of its buckets one by one, as in a large group of near copies whose sets share m
 compared as a whole, each set once, in blocks; other areas are split.
 Equal sets are one class with a number of copies and are never expanded.
 
+Before full sets travel, pairs are judged by bit sets that have two to four bits a shingle: bits of one set that the other
+lacks are shingles that the other lacks, so the intersection is bounded from above and a pair that may be a link always stays.
+Full sets are shuffled only for the pairs left, and for sets of an area that may be linked with a set of another group.
+
 A text without words has no shingles: such a document is a class of its own.  Null ids and
 repeated rows are kept, one result row each.  Other columns are not read.
 """
@@ -182,13 +186,62 @@ def _sets(shingle: int):
             for small in _sliced(batch):
                 hashes, bounds = shingle_sets(small.column("text").to_pylist(), shingle)
                 same = np.flatnonzero(_set_ids(hashes, bounds) == small.column("rid").to_numpy())
+                own = [hashes[bounds[i]:bounds[i + 1]] for i in same]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(small.column("rid").to_numpy()[same]),
-                     pa.array([hashes[bounds[i]:bounds[i + 1]].tobytes() for i in same], pa.binary())],
-                    names=["rid", "own"])
+                    [pa.array(small.column("rid").to_numpy()[same]), pa.array([len(x) for x in own], pa.int64()),
+                     pa.array([bit_set(x) for x in own], pa.binary()), pa.array([x.tobytes() for x in own], pa.binary())],
+                    names=["rid", "n", "bits", "own"])
     return run
 
 
+def bit_set(own: np.ndarray) -> bytes:
+    """One bit for the low bits of every hash, in the power of two that is twice the set's size or more."""
+    held = np.zeros(max(64, 1 << (2 * len(own) - 1).bit_length()), np.bool_)
+    held[(own & np.uint64(len(held) - 1)).astype(np.int64)] = True
+    return np.packbits(held, bitorder="little").tobytes()
+
+
+def _of_size(bits: list[bytes]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Bit sets as matrices of words, by their length: (places in the list, words)."""
+    lengths = np.array([len(b) for b in bits], np.int64)
+    out = {}
+    for length in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == length)
+        out[length] = at, np.frombuffer(b"".join([bits[k] for k in at]), np.uint64).reshape(len(at), length // 8)
+    return out
+
+
+def _folded(words: np.ndarray, width: int) -> np.ndarray:
+    """The bit sets that sets would have in ``width`` words."""
+    while words.shape[1] > width:
+        half = words.shape[1] // 2
+        words = words[:, :half] | words[:, half:]
+    return words
+
+
+def _held(words: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(words).sum(axis=-1, dtype=np.int64)
+
+
+def _within_bound(n_one: np.ndarray, n_two: np.ndarray, lacks_one: np.ndarray, lacks_two: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether sets may be linked of which so many shingles at least are not in the other one."""
+    most = np.minimum(n_one - lacks_one, n_two - lacks_two)
+    return most >= threshold * (n_one + n_two - most)
+
+
+def may_link(one: list[bytes], two: list[bytes], n_one: np.ndarray, n_two: np.ndarray, threshold: float) -> np.ndarray:
+    """Which pairs of sets may be links, by their bit sets and sizes; a link is never turned away."""
+    out = np.zeros(len(one), bool)
+    first, second = np.array([len(b) for b in one], np.int64), np.array([len(b) for b in two], np.int64)
+    for p, q in {*zip(first.tolist(), second.tolist())}:
+        at = np.flatnonzero((first == p) & (second == q))
+        x, y = (_folded(np.frombuffer(b"".join([side[k] for k in at]), np.uint64).reshape(len(at), -1), min(p, q) // 8)
+                for side in (one, two))
+        common = _held(x & y)
+        out[at] = _within_bound(n_one[at], n_two[at], _held(x) - common, _held(y) - common, threshold)
+    return out
+
+
 def _similar(one: np.ndarray, two: np.ndarray, threshold: float) -> bool:
     if min(len(one), len(two)) < threshold * max(len(one), len(two)):
         return False
@@ -205,11 +258,35 @@ def _verify(threshold: float):
     return run
 
 
+def _judge(threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = may_link(batch.column("one").to_pylist(), batch.column("two").to_pylist(), batch.column("n_one").to_numpy(),
+                          batch.column("n_two").to_numpy(), threshold)
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+    return run
+
+
+def _sides(sets: DataFrame, what: str) -> tuple[DataFrame, DataFrame]:
+    one, two = (sets.select(F.col("rid").alias(end), F.col("n").alias(f"n_{side}"), F.col(what).alias(side))
+                for end, side in (("a", "one"), ("b", "two")))
+    return one, two
+
+
+def only(sets: DataFrame, wanted: DataFrame, column: str = "rid") -> DataFrame:
+    """The sets that may be wanted: others need not be shuffled for a join."""
+    return sets.filter(may_be_in(wanted.select(F.col(column).alias("key")), F.col("rid")))
+
+
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose sets are similar; each pair is looked at once."""
-    one = sets.select(F.col("rid").alias("a"), F.col("own").alias("one"))
-    two = sets.select(F.col("rid").alias("b"), F.col("own").alias("two"))
-    rows = pairs.select("a", "b").distinct().join(one, "a").join(two, "b")
+    """The pairs (a, b) whose sets are similar; each pair is looked at once, full sets only of those that may be."""
+    one, two = _sides(sets, "bits")
+    sized = pairs.select("a", "b").distinct().join(one, "a").join(two, "b").filter(
+        F.least("n_one", "n_two") >= threshold * F.greatest("n_one", "n_two"))
+    near = stored(sized.select("a", "b", "n_one", "n_two", "one", "two").mapInArrow(
+        released(_judge(threshold)), "a bigint, b bigint").distinct(), "jaccard-near", TEXT_ROWS)
+    one, two = _sides(only(sets, near.select(F.explode(F.array("a", "b")).alias("rid"))), "own")
+    rows = near.join(one, "a").join(two, "b")
     return rows.select("a", "b", "one", "two").mapInArrow(released(_verify(threshold)), "a bigint, b bigint").distinct()
 
 
@@ -236,6 +313,7 @@ def _split(threshold: float, level: int):
 
 def _shared(rows: DataFrame) -> DataFrame:
     """The buckets (node, rid) that hold more than one set, with the first of them."""
+    rows = rows.repartition("node")  # one shuffle for both
     kept = rows.groupBy("node").agg(F.min("rid").alias("low"), F.max("rid").alias("high")).filter("low < high")
     return rows.join(kept.select("node", "low"), "node")
 
@@ -311,6 +389,31 @@ def _cross(threshold: float):
     return run
 
 
+def _near_cell(key: str, threshold: float):
+    """Of one pair of blocks of a group: sets that may be linked with one of another root, by their bit sets."""
+    def run(table: pa.Table) -> pa.Table:
+        first, second, own = (table.column(c)[0].as_py() for c in ("i", "j", key))
+        block, rid, root, n = (table.column(c).to_numpy() for c in ("block", "rid", "root", "n"))
+        bits, near = table.column("bits").to_pylist(), np.zeros(len(rid), bool)
+        one, two = ([(at[words], part) for words, part in _of_size([bits[k] for k in at]).values()]
+                    for at in (np.flatnonzero(block == x) for x in (first, second)))
+        for rows, x in one:
+            for columns, y in two:
+                width = min(x.shape[1], y.shape[1])
+                a, b = _folded(x, width), _folded(y, width)
+                held_a, held_b = _held(a), _held(b)
+                step = max(1, (1 << 20) // (len(columns) * width))
+                for k in range(0, len(rows), step):
+                    some = rows[k:k + step]
+                    common = _held(a[k:k + step, None, :] & b[None, :, :])
+                    ok = _within_bound(n[some, None], n[None, columns], held_a[k:k + step, None] - common, held_b[None, :] - common, threshold)
+                    ok &= root[some, None] != root[None, columns]
+                    near[some] |= ok.any(axis=1)
+                    near[columns] |= ok.any(axis=0)
+        return pa.table({key: pa.array([own] * int(near.sum()), pa.int64()), "rid": pa.array(rid[near], pa.int64())})
+    return run
+
+
 def _cells(rows: DataFrame) -> DataFrame:
     """Each row of a group of ``size`` sets with ``total`` shingles, once for every pair of blocks that its block is in."""
     count = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
@@ -335,10 +438,19 @@ def whole_areas(large: DataFrame) -> DataFrame:
         F.col("member").alias("rid"), F.col("root").alias("area"), "size")
 
 
-def _crossed(rows: DataFrame, key: str, classes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Links that join all similar sets of each group (``key``, rid, size)."""
-    totals = rows.join(classes.select("rid", "n"), "rid").groupBy(key).agg(F.sum("n").alias("total"))
-    grid = _cells(rows.join(totals, key).join(sets.dropDuplicates(["rid"]), "rid"))
+def _sized(rows: DataFrame, key: str, classes: DataFrame) -> DataFrame:
+    totals = rows.join(classes.select("rid", "n"), "rid").groupBy(key).agg(F.count("*").alias("size"), F.sum("n").alias("total"))
+    return rows.join(totals, key)
+
+
+def _crossed(rows: DataFrame, key: str, classes: DataFrame, sets: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
+    """Links that join all similar sets of each group (``key``, rid) that links have not joined yet (``groups``)."""
+    roots = rows.select(key, "rid").join(groups, F.col("rid") == F.col("member"), "left").select(
+        key, "rid", F.coalesce("root", "rid").alias("root"))
+    grid = _cells(_sized(roots, key, classes).join(sets.select("rid", "n", "bits").dropDuplicates(["rid"]), "rid"))
+    near = stored(grid.select(key, "i", "j", "block", "rid", "root", "n", "bits").groupBy(key, "i", "j").applyInArrow(
+        _near_cell(key, threshold), f"{key} bigint, rid bigint").distinct(), "jaccard-near", TEXT_ROWS)
+    grid = _cells(_sized(near, key, classes).join(only(sets, near).select("rid", "own").dropDuplicates(["rid"]), "rid"))
     return grid.select(key, "i", "j", "block", "rid", "own").groupBy(key, "i", "j").applyInArrow(
         _cross(threshold), "a bigint, b bigint")
 
@@ -371,7 +483,7 @@ def _linked(docs: DataFrame, threshold: float, recall: float, shingle: int) -> t
     wanted = stored(live.select("rid").distinct().join(classes, "rid").select("rid", F.col("rep").alias("doc_id")), "jaccard-wanted")
     near = rows.filter(may_be_in(wanted.select(F.xxhash64("doc_id").alias("key")), F.xxhash64(F.col("doc_id").cast("bigint"))))
     sets = stored(near.join(wanted, near["doc_id"].eqNullSafe(wanted["doc_id"])).select("rid", "text").mapInArrow(
-        released(_sets(shingle)), "rid bigint, own binary"), "jaccard-sets", TEXT_ROWS)
+        released(_sets(shingle)), "rid bigint, n bigint, bits binary, own binary"), "jaccard-sets", TEXT_ROWS)
     # Every set against two of the sets that are first in its buckets: that joins most of a group.
     firsts = live.filter("rid <> low").groupBy("rid").agg(F.array_distinct(F.array(F.min("low"), F.max("low"))).alias("low"))
     links = stored(verified(firsts.select(F.explode("low").alias("a"), F.col("rid").alias("b")), sets, threshold),
@@ -391,14 +503,14 @@ def _linked(docs: DataFrame, threshold: float, recall: float, shingle: int) -> t
         last = large.isEmpty()
         if not last:
             areas = stored(whole_areas(large), "jaccard-areas")
-            found.append(_crossed(areas, "area", classes, sets, threshold))
+            found.append(_crossed(areas, "area", classes, sets, groups, threshold))
             large = large.join(areas.select("rid"), "rid", "left_anti")
             last = level == DEPTH or large.isEmpty()
             if level == DEPTH:
-                found.append(_crossed(large.select("node", "rid", "size"), "node", classes, sets, threshold))
+                found.append(_crossed(large, "node", classes, sets, groups, threshold))
         if not last:
             nodes = large.groupBy("rid").agg(F.collect_set("node").alias("nodes"), F.first("root").alias("root")).join(
-                sets, "rid")
+                only(sets, large), "rid")
             live = stored(_shared(nodes.select("rid", "root", "own", "nodes").mapInArrow(
                 _split(threshold, level), "node bigint, rid bigint, root bigint").distinct()), "jaccard-buckets", TEXT_ROWS)
             # Sets of one group need not be compared: a bucket's first set against those of other groups.
@@ -421,7 +533,7 @@ def jaccard_groups(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     members, classes, sets, groups = _linked(docs, threshold, recall, shingle)
     named = groups.withColumnRenamed("member", "rid").join(classes.select("rid", "copies", "n"), "rid")
     sizes = named.groupBy("root").agg(F.count("*").alias("size"), F.sum("n").alias("total"))
-    grouped = named.select("rid", "root", "copies").join(sizes, "root").join(sets, "rid")
+    grouped = named.select("rid", "root", "copies").join(sizes, "root").join(only(sets, groups, "member").drop("n"), "rid")
     counts = _cells(grouped).select("root", "i", "j", "block", "rid", "copies", "own").groupBy(
         "root", "i", "j").applyInArrow(_cell(threshold), "rid bigint, links bigint")
     counts = counts.groupBy("rid").agg(F.sum("links").alias("links"))
