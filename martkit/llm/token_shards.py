@@ -175,21 +175,27 @@ class ShardIndex:
 
 # A full stop or comma after anything but a plain letter, a digit or a space may be one piece with it.
 _MARKS = re.compile(r"[^0-9A-Za-zÀ-ÖØ-öø-ÿ \n][.,]")
+# Small letters up to U+00FF, between marks or alone; an apostrophe before them may be one piece with them,
+# and marks with <| may name a special token.
+_MARKED = re.compile(rb"(?!.*<\|)([!-&(-/:-@[-`{-~]*)((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([!-/:-@[-`{-~]*)")
 
 
 # --- encoding -------------------------------------------------------------------------
 
 def _for_letters(definition: str) -> str | None:
-    """The definition for words of a-z alone, without the steps that leave such words as they are (some 40 % of the
-    time of a word); None where a tokenizer has other steps than those known here."""
+    """The definition for words of small letters up to U+00FF alone, without the steps that leave such words as they are
+    (some 40 % of the time of a word); None where a tokenizer has other steps or tokens than those known here."""
     whole = json.loads(definition)
     steps = (whole.get("normalizer") or {}).get("normalizers") or []
     pieces = (whole.get("pre_tokenizer") or {}).get("pretokenizers") or []
     split, mapped = pieces if len(pieces) == 2 else ({}, {})
     known = (all(x["type"] in ("NFC", "Lowercase") or x["type"] == "Replace" and x["pattern"] == {"Regex": r"\s+"} for x in steps)
              and split.get("pattern") == {"Regex": _LETTERS_WHOLE} and (split["behavior"], split["invert"]) == ("Removed", True) and mapped.get("type") == "ByteLevel"
-             and not mapped["add_prefix_space"] and not mapped["use_regex"])
-    return json.dumps({**whole, "normalizer": None, "pre_tokenizer": mapped}) if known else None
+             and not mapped["add_prefix_space"] and not mapped["use_regex"]
+             and all(re.fullmatch(r"<\|\w+\|>", x["content"]) for x in whole.get("added_tokens") or [])
+             and whole["model"].get("end_of_word_suffix"))
+    apart = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, mapped]}
+    return json.dumps({**whole, "normalizer": None, "pre_tokenizer": apart}) if known else None
 
 
 # A pattern that takes a word of letters as one piece.
@@ -209,15 +215,28 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_str(tokenizer)
         letters = _for_letters(tokenizer) if by_word else None
-        self._letters = Tokenizer.from_str(letters) if letters else self._tokenizer
+        self._letters = Tokenizer.from_str(letters) if letters else None
+        if letters:
+            suffix = json.loads(letters)["model"]["end_of_word_suffix"]
+            self._ends = np.zeros(self._letters.get_vocab_size(), bool)
+            self._ends[[i for piece, i in self._letters.get_vocab().items() if piece.endswith(suffix)]] = True
         self.width = 2 if max(self._tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         self._code = "H" if self.width == 2 else "I"
         self._end = array(self._code, [end_id]).tobytes()
         self._by_word, self._known, self._memory, self._room = by_word, {}, memory, memory
 
-    def _ids(self, values: list[str], tokenizer=None) -> list[bytes]:
-        return [array(self._code, e.ids).tobytes()
-                for e in (tokenizer or self._tokenizer).encode_batch_fast(values, add_special_tokens=False)]
+    def _ids(self, values: list[str]) -> list[bytes]:
+        return [array(self._code, e.ids).tobytes() for e in self._tokenizer.encode_batch_fast(values, add_special_tokens=False)]
+
+    def _letter_ids(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words of letters, encoded as one text and cut behind the pieces that end a word."""
+        whole = self._letters.encode_batch_fast([b" ".join(words).decode("utf-8")], add_special_tokens=False)[0]
+        ids = np.array(whole.ids, f"u{self.width}")
+        stops = (self.width * (np.flatnonzero(self._ends[ids]) + 1)).tolist()
+        if len(stops) != len(words):  # some letter is not in the vocabulary
+            return self._ids([w.decode("utf-8") for w in words])
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *stops], stops)]
 
     def _words(self, value: str) -> list[bytes]:
         """Pieces that the tokenizer, which looks at white space anyway, encodes one by one."""
@@ -231,6 +250,17 @@ class Encoder:
             raw = raw.replace(b", ", b" , ").replace(b". ", b" . ")
         return raw.split(b" ")
 
+    def _learn(self, new: set[bytes]) -> None:
+        """Remember the ids of these words.  Letters and the marks around them are pieces of their own, known ones as a rule."""
+        parts = {w: m.groups() for w in new if (m := _MARKED.fullmatch(w))} if self._letters else {}
+        letters = [*{p[1] for p in parts.values()}.difference(self._known)]
+        rest = [*{x for p in parts.values() for x in (p[0], p[2]) if x}.union(new.difference(parts)).difference(self._known)]
+        self._known.update(zip(letters, self._letter_ids(letters)))
+        self._known.update(zip(rest, self._ids([w.decode("utf-8") for w in rest])))
+        joined = {w: b"".join([self._known[x] for x in p if x]) for w, p in parts.items() if len(p[1]) < len(w)}
+        self._known.update(joined)
+        self._room -= sum(sum(map(len, x)) * 2 + WORD_BYTES * len(x) for x in (letters, rest, joined))
+
     def __call__(self, values: list[str]) -> Iterator[bytes]:
         if not self._by_word:
             for v in values:
@@ -239,15 +269,11 @@ class Encoder:
         for at in range(0, len(values), TEXTS):
             texts_words = [self._words(v) for v in values[at:at + TEXTS]]
             new = set().union(*texts_words).difference(self._known)
-            self._room -= sum(map(len, new)) * 2 + WORD_BYTES * len(new)
-            if self._room < 0:
+            if sum(map(len, new)) * 2 + WORD_BYTES * len(new) > self._room:
                 self._known.clear()
+                self._room = self._memory
                 new = set().union(*texts_words)
-                self._room = self._memory - sum(map(len, new)) * 2 - WORD_BYTES * len(new)
-            letters = [w for w in new if w.isalpha() and w.islower()]
-            self._known.update(zip(letters, self._ids([w.decode("ascii") for w in letters], self._letters)))
-            rest = [*new.difference(letters)]
-            self._known.update(zip(rest, self._ids([w.decode("utf-8") for w in rest])))
+            self._learn(new)
             for words in texts_words:
                 yield b"".join([*map(self._known.__getitem__, words), self._end])
 
