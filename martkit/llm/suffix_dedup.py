@@ -5,7 +5,8 @@ document of smaller id, or further up in the same one).
 
 Every window of ``length`` bytes holds an anchor: the last of its smallest grams (by hash) of half
 that size.  Equal windows have equal anchors at the same place, so only the surroundings of grams
-that occur more than once can hold repeats.  Equal surroundings are counted, not compared: all but
+that occur more than once can hold repeats.  Of a text that stands in many documents the first one alone is
+looked through; the others are repeats from end to end.  Equal surroundings are counted, not compared: all but
 the first are repeats as a whole.  The different surroundings of a gram, each as its first document
 has it and no copy of that, are dealt by it to shards;
 each shard is sorted by ``induced_sort`` with its queues on disk, and runs of suffixes with a
@@ -14,7 +15,7 @@ not go to one shard: its windows are compared by a partial aggregate over their
 
 Workers get TEXT_ROWS texts at once, as the places of some ten thousand fill hundreds of megabytes.
 Texts are read in several passes instead of being stored: what passes on are grams, places and
-surroundings of repeated grams, told by a filter of fixed size (a wrong hit only costs work).
+surroundings of repeated grams, told by a filter that grows with what it holds (a wrong hit only costs work).
 
 Null texts are empty.  Null ids come before all others.  Rows that agree in id and text are one
 document and get equal results; with equal ids and different texts the text's hash decides the order.
@@ -38,8 +39,8 @@ from martkit.llm.induced_sort import sorted_suffixes
 from martkit.session import scratch_path
 
 LENGTH = 100
-#: Bits of the filter that tells repeated grams: 8 MB, whatever the data.
-FILTER_BITS = 1 << 26
+#: Bits of a filter: 8 MB, or as many more as BITS_A_KEY for each of a known number of keys ask for, up to 64 MB.
+FILTER_BITS, BITS_A_KEY, MOST_BITS = 1 << 26, 8, 1 << 29
 #: Different surroundings of one gram that go to one shard.
 SHARD_GROUP = 20_000
 #: Bytes of surroundings that one shard aims at, and of its queues before they go to disk.
@@ -156,11 +157,38 @@ class _Places:
 _COUNTED = np.uint64((1 << 48) - 1)
 
 
-def _grams(length: int):
+def _text_keys(doc: pa.Array, th: np.ndarray) -> np.ndarray:
+    """Filter keys of documents; a null id counts as 0, which only costs a wrong hit."""
+    return _mix(_mix(doc.fill_null(0).to_numpy().view(np.uint64)) ^ th.view(np.uint64))
+
+
+def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every document's id, hash and bytes of its text."""
+    for batch in batches:
+        raws = _raws(batch)
+        yield pa.RecordBatch.from_arrays([
+            batch.column("doc_id"), pa.array([_text_hash(x) for x in raws], pa.int64()),
+            pa.array([len(x) for x in raws], pa.int64())], names=["doc_id", "th", "size"])
+
+
+def _keys_of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = _text_keys(batch.column("doc_id"), batch.column("th").to_numpy())
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64))], names=["key"])
+
+
+def _once(batches: Iterator[pa.RecordBatch], words: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Without the documents that the filter of (document, text) does not hold."""
+    for batch in batches:
+        hashes = np.array([_text_hash(x) for x in _raws(batch)], np.int64)
+        yield batch.filter(pa.array(in_filter(words, _text_keys(batch.column("doc_id"), hashes))))
+
+
+def _grams(once: Shared, length: int):
     """Each task's distinct gram hashes, cut to 48 bits, and whether the task has seen them twice."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors = Anchors(length)
-        for batch in batches:
+        for batch in _once(batches, once.value):
             raws = _raws(batch)
             found = anchors.find(np.frombuffer(b"".join(raws), np.uint8), np.cumsum([0, *map(len, raws)]))[0]
             own, count = np.unique(found & _COUNTED, return_counts=True)
@@ -169,34 +197,40 @@ def _grams(length: int):
     return run
 
 
-def _bits(g: np.ndarray) -> list[np.ndarray]:
-    mask = np.uint64(FILTER_BITS - 1)
+def _bits(g: np.ndarray, size: int) -> list[np.ndarray]:
+    """Three places of each key among ``size`` bits, a power of two up to MOST_BITS."""
+    mask = np.uint64(size - 1)
     x = _mix(g)
-    return [x & mask, (x >> np.uint64(20)) & mask, (x >> np.uint64(38)) & mask]
+    with np.errstate(over="ignore"):
+        return [x & mask, (x >> np.uint64(32)) & mask, ((x * _BASE) >> np.uint64(32)) & mask]
 
 
-def _filter_words(column: str):
+def _filter_words(column: str, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bits = np.concatenate(_bits(batch.column(column).to_numpy().view(np.uint64)))
+            bits = np.concatenate(_bits(batch.column(column).to_numpy().view(np.uint64), size))
             yield pa.RecordBatch.from_arrays([
                 pa.array((bits >> np.uint64(6)).astype(np.int64)),
                 pa.array((np.uint64(1) << (bits & np.uint64(63))).view(np.int64))], names=["word", "bits"])
     return run
 
 
-def make_filter(keys: DataFrame, column: str) -> np.ndarray:
-    """A filter of FILTER_BITS bits that holds all keys; its size is fixed, so it may be collected and sent."""
-    words = keys.select(column).mapInArrow(_filter_words(column), "word bigint, bits bigint").groupBy("word").agg(
+def make_filter(keys: DataFrame, column: str, count: int = 0) -> np.ndarray:
+    """A filter that holds all keys: FILTER_BITS bits, or BITS_A_KEY for each of ``count`` keys, so that few others pass.
+
+    It has MOST_BITS at most, so it may be collected and sent.
+    """
+    size = max(FILTER_BITS, min(MOST_BITS, 1 << (BITS_A_KEY * count - 1).bit_length()))
+    words = keys.select(column).mapInArrow(_filter_words(column, size), "word bigint, bits bigint").groupBy("word").agg(
         F.bit_or("bits").alias("bits")).toArrow()
-    out = np.zeros(FILTER_BITS // 64, np.uint64)
+    out = np.zeros(size // 64, np.uint64)
     out[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
     return out
 
 
 def in_filter(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
     ok = np.ones(len(keys), bool)
-    for bit in _bits(keys):
+    for bit in _bits(keys, 64 * len(words)):
         ok &= (words[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
     return ok
 
@@ -210,10 +244,10 @@ def _place_keys(doc: np.ndarray, th: np.ndarray, place: np.ndarray) -> np.ndarra
 OCCURRENCE = "seg bigint, g bigint, doc_id bigint, th bigint, place bigint, size int"
 
 
-def _occurrences(shared: Shared, length: int):
+def _occurrences(once: Shared, shared: Shared, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors, words = Anchors(length), shared.value
-        for batch in batches:
+        for batch in _once(batches, once.value):
             found = _Places(anchors, batch)
             found.keep(in_filter(words, found.grams & _COUNTED))
             start, end = found.surroundings()
@@ -227,11 +261,11 @@ def _occurrences(shared: Shared, length: int):
     return run
 
 
-def _contents(shared: Shared, length: int):
+def _contents(once: Shared, shared: Shared, length: int):
     """The bytes of chosen surroundings."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors, words = Anchors(length), shared.value
-        for batch in batches:
+        for batch in _once(batches, once.value):
             found = _Places(anchors, batch)
             # Cheap first: only places that the filter of (document, text, place) may hold are cut out.
             keys = _place_keys(found.doc().fill_null(0).to_numpy(), found.th, found.place)
@@ -357,10 +391,18 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SH
                     shard_group: int = SHARD_GROUP, queue_bytes: int = QUEUE_BYTES) -> DataFrame:
     """(doc_id, th, start, size) of ranges to remove; ranges may overlap.  ``docs``: doc_id, text (not null)."""
     spark = docs.sparkSession
-    grams = docs.mapInArrow(released(_grams(length)), "g bigint, n tinyint")
+    hashes = stored(docs.mapInArrow(released(_hashes), "doc_id bigint, th bigint, size bigint"), "suffix-hashes")
+    # A minimum of structs, as null ids come first.
+    leading = stored(hashes.groupBy("th").agg(F.min(F.struct("doc_id")).alias("lead"), F.count("*").alias("n")).select(
+        "lead.doc_id", "th", "n"), "suffix-leading")
+    once = Shared(spark, make_filter(leading.mapInArrow(_keys_of_texts, "key bigint"), "key", leading.count()))
+    again = leading.filter("n > 1").select(F.col("doc_id").alias("its_doc"), "th")
+    whole = hashes.filter(F.col("size") >= length).join(again, "th").filter(
+        ~F.col("doc_id").eqNullSafe(F.col("its_doc"))).select("doc_id", "th", F.lit(0).cast("bigint").alias("start"), "size")
+    grams = docs.mapInArrow(released(_grams(once, length)), "g bigint, n tinyint")
     repeated = stored(grams.groupBy("g").agg(F.sum("n").alias("n")).filter("n > 1").select("g"), "suffix-grams")
-    told = Shared(spark, make_filter(repeated, "g"))
-    occurrences = stored(docs.mapInArrow(released(_occurrences(told, length)), OCCURRENCE), "suffix-occurrences")
+    told = Shared(spark, make_filter(repeated, "g", repeated.count()))
+    occurrences = stored(docs.mapInArrow(released(_occurrences(once, told, length)), OCCURRENCE), "suffix-occurrences")
     classes = stored(occurrences.groupBy("seg", "g").agg(
         F.min(F.struct("doc_id", "th", "place")).alias("first"), F.count("*").alias("n")), "suffix-classes")
     # Members of a class beside its first one are repeats as a whole.
@@ -373,13 +415,13 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SH
     # Grams with different surroundings: their firsts are sorted.
     many = stored(classes.groupBy("g").agg(F.count("*").alias("kinds")).filter("kinds > 1"), "suffix-many")
     firsts = stored(classes.join(many, "g").select("g", "kinds", "first.*"), "suffix-firsts")
-    chosen = Shared(spark, make_filter(firsts.mapInArrow(_keys_of_places, "key bigint"), "key"))
+    chosen = Shared(spark, make_filter(firsts.mapInArrow(_keys_of_places, "key bigint"), "key", firsts.count()))
     found = docs.mapInArrow(
-        released(_contents(chosen, length)), "g bigint, doc_id bigint, th bigint, start bigint, place bigint, own binary").filter(
+        released(_contents(once, chosen, length)), "g bigint, doc_id bigint, th bigint, start bigint, place bigint, own binary").filter(
         F.length("own") >= length).groupBy("g", "th", "place").agg(F.min(F.struct("doc_id", "start", "own")).alias("row"))
-    # A text's place is the first of one class at most, and repeated rows are one document: a gram has ``kinds`` rows.
-    contents = stored(found.join(firsts.withColumnRenamed("doc_id", "its_doc"), ["g", "th", "place"]).filter(
-        F.col("row.doc_id").eqNullSafe(F.col("its_doc"))).select("g", "th", "row.*", "kinds"), "suffix-contents")
+    # A text's place is the first of one class at most, in the first document of that text, and repeated rows are one
+    # document: a gram has ``kinds`` rows.  Both sides are dealt by the same three columns, so contents move once.
+    contents = stored(found.join(firsts.drop("doc_id"), ["g", "th", "place"]).select("g", "th", "row.*", "kinds"), "suffix-contents")
     total = contents.filter(F.col("kinds") <= shard_group).agg(F.sum(F.length("own") + 1)).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
     root = scratch_path(spark, "suffix-queues")
@@ -393,7 +435,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SH
     hot = windows.join(earliest, ["one", "two"]).filter(
         ~F.struct("doc_id", "th", "start").eqNullSafe(F.col("first"))).select(
         "doc_id", "th", "start", F.lit(length).cast("bigint").alias("size"))
-    return copies.unionByName(stored(sorted_out, "suffix-sorted")).unionByName(hot)
+    return whole.unionByName(copies).unionByName(stored(sorted_out, "suffix-sorted")).unionByName(hot)
 
 
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
@@ -459,7 +501,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, whole: bool = True, **
             F.col("doc_id").alias("its_doc"), F.col("th").alias("its_th"), F.col("r.start").alias("starts"),
             F.col("r.size").alias("sizes")), "suffix-ranges")
         # Only documents that may have ranges meet them in a join; the others stay where they are.
-        told = Shared(docs.sparkSession, make_filter(per_doc.select("its_th").distinct(), "its_th"))
+        told = Shared(docs.sparkSession, make_filter(per_doc.select("its_th").distinct(), "its_th", per_doc.count()))
     result = f"{RESULT}, kept binary" if whole else RESULT
     touched = rows.mapInArrow(released(_touched(told)), "doc_id bigint, text string, th bigint")
     joined = touched.join(
